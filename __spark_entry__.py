@@ -84,6 +84,13 @@ class Layers:
     def warehouse(self) -> Warehouse:
         return Warehouse(self.silver, self.gold)
 
+    def scaled(self, name: str, df: Callable[[], DataFrame]) -> DataFrame:
+        """A step of the scale-up that later steps go on from, stored like the job stores it."""
+        if name not in self.store.tables("scaled"):
+            with self.store.load("scaled") as load:
+                load.put(name, df())
+        return self.store.read("scaled", name)
+
 
 def _bronze(spark, sf_dir) -> Bronze:
     return Layers.of(spark, sf_dir).bronze
@@ -502,9 +509,12 @@ GROWTH = 2
 
 
 def _base(spark, sf_dir):
-    raw = testdata.raw_hr(spark, sf_dir)
-    base = raw.toDF(*[landing.snake_case(c) for c in raw.columns])
-    return base.drop("employee_count", "over18", "standard_hours")
+    def ingest():
+        raw = testdata.raw_hr(spark, sf_dir)
+        named = raw.toDF(*[landing.snake_case(c) for c in raw.columns])
+        return named.drop("employee_count", "over18", "standard_hours")
+
+    return Layers.of(spark, sf_dir).scaled("base", ingest)
 
 
 def _rows(spark, sf_dir):
@@ -513,12 +523,33 @@ def _rows(spark, sf_dir):
 
 
 def _hired(spark, sf_dir):
-    return scale.derive_email_hire(scale.with_names(scale.jitter_and_cap(_rows(spark, sf_dir))))
+    return Layers.of(spark, sf_dir).scaled(
+        "hired",
+        lambda: scale.derive_email_hire(
+            scale.with_names(scale.jitter_and_cap(_rows(spark, sf_dir)))
+        ),
+    )
+
+
+def _sampled(spark, sf_dir):
+    return Layers.of(spark, sf_dir).scaled(
+        "sampled", lambda: scale.sample_history(_hired(spark, sf_dir))
+    )
 
 
 def _projects(spark, sf_dir):
-    n_projects = testdata.table(spark, sf_dir, "part").count()
-    return scale.make_projects(spark, n_projects, _base(spark, sf_dir))
+    def make():
+        n_projects = testdata.table(spark, sf_dir, "part").count()
+        return scale.make_projects(spark, n_projects, _base(spark, sf_dir))
+
+    return Layers.of(spark, sf_dir).scaled("projects", make)
+
+
+def _assignments(spark, sf_dir):
+    return Layers.of(spark, sf_dir).scaled(
+        "assignments",
+        lambda: scale.make_assignments(_hired(spark, sf_dir), _projects(spark, sf_dir)),
+    )
 
 
 @register
@@ -533,7 +564,8 @@ def jitter_and_cap(spark, sf_dir):
 
 @register
 def derive_email_hire(spark, sf_dir):
-    return _hired(spark, sf_dir).select(
+    rows = scale.jitter_and_cap(_rows(spark, sf_dir))
+    return scale.derive_email_hire(scale.with_names(rows)).select(
         "employee_id", "first_name", "last_name", "email", "hire_date", "effective_from"
     )
 
@@ -545,13 +577,15 @@ def sample_history(spark, sf_dir):
 
 @register
 def prior_version(spark, sf_dir):
-    hired = _hired(spark, sf_dir)
-    return scale.prior_version(hired, scale.sample_history(hired), _base(spark, sf_dir))
+    return scale.prior_version(
+        _hired(spark, sf_dir), _sampled(spark, sf_dir), _base(spark, sf_dir)
+    )
 
 
 @register
 def make_projects(spark, sf_dir):
-    return _projects(spark, sf_dir)
+    n_projects = testdata.table(spark, sf_dir, "part").count()
+    return scale.make_projects(spark, n_projects, _base(spark, sf_dir))
 
 
 @register
@@ -561,8 +595,7 @@ def make_assignments(spark, sf_dir):
 
 @register
 def make_reviews(spark, sf_dir):
-    hired = _hired(spark, sf_dir)
-    return scale.make_reviews(hired, scale.make_assignments(hired, _projects(spark, sf_dir)))
+    return scale.make_reviews(_hired(spark, sf_dir), _assignments(spark, sf_dir))
 
 
 @register

@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crewlens.functions.draws import (
+    choose,
     draw_between,
     draw_int,
     draw_normal,
     draw_unit,
     draw_weighted,
+    letters,
     pick,
 )
 from crewlens.operators.lookups import broadcast_if_small
@@ -31,20 +33,16 @@ ALLOCATION_WEIGHTS = [0.4, 0.3, 0.3]
 PROJECT_START_MIN = "2016-01-01"
 PROJECT_START_MAX = "2023-06-30"
 
-
-def _day(text: str) -> Column:
-    return F.lit(text).cast("date")
+_ID = "employee_id"
+_TODAY = f"DATE'{REFERENCE_DATE}'"
+_TENURES = ["years_in_current_role", "years_with_curr_manager", "years_since_last_promotion"]
+_MONEY = ["monthly_income", "hourly_rate", "daily_rate", "monthly_rate"]
 
 
 def _count(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
-def letters(c: Column) -> Column:
-    """Digits written as the letters a to j."""
-    return F.translate(c.cast("string"), "0123456789", "abcdefghij")
-
-
 def dept_roles(base: DataFrame) -> DataFrame:
     """Sorted distinct roles of every department (duplicates are dropped before the shuffle)."""
     return (
@@ -64,66 +62,63 @@ def _indexed_departments(base: DataFrame) -> DataFrame:
 def upsample_rows(base: DataFrame, target_rows: int, key: str) -> DataFrame:
     """Base rows in `key` order as ids 1..n, then rows drawn from them with replacement up to N."""
     indexed = number_rows(base, "_index", [key], id_bucket(key)).drop(key)
-    n = _count(base)
-    row = F.col("employee_id")
-    ids = base.sparkSession.range(1, target_rows + 1).withColumnRenamed("id", "employee_id")
-    drawn = ids.withColumn("is_extra", row > n).withColumn(
-        "_index", F.when(row <= n, row).otherwise(draw_int("pick", row) % n + 1)
+    ids = base.sparkSession.range(1, target_rows + 1).withColumnRenamed("id", _ID)
+    return (
+        ids.withColumn("_n", _count(base))
+        .selectExpr(
+            _ID,
+            f"{_ID} > _n AS is_extra",
+            f"CASE WHEN {_ID} <= _n THEN {_ID} ELSE {draw_int('pick', _ID)} % _n + 1 END AS _index",
+        )
+        .join(indexed, "_index")
+        .drop("_index")
     )
-    return drawn.join(indexed, "_index").drop("_index")
 
 
 def jitter_and_cap(rows: DataFrame) -> DataFrame:
     """Vary the drawn rows: age, incomes, and tenures kept consistent with the new age."""
-    key, extra = F.col("employee_id"), F.col("is_extra")
-    present = set(rows.columns)
-
-    def vary(df: DataFrame, column: str, value: Column) -> DataFrame:
-        if column not in present:
-            return df
-        return df.withColumn(column, F.when(extra, value).otherwise(F.col(column)).cast("int"))
-
-    moved = F.col("age") + draw_between("age", key, -3, 4)
-    rows = vary(rows, "age", F.greatest(F.lit(18), F.least(F.lit(60), moved)))
-    rows = vary(
-        rows, "total_working_years",
-        F.least("total_working_years", F.greatest(F.col("age") - 18, F.lit(0))),
-    )
-    if "total_working_years" in present:
-        rows = vary(rows, "years_at_company", F.least("years_at_company", "total_working_years"))
-    for column in ("years_in_current_role", "years_with_curr_manager", "years_since_last_promotion"):
-        rows = vary(rows, column, F.least(column, "years_at_company"))
-    for column in ("monthly_income", "hourly_rate", "daily_rate", "monthly_rate"):
-        factor = F.lit(0.9) + F.lit(0.2) * draw_unit(column, key)
-        rows = vary(rows, column, F.round(F.col(column) * factor))
-    return rows
+
+    def vary(df: DataFrame, changes: dict[str, str]) -> DataFrame:
+        return df.selectExpr(*[
+            f"cast(CASE WHEN is_extra THEN {changes[c]} ELSE {c} END AS int) AS {c}"
+            if c in changes else c
+            for c in df.columns
+        ])
+
+    factors = {
+        c: f"round({c} * (0.9D + 0.2D * {draw_unit(c, _ID)}))" for c in _MONEY
+    }
+    aged = {"age": f"greatest(18, least(60, age + {draw_between('age', _ID, -3, 4)}))"}
+    rows = vary(rows, aged | factors)
+    if "total_working_years" in rows.columns:
+        worked = "least(total_working_years, greatest(age - 18, 0))"
+        rows = vary(
+            rows,
+            {"total_working_years": worked, "years_at_company": f"least(years_at_company, {worked})"},
+        )
+    return vary(rows, {c: f"least({c}, years_at_company)" for c in _TENURES})
 
 
 def with_names(rows: DataFrame) -> DataFrame:
-    key = F.col("employee_id")
-    return rows.withColumn("first_name", F.concat(F.lit("N"), letters(key))).withColumn(
-        "last_name", F.concat(F.lit("S"), letters(draw_int("last", key) % 2000))
+    return rows.selectExpr(
+        "*",
+        f"concat('N', {letters(_ID)}) AS first_name",
+        f"concat('S', {letters(draw_int('last', _ID) + ' % 2000')}) AS last_name",
     )
 
 
 def derive_email_hire(rows: DataFrame) -> DataFrame:
     """E-mail from the name, hire date from the years at the company."""
 
-    def plain(c: str) -> Column:
-        return F.regexp_replace(F.lower(c), "[^a-z]", "")
+    def plain(c: str) -> str:
+        return f"regexp_replace(lower({c}), '[^a-z]', '')"
 
-    key = F.col("employee_id")
-    days = F.col("years_at_company") * 365 + draw_between("hire", key, 0, 330).cast("int")
-    return (
-        rows.withColumn(
-            "email",
-            F.concat(
-                F.concat_ws(".", plain("first_name"), plain("last_name"), key.cast("string")),
-                F.lit("@company.com"),
-            ),
-        )
-        .withColumn("hire_date", F.date_sub(_day(REFERENCE_DATE), days))
-        .withColumn("effective_from", F.col("hire_date"))
+    days = f"cast(years_at_company * 365 + {draw_between('hire', _ID, 0, 330)} AS int)"
+    return rows.selectExpr(
+        "*",
+        f"concat({plain('first_name')}, '.', {plain('last_name')}, '.', {_ID}, '@company.com') AS email",
+        f"date_sub({_TODAY}, {days}) AS hire_date",
+        f"date_sub({_TODAY}, {days}) AS effective_from",
     )
 
 
@@ -133,62 +128,54 @@ def sample_history(employees: DataFrame, share: float = 0.05) -> DataFrame:
     The lowest draws are taken. The cut is found from counts per range of draws, so the sample is
     exact although no task ever sorts more than one narrow range.
     """
-    key = F.col("employee_id")
-    eligible = employees.filter(F.col("years_at_company") >= 2).select("employee_id", "hire_date")
-    ranked = number_rows(
-        eligible.withColumn("_draw", draw_int("history", key)),
-        "_nth", ["_draw", "employee_id"], F.expr("_draw div 65536"),
+    eligible = employees.filter("years_at_company >= 2").selectExpr(
+        _ID, "hire_date", f"{draw_int('history', _ID)} AS _draw"
     )
-    wanted = F.floor(_count(employees) * F.lit(share))
-    tenure = F.datediff(_day(REFERENCE_DATE), F.col("hire_date"))
-    offset = F.lit(180) + draw_int("change", key) % (tenure - 240)
-    return ranked.filter(F.col("_nth") <= wanted).select(
-        "employee_id", F.date_add("hire_date", offset.cast("int")).alias("change_date")
+    ranked = number_rows(eligible, "_nth", ["_draw", _ID], F.expr("_draw div 65536"))
+    offset = f"180 + {draw_int('change', _ID)} % (datediff({_TODAY}, hire_date) - 240)"
+    return ranked.filter(F.col("_nth") <= F.floor(_count(employees) * F.lit(share))).selectExpr(
+        _ID, f"date_add(hire_date, cast({offset} AS int)) AS change_date"
     )
 
 
 def prior_version(employees: DataFrame, sampled: DataFrame, base: DataFrame) -> DataFrame:
     """The version each sampled employee had before the change, as a staged history row."""
-    key = F.col("employee_id")
     departments = _indexed_departments(base)
-    n = _count(departments)
-    own = departments.select("department", F.col("dept_index").alias("_own"))
-    others = departments.select(
-        F.col("dept_index").alias("_other"), F.col("department").alias("_department"), "roles"
-    )
-    drawn = draw_weighted("kind", key, CHANGE_KINDS, CHANGE_WEIGHTS)
-    other = draw_int("department", key) % F.greatest(n - 1, F.lit(1)) + 1
+    own = departments.selectExpr("department", "dept_index AS _own")
+    others = departments.selectExpr("dept_index AS _other", "department AS _department", "roles")
+    drawn = draw_weighted("kind", _ID, CHANGE_KINDS, CHANGE_WEIGHTS)
     changed = (
-        employees.join(sampled, "employee_id")
-        .withColumn("_drawn", drawn)
-        .withColumn(
-            "_kind",
-            F.when((F.col("_drawn") == "PROMOTION") & (F.col("job_level") <= 1), "SALARY_HIKE")
-            .otherwise(F.col("_drawn")),
+        employees.select(
+            _ID, "department", "job_role", "job_level", "monthly_income", "hire_date"
         )
+        .join(sampled, _ID)
         .join(own, "department")
-        .withColumn("_other", F.when(other >= F.col("_own"), other + 1).otherwise(other))
+        .withColumn("_n", _count(departments))
+        .selectExpr(
+            "*",
+            f"CASE WHEN {drawn} = 'PROMOTION' AND job_level <= 1 THEN 'SALARY_HIKE' ELSE {drawn} END "
+            "AS _kind",
+            f"{draw_int('department', _ID)} % greatest(_n - 1, 1) + 1 AS _step",
+        )
+        # The n-th of the other departments.
+        .selectExpr("*", "_step + CASE WHEN _step >= _own THEN 1 ELSE 0 END AS _other")
         .join(others, "_other", "left")
     )
-    moved, promoted = F.col("_kind") == "DEPARTMENT_CHANGE", F.col("_kind") == "PROMOTION"
-    raised = F.lit(1.15) + F.lit(0.15) * draw_unit("raise", key)
-    hiked = F.lit(1.05) + F.lit(0.07) * draw_unit("raise", key)
-    income = (
-        F.when(moved, F.col("monthly_income"))
-        .when(promoted, F.round(F.col("monthly_income") / raised))
-        .otherwise(F.round(F.col("monthly_income") / hiked))
-    )
-    rows = changed.select(
-        "employee_id",
-        F.when(moved, F.col("_department")).otherwise(F.col("department")).alias("department"),
-        F.when(moved, pick("role", key, F.col("roles"))).otherwise(F.col("job_role")).alias("job_role"),
-        (F.col("job_level") - F.when(promoted, 1).otherwise(0)).cast("int").alias("job_level"),
-        income.cast("int").alias("monthly_income"),
-        F.col("hire_date").alias("valid_from"),
-        F.date_sub("change_date", 1).alias("valid_to"),
-        F.col("_kind").alias("change_reason"),
+    raised = f"round(monthly_income / (1.15D + 0.15D * {draw_unit('raise', _ID)}))"
+    hiked = f"round(monthly_income / (1.05D + 0.07D * {draw_unit('raise', _ID)}))"
+    rows = changed.selectExpr(
+        _ID,
+        "CASE _kind WHEN 'DEPARTMENT_CHANGE' THEN _department ELSE department END AS department",
+        f"CASE _kind WHEN 'DEPARTMENT_CHANGE' THEN {pick('role', _ID, 'roles')} ELSE job_role END "
+        "AS job_role",
+        "cast(job_level - CASE _kind WHEN 'PROMOTION' THEN 1 ELSE 0 END AS int) AS job_level",
+        "cast(CASE _kind WHEN 'DEPARTMENT_CHANGE' THEN monthly_income "
+        f"WHEN 'PROMOTION' THEN {raised} ELSE {hiked} END AS int) AS monthly_income",
+        "hire_date AS valid_from",
+        "date_sub(change_date, 1) AS valid_to",
+        "_kind AS change_reason",
     )
-    return number_rows(rows, "history_id", ["employee_id"], id_bucket("employee_id")).select(
+    return number_rows(rows, "history_id", [_ID], id_bucket(_ID)).select(
         "history_id", *rows.columns
     )
 
@@ -196,7 +183,7 @@ def prior_version(employees: DataFrame, sampled: DataFrame, base: DataFrame) ->
 def with_last_change(employees: DataFrame, sampled: DataFrame) -> DataFrame:
     """The present version of a sampled employee is valid from the change on."""
     return (
-        employees.join(sampled, "employee_id", "left")
+        employees.join(sampled, _ID, "left")
         .withColumn("effective_from", F.coalesce("change_date", "effective_from"))
         .drop("change_date")
     )
@@ -205,29 +192,32 @@ def with_last_change(employees: DataFrame, sampled: DataFrame) -> DataFrame:
 def make_projects(spark: SparkSession, n_projects: int, base: DataFrame) -> DataFrame:
     """Projects spread over the departments; three in four still run after the reference date."""
     departments = _indexed_departments(base).select("dept_index", "department")
-    key = F.col("project_id")
-    first, last = _day(PROJECT_START_MIN), _day(PROJECT_START_MAX)
-    start = F.date_add(first, (draw_int("start", key) % F.datediff(last, first)).cast("int"))
-    active = draw_unit("active", key) < 0.75
-    running = F.date_add(_day(REFERENCE_DATE), draw_between("end", key, 30, 800).cast("int"))
-    done = F.least(
-        F.date_add("start_date", draw_between("end", key, 365, 1500).cast("int")),
-        F.date_sub(_day(REFERENCE_DATE), 1),
+    first, last, key = f"DATE'{PROJECT_START_MIN}'", f"DATE'{PROJECT_START_MAX}'", "project_id"
+    start = f"date_add({first}, cast({draw_int('start', key)} % datediff({last}, {first}) AS int))"
+    running = f"date_add({_TODAY}, cast({draw_between('end', key, 30, 800)} AS int))"
+    done = (
+        f"least(date_add(start_date, cast({draw_between('end', key, 365, 1500)} AS int)), "
+        f"date_sub({_TODAY}, 1))"
     )
     return (
         spark.range(1, n_projects + 1)
-        .withColumnRenamed("id", "project_id")
-        .withColumn("dept_index", draw_int("dept", key) % _count(departments) + 1)
+        .withColumnRenamed("id", key)
+        .withColumn("_n", _count(departments))
+        .selectExpr(
+            key,
+            f"{draw_int('dept', key)} % _n + 1 AS dept_index",
+            f"{start} AS start_date",
+            f"{draw_unit('active', key)} < 0.75D AS _active",
+        )
         .join(departments, "dept_index")
-        .withColumn("start_date", start)
-        .select(
-            "project_id",
-            F.format_string("PRJ-%04d", key).alias("project_name"),
+        .selectExpr(
+            key,
+            "format_string('PRJ-%04d', project_id) AS project_name",
             "department",
             "start_date",
-            F.when(active, running).otherwise(done).alias("planned_end_date"),
-            F.when(active, "Active").otherwise("Completed").alias("status"),
-            draw_between("budget", key, 50_000, 5_000_000).cast("decimal(15,2)").alias("budget"),
+            f"CASE WHEN _active THEN {running} ELSE {done} END AS planned_end_date",
+            "CASE WHEN _active THEN 'Active' ELSE 'Completed' END AS status",
+            f"cast({draw_between('budget', key, 50_000, 5_000_000)} AS decimal(15,2)) AS budget",
         )
     )
 
@@ -238,92 +228,87 @@ def make_assignments(employees: DataFrame, projects: DataFrame) -> DataFrame:
     Projects are numbered per department and picked by number, so the join spreads evenly even
     where one department holds most of the staff.
     """
-    key = F.col("employee_id")
     pool = number_rows(
-        projects.filter(F.col("status") == "Active").select(
-            "department", "project_id", F.col("start_date").alias("_start")
+        projects.filter("status = 'Active'").selectExpr(
+            "department", "project_id", "start_date AS _start"
         ),
         "_nth", ["project_id"], id_bucket("project_id"), within=["department"],
     )
     sizes = broadcast_if_small(pool.groupBy("department").agg(F.count("*").alias("_size")))
     return (
-        employees.select("employee_id", "department", "hire_date")
+        employees.select(_ID, "department", "hire_date")
         .join(sizes, "department", "left")
-        .withColumn("_nth", draw_int("project", key) % F.col("_size") + 1)
+        .withColumn("_nth", F.expr(f"{draw_int('project', _ID)} % _size + 1"))
         .join(pool, ["department", "_nth"], "left")
-        .select(
-            F.col("employee_id").alias("assignment_id"),
-            "employee_id",
+        .selectExpr(
+            f"{_ID} AS assignment_id",
+            _ID,
             "project_id",
-            F.greatest("hire_date", "_start").alias("assigned_date"),
-            pick("work", key, F.array(*[F.lit(r) for r in ROLES_ON_PROJECT])).alias(
-                "role_on_project"
-            ),
-            draw_weighted("allocation", key, ALLOCATIONS, ALLOCATION_WEIGHTS).alias(
-                "allocation_pct"
-            ),
+            "greatest(hire_date, _start) AS assigned_date",
+            f"{choose('work', _ID, ROLES_ON_PROJECT)} AS role_on_project",
+            f"{draw_weighted('allocation', _ID, ALLOCATIONS, ALLOCATION_WEIGHTS)} AS allocation_pct",
         )
     )
 
 
 def make_reviews(employees: DataFrame, assignments: DataFrame) -> DataFrame:
     """A review each 15 December for everyone hired at least 90 days before."""
-    yearly = employees.withColumn("year", F.explode(F.array(*[F.lit(y) for y in REVIEW_SHIFTS])))
-    key = F.concat_ws("|", "employee_id", "year")
-    shift = None
-    for year, weights in REVIEW_SHIFTS.items():
-        drawn = draw_weighted("shift", key, [-1, 0, 1], weights)
-        hit = F.col("year") == year
-        shift = F.when(hit, drawn) if shift is None else shift.when(hit, drawn)
-
-    def clip(c: Column, low: float, high: float) -> Column:
-        return F.greatest(F.lit(low), F.least(F.lit(high), c))
-
-    def mood(column: str) -> Column:
-        moved = F.col(column) + draw_between(column, key, -1, 2)
-        return clip(moved, 1, 4).cast("int").alias(column)
-
-    score = clip(F.col("performance_rating") * 20 + draw_normal("score", key, 6.0), 0.0, 100.0)
-    first_project = assignments.groupBy("employee_id").agg(
+    key = "concat(employee_id, '|', year)"
+    moods = ["job_satisfaction", "work_life_balance", "environment_satisfaction"]
+    shifts = " ".join(
+        f"WHEN {year} THEN {draw_weighted('shift', key, [-1, 0, 1], weights)}"
+        for year, weights in REVIEW_SHIFTS.items()
+    )
+    first_project = assignments.groupBy(_ID).agg(
         F.min_by("project_id", "assignment_id").alias("project_id")
     )
+    years = ", ".join(map(str, REVIEW_SHIFTS))
     rows = (
-        yearly.withColumn("review_date", F.make_date("year", F.lit(12), F.lit(15)))
-        .filter(F.col("hire_date") <= F.date_sub("review_date", 90))
-        .withColumn(
-            "performance_rating", clip(F.col("performance_rating") + shift, 1, 5).cast("int")
+        employees.selectExpr(
+            _ID, "hire_date", "performance_rating", *moods, f"explode(array({years})) AS year"
         )
-        .join(first_project, "employee_id", "left")
-        .select(
-            "year", "employee_id", "project_id", "review_date", "performance_rating",
-            F.round(score, 1).cast("decimal(5,2)").alias("review_score"),
-            mood("job_satisfaction"), mood("work_life_balance"), mood("environment_satisfaction"),
+        .selectExpr("*", "make_date(year, 12, 15) AS review_date")
+        .filter("hire_date <= date_sub(review_date, 90)")
+        .selectExpr(
+            "* EXCEPT (performance_rating)",
+            f"greatest(1, least(5, performance_rating + CASE year {shifts} END)) AS performance_rating",
+        )
+        .join(first_project, _ID, "left")
+        .selectExpr(
+            "year", _ID, "project_id", "review_date", "performance_rating",
+            "cast(round(greatest(0.0D, least(100.0D, performance_rating * 20 + "
+            f"{draw_normal('score', key, 6.0)})), 1) AS decimal(5,2)) AS review_score",
+            *[f"cast(greatest(1, least(4, {c} + {draw_between(c, key, -1, 2)})) AS int) AS {c}"
+              for c in moods],
         )
     )
-    in_order = F.col("year").cast("bigint") * (1 << 40) + F.expr(f"employee_id div {BUCKET_ROWS}")
-    return number_rows(rows, "review_id", ["year", "employee_id"], in_order).select(
+    in_order = F.expr(f"shiftleft(cast(year AS bigint), 40) + employee_id div {BUCKET_ROWS}")
+    return number_rows(rows, "review_id", ["year", _ID], in_order).select(
         "review_id", *[c for c in rows.columns if c != "year"]
     )
 
 
 def inject_noise(employees: DataFrame) -> DataFrame:
     """Blemishes: 1 % without education field, 2 % lower-case departments, 1 % rows twice."""
-    key = F.col("employee_id")
-    noisy = employees.withColumn(
-        "education_field", F.when(draw_unit("gap", key) >= 0.01, F.col("education_field"))
-    ).withColumn(
-        "department",
-        F.when(draw_unit("case", key) < 0.02, F.lower("department")).otherwise(F.col("department")),
-    )
+    noisy = employees.withColumns({
+        "education_field": F.expr(
+            f"CASE WHEN {draw_unit('gap', _ID)} >= 0.01D THEN education_field END"
+        ),
+        "department": F.expr(
+            f"CASE WHEN {draw_unit('case', _ID)} < 0.02D THEN lower(department) ELSE department END"
+        ),
+    })
     # How often a row is drawn among N // 100 draws with replacement; ids run from 1 to N.
-    n = _count(employees)
-    draws = employees.select(
-        (F.col("employee_id") - 1).alias("_draw")
-    ).filter(F.col("_draw") < F.floor(n / 100))
-    times = draws.groupBy((draw_int("copy", F.col("_draw")) % n + 1).alias("employee_id")).agg(
+    draws = (
+        employees.selectExpr(f"{_ID} - 1 AS _draw")
+        .withColumn("_n", _count(employees))
+        .filter("_draw < _n div 100")
+    )
+    times = draws.groupBy(F.expr(f"{draw_int('copy', '_draw')} % _n + 1 AS {_ID}")).agg(
         F.count("*").alias("_times")
     )
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_times", F.lit(0)).cast("int")))
     return (
-        noisy.join(times, "employee_id", "left").withColumn("_copy", copies).drop("_times", "_copy")
+        noisy.join(times, _ID, "left")
+        .selectExpr("*", "explode(sequence(0, cast(coalesce(_times, 0) AS int))) AS _copy")
+        .drop("_times", "_copy")
     )

@@ -8,12 +8,10 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from crewlens.functions.draws import draw_int
+from crewlens.functions.draws import choose, draw_between, draw_int, letters
 from crewlens.model import PROJECT_STATUSES, STAGING, Bronze
-from crewlens.operators.scale import letters
 
 # The day on which change requests are handled.
 AS_OF = datetime.date(2000, 1, 1)
@@ -25,172 +23,167 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _typed(df: DataFrame, name: str) -> DataFrame:
-    """Staging columns in order; those the test tables cannot give are NULL."""
-    present = set(df.columns)
-    return df.select(*[
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in STAGING[name]
+def _typed(df: DataFrame, staging: str, **columns: str) -> DataFrame:
+    """Staging columns in order from SQL text; those not given are NULL."""
+    return df.selectExpr(*[
+        f"cast({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in STAGING[staging]
     ])
 
 
-def _choice(draw: Column, values: list) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (draw % len(values) + 1).cast("int"))
+def _named(df: DataFrame, **columns: str) -> DataFrame:
+    return df.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
+
+
+def _days(salt: str, key: str, low: int, high: int) -> str:
+    return f"cast({draw_between(salt, key, low, high)} AS int)"
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "r_name"
-    )
-    customer = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    hired = F.date_add(F.lit("1992-01-01").cast("date"), (draw_int("hire", key) % 1825).cast("int"))
+    key = "c_custkey"
+    places = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey"
+    ).selectExpr("n_nationkey AS c_nationkey", "n_regionkey", "r_name")
+    hired = f"date_add(DATE'1992-01-01', {_days('hire', key, 0, 1825)})"
+    changed = f"{draw_int('hist', key)} % 100 < 30"
     return (
-        customer.join(places, customer.c_nationkey == places.n_nationkey)
-        .withColumn("employee_id", key + 1)
-        .withColumn("hire_date", hired)
-        .withColumn("changed", draw_int("hist", key) % 100 < 30)
-        .withColumn(
-            "effective_from",
-            F.when(
-                F.col("changed"),
-                F.date_add("hire_date", (draw_int("chg", key) % 900 + 180).cast("int")),
-            ).otherwise(F.col("hire_date")),
+        table(spark, sf_dir, "customer")
+        .join(places, "c_nationkey")
+        .selectExpr(
+            "*",
+            "c_custkey + 1 AS employee_id",
+            f"{hired} AS hire_date",
+            f"{changed} AS changed",
+            f"CASE WHEN {changed} THEN date_add({hired}, {_days('chg', key, 180, 1080)}) "
+            f"ELSE {hired} END AS effective_from",
+            f"{draw_between('lvl', key, 1, 6)} AS job_level",
+            "floor(abs(c_acctbal)) + 1000 AS monthly_income",
+            f"{choose('gen', key, ['Male', 'Female'])} AS gender",
+            f"{draw_between('age', key, 18, 71)} AS age",
+            f"CASE WHEN {draw_int('attr', key)} % 100 < 16 THEN 'Yes' ELSE 'No' END AS attrition",
         )
-        .withColumn("job_level", draw_int("lvl", key) % 5 + 1)
-        .withColumn("monthly_income", F.floor(F.abs("c_acctbal")) + 1000)
-        .withColumn("gender", _choice(draw_int("gen", key), ["Male", "Female"]))
-        .withColumn("age", draw_int("age", key) % 53 + 18)
-        .withColumn("attrition", F.when(draw_int("attr", key) % 100 < 16, "Yes").otherwise("No"))
     )
 
 
 def stg_employee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    stale = F.col("changed") & (draw_int("dup", key) % 100 < 1)
-    rows = _people(spark, sf_dir).withColumn(
-        "stale", F.explode(F.when(stale, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    key = "c_custkey"
+    repeated = f"changed AND {draw_int('dup', key)} % 100 < 1"
+    rows = _people(spark, sf_dir).selectExpr(
+        "*", f"explode(CASE WHEN {repeated} THEN array(0, 1) ELSE array(0) END) AS stale"
     )
-    is_stale = F.col("stale") == 1
     return _typed(
-        rows.select(
-            "employee_id",
-            F.concat(F.lit(" N"), letters(key)).alias("first_name"),
-            F.concat(F.lit("S"), letters(F.col("c_nationkey")), F.lit(" ")).alias("last_name"),
-            F.concat(
-                F.lit("N"), letters(key), F.lit("."), F.col("employee_id"), F.lit("@Company.com")
-            ).alias("email"),
-            "hire_date",
-            F.when(is_stale, F.col("hire_date")).otherwise(F.col("effective_from")).alias(
-                "effective_from"
-            ),
-            "age",
-            "attrition",
-            F.when(draw_int("case", key) % 100 < 2, F.lower("r_name"))
-            .otherwise(F.col("r_name"))
-            .alias("department"),
-            "gender",
-            "job_level",
-            F.col("c_mktsegment").alias("job_role"),
-            _choice(draw_int("mar", key), ["Single", "Married", "Divorced", None]).alias(
-                "marital_status"
-            ),
-            (F.col("monthly_income") - F.col("stale")).alias("monthly_income"),
-        ),
+        rows,
         "stg_employee",
+        employee_id="employee_id",
+        first_name=f"concat(' N', {letters(key)})",
+        last_name=f"concat('S', {letters('c_nationkey')}, ' ')",
+        email=f"concat('N', {letters(key)}, '.', employee_id, '@Company.com')",
+        hire_date="hire_date",
+        effective_from="CASE stale WHEN 1 THEN hire_date ELSE effective_from END",
+        age="age",
+        attrition="attrition",
+        department=f"CASE WHEN {draw_int('case', key)} % 100 < 2 THEN lower(r_name) ELSE r_name END",
+        gender="gender",
+        job_level="job_level",
+        job_role="c_mktsegment",
+        marital_status=choose("mar", key, ["Single", "Married", "Divorced", None]),
+        monthly_income="monthly_income - stale",
     )
 
 
 def stg_employee_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    region = table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("_region"), F.col("r_name").alias("department")
-    )
-    bad = draw_int("bad", key) % 100 < 2
-    rows = _people(spark, sf_dir).filter("changed").withColumn("_region", draw_int("od", key) % 5)
+    key = "c_custkey"
+    region = table(spark, sf_dir, "region").selectExpr("r_regionkey AS past_region", "r_name AS past_name")
+    rows = _people(spark, sf_dir).filter("changed").selectExpr(
+        "*", f"cast({draw_int('od', key)} % 5 AS int) AS past_region"
+    ).join(region, "past_region")
     return _typed(
-        rows.join(region, "_region").select(
-            F.col("employee_id").alias("history_id"),
-            "employee_id",
-            "department",
-            F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit(" ")).alias("job_role"),
-            F.greatest(F.col("job_level") - 1, F.lit(1)).alias("job_level"),
-            F.expr("monthly_income * 9 div 10").alias("monthly_income"),
-            F.col("hire_date").alias("valid_from"),
-            F.when(bad, F.date_sub("hire_date", 1))
-            .otherwise(F.date_sub("effective_from", 1))
-            .alias("valid_to"),
-            F.lit(" PROMOTION ").alias("change_reason"),
-        ),
+        rows,
         "stg_employee_history",
+        history_id="employee_id",
+        employee_id="employee_id",
+        department="past_name",
+        job_role="concat(' ', c_mktsegment, ' ')",
+        job_level="greatest(job_level - 1, 1)",
+        monthly_income="monthly_income * 9 div 10",
+        valid_from="hire_date",
+        valid_to=f"CASE WHEN {draw_int('bad', key)} % 100 < 2 THEN date_sub(hire_date, 1) "
+                 "ELSE date_sub(effective_from, 1) END",
+        change_reason="' PROMOTION '",
     )
 
 
 def stg_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    region = table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("_region"), F.col("r_name").alias("department")
-    )
-    start = F.date_add(F.lit("1994-01-01").cast("date"), (draw_int("ps", key) % 365).cast("int"))
-    rows = table(spark, sf_dir, "part").withColumn("_region", key % 5).withColumn(
-        "start_date", start
-    )
+    key = "p_partkey"
+    region = table(spark, sf_dir, "region").selectExpr("r_regionkey AS own_region", "r_name")
+    rows = table(spark, sf_dir, "part").selectExpr(
+        "*",
+        "cast(p_partkey % 5 AS int) AS own_region",
+        f"date_add(DATE'1994-01-01', {_days('ps', key, 0, 365)}) AS start_date",
+    ).join(region, "own_region")
     return _typed(
-        rows.join(region, "_region").select(
-            (key + 1).alias("project_id"),
-            F.concat(F.lit(" "), F.col("p_name"), F.lit(" "), key).alias("project_name"),
-            "department",
-            "start_date",
-            F.date_add("start_date", F.col("p_size") * 30).alias("planned_end_date"),
-            _choice(draw_int("st", key), PROJECT_STATUSES).alias("status"),
-            (F.col("p_retailprice") * 1000).alias("budget"),
-        ),
+        rows,
         "stg_project",
+        project_id="p_partkey + 1",
+        project_name="concat(' ', p_name, ' ', p_partkey)",
+        department="r_name",
+        start_date="start_date",
+        planned_end_date="date_add(start_date, p_size * 30)",
+        status=choose("st", key, PROJECT_STATUSES),
+        budget="p_retailprice * 1000",
     )
 
 
 def stg_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review per order line; of lines with the same number the first by part and supplier."""
-    line = table(spark, sf_dir, "lineitem")
-    first = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-        "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount"
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_shipdate",
+        "row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, "
+        "l_extendedprice, l_shipdate, l_quantity, l_discount) AS place",
+    ).filter("place = 1")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
+    rows = lines.join(orders, "l_orderkey").selectExpr(
+        "*", "l_orderkey * 10 + l_linenumber AS review_id"
     )
-    lines = line.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1")
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    review_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
 
-    def mood(salt: str) -> Column:
-        return F.nullif(draw_int(salt, F.col("review_id")) % 5, F.lit(0))
+    def mood(salt: str) -> str:
+        return f"nullif({draw_int(salt, 'review_id')} % 5, 0)"
 
     return _typed(
-        lines.join(orders, "l_orderkey")
-        .withColumn("review_id", review_id)
-        .select(
-            "review_id",
-            (F.col("o_custkey") + 1).alias("employee_id"),
-            (F.col("l_partkey") + 1).alias("project_id"),
-            F.col("l_shipdate").cast("date").alias("review_date"),
-            (F.round(F.col("l_discount") * 100).cast("int") % 4 + 1).alias("performance_rating"),
-            (F.col("l_quantity") * 2).alias("review_score"),
-            mood("js").alias("job_satisfaction"),
-            mood("wl").alias("work_life_balance"),
-            mood("es").alias("environment_satisfaction"),
-        ),
+        rows,
         "stg_review",
+        review_id="review_id",
+        employee_id="o_custkey + 1",
+        project_id="l_partkey + 1",
+        review_date="l_shipdate",
+        performance_rating="cast(round(l_discount * 100) AS int) % 4 + 1",
+        review_score="l_quantity * 2",
+        job_satisfaction=mood("js"),
+        work_life_balance=mood("wl"),
+        environment_satisfaction=mood("es"),
     )
 
 
 def stg_assignment(reviews: DataFrame) -> DataFrame:
     """The first line of an order puts the employee on the project."""
-    rows = (
-        reviews.filter(F.col("review_id") % 10 == 1)
-        .groupBy("employee_id", "project_id")
-        .agg(F.min("review_id").alias("assignment_id"), F.min("review_date").alias("assigned_date"))
-        .withColumn("role_on_project", F.lit("Developer "))
-        .withColumn("allocation_pct", draw_int("al", F.col("assignment_id")) % 3 * 10 + 10)
+    first = reviews.filter("review_id % 10 = 1").selectExpr(
+        "employee_id", "project_id", "review_id", "review_date"
+    )
+    pairs = first.groupBy("employee_id", "project_id").agg(
+        {"review_id": "min", "review_date": "min"}
+    )
+    return _typed(
+        pairs.withColumnsRenamed(
+            {"min(review_id)": "assignment_id", "min(review_date)": "assigned_date"}
+        ),
+        "stg_assignment",
+        assignment_id="assignment_id",
+        employee_id="employee_id",
+        project_id="project_id",
+        assigned_date="assigned_date",
+        role_on_project="'Developer '",
+        allocation_pct=f"10 + 10 * ({draw_int('al', 'assignment_id')} % 3)",
     )
-    return _typed(rows, "stg_assignment")
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
@@ -206,68 +199,56 @@ def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
 
 def raw_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw HR table (PascalCase columns, constant columns included): one row per customer."""
-    key = F.col("c_custkey")
-
-    def number(name: str, salt: str, low: int, high: int) -> Column:
-        return (draw_int(salt, key) % (high - low) + low).cast("int").alias(name)
-
-    return _people(spark, sf_dir).select(
-        F.col("age").cast("int").alias("Age"),
-        F.col("attrition").alias("Attrition"),
-        number("DailyRate", "dr", 100, 1500),
-        F.col("r_name").alias("Department"),
-        _choice(draw_int("ef", key), ["Life Sciences", "Medical", "Marketing", "Other"]).alias(
-            "EducationField"
-        ),
-        F.lit(1).alias("EmployeeCount"),
-        F.col("employee_id").cast("int").alias("EmployeeNumber"),
-        number("EnvironmentSatisfaction", "es", 1, 5),
-        F.col("gender").alias("Gender"),
-        number("HourlyRate", "hr", 30, 101),
-        F.col("job_level").cast("int").alias("JobLevel"),
-        F.col("c_mktsegment").alias("JobRole"),
-        number("JobSatisfaction", "js", 1, 5),
-        F.col("monthly_income").cast("int").alias("MonthlyIncome"),
-        number("MonthlyRate", "mr", 2000, 27000),
-        F.lit("Y").alias("Over18"),
-        number("PerformanceRating", "pr", 3, 5),
-        F.lit(80).alias("StandardHours"),
-        number("TotalWorkingYears", "tw", 0, 41),
-        number("WorkLifeBalance", "wl", 1, 5),
-        number("YearsAtCompany", "yc", 0, 21),
-        number("YearsInCurrentRole", "yr", 0, 15),
-        number("YearsSinceLastPromotion", "yp", 0, 12),
-        number("YearsWithCurrManager", "ym", 0, 15),
+    key = "c_custkey"
+
+    def number(salt: str, low: int, high: int) -> str:
+        return f"cast({draw_between(salt, key, low, high)} AS int)"
+
+    return _named(
+        _people(spark, sf_dir),
+        Age="cast(age AS int)",
+        Attrition="attrition",
+        DailyRate=number("dr", 100, 1500),
+        Department="r_name",
+        EducationField=choose("ef", key, ["Life Sciences", "Medical", "Marketing", "Other"]),
+        EmployeeCount="1",
+        EmployeeNumber="cast(employee_id AS int)",
+        EnvironmentSatisfaction=number("es", 1, 5),
+        Gender="gender",
+        HourlyRate=number("hr", 30, 101),
+        JobLevel="cast(job_level AS int)",
+        JobRole="c_mktsegment",
+        JobSatisfaction=number("js", 1, 5),
+        MonthlyIncome="cast(monthly_income AS int)",
+        MonthlyRate=number("mr", 2000, 27000),
+        Over18="'Y'",
+        PerformanceRating=number("pr", 3, 5),
+        StandardHours="80",
+        TotalWorkingYears=number("tw", 0, 41),
+        WorkLifeBalance=number("wl", 1, 5),
+        YearsAtCompany=number("yc", 0, 21),
+        YearsInCurrentRole=number("yr", 0, 15),
+        YearsSinceLastPromotion=number("yp", 0, 12),
+        YearsWithCurrManager=number("ym", 0, 15),
     )
 
 
 def changed_snapshot(employees: DataFrame) -> DataFrame:
     """A second Silver employee snapshot: every kind of change a later load can bring."""
-    roll = draw_int("snap", F.col("employee_id")) % 100
-    c = F.col
-
-    def between(low: int, high: int) -> Column:
-        return (roll >= low) & (roll < high)
-
-    return employees.filter(roll < 97).select(*[
-        {
-            "job_role": F.when(between(0, 10), "ANALYST").otherwise(c("job_role")),
-            "monthly_income": F.when(between(10, 15), c("monthly_income") + 500).otherwise(
-                c("monthly_income")
-            ),
-            "email": F.when(between(15, 20), F.concat(F.lit("new."), c("email"))).otherwise(
-                c("email")
-            ),
-            "department_id": F.when(between(25, 30), c("department_id") % 5 + 1).otherwise(
-                c("department_id")
-            ),
-            "effective_from": F.when(between(0, 10), F.date_add("effective_from", 200))
-            .when(between(20, 25), F.date_sub("effective_from", 30))
-            .when(between(25, 30), F.date_add("effective_from", 100))
-            .otherwise(c("effective_from")),
-        }.get(name, c(name)).alias(name)
-        for name in employees.columns
-    ])
+    changed = {
+        "job_role": "CASE WHEN roll < 10 THEN 'ANALYST' ELSE job_role END",
+        "monthly_income": "CASE WHEN roll BETWEEN 10 AND 14 THEN monthly_income + 500 "
+                          "ELSE monthly_income END",
+        "email": "CASE WHEN roll BETWEEN 15 AND 19 THEN concat('new.', email) ELSE email END",
+        "department_id": "CASE WHEN roll BETWEEN 25 AND 29 THEN department_id % 5 + 1 "
+                         "ELSE department_id END",
+        "effective_from": "CASE WHEN roll < 10 THEN date_add(effective_from, 200) "
+                          "WHEN roll BETWEEN 20 AND 24 THEN date_sub(effective_from, 30) "
+                          "WHEN roll BETWEEN 25 AND 29 THEN date_add(effective_from, 100) "
+                          "ELSE effective_from END",
+    }
+    rolled = employees.selectExpr("*", f"{draw_int('snap', 'employee_id')} % 100 AS roll")
+    return _named(rolled.filter("roll < 97"), **{c: changed.get(c, c) for c in employees.columns})
 
 
 # -- change requests ---------------------------------------------------------------------------
@@ -275,173 +256,132 @@ def changed_snapshot(employees: DataFrame) -> DataFrame:
 
 def new_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applications, one per customer: some broken, some under an e-mail already in use."""
-    key = F.col("c_custkey")
-    flaw = draw_int("flaw", key) % 20
-    people = _people(spark, sf_dir)
-    own = F.concat(F.lit(" New."), letters(key), F.lit("@Company.com "))
-    shared = F.concat(F.lit("team."), letters(F.col("c_nationkey")), F.lit("@company.com"))
-    staff = F.concat(F.lit("N"), letters(key), F.lit("."), F.col("employee_id"), F.lit("@Company.com"))
-    return people.select(
-        F.col("employee_id").alias("seq"),
-        F.when(flaw == 0, " ").when(flaw == 1, "R2").otherwise(
-            F.concat(F.lit(" N"), letters(key))
-        ).alias("first_name"),
-        F.when(flaw == 2, "9").otherwise(F.concat(F.lit("O'S"), letters(F.col("c_nationkey")))).alias(
-            "last_name"
-        ),
-        F.when(flaw == 3, "invalid").when(flaw == 4, shared).when(flaw == 5, staff).otherwise(
-            own
-        ).alias("email"),
-        (draw_int("dep", key) % 5 + F.when(flaw == 6, 6).otherwise(1)).alias("department_id"),
-        F.when(flaw == 7, "").when(flaw == 8, "Dev 2").otherwise("Research & Sales-Lead").alias(
-            "job_role"
-        ),
-        (F.col("job_level") + F.when(flaw == 9, 5).otherwise(0)).cast("int").alias("job_level"),
-        F.date_add("hire_date", (draw_int("join", key) % 2000).cast("int")).alias("hire_date"),
-        (F.col("age") + F.when(flaw == 10, 60).otherwise(0)).cast("int").alias("age"),
-        (F.col("monthly_income") * F.when(flaw == 11, 0).otherwise(1)).cast("int").alias(
-            "monthly_income"
-        ),
-        "gender",
-        F.lit(None).cast("string").alias("marital_status"),
-        F.lit("No").alias("attrition"),
+    key = "c_custkey"
+    people = _people(spark, sf_dir).selectExpr("*", f"{draw_int('flaw', key)} % 20 AS flaw")
+    return _named(
+        people,
+        seq="employee_id",
+        first_name=f"CASE flaw WHEN 0 THEN ' ' WHEN 1 THEN 'R2' ELSE concat(' N', {letters(key)}) END",
+        last_name=f"CASE flaw WHEN 2 THEN '9' ELSE concat('O\\'S', {letters('c_nationkey')}) END",
+        email="CASE flaw WHEN 3 THEN 'invalid' "
+              f"WHEN 4 THEN concat('team.', {letters('c_nationkey')}, '@company.com') "
+              f"WHEN 5 THEN concat('N', {letters(key)}, '.', employee_id, '@Company.com') "
+              f"ELSE concat(' New.', {letters(key)}, '@Company.com ') END",
+        department_id=f"{draw_int('dep', key)} % 5 + CASE flaw WHEN 6 THEN 6 ELSE 1 END",
+        job_role="CASE flaw WHEN 7 THEN '' WHEN 8 THEN 'Dev 2' ELSE 'Research & Sales-Lead' END",
+        job_level="cast(job_level + CASE flaw WHEN 9 THEN 5 ELSE 0 END AS int)",
+        hire_date=f"date_add(hire_date, {_days('join', key, 0, 2000)})",
+        age="cast(age + CASE flaw WHEN 10 THEN 60 ELSE 0 END AS int)",
+        monthly_income="cast(monthly_income * CASE flaw WHEN 11 THEN 0 ELSE 1 END AS int)",
+        gender="gender",
+        marital_status="cast(NULL AS string)",
+        attrition="'No'",
     )
 
 
 def new_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    flaw = draw_int("flaw", key) % 20
-    start = F.date_add(F.lit("2000-01-01").cast("date"), (draw_int("ps", key) % 365).cast("int"))
-    return table(spark, sf_dir, "part").select(
-        (key + 1).alias("seq"),
-        F.when(flaw == 0, " ").when(flaw == 1, "0000").when(flaw == 2, "* new").otherwise(
-            F.concat(F.lit(" "), F.col("p_name"), F.lit(" (phase 2) "))
-        ).alias("project_name"),
-        (draw_int("dep", key) % 5 + F.when(flaw == 3, 6).otherwise(1)).alias("department_id"),
-        start.alias("start_date"),
-        F.date_add(start, F.when(flaw == 4, 0).otherwise(F.col("p_size") * 7)).alias(
-            "planned_end_date"
-        ),
-        F.lit("Planned").alias("status"),
-        (F.col("p_retailprice") * F.when(flaw == 5, -1).otherwise(100)).cast("decimal(15,2)").alias(
-            "budget"
-        ),
+    key = "p_partkey"
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "*",
+        f"{draw_int('flaw', key)} % 20 AS flaw",
+        f"date_add(DATE'2000-01-01', {_days('ps', key, 0, 365)}) AS start_date",
+    )
+    return _named(
+        parts,
+        seq="p_partkey + 1",
+        project_name="CASE flaw WHEN 0 THEN ' ' WHEN 1 THEN '0000' WHEN 2 THEN '* new' "
+                     "ELSE concat(' ', p_name, ' (phase 2) ') END",
+        department_id=f"{draw_int('dep', key)} % 5 + CASE flaw WHEN 3 THEN 6 ELSE 1 END",
+        start_date="start_date",
+        planned_end_date="date_add(start_date, CASE flaw WHEN 4 THEN 0 ELSE p_size * 7 END)",
+        status="'Planned'",
+        budget="cast(p_retailprice * CASE flaw WHEN 5 THEN -1 ELSE 100 END AS decimal(15,2))",
     )
 
 
 def new_reviews(reviews: DataFrame) -> DataFrame:
     """Every review handed in once more, some of them broken."""
-    key = F.col("review_id")
-    flaw = draw_int("flaw", key) % 20
-    return reviews.select(
-        key.alias("seq"),
-        (F.col("employee_id") * F.when(flaw == 0, -1).otherwise(1)).alias("employee_id"),
-        (F.col("project_id") * F.when(flaw == 1, -1).otherwise(1)).alias("project_id"),
-        F.date_add("review_date", (draw_int("late", key) % 400).cast("int")).alias("review_date"),
-        (F.col("performance_rating") + F.when(flaw == 2, 4).otherwise(0)).cast("int").alias(
-            "performance_rating"
-        ),
-        (F.col("review_score") + F.when(flaw == 3, 100).otherwise(0)).cast("decimal(5,2)").alias(
-            "review_score"
-        ),
-        (F.col("job_satisfaction") + F.when(flaw == 4, 4).otherwise(0)).cast("int").alias(
-            "job_satisfaction"
-        ),
-        "work_life_balance",
-        "environment_satisfaction",
+    key = "review_id"
+    return _named(
+        reviews.selectExpr("*", f"{draw_int('flaw', key)} % 20 AS flaw"),
+        seq=key,
+        employee_id="employee_id * CASE flaw WHEN 0 THEN -1 ELSE 1 END",
+        project_id="project_id * CASE flaw WHEN 1 THEN -1 ELSE 1 END",
+        review_date=f"date_add(review_date, {_days('late', key, 0, 400)})",
+        performance_rating="performance_rating + CASE flaw WHEN 2 THEN 4 ELSE 0 END",
+        review_score="cast(review_score + CASE flaw WHEN 3 THEN 100 ELSE 0 END AS decimal(5,2))",
+        job_satisfaction="job_satisfaction + CASE flaw WHEN 4 THEN 4 ELSE 0 END",
+        work_life_balance="work_life_balance",
+        environment_satisfaction="environment_satisfaction",
     )
 
 
 def employee_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A change wished for with every order: to the customer's own row, or what another wished."""
-    orders = table(spark, sf_dir, "orders")
-    key = F.col("o_orderkey")
-    people = _people(spark, sf_dir).select(
-        F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "attrition", "r_name",
-        F.col("job_level").alias("_level"), F.col("monthly_income").alias("_income"),
+    """A change wished for with every order: back to the customer's own values, or to drawn ones."""
+    key = "o_orderkey"
+    people = _people(spark, sf_dir).selectExpr(
+        "c_custkey AS o_custkey", "c_mktsegment", "attrition", "n_regionkey", "job_level",
+        "monthly_income",
     )
-    same = draw_int("same", key) % 4 == 0
-    flaw = draw_int("flaw", key) % 20
-    region = table(spark, sf_dir, "region").select("r_name", (F.col("r_regionkey") + 1).alias("_own"))
-    return (
-        orders.join(people, "o_custkey")
-        .join(region, "r_name")
-        .select(
-            (key + 1).alias("seq"),
-            (F.col("o_custkey") + F.when(flaw == 0, 100_000_000).otherwise(1)).alias("employee_id"),
-            F.when(same, F.col("_own"))
-            .otherwise(draw_int("dep", key) % 6 + 1)
-            .cast("bigint")
-            .alias("department_id"),
-            F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit(" ")).alias("job_role"),
-            F.when(same, F.col("_level"))
-            .otherwise(draw_int("lvl", key) % 6 + 1)
-            .cast("int")
-            .alias("job_level"),
-            F.when(same, F.col("_income")).otherwise(draw_int("inc", key) % 9000).cast("int").alias(
-                "monthly_income"
-            ),
-            F.when(flaw == 1, "Maybe").otherwise(F.col("attrition")).alias("attrition"),
-        )
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", f"{draw_int('same', key)} % 4 = 0 AS same",
+        f"{draw_int('flaw', key)} % 20 AS flaw",
+    )
+    return _named(
+        orders.join(people, "o_custkey"),
+        seq="o_orderkey + 1",
+        employee_id="o_custkey + CASE flaw WHEN 0 THEN 100000000 ELSE 1 END",
+        department_id=f"CASE WHEN same THEN n_regionkey + 1 ELSE {draw_between('dep', key, 1, 7)} END",
+        job_role="concat(' ', c_mktsegment, ' ')",
+        job_level=f"cast(CASE WHEN same THEN job_level ELSE {draw_between('lvl', key, 1, 7)} END AS int)",
+        monthly_income="cast(CASE WHEN same THEN monthly_income "
+                       f"ELSE {draw_between('inc', key, 0, 9000)} END AS int)",
+        attrition="CASE flaw WHEN 1 THEN 'Maybe' ELSE attrition END",
     )
 
 
 def status_changes(reviews: DataFrame) -> DataFrame:
     """A project status reported with every review."""
-    key = F.col("review_id")
-    return reviews.select(
-        key.alias("seq"),
-        (F.col("project_id") + F.when(draw_int("gone", key) % 50 == 0, 100_000_000).otherwise(0)).alias(
-            "project_id"
-        ),
-        _choice(draw_int("status", key), [*PROJECT_STATUSES, " Active ", "Cancelled"]).alias("status"),
+    key = "review_id"
+    return _named(
+        reviews,
+        seq=key,
+        project_id=f"project_id + CASE WHEN {draw_int('gone', key)} % 50 = 0 THEN 100000000 ELSE 0 END",
+        status=choose("status", key, [*PROJECT_STATUSES, " Active ", "Cancelled"]),
     )
 
 
 def assignment_requests(reviews: DataFrame) -> DataFrame:
     """Everyone asks to join the projects they were reviewed on."""
-    key = F.col("review_id")
-    flaw = draw_int("flaw", key) % 40
-    return reviews.select(
-        key.alias("seq"),
-        (F.col("employee_id") * F.when(flaw == 0, -1).otherwise(1)).alias("employee_id"),
-        (F.col("project_id") * F.when(flaw == 1, -1).otherwise(1)).alias("project_id"),
-        F.when(flaw == 2, "  ").otherwise(" Tester ").alias("role_on_project"),
-        (draw_int("share", key) % 30).cast("int").alias("allocation_pct"),
+    key = "review_id"
+    return _named(
+        reviews.selectExpr("*", f"{draw_int('flaw', key)} % 40 AS flaw"),
+        seq=key,
+        employee_id="employee_id * CASE flaw WHEN 0 THEN -1 ELSE 1 END",
+        project_id="project_id * CASE flaw WHEN 1 THEN -1 ELSE 1 END",
+        role_on_project="CASE flaw WHEN 2 THEN '  ' ELSE ' Tester ' END",
+        allocation_pct=f"cast({draw_between('share', key, 0, 30)} AS int)",
     )
 
 
 def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in debt leave; those with full accounts are asked for under unknown ids."""
-    customer = table(spark, sf_dir, "customer")
-    balance, key = F.col("c_acctbal"), F.col("c_custkey")
-    return customer.filter((balance < 0) | (balance > 9900)).select(
-        (key + 1).alias("seq"),
-        (key + F.when(balance > 9900, 100_000_000).otherwise(1)).alias("employee_id"),
+    return _named(
+        table(spark, sf_dir, "customer").filter("c_acctbal < 0 OR c_acctbal > 9900"),
+        seq="c_custkey + 1",
+        employee_id="c_custkey + CASE WHEN c_acctbal > 9900 THEN 100000000 ELSE 1 END",
     )
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An account per customer: under the work e-mail, or a free user name with a stored role."""
-    key = F.col("c_custkey")
-    staff = F.concat(F.lit("n"), letters(key), F.lit("."), key + 1, F.lit("@COMPANY.com"))
-    free = F.concat(F.lit("user-"), letters(key))
-    kind = draw_int("user", key) % 4
-    return table(spark, sf_dir, "customer").select(
-        F.when(kind == 0, free).otherwise(staff).alias("username"),
-        _choice(draw_int("role", key), ["Admin", "Viewer"]).alias("role"),
-        (draw_int("active", key) % 10 != 0).alias("is_active"),
-    )
-
-
-def account_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sign-ups with every order, under the work e-mail, an unknown one or none."""
-    key, person = F.col("o_orderkey"), F.col("o_custkey")
-    flaw = draw_int("flaw", key) % 20
-    email = F.concat(F.lit(" N"), letters(person), F.lit("."), person + 1, F.lit("@company.com "))
-    return table(spark, sf_dir, "orders").select(
-        (key + 1).alias("seq"),
-        F.when(flaw == 0, " ").when(flaw == 1, "stranger@company.com").otherwise(email).alias("email"),
+    key = "c_custkey"
+    return _named(
+        table(spark, sf_dir, "customer"),
+        username=f"CASE WHEN {draw_int('user', key)} % 4 = 0 THEN concat('user-', {letters(key)}) "
+                 f"ELSE concat('n', {letters(key)}, '.', c_custkey + 1, '@COMPANY.com') END",
+        role=choose("role", key, ["Admin", "Viewer"]),
+        is_active=f"{draw_int('active', key)} % 10 <> 0",
     )
 
 
@@ -449,3 +389,13 @@ def existing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts that exist before the sign-ups: those kept active."""
     return users(spark, sf_dir).filter("is_active")
 
+
+def account_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sign-ups with every order, under the work e-mail, an unknown one or none."""
+    return _named(
+        table(spark, sf_dir, "orders"),
+        seq="o_orderkey + 1",
+        email=f"CASE {draw_int('flaw', 'o_orderkey')} % 20 WHEN 0 THEN ' ' "
+              "WHEN 1 THEN 'stranger@company.com' "
+              f"ELSE concat(' N', {letters('o_custkey')}, '.', o_custkey + 1, '@company.com ') END",
+    )
