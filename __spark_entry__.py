@@ -13,6 +13,7 @@ from crewlens.model import Bronze, Gold, Silver
 from crewlens.operators import changes, dims, kpi, quality, roster, scale, scd2, silver
 from crewlens.operators.fact import build_gold
 from crewlens.operators.fact import fact_point_in_time as link_reviews
+from crewlens.operators.lookups import broadcast_if_small
 from crewlens.plans import medallion
 from crewlens.plans.warehouse import Warehouse
 from crewlens.session import scratch_path, tune
@@ -87,8 +88,9 @@ class Layers:
     def scaled(self, name: str, df: Callable[[], DataFrame]) -> DataFrame:
         """A step of the scale-up that later steps go on from, stored like the job stores it."""
         if name not in self.store.tables("scaled"):
+            wanted = df()
             with self.store.load("scaled") as load:
-                load.put(name, df())
+                load.put(name, wanted)
         return self.store.read("scaled", name)
 
 
@@ -142,16 +144,15 @@ def latest_employee(spark, sf_dir):
 @register
 def clean_employees(spark, sf_dir):
     staged = _bronze(spark, sf_dir).employee
-    return silver.clean_employees(
-        staged, silver.department_lookup(silver.clean_departments(staged))
-    )
+    departments = broadcast_if_small(silver.clean_departments(staged))
+    return silver.clean_employees(staged, silver.department_lookup(departments))
 
 
 @register
 def clean_projects(spark, sf_dir):
     staged = _bronze(spark, sf_dir)
-    lookup = silver.department_lookup(silver.clean_departments(staged.employee))
-    return silver.clean_projects(staged.project, lookup)
+    departments = broadcast_if_small(silver.clean_departments(staged.employee))
+    return silver.clean_projects(staged.project, silver.department_lookup(departments))
 
 
 @register

@@ -1,14 +1,15 @@
 """Batches of change requests against the Silver tables.
 
 Each request carries `seq`, its place in the queue. A function returns the judged requests
-(every request once: `accepted` and a `message`) and the tables after the accepted ones. The
-outcome is that of handling the requests one after the other, worked out set-wise. Silver tables
-handed in should be stored ones: a batch reads them more than once. `as_of` is the day of the run.
+(every request once: `accepted` and a `message`) and how they change Silver. The outcome is that of
+handling the requests one after the other, worked out set-wise. Silver tables and requests handed
+in should be stored ones: a batch reads them more than once. `as_of` is the day of the run.
 """
 
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 from crewlens.functions.rules import employee_rules, first_broken, project_rules, review_rules, unless
 from crewlens.functions.text import is_blank, match_key
 from crewlens.model import (
-    ACCOUNT_ROLES,
     ASSIGNMENT_COLUMNS,
     EMPLOYEE_COLUMNS,
     PROJECT_COLUMNS,
@@ -26,8 +26,8 @@ from crewlens.model import (
     ROLE_BY_DEPARTMENT,
     Silver,
 )
-from crewlens.operators.lookups import broadcast_if_small
 from crewlens.operators.numbering import id_bucket, max_key, number_rows, previous_value
+from crewlens.session import stored
 
 # Messages shown to users.
 EMPLOYEE_CONFLICT = "Could not save: that email already exists or the department is invalid."
@@ -54,10 +54,14 @@ REFRESH_HINT = "Click 'Refresh warehouse' to see it in the dashboards."
 
 @dataclass(frozen=True)
 class Outcome:
-    """Judged requests, and Silver after the accepted ones."""
+    """Judged requests, and Silver as a function of them: a job stores the requests first."""
 
     requests: DataFrame
-    silver: Silver
+    after: Callable[[DataFrame], Silver]
+
+    @property
+    def silver(self) -> Silver:
+        return self.after(self.requests)
 
     @property
     def accepted(self) -> DataFrame:
@@ -95,12 +99,15 @@ def _first_per(df: DataFrame, key: str, name: str) -> DataFrame:
 
 def _numbered(judged: DataFrame, table: DataFrame, id_column: str) -> DataFrame:
     """Give accepted requests the next ids in queue order; `reason` stays for the others."""
-    order = judged.drop(id_column)
+    decided = stored(judged, "judged")
     accepted = number_rows(
-        order.filter(F.col("reason").isNull()).select("seq"),
+        decided.filter(F.col("reason").isNull()),
         id_column, ["seq"], id_bucket("seq"), start=max_key(table, id_column),
     )
-    return order.join(accepted, "seq", "left")
+    rejected = decided.filter(F.col("reason").isNotNull())
+    return accepted.unionByName(
+        rejected.withColumn(id_column, F.lit(None).cast("bigint"))
+    )
 
 
 def _with_message(judged: DataFrame, success: Column) -> DataFrame:
@@ -111,8 +118,14 @@ def _with_message(judged: DataFrame, success: Column) -> DataFrame:
     )
 
 
-def _appended(table: DataFrame, requests: DataFrame, columns: list[str]) -> DataFrame:
-    return table.select(*columns).unionByName(requests.filter("accepted").select(*columns))
+def _appending(silver: Silver, table: str, columns: list[str]) -> Callable[[DataFrame], Silver]:
+    """Silver with the accepted requests added to a table."""
+
+    def after(requests: DataFrame) -> Silver:
+        rows = requests.filter("accepted").select(*columns)
+        return replace(silver, **{table: getattr(silver, table).select(*columns).unionByName(rows)})
+
+    return after
 
 
 def add_employees(requests: DataFrame, silver: Silver, as_of: datetime.date) -> Outcome:
@@ -130,7 +143,7 @@ def add_employees(requests: DataFrame, silver: Silver, as_of: datetime.date) ->
         F.coalesce("attrition", F.lit("No")).alias("attrition"),
     )
     taken = silver.employees.select(F.lower("email").alias("email")).distinct()
-    departments = broadcast_if_small(silver.departments.select("department_id"))
+    departments = silver.departments.select("department_id")
     checked = _marked(validate_employees(cleaned, as_of), taken, "email", "_taken")
     checked = _marked(checked, departments, "department_id", "_department")
     fits = F.col("reason").isNull() & ~F.col("_taken") & F.col("_department")
@@ -141,12 +154,11 @@ def add_employees(requests: DataFrame, silver: Silver, as_of: datetime.date) ->
     ).drop("_taken", "_department", "_first")
     success = F.format_string("Employee %d (%s %s) added.", "employee_id", "first_name", "last_name")
     result = _with_message(_numbered(judged, silver.employees, "employee_id"), success)
-    employees = _appended(silver.employees, result, EMPLOYEE_COLUMNS)
-    return Outcome(result, replace(silver, employees=employees))
+    return Outcome(result, _appending(silver, "employees", EMPLOYEE_COLUMNS))
 
 
 def add_projects(requests: DataFrame, silver: Silver) -> Outcome:
-    departments = broadcast_if_small(silver.departments.select("department_id"))
+    departments = silver.departments.select("department_id")
     cleaned = requests.withColumn("project_name", F.trim("project_name"))
     judged = _marked(validate_projects(cleaned), departments, "department_id", "_department")
     judged = judged.withColumn(
@@ -154,9 +166,7 @@ def add_projects(requests: DataFrame, silver: Silver) -> Outcome:
     ).drop("_department")
     success = F.format_string(f"Project %d created. {REFRESH_HINT}", "project_id")
     result = _with_message(_numbered(judged, silver.projects, "project_id"), success)
-    return Outcome(
-        result, replace(silver, projects=_appended(silver.projects, result, PROJECT_COLUMNS))
-    )
+    return Outcome(result, _appending(silver, "projects", PROJECT_COLUMNS))
 
 
 def add_reviews(requests: DataFrame, silver: Silver, as_of: datetime.date) -> Outcome:
@@ -170,9 +180,7 @@ def add_reviews(requests: DataFrame, silver: Silver, as_of: datetime.date) -> Ou
     ).drop("_project", "_employee")
     success = F.format_string(f"Review %d saved. {REFRESH_HINT}", "review_id")
     result = _with_message(_numbered(judged, silver.reviews, "review_id"), success)
-    return Outcome(
-        result, replace(silver, reviews=_appended(silver.reviews, result, REVIEW_COLUMNS))
-    )
+    return Outcome(result, _appending(silver, "reviews", REVIEW_COLUMNS))
 
 
 _CHANGED = ["department_id", "job_role", "job_level", "monthly_income", "attrition"]
@@ -195,7 +203,7 @@ def apply_employee_changes(requests: DataFrame, silver: Silver, as_of: datetime.
     stored = silver.employees.select(
         "employee_id", F.struct(*_CHANGED, "effective_from").alias("_stored")
     )
-    departments = broadcast_if_small(silver.departments.select("department_id"))
+    departments = silver.departments.select("department_id")
     wanted = requests.select(
         "seq", "employee_id", "department_id", F.trim("job_role").alias("job_role"), "job_level",
         "monthly_income", "attrition",
@@ -235,13 +243,18 @@ def apply_employee_changes(requests: DataFrame, silver: Silver, as_of: datetime.
     result = _with_message(judged, F.lit(EMPLOYEE_UPDATED)).select(
         "seq", "employee_id", *_CHANGED, "accepted", "message"
     )
-    changed = F.col("_change").isNotNull()
-    new_values = {c: F.col(f"_change.{c}") for c in _CHANGED} | {"effective_from": today}
-    employees = silver.employees.join(change, "employee_id", "left").select(*[
-        F.when(changed, new_values[c]).otherwise(F.col(c)).alias(c) if c in new_values else F.col(c)
-        for c in EMPLOYEE_COLUMNS
-    ])
-    return Outcome(result, replace(silver, employees=employees))
+
+    def after(judged: DataFrame) -> Silver:
+        change = judged.filter("accepted").select("employee_id", F.struct(*_CHANGED).alias("_new"))
+        changed = F.col("_new").isNotNull()
+        values = {c: F.col(f"_new.{c}") for c in _CHANGED} | {"effective_from": today}
+        employees = silver.employees.join(change, "employee_id", "left").select(*[
+            F.when(changed, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+            for c in EMPLOYEE_COLUMNS
+        ])
+        return replace(silver, employees=employees)
+
+    return Outcome(result, after)
 
 
 def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
@@ -285,13 +298,21 @@ def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
     result = _with_message(judged, success).select(
         "seq", "project_id", "status", "accepted", "message"
     )
-    last = valid.groupBy("project_id").agg(F.max_by("status", "seq").alias("_last"))
-    projects = (
-        silver.projects.join(last, "project_id", "left")
-        .withColumn("status", F.coalesce("_last", "status"))
-        .select(*PROJECT_COLUMNS)
-    )
-    return Outcome(result, replace(silver, projects=projects))
+
+    def after(judged: DataFrame) -> Silver:
+        last = (
+            judged.filter("accepted")
+            .groupBy("project_id")
+            .agg(F.max_by("status", "seq").alias("_last"))
+        )
+        projects = (
+            silver.projects.join(last, "project_id", "left")
+            .withColumn("status", F.coalesce("_last", "status"))
+            .select(*PROJECT_COLUMNS)
+        )
+        return replace(silver, projects=projects)
+
+    return Outcome(result, after)
 
 
 # At most 100 assignments of one percent fit one person. So among one person's requests of equal
@@ -370,24 +391,40 @@ def assign_employees(requests: DataFrame, silver: Silver, as_of: datetime.date)
         ),
     )
     possible = checked.filter(F.col("_reason").isNull() & F.col("_project") & F.col("_employee"))
-    taken = _accepted_assignments(possible, used)
-    earlier = F.filter("_taken", lambda t: t["seq"] < F.col("seq"))
-    twice = F.exists("_earlier", lambda t: t["project_id"] == F.col("project_id"))
-    before = F.coalesce(
-        F.get("_earlier", F.size("_earlier") - 1)["after"], "_used", F.lit(0).cast("bigint")
+    taken = stored(_accepted_assignments(possible, used), "taken")
+    # Accepted requests get their ids, and know their project; both are looked up by key.
+    steps = taken.select("employee_id", F.inline("_taken")).select(
+        "employee_id", "project_id", F.col("seq").alias("_since"), "seq"
+    )
+    ids = number_rows(
+        steps.select("seq"), "assignment_id", ["seq"], id_bucket("seq"),
+        start=max_key(silver.assignments, "assignment_id"),
+    )
+    joined = steps.select("employee_id", "project_id", "_since")
+    # What an employee had in use when a request came: the last earlier step (at most 100 exist).
+    before = F.aggregate(
+        "_taken",
+        F.coalesce("_used", F.lit(0).cast("bigint")),
+        lambda used_, step: F.when(step["seq"] < F.col("seq"), step["after"]).otherwise(used_),
     )
-    mine = F.exists("_taken", lambda t: t["seq"] == F.col("seq"))
     judged = (
-        checked.join(taken, "employee_id", "left")
-        .join(used, "employee_id", "left")
-        .withColumn("_earlier", F.coalesce(earlier, F.filter("_taken", lambda t: F.lit(False))))
-        .withColumn("_before", before)
+        checked.join(ids, "seq", "left")
+        .join(joined, ["employee_id", "project_id"], "left")
+        .join(used.join(taken, "employee_id", "full"), "employee_id", "left")
+        .withColumn(
+            "_before",
+            F.coalesce(
+                F.when(F.col("_reason").isNull() & F.col("assignment_id").isNull(), before),
+                "_used",
+                F.lit(0).cast("bigint"),
+            ),
+        )
         .withColumn(
             "reason",
             first_broken(
                 (F.col("_reason").isNotNull(), F.col("_reason")),
-                (F.coalesce(mine, F.lit(False)), F.lit(None).cast("string")),
-                (F.coalesce(twice, F.lit(False)), ASSIGN_TWICE),
+                (F.col("assignment_id").isNotNull(), F.lit(None).cast("string")),
+                (F.coalesce(F.col("_since") < F.col("seq"), F.lit(False)), ASSIGN_TWICE),
                 (
                     F.col("_before") + F.col("allocation_pct") > 100,
                     F.format_string(
@@ -398,18 +435,20 @@ def assign_employees(requests: DataFrame, silver: Silver, as_of: datetime.date)
                 (F.lit(True), REFERENCE_MISSING),
             ),
         )
-        .select("seq", "employee_id", "project_id", "role_on_project", "allocation_pct", "reason")
+        .select(
+            "seq", "employee_id", "project_id", "role_on_project", "allocation_pct",
+            "assignment_id", "reason",
+        )
     )
-    numbered = _numbered(judged, silver.assignments, "assignment_id")
-    result = _with_message(numbered, F.lit(ASSIGNED))
-    assignments = _appended(
-        silver.assignments,
-        result.withColumn("role_on_project", F.trim("role_on_project")).withColumn(
+    result = _with_message(judged, F.lit(ASSIGNED))
+
+    def after(requests: DataFrame) -> Silver:
+        rows = requests.withColumn("role_on_project", F.trim("role_on_project")).withColumn(
             "assigned_date", F.lit(as_of)
-        ),
-        ASSIGNMENT_COLUMNS,
-    )
-    return Outcome(result, replace(silver, assignments=assignments))
+        )
+        return _appending(silver, "assignments", ASSIGNMENT_COLUMNS)(rows)
+
+    return Outcome(result, after)
 
 
 def delete_employees(requests: DataFrame, silver: Silver) -> Outcome:
@@ -424,20 +463,21 @@ def delete_employees(requests: DataFrame, silver: Silver) -> Outcome:
     result = _with_message(judged, F.lit(DELETED)).select(
         "seq", "employee_id", "accepted", "message"
     )
-    gone = wanted.select("employee_id").distinct()
 
-    def without(table: DataFrame) -> DataFrame:
-        return table.join(gone, "employee_id", "left_anti").select(*table.columns)
+    def after(judged: DataFrame) -> Silver:
+        gone = judged.filter("accepted").select("employee_id")
+
+        def without(table: DataFrame) -> DataFrame:
+            return table.join(gone, "employee_id", "left_anti").select(*table.columns)
 
-    return Outcome(
-        result,
-        replace(
+        return replace(
             silver,
             employees=without(silver.employees),
             assignments=without(silver.assignments),
             reviews=without(silver.reviews),
-        ),
-    )
+        )
+
+    return Outcome(result, after)
 
 
 def _role_of(department: Column, role_by_department: dict[str, str]) -> Column:
@@ -513,7 +553,3 @@ def account_eligibility(
         F.when(F.col("accepted"), F.col("role")).alias("role"),
         "accepted", "message",
     )
-
-
-def valid_role(role: Column) -> Column:
-    return role.isin(ACCOUNT_ROLES)

@@ -263,29 +263,29 @@ def make_reviews(employees: DataFrame, assignments: DataFrame) -> DataFrame:
         F.min_by("project_id", "assignment_id").alias("project_id")
     )
     years = ", ".join(map(str, REVIEW_SHIFTS))
-    rows = (
+    in_order = F.expr(f"shiftleft(cast(year AS bigint), 40) + employee_id div {BUCKET_ROWS}")
+    yearly = (
         employees.selectExpr(
             _ID, "hire_date", "performance_rating", *moods, f"explode(array({years})) AS year"
         )
         .selectExpr("*", "make_date(year, 12, 15) AS review_date")
         .filter("hire_date <= date_sub(review_date, 90)")
+    )
+    return (
+        number_rows(yearly, "review_id", ["year", _ID], in_order)
         .selectExpr(
             "* EXCEPT (performance_rating)",
             f"greatest(1, least(5, performance_rating + CASE year {shifts} END)) AS performance_rating",
         )
         .join(first_project, _ID, "left")
         .selectExpr(
-            "year", _ID, "project_id", "review_date", "performance_rating",
+            "review_id", _ID, "project_id", "review_date", "performance_rating",
             "cast(round(greatest(0.0D, least(100.0D, performance_rating * 20 + "
             f"{draw_normal('score', key, 6.0)})), 1) AS decimal(5,2)) AS review_score",
             *[f"cast(greatest(1, least(4, {c} + {draw_between(c, key, -1, 2)})) AS int) AS {c}"
               for c in moods],
         )
     )
-    in_order = F.expr(f"shiftleft(cast(year AS bigint), 40) + employee_id div {BUCKET_ROWS}")
-    return number_rows(rows, "review_id", ["year", _ID], in_order).select(
-        "review_id", *[c for c in rows.columns if c != "year"]
-    )
 
 
 def inject_noise(employees: DataFrame) -> DataFrame:

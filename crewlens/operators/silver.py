@@ -44,9 +44,14 @@ def clean_departments(stg_employee: DataFrame, existing: DataFrame | None = None
 
 
 def department_lookup(departments: DataFrame) -> DataFrame:
-    """Department ids under the key names are compared on, broadcast when small."""
-    return broadcast_if_small(
-        departments.select(match_key(F.col("department_name")).alias("_department"), "department_id")
+    """Department ids under the key names are compared on.
+
+    Hand in stored departments (their size is known, so Spark broadcasts them while they are small)
+    or ones that went through broadcast_if_small: a shuffle would bring together all rows of a
+    department.
+    """
+    return departments.select(
+        match_key(F.col("department_name")).alias("_department"), "department_id"
     )
 
 

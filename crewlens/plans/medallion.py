@@ -175,10 +175,10 @@ def run(
 
 
 def _apply(store: LayerStore, name: str, before: Silver, outcome: changes.Outcome) -> DataFrame:
-    """Store the judged requests and the Silver tables they change."""
+    """Store the judged requests, then the Silver tables they change."""
     with store.load(JUDGED) as judged, store.load(SILVER) as silver:
         requests = judged.put(name, outcome.requests)
-        for table, df in outcome.silver.tables().items():
+        for table, df in outcome.after(requests).tables().items():
             if df is not before.tables()[table]:
                 silver.put(table, df)
     return requests
