@@ -68,6 +68,11 @@ class Layers:
             cls._known[key] = cls(spark, sf_dir)
         return cls._known[key]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Load anew at the next use (old files stay until the shared folder is cleaned)."""
+        cls._known.clear()
+
     @cached_property
     def bronze(self) -> Bronze:
         medallion.store_bronze(self.store, testdata.bronze(self.spark, self.sf_dir))

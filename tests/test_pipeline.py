@@ -1,0 +1,264 @@
+"""Scale-up, files, stored layers, the whole job, and changes arriving as a stream."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import day, rows
+from crewlens.operators import quality, scale
+from crewlens.plans import medallion
+from crewlens.sources import landing
+from crewlens.sources.store import LayerStore
+from crewlens.streaming.changes import apply_employee_changes_stream
+
+HEADER = (
+    "Age,Attrition,Department,JobRole,JobLevel,MonthlyIncome,YearsAtCompany,PerformanceRating,"
+    "Gender,JobSatisfaction,WorkLifeBalance,EnvironmentSatisfaction,TotalWorkingYears,"
+    "YearsInCurrentRole,YearsWithCurrManager,YearsSinceLastPromotion,HourlyRate,DailyRate,"
+    "MonthlyRate,EmployeeCount,EmployeeNumber,Over18,StandardHours,EducationField"
+)
+PEOPLE = [
+    "35,No,Sales,Engineer,2,5000,6,3,Male,3,2,4,10,3,3,2,50,600,15000,1,1,Y,80,Life Sciences",
+    "30,Yes,Human Resources,Analyst,1,4000,4,3,Female,2,3,3,8,2,2,1,40,500,12000,1,2,Y,80,Medical",
+    "58,No,Sales,Rep,4,9000,20,4,Male,4,4,1,30,9,9,9,60,700,20000,1,4,Y,80,Medical",
+]
+
+
+@pytest.fixture(scope="module")
+def raw_csv(tmp_path_factory):
+    path = tmp_path_factory.mktemp("raw") / "hr.csv"
+    path.write_text("\n".join([HEADER, *PEOPLE]) + "\n")
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def base(spark, raw_csv):
+    return landing.raw_hr_ingest(spark, raw_csv, keep=("employee_number",))
+
+
+def test_names_and_checks_of_the_raw_file(spark, raw_csv, tmp_path):
+    assert landing.snake_case("MonthlyIncome") == "monthly_income"
+    assert landing.snake_case("age") == "age"
+    assert landing.snake_case("Over18") == "over18"
+    df = landing.raw_hr_ingest(spark, raw_csv)
+    assert "monthly_income" in df.columns and not set(df.columns) & set(landing.CONSTANT_COLUMNS)
+    assert dict(df.dtypes)["age"] == "int" and df.count() == 3
+    with pytest.raises(FileNotFoundError):
+        landing.raw_hr_ingest(spark, str(tmp_path / "none.csv"))
+    bad = tmp_path / "bad.csv"
+    bad.write_text("Age\n30\n")
+    with pytest.raises(ValueError, match="Source CSV missing required columns"):
+        landing.raw_hr_ingest(spark, str(bad))
+
+
+def test_roles_of_departments(base):
+    assert rows(scale.dept_roles(base)) == [
+        ("Human Resources", ["Analyst"]), ("Sales", ["Engineer", "Rep"]),
+    ]
+
+
+@pytest.fixture(scope="module")
+def hired(base):
+    grown = scale.jitter_and_cap(scale.upsample_rows(base, 300, "employee_number"))
+    return scale.derive_email_hire(scale.with_names(grown)).persist()
+
+
+def test_scaled_up_employees(hired, base):
+    assert hired.count() == 300
+    assert hired.selectExpr("min(employee_id)", "max(employee_id)", "count(DISTINCT email)").first()[:] == (
+        1, 300, 300,
+    )
+    kept = hired.filter("NOT is_extra").orderBy("employee_id").select("age", "monthly_income")
+    assert [tuple(r) for r in kept.collect()] == [(35, 5000), (30, 4000), (58, 9000)]
+    broken = hired.filter(
+        "years_at_company > total_working_years OR years_in_current_role > years_at_company "
+        "OR is_extra AND (age NOT BETWEEN 18 AND 60 OR total_working_years > age - 18) "
+        "OR hire_date <> effective_from OR email NOT LIKE '%@company.com'"
+    )
+    assert broken.count() == 0
+    assert hired.filter("is_extra").select("age").distinct().count() > 10
+
+
+def test_history_sample_is_exact_and_consistent(hired, base):
+    sampled = scale.sample_history(hired, 0.2)
+    assert sampled.count() == 60 and sampled.select("employee_id").distinct().count() == 60
+    assert scale.sample_history(hired, 1.0).count() == hired.filter("years_at_company >= 2").count()
+    past = scale.prior_version(hired, sampled, base)
+    present = hired.select(
+        "employee_id", F.col("department").alias("d"), F.col("job_level").alias("l"),
+        F.col("monthly_income").alias("m"), F.col("job_role").alias("r"),
+    )
+    joined = past.join(present, "employee_id")
+    assert joined.count() == 60
+    wrong = joined.filter(
+        "change_reason = 'DEPARTMENT_CHANGE' AND (department = d OR monthly_income <> m) "
+        "OR change_reason = 'PROMOTION' AND (job_level <> l - 1 OR monthly_income >= m OR l = 1) "
+        "OR change_reason = 'SALARY_HIKE' AND (job_level <> l OR monthly_income >= m OR job_role <> r) "
+        "OR valid_from > valid_to OR valid_to >= DATE'2025-12-31'"
+    )
+    assert wrong.count() == 0
+    assert sorted(r[0] for r in rows(past, "history_id")) == list(range(1, 61))
+    moved = scale.with_last_change(hired, sampled)
+    assert moved.filter("effective_from > hire_date").count() == 60
+
+
+def test_projects_assignments_and_reviews(spark, hired, base):
+    projects = scale.make_projects(spark, 40, base)
+    assert projects.count() == 40
+    assert projects.filter(
+        "status = 'Active' AND planned_end_date <= DATE'2025-12-31' "
+        "OR status = 'Completed' AND planned_end_date >= DATE'2025-12-31'"
+    ).count() == 0
+    assignments = scale.make_assignments(hired, projects)
+    linked = assignments.join(projects.withColumnRenamed("department", "pd"), "project_id").join(
+        hired.select("employee_id", "department", "hire_date"), "employee_id"
+    )
+    assert linked.count() == 300
+    assert linked.filter(
+        "pd <> department OR status <> 'Active' OR assigned_date <> greatest(hire_date, start_date) "
+        "OR allocation_pct NOT IN (50, 75, 100)"
+    ).count() == 0
+    reviews = scale.make_reviews(hired, assignments)
+    n = hired.selectExpr(
+        "sum(int(hire_date <= date_sub(DATE'2023-12-15', 90)) "
+        "+ int(hire_date <= date_sub(DATE'2024-12-15', 90)) "
+        "+ int(hire_date <= date_sub(DATE'2025-12-15', 90)))"
+    ).first()[0]
+    assert reviews.count() == n
+    assert reviews.filter(
+        "review_score NOT BETWEEN 0 AND 100 OR performance_rating NOT BETWEEN 1 AND 5 "
+        "OR job_satisfaction NOT BETWEEN 1 AND 4 OR project_id IS NULL"
+    ).count() == 0
+    assert sorted(r[0] for r in rows(reviews, "review_id")) == list(range(1, n + 1))
+
+
+def test_noise_adds_exact_copies(hired):
+    noisy = scale.inject_noise(hired)
+    assert noisy.count() == 303 and noisy.distinct().count() == hired.count()
+
+
+def test_stored_layers_appear_whole_or_not_at_all(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    with store.load("x") as load:
+        load.put("a", spark.range(3))
+        load.put("b", spark.range(4))
+    with pytest.raises(RuntimeError, match="stop"):
+        with store.load("x") as load:
+            load.put("a", spark.range(9))
+            raise RuntimeError("stop")
+    assert store.read("x", "a").count() == 3
+    kept = store.tables("x")["b"]
+    with store.load("x") as load:
+        load.put("a", spark.range(5))
+    assert store.read("x", "a").count() == 5 and store.tables("x")["b"] == kept
+    first, second = store.load("x"), store.load("x")
+    with first:
+        first.put("a", spark.range(1))
+    with pytest.raises(RuntimeError, match="another load"):
+        with second:
+            second.put("a", spark.range(2))
+    assert store.read("x", "a").count() == 1
+    with pytest.raises(FileNotFoundError):
+        store.read("x", "none")
+
+
+def test_named_parameters_and_single_rows(spark):
+    df = landing.read(spark, "SELECT id FROM {t} WHERE id = :id", {"t": spark.range(5)}, id=3)
+    assert landing.read_one(df) == {"id": 3}
+    assert landing.read_one(df.filter("id > 5")) is None
+
+
+@pytest.fixture(scope="module")
+def built(spark, raw_csv, tmp_path_factory):
+    root = tmp_path_factory.mktemp("warehouse")
+    store = LayerStore(spark, f"{root}/layers")
+    warehouse = medallion.run(
+        spark, raw_csv, f"{root}/staging", store.root, target_rows=200, history_share=0.2,
+        n_projects=30,
+    )
+    return store, warehouse
+
+
+def test_whole_job(built):
+    store, w = built
+    gold, silver = w.gold, w.silver
+    assert silver.employees.count() == 200
+    assert rows(silver.departments, "department_name") == [("Human resources",), ("Sales",)]
+    fact = gold.fact_performance_reviews
+    assert fact.count() == fact.select("review_id").distinct().count() == silver.reviews.count()
+    current = gold.dim_employee.filter("is_current")
+    assert current.count() == current.select("employee_id").distinct().count() == 200
+    assert gold.dim_employee.count() == 240
+    assert w.kpi_card().first().total_employees == 200
+    bronze = medallion.stored_bronze(store)
+    report = dict(rows(quality.data_quality(bronze, silver, gold.dim_employee)))
+    broken = {rule for rule, n in report.items() if n}
+    assert broken <= {"reviews before first version"}
+
+
+def test_missing_staging_file_fails(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        medallion.load_bronze(LayerStore(spark, str(tmp_path / "l")), str(tmp_path))
+
+
+def test_changes_reach_the_stored_warehouse(spark, built):
+    store, w = built
+    keys = rows(w.gold.dim_employee, "employee_key")
+    ok, message = medallion.warehouse_refresh(store)
+    assert (ok, message) == (True, "Warehouse refreshed.")
+    gold = medallion.stored_gold(store)
+    assert rows(gold.dim_employee, "employee_key") == keys
+
+    fact_folder = store.tables("gold")["fact_performance_reviews"]
+    request = "seq bigint, employee_id bigint, department_id bigint, job_role string, job_level int, " \
+              "monthly_income int, attrition string"
+    wanted = spark.createDataFrame([(1, 7, 1, "Lead", 5, 9999, "No"), (2, 7, 1, "Boss", 5, 1, "No")], request)
+    judged = medallion.change_employees(store, wanted, day("2026-03-01"))
+    assert rows(judged, "seq", "accepted") == [(1, True), (2, False)]
+    versions = medallion.stored_gold(store).dim_employee.filter("employee_id = 7").orderBy("start_date")
+    last = versions.collect()[-2:]
+    assert (last[0].end_date, last[0].is_current) == (day("2026-02-28"), False)
+    assert (last[1].start_date, last[1].is_current, last[1].job_role) == (day("2026-03-01"), True, "Lead")
+    # A change of employees leaves the stored fact alone.
+    assert store.tables("gold")["fact_performance_reviews"] == fact_folder
+
+    status = spark.createDataFrame([(1, 1, "On Hold")], "seq bigint, project_id bigint, status string")
+    medallion.change_project_status(store, status)
+    gold = medallion.stored_gold(store)
+    assert gold.dim_project.filter("project_id = 1").first().status == "On Hold"
+
+    gone = spark.createDataFrame([(1, 7)], "seq bigint, employee_id bigint")
+    medallion.remove_employees(store, gone)
+    ok, _ = medallion.warehouse_refresh(store)
+    gold = medallion.stored_gold(store)
+    assert ok and gold.dim_employee.filter("employee_id = 7 AND is_current").count() == 1
+    assert gold.fact_performance_reviews.join(versions, "employee_key").count() == 0
+
+
+def test_broken_keys_stop_a_load_and_keep_the_old_snapshot(spark, built):
+    store, _ = built
+    before = store.tables("silver")
+    bronze = medallion.stored_bronze(store)
+    twice = bronze.review.unionByName(bronze.review.withColumn("performance_rating", F.lit(1)))
+    with pytest.raises(ValueError, match="reviews.review_id unique"):
+        medallion.load_silver(store, type(bronze)(**{**vars(bronze), "review": twice}))
+    assert store.tables("silver") == before
+
+
+def test_changes_as_a_stream(spark, built, tmp_path):
+    store, _ = built
+    schema = (
+        "seq bigint, employee_id bigint, department_id bigint, job_role string, job_level int, "
+        "monthly_income int, attrition string"
+    )
+    folder = tmp_path / "in"
+    spark.createDataFrame([(1, 9, 1, "Head", 5, 7777, "No")], schema).write.parquet(str(folder))
+    query = apply_employee_changes_stream(
+        spark.readStream.schema(schema).parquet(str(folder)), store, str(tmp_path / "check"),
+        today=lambda: datetime.date(2026, 4, 1),
+    )
+    query.processAllAvailable()
+    query.stop()
+    versions = medallion.stored_gold(store).dim_employee.filter("employee_id = 9 AND is_current")
+    assert rows(versions, "job_role", "start_date") == [("Head", day("2026-04-01"))]
