@@ -277,12 +277,11 @@ def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
             ),
         )
     )
-    valid = checked.filter(F.col("_reason").isNull())
-    earlier = previous_value(
-        valid.select("project_id", "seq", "status"), "_earlier", "project_id", "seq", "status",
-        id_bucket("seq"),
-    ).select("seq", "_earlier")
-    judged = checked.join(earlier, "seq", "left").withColumn(
+    # Only valid requests set a status.
+    judged = previous_value(
+        checked.withColumn("_sets", F.when(F.col("_reason").isNull(), F.col("status"))),
+        "_earlier", "project_id", "seq", "_sets", id_bucket("seq"),
+    ).withColumn(
         "reason",
         F.coalesce(
             "_reason",
@@ -392,15 +391,15 @@ def assign_employees(requests: DataFrame, silver: Silver, as_of: datetime.date)
     )
     possible = checked.filter(F.col("_reason").isNull() & F.col("_project") & F.col("_employee"))
     taken = stored(_accepted_assignments(possible, used), "taken")
-    # Accepted requests get their ids, and know their project; both are looked up by key.
+    # Whether a request was accepted, or came after an accepted one for the same project, follows
+    # from the accepted step of its employee and project.
     steps = taken.select("employee_id", F.inline("_taken")).select(
-        "employee_id", "project_id", F.col("seq").alias("_since"), "seq"
+        "employee_id", "project_id", F.col("seq").alias("_since")
     )
-    ids = number_rows(
-        steps.select("seq"), "assignment_id", ["seq"], id_bucket("seq"),
+    steps = number_rows(
+        steps, "assignment_id", ["_since"], id_bucket("_since"),
         start=max_key(silver.assignments, "assignment_id"),
     )
-    joined = steps.select("employee_id", "project_id", "_since")
     # What an employee had in use when a request came: the last earlier step (at most 100 exist).
     before = F.aggregate(
         "_taken",
@@ -408,13 +407,14 @@ def assign_employees(requests: DataFrame, silver: Silver, as_of: datetime.date)
         lambda used_, step: F.when(step["seq"] < F.col("seq"), step["after"]).otherwise(used_),
     )
     judged = (
-        checked.join(ids, "seq", "left")
-        .join(joined, ["employee_id", "project_id"], "left")
+        checked.join(steps, ["employee_id", "project_id"], "left")
         .join(used.join(taken, "employee_id", "full"), "employee_id", "left")
+        .withColumn("_accepted", F.coalesce(F.col("_since") == F.col("seq"), F.lit(False)))
+        .withColumn("assignment_id", F.when(F.col("_accepted"), F.col("assignment_id")))
         .withColumn(
             "_before",
             F.coalesce(
-                F.when(F.col("_reason").isNull() & F.col("assignment_id").isNull(), before),
+                F.when(F.col("_reason").isNull() & ~F.col("_accepted"), before),
                 "_used",
                 F.lit(0).cast("bigint"),
             ),
@@ -423,7 +423,7 @@ def assign_employees(requests: DataFrame, silver: Silver, as_of: datetime.date)
             "reason",
             first_broken(
                 (F.col("_reason").isNotNull(), F.col("_reason")),
-                (F.col("assignment_id").isNotNull(), F.lit(None).cast("string")),
+                (F.col("_accepted"), F.lit(None).cast("string")),
                 (F.coalesce(F.col("_since") < F.col("seq"), F.lit(False)), ASSIGN_TWICE),
                 (
                     F.col("_before") + F.col("allocation_pct") > 100,

@@ -53,25 +53,34 @@ def number_rows(
 def previous_value(
     df: DataFrame, name: str, key: str, order_by: str, value: str, bucket: Column
 ) -> DataFrame:
-    """Add `name` = `value` of the row before, in `order_by` order within `key` (NULL for the first).
+    """Add `name` = the last non-NULL `value` among the rows before, in `order_by` order within `key`.
 
     A key may hold any share of the rows: it is cut into buckets, and each bucket starts from
-    the last value of the bucket before it.
+    the last value of the buckets before it.
     """
     rows = df.withColumn("_bucket", bucket)
+
+    def last_before(column: str, window) -> Column:
+        return F.last(column, ignorenulls=True).over(
+            window.rowsBetween(Window.unboundedPreceding, -1)
+        )
+
+    # Rows without a value have no place in the order, so max_by passes them over; a bucket that
+    # has only such rows still gets its row.
+    place = F.when(F.col(value).isNotNull(), F.col(order_by))
     carried = (
         rows.groupBy(key, "_bucket")
-        .agg(F.max_by(value, order_by).alias("_last"))
+        .agg(F.max_by(value, place).alias("_last"))
         .select(
             key,
             "_bucket",
-            F.lag("_last").over(Window.partitionBy(key).orderBy("_bucket")).alias("_carried"),
+            last_before("_last", Window.partitionBy(key).orderBy("_bucket")).alias("_carried"),
         )
     )
-    inside = F.lag(value).over(Window.partitionBy(key, "_bucket").orderBy(order_by))
+    inside = last_before(value, Window.partitionBy(key, "_bucket").orderBy(order_by))
     return (
         rows.withColumn("_inside", inside)
-        .join(carried, [key, "_bucket"])
+        .join(carried, [key, "_bucket"], "left")
         .withColumn(name, F.coalesce("_inside", "_carried"))
         .drop("_bucket", "_inside", "_carried")
     )
