@@ -99,8 +99,13 @@ def scd2_close(dim_employee: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def scd2_insert(closed: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """Incoming versions not stored yet, with keys; `closed` is the dimension after scd2_close."""
+def scd2_insert(
+    closed: DataFrame | None, incoming: DataFrame, before: DataFrame | None = None
+) -> DataFrame:
+    """Incoming versions not stored yet, with keys; `closed` is the dimension after scd2_close.
+
+    Closing leaves keys alone: the stored table `before` it gives the last load number cheaper.
+    """
     if closed is None:
         return _with_keys(incoming, F.lit(1).cast("bigint"))
     same = [
@@ -110,7 +115,8 @@ def scd2_insert(closed: DataFrame | None, incoming: DataFrame) -> DataFrame:
     ]
     same.append(F.lower("new.job_role") == F.lower("old.job_role"))
     unseen = incoming.alias("new").join(closed.alias("old"), same, "left_anti")
-    load = F.shiftright(max_key(closed, "employee_key"), _LOAD_SHIFT) + 1
+    last = max_key(closed if before is None else before, "employee_key")
+    load = F.shiftright(last, _LOAD_SHIFT) + 1
     return _with_keys(unseen, load)
 
 
@@ -135,4 +141,4 @@ def scd2_apply(
     if dim_employee is None:
         return scd2_insert(None, incoming)
     closed = scd2_close(dim_employee, incoming)
-    return closed.unionByName(scd2_insert(closed, incoming))
+    return closed.unionByName(scd2_insert(closed, incoming, dim_employee))

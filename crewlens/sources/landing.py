@@ -28,6 +28,8 @@ _CSV = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# A value that does not fit its type, or a file with another header, fails the read.
+_STRICT = {**_CSV, "mode": "FAILFAST", "enforceSchema": False}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -49,6 +51,10 @@ def _must_exist(spark: SparkSession, path: str) -> str:
     return path
 
 
+def _header(spark: SparkSession, path: str) -> list[str]:
+    return spark.read.option("header", True).csv(path).columns
+
+
 def snake_case(name: str) -> str:
     """'MonthlyIncome' -> 'monthly_income'."""
     return re.sub(r"(?<!^)([A-Z])", r"_\1", name).lower()
@@ -61,7 +67,7 @@ def raw_hr_ingest(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) ->
     known text columns are text, all others whole numbers. `keep` names constant columns to retain.
     """
     _must_exist(spark, path)
-    header = spark.read.option("header", True).csv(path).columns
+    header = _header(spark, path)
     names = [snake_case(c) for c in header]
     missing = [c for c in REQUIRED_COLUMNS if c not in names]
     if missing:
@@ -72,7 +78,7 @@ def raw_hr_ingest(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) ->
         )
         for raw, name in zip(header, names)
     ])
-    raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    raw = spark.read.schema(schema).options(**_STRICT).csv(path)
     return raw.toDF(*names).drop(*[c for c in CONSTANT_COLUMNS if c not in keep])
 
 
@@ -91,18 +97,26 @@ def write_staging(tables: dict[str, DataFrame], folder: str) -> None:
 def read_staging(spark: SparkSession, folder: str) -> Bronze:
     """The five staging tables, typed by their declared schemas, with the load time.
 
-    A missing file or a value that does not fit its type fails the load.
+    Columns are found by name, in any order; one a file does not have is NULL. A missing file, an
+    unknown column or a value that does not fit its type fails the load.
     """
-    frames = {}
+    frames = []
     for name, schema in STAGING.items():
         path = _must_exist(spark, f"{folder}/{name}.csv")
-        frames[name] = (
-            spark.read.schema(schema)
-            .options(mode="FAILFAST", **_CSV)
-            .csv(path)
-            .withColumn("_loaded_at", F.current_timestamp())
-        )
-    return Bronze(*frames.values())
+        header = _header(spark, path)
+        unknown = set(header) - set(schema.names) - {"_loaded_at"}
+        if unknown:
+            raise ValueError(f"{name} has unknown columns: {sorted(unknown)}")
+        found = T.StructType([
+            schema[c] if c in schema.names else T.StructField(c, T.TimestampType()) for c in header
+        ])
+        rows = spark.read.schema(found).options(**_STRICT).csv(path)
+        columns = [
+            F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+        frames.append(rows.select(*columns, F.current_timestamp().alias("_loaded_at")))
+    return Bronze(*frames)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from crewlens.plans.medallion import change_employees
+from crewlens.session import stored
 from crewlens.sources.store import LayerStore
 
 
@@ -26,7 +27,7 @@ def apply_employee_changes_stream(
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
         if not batch.isEmpty():
-            change_employees(store, batch, today())
+            change_employees(store, stored(batch, "requests"), today())
 
     return (
         requests.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).start()

@@ -197,6 +197,26 @@ def test_whole_job(built):
     assert broken <= {"reviews before first version"}
 
 
+def test_staging_columns_are_found_by_name(spark, built, tmp_path):
+    store, _ = built
+    bronze = medallion.stored_bronze(store)
+    folder = str(tmp_path)
+    landing.write_staging(bronze.tables(), folder)
+    turned = bronze.project.select("budget", "department", "project_id", "project_name", "status")
+    turned.write.mode("overwrite").option("header", True).csv(f"{folder}/stg_project.csv")
+    again = landing.read_staging(spark, folder)
+    kept = ("project_id", "project_name", "department", "status", "budget")
+    assert rows(again.project, *kept) == rows(bronze.project, *kept)
+    assert again.project.filter("start_date IS NOT NULL").count() == 0
+    assert rows(again.employee.drop("_loaded_at")) == rows(bronze.employee.drop("_loaded_at"))
+    assert again.review.filter("_loaded_at IS NULL").count() == 0
+    turned.withColumnRenamed("budget", "cost").write.mode("overwrite").option("header", True).csv(
+        f"{folder}/stg_project.csv"
+    )
+    with pytest.raises(ValueError, match="cost"):
+        landing.read_staging(spark, folder)
+
+
 def test_missing_staging_file_fails(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         medallion.load_bronze(LayerStore(spark, str(tmp_path / "l")), str(tmp_path))
