@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,16 +41,30 @@ def exact_avg(column: str) -> Column:
     return F.avg(F.col(column).cast("decimal(10,0)"))
 
 
+def fill(template: str) -> Column:
+    """Text with {column} places filled per row; a missing value reads None, never blanks the text.
+
+    Compiled concatenation: format_string would run a formatter per row.
+    """
+    parts = []
+    for literal, column, _, _ in Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if column:
+            parts.append(F.coalesce(F.col(column).cast("string"), F.lit("None")))
+    return F.concat(*parts)
+
+
 def person_label() -> Column:
     """'First Last (email)' for pick lists."""
-    return F.format_string("%s %s (%s)", "first_name", "last_name", "email")
+    return fill("{first_name} {last_name} ({email})")
 
 
 def project_label(with_status: bool = False) -> Column:
     """'name (ID: n)' or 'name (ID: n | Status: s)' for pick lists."""
     if with_status:
-        return F.format_string("%s (ID: %d | Status: %s)", "project_name", "project_id", "status")
-    return F.format_string("%s (ID: %d)", "project_name", "project_id")
+        return fill("{project_name} (ID: {project_id} | Status: {status})")
+    return fill("{project_name} (ID: {project_id})")
 
 
 def searchable(term: str | None) -> bool:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crewlens.functions.rules import employee_rules, first_broken, project_rules, review_rules, unless
-from crewlens.functions.text import is_blank, match_key
+from crewlens.functions.text import fill, is_blank, match_key
 from crewlens.model import (
     ASSIGNMENT_COLUMNS,
     EMPLOYEE_COLUMNS,
@@ -152,7 +152,7 @@ def add_employees(requests: DataFrame, silver: Silver, as_of: datetime.date) ->
         "reason",
         F.coalesce("reason", F.when(~F.col("_first"), EMPLOYEE_CONFLICT)),
     ).drop("_taken", "_department", "_first")
-    success = F.format_string("Employee %d (%s %s) added.", "employee_id", "first_name", "last_name")
+    success = fill("Employee {employee_id} ({first_name} {last_name}) added.")
     result = _with_message(_numbered(judged, silver.employees, "employee_id"), success)
     return Outcome(result, _appending(silver, "employees", EMPLOYEE_COLUMNS))
 
@@ -164,7 +164,7 @@ def add_projects(requests: DataFrame, silver: Silver) -> Outcome:
     judged = judged.withColumn(
         "reason", F.coalesce("reason", F.when(~F.col("_department"), DEPARTMENT_INVALID))
     ).drop("_department")
-    success = F.format_string(f"Project %d created. {REFRESH_HINT}", "project_id")
+    success = fill("Project {project_id} created. " + REFRESH_HINT)
     result = _with_message(_numbered(judged, silver.projects, "project_id"), success)
     return Outcome(result, _appending(silver, "projects", PROJECT_COLUMNS))
 
@@ -178,7 +178,7 @@ def add_reviews(requests: DataFrame, silver: Silver, as_of: datetime.date) -> Ou
             "reason", F.when(~(F.col("_project") & F.col("_employee")), REFERENCE_MISSING)
         ),
     ).drop("_project", "_employee")
-    success = F.format_string(f"Review %d saved. {REFRESH_HINT}", "review_id")
+    success = fill("Review {review_id} saved. " + REFRESH_HINT)
     result = _with_message(_numbered(judged, silver.reviews, "review_id"), success)
     return Outcome(result, _appending(silver, "reviews", REVIEW_COLUMNS))
 
@@ -216,7 +216,7 @@ def apply_employee_changes(requests: DataFrame, silver: Silver, as_of: datetime.
         first_broken(
             (
                 F.col("_stored").isNull(),
-                F.format_string("Employee %d not found.", "employee_id"),
+                fill("Employee {employee_id} not found."),
             ),
             (_unchanged("_stored"), NOTHING_CHANGED),
             (F.col("_stored.effective_from") >= today, CHANGED_TODAY),
@@ -272,7 +272,7 @@ def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
                 (unless(F.col("status").isin(PROJECT_STATUSES)), STATUS_VALUE),
                 (
                     F.col("_stored").isNull(),
-                    F.format_string("Project ID %d not found.", "project_id"),
+                    fill("Project ID {project_id} not found."),
                 ),
             ),
         )
@@ -287,13 +287,11 @@ def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
             "_reason",
             F.when(
                 F.coalesce("_earlier", "_stored") == F.col("status"),
-                F.format_string("Project is already in '%s' status.", "status"),
+                fill("Project is already in '{status}' status."),
             ),
         ),
     )
-    success = F.format_string(
-        "Project %d ('%s') status updated to '%s'.", "project_id", "project_name", "status"
-    )
+    success = fill("Project {project_id} ('{project_name}') status updated to '{status}'.")
     result = _with_message(judged, success).select(
         "seq", "project_id", "status", "accepted", "message"
     )
@@ -427,9 +425,9 @@ def assign_employees(requests: DataFrame, silver: Silver, as_of: datetime.date)
                 (F.coalesce(F.col("_since") < F.col("seq"), F.lit(False)), ASSIGN_TWICE),
                 (
                     F.col("_before") + F.col("allocation_pct") > 100,
-                    F.format_string(
-                        "Employee already has %d%% allocated. Adding %d%% goes over 100%%.",
-                        "_before", "allocation_pct",
+                    fill(
+                        "Employee already has {_before}% allocated. "
+                        "Adding {allocation_pct}% goes over 100%."
                     ),
                 ),
                 (F.lit(True), REFERENCE_MISSING),

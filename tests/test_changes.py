@@ -339,3 +339,20 @@ def test_account_roles_and_eligibility(spark):
         (3, None, changes.ACCOUNT_DEPARTMENT), (4, "Admin", "Account created."),
         (5, None, changes.ACCOUNT_TAKEN), (6, None, changes.ACCOUNT_TAKEN),
     ]
+
+
+def test_requests_without_ids_are_rejected(spark):
+    """A missing id must never read as accepted."""
+    silver = snapshot(spark)
+    change = spark.createDataFrame([(1, None, 1, "Rep", 2, 5, "No")], CHANGE)
+    out = changes.apply_employee_changes(change, silver, TODAY).requests.first()
+    assert (out.accepted, out.message) == (False, "Employee None not found.")
+    status = spark.createDataFrame([(1, None, "Active")], "seq bigint, project_id bigint, status string")
+    out = changes.update_project_status(status, silver).requests.first()
+    assert (out.accepted, out.message) == (False, "Project ID None not found.")
+    assign = spark.createDataFrame(
+        [(1, None, 1, "Dev", 5), (2, 1, None, "Dev", 5), (3, 1, 1, None, 5), (4, 1, 1, "Dev", None)],
+        "seq bigint, employee_id bigint, project_id bigint, role_on_project string, allocation_pct int",
+    )
+    out = changes.assign_employees(assign, silver, TODAY).requests
+    assert out.filter("accepted").count() == 0 and out.count() == 4

@@ -230,6 +230,20 @@ def test_lists(spark):
     assert roster.employee(s, 2).count() == 1 and roster.employee(s, 9).count() == 0
 
 
+def test_labels_and_search_guard(spark):
+    from crewlens.functions.text import person_label, project_label, searchable
+
+    s = small_silver(spark)
+    assert rows(s.employees.filter("employee_id = 1").select(person_label())) == [
+        ("Ada Cloud (ada@x.com)",)
+    ]
+    project = s.projects.filter("project_id = 43")
+    assert rows(project.select(project_label(), project_label(with_status=True))) == [
+        ("Sky 42 (ID: 43)", "Sky 42 (ID: 43 | Status: Active)")
+    ]
+    assert [searchable(t) for t in ("ada", "@", "42", "", None)] == [True, True, False, False, False]
+
+
 def test_history_and_timeline(spark):
     dim = versions(spark, (1, 1, "No", False), (2, 1, "No", True)).selectExpr(
         "*", "1 AS job_level", "10 AS monthly_income",
