@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from crewlens.functions.text import exact_avg, full_name, said_yes
 from crewlens.model import PROJECT_FLAGS, RISK_LEVELS, Gold
+from crewlens.sources.landing import row_counts
 
 
 def review_year() -> Column:
@@ -331,10 +332,4 @@ def department_names(dim_department: DataFrame) -> DataFrame:
 
 def refresh_summary(gold: Gold) -> DataFrame:
     """Rows per Gold table."""
-    counts = None
-    for name, table in gold.tables().items():
-        one = table.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    return row_counts(gold.tables())
