@@ -614,14 +614,28 @@ def inject_noise(spark, sf_dir):
 # -- contract ----------------------------------------------------------------------------------
 
 
+try:
+    import corpus_pipeline
+    from crewlens.llm import oracle as llm_oracle
+    from crewlens.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "crewlens.llm"):
+        raise
+    LLM: dict[str, Query] = {}
+    LLM_ORACLE: dict[str, str] = {}
+else:
+    LLM = {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_ORACLE = dict(llm_oracle.QUERIES)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Year-over-year scores per department, from the raw tables up."""
     return _REGISTRY["yoy_performance"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return dict(_REGISTRY)
+    return {**_REGISTRY, **LLM}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **LLM_ORACLE}

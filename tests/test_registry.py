@@ -22,10 +22,10 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) - set(registry.LLM) == set(registry.oracle_sql()) - set(registry.LLM)
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", [n for n in registry.queries() if n in registry.oracle_sql()])
 def test_query_equals_sql(spark, db, name):
     assert compare(spark, db, name, FOLDER).startswith("ok")
 
