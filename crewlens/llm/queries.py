@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import chat, quality_rules
+from crewlens.llm import chat, quality_classifier, quality_rules, toxicity
 from crewlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,30 @@ def register(function: Query) -> Query:
     return function
 
 
+def _fold(folds: int):
+    """The remainder that tells held-out documents from those to learn from; a null id counts as ''."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
+
+
+def _scored(spark, sf_dir, operator, label: str, folds: int, held: int, threshold: float) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").filter(_fold(folds) != held)
+    model = operator.fit(docs, labels.select("doc_id", F.col(label).alias("label")))
+    return operator.score(docs, model).select(
+        "doc_id", (_fold(folds) == held).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@register
+def op1_toxicity(spark, sf_dir):
+    return _scored(spark, sf_dir, toxicity, "toxic", 5, 0, 0.5)
+
+
+@register
+def op3_quality_classifier(spark, sf_dir):
+    return _scored(spark, sf_dir, quality_classifier, "quality", 4, 2, 0.7)
+
+
 @register
 def op6_chat_formatting(spark, sf_dir):
     said = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
