@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import chat, quality_classifier, quality_rules, toxicity
+from crewlens.llm import chat, html_text, quality_classifier, quality_rules, toxicity
 from crewlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op6_chat_formatting(spark, sf_dir):
     return chat.read_back(chat.format_chat(chat.text_messages(said.unionByName(added))))
 
 
+@register
+def op8_html_extraction(spark, sf_dir):
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 @register
 def op10_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(quality_rules.measure(read(spark, sf_dir, "documents"), ["doc_id"]))
