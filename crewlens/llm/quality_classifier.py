@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crewlens.llm.tables import python_ready
+
 SPACE, WORD, SIGN = 0, 1, 2
 REPEATED = np.uint64(1)
 
@@ -109,6 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     """docs: doc_id, text; labels: doc_id, label (0 or 1). Texts are learnt in the order of their
     id's hash. Only the ids picked are broadcast: `Settings.rows` of them."""
     settings = settings or Settings()
+    python_ready(docs.sparkSession)
     picked = (
         labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "label")
         .distinct().withColumn("place", F.xxhash64("doc_id"))
@@ -133,6 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
 def score(docs: DataFrame, model: Model, settings: Settings | None = None) -> DataFrame:
     """doc_id, score: one row per input row."""
     settings = settings or Settings()
+    python_ready(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))
 
     def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import chat, html_text, quality_classifier, quality_rules, toxicity
+from crewlens.llm import chat, html_text, minhash, quality_classifier, quality_rules, toxicity
 from crewlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op3_quality_classifier(spark, sf_dir):
     return _scored(spark, sf_dir, quality_classifier, "quality", 4, 2, 0.7)
 
 
+@register
+def op5_minhash_dedup(spark, sf_dir):
+    return minhash.groups(read(spark, sf_dir, "documents"))
+
+
 @register
 def op6_chat_formatting(spark, sf_dir):
     said = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

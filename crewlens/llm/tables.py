@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import crewlens
+from crewlens.session import scratch_path
+
 # Space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]"
 NOT_SPACES = r"[^\x20\x09-\x0D]"
@@ -24,3 +31,26 @@ def words(text: Column) -> Column:
 def lines(text: Column) -> Column:
     """The \\n-split lines of a text; none for a null text."""
     return F.coalesce(F.split(text, "\n"), F.array().cast("array<string>"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def python_ready(spark: SparkSession) -> None:
+    """Before texts go to Python functions: they go a few at a time, so that memory holds some long
+    ones and not thousands, and the executors get this package, wherever the driver found it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    top = Path(crewlens.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(top.rglob("*.py")):
+            archive.write(file, file.relative_to(top.parent))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'code')}/crewlens-code.zip")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(packed.getvalue())
+    stream.close()
+    spark.sparkContext.addPyFile(path.toString())
+    _SHIPPED.add(application)

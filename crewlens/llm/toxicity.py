@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crewlens.llm.tables import python_ready
+
 CHUNK = 1 << 17
 
 
@@ -119,6 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
     """docs: doc_id, text; labels: doc_id, label (0 or 1). Only the ids picked are broadcast:
     `Settings.toxic_rows` and `Settings.other_rows` of them."""
     settings = settings or Settings()
+    python_ready(docs.sparkSession)
     known = labels.filter(F.col("doc_id").isNotNull()).select("doc_id", F.col("label").cast("int").alias("label")).distinct()
     picked = [
         known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -142,6 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
 def score(docs: DataFrame, model: Model, settings: Settings | None = None) -> DataFrame:
     """doc_id, score: one row per input row."""
     settings = settings or Settings()
+    python_ready(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))
 
     def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
