@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import chat, html_text, minhash, quality_classifier, quality_rules, toxicity
+from crewlens.llm import chat, html_text, minhash, packing, quality_classifier, quality_rules, toxicity
 from crewlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -59,6 +62,13 @@ def op6_chat_formatting(spark, sf_dir):
     return chat.read_back(chat.format_chat(chat.text_messages(said.unionByName(added))))
 
 
+@register
+def op7_packing(spark, sf_dir):
+    pieces = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset", "document", "tier", "step_id")
+
+
 @register
 def op8_html_extraction(spark, sf_dir):
     return html_text.extract(read(spark, sf_dir, "pages"))
