@@ -4,8 +4,9 @@ Documents are routed by length to context-size tiers (powers of two). What excee
 window fills whole windows of it; the rest, or a shorter document, goes to the smallest tier that
 holds it. Windows are packed from the longest tier down: a window takes one document of its tier,
 then the largest documents of shorter tiers that fit its gap, and then the head of one more
-document, cut at the window's end; what is left of that one is routed anew. So every sequence is
-full, at a power of two, but for the last one of a task. Sequences of one tier are put into step
+document, cut at the window's end; what is left of that one is routed anew. A task's last tokens,
+fewer than the longest window, make a few sequences at smaller powers of two. So every sequence is
+full, at a power of two. Sequences of one tier are put into step
 groups of `STEP_TOKENS` tokens each, so that every training step has as much to do.
 
 Each task packs its own partition in one pass: it holds `BUFFER_TOKENS` tokens and the documents of
@@ -96,14 +97,21 @@ class Packer:
                 self._write(size, pieces)
 
     def finish(self) -> None:
+        """What is left is less than the longest window: sequences of its binary digits' sizes."""
         self.pack()
-        if self.held:  # less than the longest window: one sequence to be padded
-            pieces = []
-            for tier in reversed(range(len(self.tiers))):
-                while self.waiting[tier]:
-                    rest = self._take(tier, len(self.waiting[tier]) - 1)
-                    pieces.append((*rest, len(rest[2]) - rest[3]))
-            self._write(self.tiers[-1], pieces)
+        rests = [self._take(tier, len(self.waiting[tier]) - 1)
+                 for tier in reversed(range(len(self.tiers))) for _ in range(len(self.waiting[tier]))]
+        left = sum(len(ids) - at for _, _, ids, at in rests)
+        for size in (1 << bit for bit in reversed(range(left.bit_length())) if left >> bit & 1):
+            room, pieces = size, []
+            while room:
+                doc_id, document, ids, at = rests.pop()
+                length = min(room, len(ids) - at)
+                pieces.append((doc_id, document, ids, at, length))
+                room -= length
+                if at + length < len(ids):
+                    rests.append((doc_id, document, ids, at + length))
+            self._write(size, pieces)
 
     def _write(self, size: int, pieces: list[tuple]) -> None:
         step = self.steps.get(size)
