@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import chat, html_text, minhash, packing, quality_classifier, quality_rules, toxicity
+from crewlens.llm import chat, embeddings, html_text, minhash, packing, quality_classifier, quality_rules, toxicity
 from crewlens.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op3_quality_classifier(spark, sf_dir):
     return _scored(spark, sf_dir, quality_classifier, "quality", 4, 2, 0.7)
 
 
+@register
+def op4_embedding_dedup(spark, sf_dir):
+    return embeddings.groups(read(spark, sf_dir, "embeddings"))
+
+
 @register
 def op5_minhash_dedup(spark, sf_dir):
     return minhash.groups(read(spark, sf_dir, "documents"))
