@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import chat, embeddings, html_text, minhash, packing, quality_classifier, quality_rules, toxicity
-from crewlens.llm.tables import read
+from crewlens.llm import chat, embeddings, html_text, line_dedup, minhash, mixing, packing, quality_classifier, quality_rules, toxicity
+from crewlens.llm.tables import lines, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,20 @@ def op1_toxicity(spark, sf_dir):
     return _scored(spark, sf_dir, toxicity, "toxic", 5, 0, 0.5)
 
 
+@register
+def op2_line_dedup(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    left = line_dedup.marked(docs).select(
+        "row.doc_id", F.col("row.text").alias("before"), "runs",
+        line_dedup.left_over(F.col("row.text"), F.col("runs")).alias("text"))
+    deleted = F.transform("runs", lambda r: F.sequence(r["low"], r["high"] - 1))
+    count = lambda text: F.size(lines(F.col(text))).cast("bigint")
+    return left.select(
+        "doc_id", count("before").alias("n_lines"),
+        F.coalesce(F.size(F.array_distinct(F.flatten(deleted))), F.lit(0)).cast("bigint").alias("n_deleted"),
+        "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @register
 def op3_quality_classifier(spark, sf_dir):
     return _scored(spark, sf_dir, quality_classifier, "quality", 4, 2, 0.7)
@@ -79,6 +93,12 @@ def op8_html_extraction(spark, sf_dir):
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+@register
+def op9_mixing(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.schedule(docs).select("row.doc_id", "row.source", "epoch", "block", "slot", "place", "release", "deadline")
+
+
 @register
 def op10_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(quality_rules.measure(read(spark, sf_dir, "documents"), ["doc_id"]))
