@@ -123,4 +123,7 @@ def judge(measured: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
 
 def keep(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """The rows that pass, with their columns as they were."""
-    return judge(measure(docs), rules).filter("kept").select("row.*")
+    # Spark would move the condition below the projections and there compute the sorted windows
+    # again for every element of them; it does not where a projection holds a task's number.
+    judged = judge(measure(docs), rules).select("row", "kept", F.spark_partition_id().alias("task"))
+    return judged.filter(F.col("kept") & (F.col("task") >= 0)).select("row.*")
