@@ -24,14 +24,15 @@ an empty table gives an empty result; columns besides vec_id and embedding are i
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.components import components
+from crewlens.llm.components import components, own_exchange
+from crewlens.llm.grouped import group_numbers, local_components, map_groups, neighbours
 from crewlens.llm.tables import python_ready
 from crewlens.session import stored
 
@@ -93,55 +94,19 @@ def hashed(embeddings: DataFrame) -> DataFrame:
         rows, "vec_id bigint, vector binary, keys array<bigint>, sketch binary")
 
 
-def _by_group(handle: Callable[[pd.DataFrame], pd.DataFrame]):
-    """Calls handle with frames that hold whole groups of (key, i, j), from rows in their order."""
-    columns = ["key", "i", "j"]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for frame in frames:
-            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            if not len(frame):
-                continue
-            last = (frame[columns] == frame[columns].iloc[-1]).all(axis=1).to_numpy()
-            start = len(frame) - int(np.argmin(last[::-1])) if not last.all() else 0
-            rest = frame.iloc[start:].reset_index(drop=True)
-            if start:
-                yield handle(frame.iloc[:start].reset_index(drop=True))
-        if rest is not None:
-            yield handle(rest)
-
-    return run
-
-
-def _group_numbers(frame: pd.DataFrame) -> np.ndarray:
-    values = frame[["key", "i", "j"]].to_numpy()
-    return np.cumsum(np.append(True, (values[1:] != values[:-1]).any(axis=1))) - 1
-
-
 def _near(frame: pd.DataFrame) -> pd.DataFrame:
-    """The rows that have a partner near by their sketches: row r is compared with r + 1, r + 2, ..."""
-    group = _group_numbers(frame)
+    """The rows that have a partner near by their sketches."""
     bits = np.frombuffer(b"".join(frame["sketch"]), np.uint64).reshape(len(frame), -1)
-    own, cross = frame["own"].to_numpy(), (frame["i"] != frame["j"]).to_numpy()
     near = np.zeros(len(frame), bool)
-    at, step = np.arange(len(frame)), 1
-    while True:
-        at = at[at + step < len(frame)]
-        at = at[group[at] == group[at + step]]
-        if not len(at):
-            break
-        ahead = at + step
-        close = np.bitwise_count(bits[at] ^ bits[ahead]).sum(axis=1) <= FAR_BITS
-        close &= ~cross[at] | (own[at] != own[ahead])
-        near[at[close]] = near[ahead[close]] = True
-        step += 1
+    for a, b in neighbours(frame):
+        close = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) <= FAR_BITS
+        near[a[close]] = near[b[close]] = True
     return frame.loc[near, ["key", "i", "j", "own", "t", "id"]]
 
 
 def _linked(frame: pd.DataFrame) -> pd.DataFrame:
     """Per row with a link: links counted here, and the smallest id of its component here."""
-    group = _group_numbers(frame)
+    group = group_numbers(frame)
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     out = []
     for start, end in zip(starts, np.append(starts[1:], len(frame)), strict=True):
@@ -159,14 +124,7 @@ def _linked(frame: pd.DataFrame) -> pd.DataFrame:
         if not len(a):
             continue
         # Every link joins, but it counts in the first table that its two vectors share.
-        label = rows["id"].to_numpy().copy()
-        while True:
-            least = np.minimum(label[a], label[b])
-            before = label.copy()
-            np.minimum.at(label, a, least)
-            np.minimum.at(label, b, least)
-            if (before == label).all():
-                break
+        label = local_components(rows["id"].to_numpy(), a, b)
         keys, t = np.stack(rows["keys"].to_numpy()), int(rows["t"].iloc[0])
         first = np.ones(len(a), bool)
         for table in range(t):
@@ -197,15 +155,13 @@ def groups(embeddings: DataFrame) -> DataFrame:
     crowded = in_tables.groupBy("key").count().filter("count > 1").select(
         "key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = in_tables.join(crowded, "key").select(
+    placed = in_tables.join(own_exchange(crowded, "key"), "key").select(
         "key", "t", "id", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     paired = placed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                            "own", "t", "id", "sketch")
-    near = paired.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(
-        _by_group(_near), "key bigint, i int, j int, own int, t int, id bigint")
+    near = map_groups(paired, _near, "key bigint, i int, j int, own int, t int, id bigint")
     joined = near.join(classes.select("id", "vector", "keys", "copies"), "id")
-    linked = stored(joined.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(
-        _by_group(_linked), "id bigint, links bigint, least bigint"), "linked")
+    linked = stored(map_groups(joined, _linked, "id bigint, links bigint, least bigint"), "linked")
 
     links = linked.groupBy("id").agg(F.sum("links").alias("links"))
     found = components(linked.filter("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v")))
