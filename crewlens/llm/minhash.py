@@ -13,11 +13,14 @@ Steps, all of them joins and folds:
    emits one row per class and table, never the pairs of a group.
 3. Pairs whose sizes rule the similarity out, or whose min-hashes agree far too rarely, are left
    out; the others are confirmed on the full sets of their whole texts.
-4. Confirmed links give components. Keys whose classes still lie in several components yield the
-   pairs between different components, which are confirmed in the same way. So a link is lost only
-   if no table has it: within a component no further link can change the result.
+4. Confirmed links give components. Keys of the first collection whose classes still lie in several
+   components are looked at once more: there every class is compared with every class of another
+   component, in blocks of `BLOCK` classes, by sizes and min-hashes, and, if one is plausible, by the
+   full sets. Only one link to its local component leaves a block per class, never the pairs. So a
+   link is lost only if no table has it: within a component no link can change the result.
 
-Every step that groups folds before it shuffles; a hot key is a skewed plain join at most.
+Every step that groups folds before it shuffles; a hot key is a skewed plain join at most, and the
+blocks of a key's largest component meet only the classes outside of it.
 
 Defined cases: a null, empty or wordless text has the empty set and is linked with nothing; rows
 with equal ids are one document that holds all their texts, and each gets its row; a null id is
@@ -35,16 +38,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.components import components
+from crewlens.llm.components import components, own_exchange
+from crewlens.llm.grouped import group_numbers, local_components, map_groups, neighbours
 from crewlens.llm.shingles import MinHash, shingle_set
 from crewlens.llm.tables import python_ready
 from crewlens.session import stored
 
 SIDE = 9
 HALF = 2
-HASHES = 2 * SIDE * HALF
-#: A pair of similarity 0.8 agrees in fewer of the 36 min-hashes with a chance of 2e-5.
-LEAST_AGREEING = 18
+#: Min-hashes of which a byte each is the sketch; the half-keys are made of the first ones.
+HASHES = 128
+#: A pair of similarity 0.8 agrees in fewer of them with a chance of 3e-5.
+LEAST_AGREEING = 84
+BLOCK = 256
+COLUMNS = 4096
 SHARED, OF = 80, 100  # linked if OF * intersection >= SHARED * union
 
 
@@ -62,7 +69,7 @@ def sign(docs: DataFrame) -> DataFrame:
                     rows.append((0, None, None, None))
                     continue
                 least = hashes.signature(elements)
-                halves = least.reshape(-1, HALF).astype(np.uint64)
+                halves = least[: 2 * SIDE * HALF].reshape(-1, HALF).astype(np.uint64)
                 joined = halves[:, 0] << np.uint64(32) | halves[:, 1]
                 rows.append((len(elements), xxhash.xxh3_128_digest(elements.tobytes()),
                              least.astype(np.uint8).tobytes(), joined.astype(np.int64)))
@@ -122,6 +129,101 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select("a", "b", "text_a", "text_b").mapInPandas(similar, "a bigint, b bigint").distinct()
 
 
+def _sizes_fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return OF * np.minimum(a, b) >= SHARED * np.maximum(a, b)
+
+
+def _has_plausible(frame: pd.DataFrame) -> pd.DataFrame:
+    """The rows with a plausible partner in another component."""
+    sketches = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(frame), HASHES)
+    component, size = frame["component"].to_numpy(), frame["n_shingles"].to_numpy()
+    found = np.zeros(len(frame), bool)
+    for a, b in neighbours(frame):
+        fit = (component[a] != component[b]) & _sizes_fit(size[a], size[b])
+        a, b = a[fit], b[fit]
+        close = (sketches[a] == sketches[b]).sum(axis=1) >= LEAST_AGREEING
+        found[a[close]] = found[b[close]] = True
+    return frame.loc[found, ["key", "i", "j", "own", "id", "component"]]
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements every two sets share."""
+    elements, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    common = np.cumsum(count > 1) - 1
+    row, column = row[count[place] > 1], common[place[count[place] > 1]]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int(common[-1]) + 1 if len(common) else 0, COLUMNS):
+        some = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[row[some], column[some] - low] = 1
+        total += held @ held.T
+    return total.astype(np.int64)
+
+
+def _links_across(frame: pd.DataFrame) -> pd.DataFrame:
+    """Per row with a link to another component, the smallest id that it reaches here."""
+    group = group_numbers(frame)
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    out = [pd.DataFrame({"u": [], "v": []}).astype("int64")]
+    for start, end in zip(starts, np.append(starts[1:], len(frame)), strict=True):
+        rows = frame.iloc[start:end]
+        sets = [np.frombuffer(s, np.uint64) for s in rows["elements"]]
+        size, shared = np.array([len(s) for s in sets]), _shared(sets)
+        linked = np.triu(OF * shared >= SHARED * (size[:, None] + size[None, :] - shared), 1)
+        component = rows["component"].to_numpy()
+        linked &= component[:, None] != component[None, :]
+        a, b = np.nonzero(linked)
+        if len(a):
+            ids = rows["id"].to_numpy()
+            least = local_components(ids, a, b)
+            moved = least != ids
+            out.append(pd.DataFrame({"u": ids[moved], "v": least[moved]}))
+    return pd.concat(out)
+
+
+def _elements(texts: DataFrame) -> DataFrame:
+    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"id": frame["doc_id"], "elements": [shingle_set(t).tobytes() for t in frame["text"]]})
+
+    return texts.mapInPandas(sets, "id bigint, elements binary")
+
+
+def links_across(members: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """u, v: links that join components, of classes that share a table key."""
+    placed = members.join(found.withColumnRenamed("u", "id"), "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("l"), F.max("component").alias("h")).filter("l < h")
+    # Only classes of such keys, and of these only what the first collection's half-keys bring together.
+    open_ids = placed.join(own_exchange(mixed.select("key"), "key"), "key").select("id", "component").distinct()
+    known = open_ids.join(classes.select("id", "n_shingles", "sketch", "halves"), "id")
+    half = F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "half")
+    rows = stored(known.select("id", "component", "n_shingles", "sketch", half).select(
+        "id", "component", "n_shingles", "sketch", F.xxhash64("place", "half").alias("key")), "open")
+
+    sizes = rows.groupBy("key", "component").count().groupBy("key").agg(
+        F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n"), F.count("*").alias("components"))
+    blocks = sizes.filter("components > 1").select(
+        "key", F.col("main.component").alias("main"),
+        F.ceil(F.col("main.count") / BLOCK).cast("int").alias("p"),
+        F.ceil((F.col("n") - F.col("main.count")) / BLOCK).cast("int").alias("q"))
+    cut = rows.join(own_exchange(blocks, "key"), "key")
+    is_main = F.col("component") == F.col("main")
+    salt = F.xxhash64("id")
+    # The largest component's blocks are -p to -1, the others' 0 to q - 1.
+    own = F.when(is_main, F.pmod(salt, F.col("p")) - F.col("p")).otherwise(F.pmod(salt, F.col("q"))).cast("int")
+    others = F.sequence(F.lit(0), F.col("q") - 1)
+    partners = F.when(is_main, others).otherwise(F.concat(others, F.sequence(-F.col("p"), F.lit(-1))))
+    paired = cut.select("key", "id", "component", "n_shingles", "sketch", own.alias("own"), F.explode(partners).alias("with")).select(
+        "key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "id", "component", "n_shingles", "sketch")
+    hopeful = stored(map_groups(paired, _has_plausible, "key bigint, i int, j int, own int, id bigint, component bigint"), "hopeful")
+    needed = texts.join(hopeful.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    return stored(map_groups(hopeful.join(_elements(needed), "id"), _links_across, "u bigint, v bigint").distinct(), "links")
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row."""
     python_ready(docs.sparkSession)
@@ -132,33 +234,22 @@ def groups(docs: DataFrame) -> DataFrame:
 
     keys = table_keys(classes)
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").drop("top")
-    members = stored(keys.join(hubs, "key").select("key", "id", "hub"), "members")
+    members = stored(keys.join(own_exchange(hubs, "key"), "key").select("key", "id", "hub"), "members")
     needed = members.select(F.col("id").alias("doc_id")).distinct()
     texts = stored(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi"), "texts")
 
-    tried = stored(plausible(members.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), classes), "tried")
-    links = stored(confirmed(tried, texts), "links").toDF("u", "v")
+    tried = members.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    links = stored(confirmed(plausible(tried, classes), texts), "links").toDF("u", "v")
     copies = known.join(classes.select("fingerprint", "id"), "fingerprint").filter("doc_id <> id").select(
         F.col("doc_id").alias("u"), F.col("id").alias("v")).distinct()
     found = components(links.unionAll(copies))
-
-    # Keys that still hold several components.
-    placed = members.join(found.withColumnRenamed("u", "id"), "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("l"), F.max("component").alias("h")).filter("l < h").select("key")
-    apart = stored(placed.join(open_keys, "key"), "apart")
-    across = (
-        apart.toDF("key", "a", "own").join(apart.toDF("key", "b", "other"), "key").filter("own < other")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    more = stored(confirmed(plausible(across, classes), texts), "links").toDF("u", "v")
+    more = links_across(members, found, classes, texts)
     if not more.isEmpty():
         found = components(found.toDF("u", "v").unionAll(more))
 
-    placed_docs = signed.join(found.withColumnRenamed("u", "doc_id"), "doc_id", "left")
+    placed = signed.join(found.withColumnRenamed("u", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
-    return placed_docs.select(
+    return placed.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
