@@ -13,7 +13,6 @@ from crewlens.model import Bronze, Gold, Silver
 from crewlens.operators import changes, dims, kpi, quality, roster, scale, scd2, silver
 from crewlens.operators.fact import build_gold
 from crewlens.operators.fact import fact_point_in_time as link_reviews
-from crewlens.operators.lookups import broadcast_if_small
 from crewlens.plans import medallion
 from crewlens.plans.warehouse import Warehouse
 from crewlens.session import scratch_path, tune
@@ -148,16 +147,14 @@ def latest_employee(spark, sf_dir):
 
 @register
 def clean_employees(spark, sf_dir):
-    staged = _bronze(spark, sf_dir).employee
-    departments = broadcast_if_small(silver.clean_departments(staged))
-    return silver.clean_employees(staged, silver.department_lookup(departments))
+    lookup = silver.department_lookup(_silver(spark, sf_dir).departments)
+    return silver.clean_employees(_bronze(spark, sf_dir).employee, lookup)
 
 
 @register
 def clean_projects(spark, sf_dir):
-    staged = _bronze(spark, sf_dir)
-    departments = broadcast_if_small(silver.clean_departments(staged.employee))
-    return silver.clean_projects(staged.project, silver.department_lookup(departments))
+    lookup = silver.department_lookup(_silver(spark, sf_dir).departments)
+    return silver.clean_projects(_bronze(spark, sf_dir).project, lookup)
 
 
 @register

@@ -19,6 +19,11 @@ def match_key(c: Column) -> Column:
     return F.lower(F.trim(c))
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at its ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def is_blank(c: Column) -> Column:
     return F.coalesce(c, F.lit("")).rlike(r"^\s*$")
 

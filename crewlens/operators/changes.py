@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crewlens.functions.rules import employee_rules, first_broken, project_rules, review_rules, unless
-from crewlens.functions.text import fill, is_blank, match_key
+from crewlens.functions.text import fill, is_blank, match_key, strip
 from crewlens.model import (
     ASSIGNMENT_COLUMNS,
     EMPLOYEE_COLUMNS,
@@ -26,7 +26,8 @@ from crewlens.model import (
     ROLE_BY_DEPARTMENT,
     Silver,
 )
-from crewlens.operators.numbering import id_bucket, max_key, number_rows, previous_value
+from crewlens.operators.lookups import own_exchange
+from crewlens.operators.numbering import max_key, number_rows, previous_value
 from crewlens.session import stored
 
 # Messages shown to users.
@@ -86,7 +87,7 @@ def validate_reviews(records: DataFrame, as_of: datetime.date) -> DataFrame:
 
 def _marked(df: DataFrame, keys: DataFrame, on: str, name: str) -> DataFrame:
     """Add a boolean: does `on` occur in `keys` (unique there)?"""
-    marked = df.join(keys.select(on, F.lit(True).alias(name)), on, "left")
+    marked = df.join(own_exchange(keys.select(on, F.lit(True).alias(name)), on), on, "left")
     return marked.withColumn(name, F.coalesce(name, F.lit(False)))
 
 
@@ -102,7 +103,7 @@ def _numbered(judged: DataFrame, table: DataFrame, id_column: str) -> DataFrame:
     decided = stored(judged, "judged")
     accepted = number_rows(
         decided.filter(F.col("reason").isNull()),
-        id_column, ["seq"], id_bucket("seq"), start=max_key(table, id_column),
+        id_column, ["seq"], start=max_key(table, id_column),
     )
     rejected = decided.filter(F.col("reason").isNotNull())
     return accepted.unionByName(
@@ -132,11 +133,11 @@ def add_employees(requests: DataFrame, silver: Silver, as_of: datetime.date) ->
     """New staff: record rules, then unique e-mail (case aside) and known department."""
     cleaned = requests.select(
         "seq",
-        F.trim("first_name").alias("first_name"),
-        F.trim("last_name").alias("last_name"),
-        F.lower(F.trim("email")).alias("email"),
+        strip(F.col("first_name")).alias("first_name"),
+        strip(F.col("last_name")).alias("last_name"),
+        F.lower(strip(F.col("email"))).alias("email"),
         "department_id",
-        F.trim("job_role").alias("job_role"),
+        strip(F.col("job_role")).alias("job_role"),
         "job_level", "hire_date", F.col("hire_date").alias("effective_from"), "age", "gender",
         F.coalesce("marital_status", F.lit("Single")).alias("marital_status"),
         "monthly_income",
@@ -159,7 +160,7 @@ def add_employees(requests: DataFrame, silver: Silver, as_of: datetime.date) ->
 
 def add_projects(requests: DataFrame, silver: Silver) -> Outcome:
     departments = silver.departments.select("department_id")
-    cleaned = requests.withColumn("project_name", F.trim("project_name"))
+    cleaned = requests.withColumn("project_name", strip(F.col("project_name")))
     judged = _marked(validate_projects(cleaned), departments, "department_id", "_department")
     judged = judged.withColumn(
         "reason", F.coalesce("reason", F.when(~F.col("_department"), DEPARTMENT_INVALID))
@@ -205,7 +206,7 @@ def apply_employee_changes(requests: DataFrame, silver: Silver, as_of: datetime.
     )
     departments = silver.departments.select("department_id")
     wanted = requests.select(
-        "seq", "employee_id", "department_id", F.trim("job_role").alias("job_role"), "job_level",
+        "seq", "employee_id", "department_id", strip(F.col("job_role")).alias("job_role"), "job_level",
         "monthly_income", "attrition",
     )
     known = _marked(wanted, departments, "department_id", "_department").join(
@@ -234,7 +235,9 @@ def apply_employee_changes(requests: DataFrame, silver: Silver, as_of: datetime.
         .agg(F.min(F.struct("seq", *_CHANGED)).alias("_change"))
     )
     is_later = F.coalesce(F.col("seq") > F.col("_change.seq"), F.lit(False))
-    judged = first_look.join(change, "employee_id", "left").withColumn(
+    # Most requests may be for one employee: their rows are dealt out anew and can be split.
+    looked = own_exchange(first_look, "employee_id")
+    judged = looked.join(own_exchange(change, "employee_id"), "employee_id", "left").withColumn(
         "reason",
         F.when(is_later & _unchanged("_change"), NOTHING_CHANGED)
         .when(is_later, CHANGED_TODAY)
@@ -264,7 +267,7 @@ def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
         "project_id", "project_name", F.col("status").alias("_stored")
     )
     checked = (
-        requests.select("seq", "project_id", F.trim("status").alias("status"))
+        requests.select("seq", "project_id", strip(F.col("status")).alias("status"))
         .join(known, "project_id", "left")
         .withColumn(
             "_reason",
@@ -280,7 +283,7 @@ def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
     # Only valid requests set a status.
     judged = previous_value(
         checked.withColumn("_sets", F.when(F.col("_reason").isNull(), F.col("status"))),
-        "_earlier", "project_id", "seq", "_sets", id_bucket("seq"),
+        "_earlier", "project_id", "seq", "_sets",
     ).withColumn(
         "reason",
         F.coalesce(
@@ -315,6 +318,10 @@ def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
 # At most 100 assignments of one percent fit one person. So among one person's requests of equal
 # size, each for another project, only the first 100 / size can still find room, and at most 100
 # more can be passed over because the project was taken meanwhile. All others cannot be accepted.
+# In full: the used share never falls while a queue is handled. So a request of one size that finds no
+# room is never followed by an accepted one of the same size, and before it at most 100 of that
+# size were accepted and at most 100 refused because their project was taken (each by another
+# accepted request, of which there are at most 100). A request past the 200th cannot be accepted.
 _MOST_ASSIGNMENTS = 100
 _MOST_CANDIDATES = 2 * _MOST_ASSIGNMENTS
 
@@ -395,7 +402,7 @@ def assign_employees(requests: DataFrame, silver: Silver, as_of: datetime.date)
         "employee_id", "project_id", F.col("seq").alias("_since")
     )
     steps = number_rows(
-        steps, "assignment_id", ["_since"], id_bucket("_since"),
+        steps, "assignment_id", ["_since"],
         start=max_key(silver.assignments, "assignment_id"),
     )
     # What an employee had in use when a request came: the last earlier step (at most 100 exist).
@@ -441,7 +448,7 @@ def assign_employees(requests: DataFrame, silver: Silver, as_of: datetime.date)
     result = _with_message(judged, F.lit(ASSIGNED))
 
     def after(requests: DataFrame) -> Silver:
-        rows = requests.withColumn("role_on_project", F.trim("role_on_project")).withColumn(
+        rows = requests.withColumn("role_on_project", strip(F.col("role_on_project"))).withColumn(
             "assigned_date", F.lit(as_of)
         )
         return _appending(silver, "assignments", ASSIGNMENT_COLUMNS)(rows)
@@ -519,16 +526,14 @@ def account_eligibility(
 ) -> DataFrame:
     """Which work e-mails may open an account, and with which role."""
     mapping = role_by_department or ROLE_BY_DEPARTMENT
-    taken = users.select(F.lower(F.trim("username")).alias("username")).distinct()
+    taken = users.select(F.lower(strip(F.col("username"))).alias("username")).distinct()
+    wanted = requests.select("seq", F.lower(strip(F.col("email"))).alias("username"))
+    # Looked up once per name: a name that most requests give is joined back as a split key.
+    names = _marked(wanted.select("username").distinct(), taken, "username", "_taken").join(
+        _departments_by_email(silver).withColumnRenamed("_email", "username"), "username", "left"
+    )
     checked = (
-        _marked(
-            requests.select("seq", F.lower(F.trim("email")).alias("username")),
-            taken, "username", "_taken",
-        )
-        .join(
-            _departments_by_email(silver).withColumnRenamed("_email", "username"),
-            "username", "left",
-        )
+        wanted.join(own_exchange(names, "username"), "username", "left")
         .withColumn("role", _role_of(F.col("department_name"), mapping))
         .withColumn(
             "reason",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.model import DIM_PROJECT_COLUMNS
-from crewlens.operators.numbering import id_bucket, max_key, number_rows
+from crewlens.operators.numbering import max_key, number_rows
 
 
 def upsert(
@@ -22,7 +22,7 @@ def upsert(
     order = [surrogate_key, business_key, *columns]
     if existing is None:
         return number_rows(
-            incoming, surrogate_key, [business_key], id_bucket(business_key)
+            incoming, surrogate_key, [business_key]
         ).select(*order)
     old, new = existing.alias("old"), incoming.alias("new")
     is_new = F.col(f"new.{business_key}").isNotNull()
@@ -36,7 +36,6 @@ def upsert(
         merged.filter(F.col(surrogate_key).isNull()).drop(surrogate_key),
         surrogate_key,
         [business_key],
-        id_bucket(business_key),
         start=max_key(existing, surrogate_key),
     )
     return known.select(*order).unionByName(added.select(*order))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crewlens.functions.text import exact_avg, full_name, said_yes
+from crewlens.functions.text import exact_avg, full_name, match_key, said_yes
 from crewlens.model import PROJECT_FLAGS, RISK_LEVELS, Gold
 from crewlens.sources.landing import row_counts
 
@@ -19,6 +19,12 @@ def _named(df: DataFrame, dim_department: DataFrame) -> DataFrame:
     return df.join(dim_department.select("department_key", "department_name"), "department_key")
 
 
+def _wanted(dim_department: DataFrame, department: str) -> DataFrame:
+    """Keys of the department of that name, whatever its case."""
+    same = match_key(F.col("department_name")) == match_key(F.lit(department))
+    return dim_department.filter(same).select("department_key")
+
+
 def yoy_performance(
     fact: DataFrame, dim_department: DataFrame, department: str | None = None
 ) -> DataFrame:
@@ -26,16 +32,15 @@ def yoy_performance(
 
     The fact holds a review once, so counting rows counts distinct reviews.
     """
+    if department is not None:
+        fact = fact.join(_wanted(dim_department, department), "department_key", "left_semi")
     yearly = fact.groupBy(review_year(), "department_key").agg(
         F.count("review_id").alias("review_count"),
         F.avg("review_score").alias("_score"),
         exact_avg("performance_rating").alias("_rating"),
     )
     prior = F.lag("_score").over(Window.partitionBy("department_key").orderBy("review_year"))
-    result = _named(yearly, dim_department)
-    if department is not None:
-        result = result.filter(F.col("department_name") == department)
-    return result.select(
+    return _named(yearly, dim_department).select(
         "review_year",
         "department_name",
         "review_count",
@@ -73,8 +78,7 @@ def top_employees(
     if year is not None:
         reviews = reviews.filter(F.col("review_year") == year)
     if department is not None:
-        wanted = dim_department.filter(F.col("department_name") == department)
-        reviews = reviews.join(wanted.select("department_key"), "department_key", "left_semi")
+        reviews = reviews.join(_wanted(dim_department, department), "department_key", "left_semi")
     # Versions first, so a person's reviews are folded together before names are joined on.
     per_version = reviews.groupBy("review_year", "department_key", "employee_key").agg(
         F.sum((F.col("review_score") * 100).cast("bigint")).alias("_cents"),

@@ -1,7 +1,8 @@
 """Consecutive numbers and predecessor lookups in a global order, without one task seeing all rows.
 
-Both work per bucket, a value that rises with the order and holds a bounded number of rows
-(for a unique integer id: id div 1,000,000). Only one row per bucket meets in a single window.
+Both work per bucket, a value that rises with the order. Buckets lie between the values of a sample:
+those whose hash is lowest, so the same rows give the same buckets, whatever the partitioning and
+however the values are spaced. Only one row per bucket, BUCKETS at most, meets in a single window.
 """
 
 from __future__ import annotations
@@ -11,27 +12,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_ROWS = 1_000_000
+_STEP = 32
+BUCKETS = _STEP * _STEP
 
 
-def id_bucket(column: str) -> Column:
-    return F.expr(f"`{column}` div {BUCKET_ROWS}")
+def with_bucket(df: DataFrame, column: str) -> DataFrame:
+    """Add `_bucket` of a row by the value of a column: how many sampled values are smaller.
+
+    The sample is the few values of lowest hash, kept per map task (no sort of the whole). Each row
+    looks among every 32nd of them, and then among the 32 after the one found.
+    """
+    values = df.select(F.col(column).alias("v")).filter("v IS NOT NULL")
+    lowest = values.orderBy(F.xxhash64("v"), "v").limit(BUCKETS - 1)
+    sample = lowest.agg(F.array_sort(F.collect_set("v"))).scalar()
+    marks = F.filter("_sample", lambda _, i: i % _STEP == _STEP - 1)
+    coarse = F.size(F.filter(marks, lambda x: x < F.col(column))) * _STEP
+    rest = F.slice("_sample", F.col("_coarse") + 1, F.lit(_STEP))
+    fine = F.size(F.filter(rest, lambda x: x < F.col(column)))
+    return (
+        df.withColumn("_sample", sample)
+        .withColumn("_coarse", coarse)
+        .withColumn("_bucket", F.coalesce(F.col("_coarse") + fine, F.lit(0)))
+        .drop("_sample", "_coarse")
+    )
 
 
 def number_rows(
     df: DataFrame,
     name: str,
     order_by: Sequence[str | Column],
-    bucket: Column,
     within: Sequence[str] = (),
     start: Column | int = 0,
 ) -> DataFrame:
     """Add `name` = start + 1, start + 2, ... in `order_by` order (restarting in each `within` group).
 
-    `bucket` must never fall as the order advances.
+    The first of `order_by` is a column name: its values make the buckets.
     """
     groups = [*within, "_bucket"]
-    rows = df.withColumn("_bucket", bucket)
+    rows = with_bucket(df, order_by[0])
     before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -51,14 +69,14 @@ def number_rows(
 
 
 def previous_value(
-    df: DataFrame, name: str, key: str, order_by: str, value: str, bucket: Column
+    df: DataFrame, name: str, key: str, order_by: str, value: str
 ) -> DataFrame:
     """Add `name` = the last non-NULL `value` among the rows before, in `order_by` order within `key`.
 
     A key may hold any share of the rows: it is cut into buckets, and each bucket starts from
     the last value of the buckets before it.
     """
-    rows = df.withColumn("_bucket", bucket)
+    rows = with_bucket(df, order_by)
 
     def last_before(column: str, window) -> Column:
         return F.last(column, ignorenulls=True).over(

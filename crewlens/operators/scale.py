@@ -19,8 +19,7 @@ from crewlens.functions.draws import (
     letters,
     pick,
 )
-from crewlens.operators.lookups import broadcast_if_small
-from crewlens.operators.numbering import BUCKET_ROWS, id_bucket, number_rows
+from crewlens.operators.numbering import number_rows
 
 # Fixed values of the generated data.
 REFERENCE_DATE = "2025-12-31"
@@ -54,14 +53,17 @@ def dept_roles(base: DataFrame) -> DataFrame:
 
 
 def _indexed_departments(base: DataFrame) -> DataFrame:
-    return broadcast_if_small(
-        number_rows(dept_roles(base), "dept_index", ["department"], F.substring("department", 1, 2))
-    )
+    return number_rows(dept_roles(base), "dept_index", ["department"])
 
 
 def upsample_rows(base: DataFrame, target_rows: int, key: str) -> DataFrame:
-    """Base rows in `key` order as ids 1..n, then rows drawn from them with replacement up to N."""
-    indexed = number_rows(base, "_index", [key], id_bucket(key)).drop(key)
+    """Base rows in `key` order as ids 1..n, then rows drawn from them with replacement up to N.
+
+    Every base row is in the result: a target below their number is an error.
+    """
+    if base.limit(target_rows + 1).count() > target_rows:
+        raise ValueError(f"target_rows is {target_rows}, but there are more base rows.")
+    indexed = number_rows(base, "_index", [key]).drop(key)
     ids = base.sparkSession.range(1, target_rows + 1).withColumnRenamed("id", _ID)
     return (
         ids.withColumn("_n", _count(base))
@@ -131,7 +133,7 @@ def sample_history(employees: DataFrame, share: float = 0.05) -> DataFrame:
     eligible = employees.filter("years_at_company >= 2").selectExpr(
         _ID, "hire_date", f"{draw_int('history', _ID)} AS _draw"
     )
-    ranked = number_rows(eligible, "_nth", ["_draw", _ID], F.expr("_draw div 65536"))
+    ranked = number_rows(eligible, "_nth", ["_draw", _ID])
     offset = f"180 + {draw_int('change', _ID)} % (datediff({_TODAY}, hire_date) - 240)"
     return ranked.filter(F.col("_nth") <= F.floor(_count(employees) * F.lit(share))).selectExpr(
         _ID, f"date_add(hire_date, cast({offset} AS int)) AS change_date"
@@ -175,7 +177,7 @@ def prior_version(employees: DataFrame, sampled: DataFrame, base: DataFrame) ->
         "date_sub(change_date, 1) AS valid_to",
         "_kind AS change_reason",
     )
-    return number_rows(rows, "history_id", [_ID], id_bucket(_ID)).select(
+    return number_rows(rows, "history_id", [_ID]).select(
         "history_id", *rows.columns
     )
 
@@ -232,9 +234,9 @@ def make_assignments(employees: DataFrame, projects: DataFrame) -> DataFrame:
         projects.filter("status = 'Active'").selectExpr(
             "department", "project_id", "start_date AS _start"
         ),
-        "_nth", ["project_id"], id_bucket("project_id"), within=["department"],
+        "_nth", ["project_id"], within=["department"],
     )
-    sizes = broadcast_if_small(pool.groupBy("department").agg(F.count("*").alias("_size")))
+    sizes = pool.groupBy("department").agg(F.count("*").alias("_size"))
     return (
         employees.select(_ID, "department", "hire_date")
         .join(sizes, "department", "left")
@@ -263,7 +265,7 @@ def make_reviews(employees: DataFrame, assignments: DataFrame) -> DataFrame:
         F.min_by("project_id", "assignment_id").alias("project_id")
     )
     years = ", ".join(map(str, REVIEW_SHIFTS))
-    in_order = F.expr(f"shiftleft(cast(year AS bigint), 40) + employee_id div {BUCKET_ROWS}")
+    in_order = F.expr(f"cast(year AS decimal(24,0)) * 10000000000000000000 + {_ID}")
     yearly = (
         employees.selectExpr(
             _ID, "hire_date", "performance_rating", *moods, f"explode(array({years})) AS year"
@@ -272,9 +274,9 @@ def make_reviews(employees: DataFrame, assignments: DataFrame) -> DataFrame:
         .filter("hire_date <= date_sub(review_date, 90)")
     )
     return (
-        number_rows(yearly, "review_id", ["year", _ID], in_order)
+        number_rows(yearly.withColumn("_order", in_order), "review_id", ["_order"])
         .selectExpr(
-            "* EXCEPT (performance_rating)",
+            "* EXCEPT (performance_rating, _order)",
             f"greatest(1, least(5, performance_rating + CASE year {shifts} END)) AS performance_rating",
         )
         .join(first_project, _ID, "left")

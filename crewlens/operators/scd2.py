@@ -16,9 +16,19 @@ from crewlens.operators.numbering import max_key
 # has its own source id, so the key needs no sort, shuffle or counter; it is the same when a lost
 # task reruns, and a later load always gets larger keys.
 _ID_BITS = 42
+_LEAST_TOO_LARGE = 1 << _ID_BITS
 _LOAD_SHIFT = _ID_BITS + 1
 
 
+def _source_id(column: str) -> Column:
+    """An id that fits its bits; any other fails, as its keys could meet those of other versions."""
+    c = F.col(column)
+    problem = F.concat(F.lit(f"{column} does not fit a version key: "), c.cast("string"))
+    return F.when(
+        (c < 0) | (c >= _LEAST_TOO_LARGE), F.raise_error(problem).cast("bigint")
+    ).otherwise(c.cast("bigint"))
+
+
 def valid_history(history: DataFrame) -> DataFrame:
     """History rows with a usable interval; role and reason trimmed."""
     return (
@@ -45,7 +55,7 @@ def scd2_incoming(
         F.lit(OPEN_END).cast("date").alias("end_date"),
         F.lit(True).alias("is_current"),
         F.lit(None).cast("string").alias("change_reason"),
-        (F.lit(1 << _ID_BITS) + F.col("employee_id")).alias("_source"),
+        (F.lit(_LEAST_TOO_LARGE) + _source_id("employee_id")).alias("_source"),
     )
     names = departments.join(keys, "department_id").select(
         match_key(F.col("department_name")).alias("_department"), "department_key"
@@ -61,7 +71,7 @@ def scd2_incoming(
             F.col("valid_to").alias("end_date"),
             F.lit(False).alias("is_current"),
             "change_reason",
-            F.col("history_id").alias("_source"),
+            _source_id("history_id").alias("_source"),
         )
     )
     return current.unionByName(past)

@@ -14,8 +14,8 @@ from crewlens.model import (
     Bronze,
     Silver,
 )
-from crewlens.operators.lookups import broadcast_if_small
 from crewlens.operators.numbering import max_key, number_rows
+from crewlens.session import stored
 
 
 def _has_department(df: DataFrame) -> DataFrame:
@@ -25,30 +25,33 @@ def _has_department(df: DataFrame) -> DataFrame:
 def clean_departments(stg_employee: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Distinct department names with an id.
 
-    First load: ids follow name order. With `existing` departments, names already known keep
-    their id and new ones are appended, so a new name never renumbers the others.
+    First load: ids follow name order. With `existing` ids (all ever given), names already known
+    keep theirs and new ones get the next, so a new name never renumbers the others. Only names
+    that staging holds now are returned.
     """
     names = (
         _has_department(stg_employee)
         .select(sentence_case(F.col("department")).alias("department_name"))
         .distinct()
     )
-    start = 0
-    if existing is not None:
-        names = names.join(existing, "department_name", "left_anti")
-        start = max_key(existing, "department_id")
-    numbered = number_rows(
-        names, "department_id", ["department_name"], F.substring("department_name", 1, 2), start=start
-    ).select("department_id", "department_name")
-    return numbered if existing is None else existing.unionByName(numbered)
+    if existing is None:
+        return number_rows(names, "department_id", ["department_name"]).select(
+            "department_id", "department_name"
+        )
+    known = existing.select("department_id", "department_name")
+    added = number_rows(
+        names.join(known, "department_name", "left_anti"),
+        "department_id", ["department_name"], start=max_key(existing, "department_id"),
+    )
+    present = known.join(names, "department_name", "left_semi").select(known.columns)
+    return present.unionByName(added.select(known.columns))
 
 
 def department_lookup(departments: DataFrame) -> DataFrame:
     """Department ids under the key names are compared on.
 
-    Hand in stored departments (their size is known, so Spark broadcasts them while they are small)
-    or ones that went through broadcast_if_small: a shuffle would bring together all rows of a
-    department.
+    Hand in stored departments: their size is known, so Spark broadcasts them while they are small
+    and splits the rows of a frequent department beyond that.
     """
     return departments.select(
         match_key(F.col("department_name")).alias("_department"), "department_id"
@@ -101,13 +104,22 @@ def clean_employees(stg_employee: DataFrame, lookup: DataFrame) -> DataFrame:
     return with_department_id(latest_employee(stg_employee), lookup).select(*EMPLOYEE_COLUMNS)
 
 
+def _distinct_text(df: DataFrame, text: list[str]) -> DataFrame:
+    """Distinct rows where case does not tell text apart; of several spellings the first in order
+    is kept."""
+    same = [F.lower(c).alias(f"_{c}") if c in text else F.col(c) for c in df.columns]
+    spelling = F.min(F.struct(*text)).alias("_spelling")
+    rows = df.groupBy(*same).agg(spelling)
+    return rows.select(*[F.col(f"_spelling.{c}") if c in text else F.col(c) for c in df.columns])
+
+
 def clean_projects(stg_project: DataFrame, lookup: DataFrame) -> DataFrame:
-    return (
+    rows = (
         with_department_id(stg_project.filter(F.col("project_id").isNotNull()), lookup)
         .withColumn("project_name", F.trim("project_name"))
         .select(*PROJECT_COLUMNS)
-        .distinct()
     )
+    return _distinct_text(rows, ["project_name", "status"])
 
 
 def _known_references(df: DataFrame, employees: DataFrame, projects: DataFrame) -> DataFrame:
@@ -121,7 +133,7 @@ def fk_filtered_assignments(
 ) -> DataFrame:
     rows = stg_assignment.withColumn("role_on_project", F.trim("role_on_project"))
     return _known_references(
-        rows.select(*ASSIGNMENT_COLUMNS).distinct(), employees, projects
+        _distinct_text(rows.select(*ASSIGNMENT_COLUMNS), ["role_on_project"]), employees, projects
     ).select(*ASSIGNMENT_COLUMNS)
 
 
@@ -134,7 +146,7 @@ def fk_filtered_reviews(
 
 
 def build_silver(bronze: Bronze, existing_departments: DataFrame | None = None) -> Silver:
-    departments = broadcast_if_small(clean_departments(bronze.employee, existing_departments))
+    departments = stored(clean_departments(bronze.employee, existing_departments), "departments")
     lookup = department_lookup(departments)
     employees = clean_employees(bronze.employee, lookup)
     projects = clean_projects(bronze.project, lookup)

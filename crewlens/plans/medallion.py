@@ -60,9 +60,13 @@ def load_bronze(store: LayerStore, folder: str) -> Bronze:
 
 def load_silver(store: LayerStore, bronze: Bronze) -> Silver:
     """Rebuild Silver from Bronze; the old snapshot stays until the new one is checked and whole."""
-    existing = store.read(SILVER, "departments") if store.exists(SILVER) else None
+    given = [t for t in ("department_ids", "departments") if store.exists(SILVER) and t in store.tables(SILVER)]
+    existing = store.read(SILVER, given[0]) if given else None
     with store.load(SILVER) as load:
         departments = load.put("departments", clean_departments(bronze.employee, existing))
+        # Every id ever given, also of departments without staff now.
+        ids = departments if existing is None else existing.unionByName(departments).distinct()
+        load.put("department_ids", ids)
         lookup = department_lookup(departments)
         employees = load.put("employees", clean_employees(bronze.employee, lookup))
         projects = load.put("projects", clean_projects(bronze.project, lookup))

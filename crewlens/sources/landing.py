@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +25,10 @@ _CSV = {
     "dateFormat": "yyyy-MM-dd",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    # A quote inside a value is doubled, and a value may hold line ends.
+    "quote": '"',
+    "escape": '"',
+    "multiLine": True,
 }
 # A value that does not fit its type, or a file with another header, fails the read.
 _STRICT = {**_CSV, "mode": "FAILFAST", "enforceSchema": False}
@@ -52,12 +54,17 @@ def _must_exist(spark: SparkSession, path: str) -> str:
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("header", True).csv(path).columns
+    return spark.read.options(**_CSV).csv(path).columns
 
 
 def snake_case(name: str) -> str:
-    """'MonthlyIncome' -> 'monthly_income'."""
-    return re.sub(r"(?<!^)([A-Z])", r"_\1", name).lower()
+    """'MonthlyIncome' -> 'monthly_income': capitals begin words, and words are joined by a line."""
+    words = [""]
+    for letter in name:
+        if "A" <= letter <= "Z":
+            words.append("")
+        words[-1] += letter.lower()
+    return "_".join(words[0 if words[0] or len(words) == 1 else 1:])
 
 
 def raw_hr_ingest(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:

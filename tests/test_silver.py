@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 from conftest import day, rows
 from crewlens.model import STG_ASSIGNMENT, STG_EMPLOYEE, STG_PROJECT
 from crewlens.operators import silver
-from crewlens.operators.lookups import broadcast_if_small
-from crewlens.operators.numbering import id_bucket, number_rows, previous_value
+from crewlens.operators import numbering
+from crewlens.operators.numbering import number_rows, previous_value
+from crewlens.session import stored
 
 
 def staged(spark, *people):
@@ -61,7 +62,7 @@ def test_copies_are_reduced_before_the_shuffle(spark):
 
 def test_projects_and_assignments_need_known_references(spark):
     people = staged(spark, person(1), person(2, "Legal"))
-    departments = broadcast_if_small(silver.clean_departments(people))
+    departments = stored(silver.clean_departments(people), "departments")
     lookup = silver.department_lookup(departments)
     employees = silver.clean_employees(people, lookup)
     project = (1, " One ", "SALES", day("2020-01-01"), day("2021-01-01"), "Active", None)
@@ -83,26 +84,39 @@ def test_projects_and_assignments_need_known_references(spark):
 
 def test_numbers_run_through_buckets_and_groups(spark):
     df = spark.range(0, 5_000_000, 500_000).withColumn("g", F.col("id") % 1_000_000)
-    out = number_rows(df, "n", ["id"], id_bucket("id"), start=100)
+    out = number_rows(df, "n", ["id"], start=100)
     assert rows(out, "id", "n") == sorted(
         ((i * 500_000, 101 + i) for i in range(10)), key=repr
     )
-    grouped = number_rows(df, "n", ["id"], id_bucket("id"), within=["g"])
+    grouped = number_rows(df, "n", ["id"], within=["g"])
     assert sorted(r.n for r in grouped.collect()) == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
 
 
 def test_previous_value_crosses_buckets(spark):
     data = [(1, 1, "a"), (1, 5, "b"), (1, 2_000_000, "c"), (1, 9_000_000, "d"), (2, 3, "x")]
     df = spark.createDataFrame(data, "k bigint, seq bigint, v string")
-    out = previous_value(df, "p", "k", "seq", "v", id_bucket("seq"))
+    out = previous_value(df, "p", "k", "seq", "v")
     assert rows(out, "v", "p") == [("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("x", None)]
 
 
-def test_large_lookups_are_not_broadcast(spark, monkeypatch):
-    from crewlens.operators import lookups
+def test_buckets_hold_a_bounded_share_however_ids_are_spaced(spark):
+    for ids in (range(0, 5_000_000_000 * 3000, 5_000_000_000), range(3000), [7, *range(10**15, 10**15 + 2999)]):
+        df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+        counts = numbering.with_bucket(df, "id").groupBy("_bucket").count().collect()
+        assert len(counts) <= numbering.BUCKETS and max(r["count"] for r in counts) < 60
+        assert [r.n for r in number_rows(df, "n", ["id"]).orderBy("id").collect()] == list(range(1, 3001))
 
-    df = spark.range(20)
-    monkeypatch.setattr(lookups, "MAX_ROWS", 10)
-    assert lookups.broadcast_if_small(df) is df
-    monkeypatch.setattr(lookups, "MAX_ROWS", 20)
-    assert rows(lookups.broadcast_if_small(df)) == rows(df)
+
+def test_vanished_departments_go_and_keep_their_id(spark):
+    first = silver.clean_departments(staged(spark, person(1, "Sales"), person(2, "Ops")))
+    assert rows(first, "department_name", "department_id") == [("Ops", 1), ("Sales", 2)]
+    later = silver.clean_departments(staged(spark, person(1, "SALES"), person(2, "Law")), first)
+    assert rows(later, "department_name", "department_id") == [("Law", 3), ("Sales", 2)]
+
+
+def test_spellings_of_one_project_are_one_row(spark):
+    people = staged(spark, person(1))
+    lookup = silver.department_lookup(stored(silver.clean_departments(people), "departments"))
+    project = (1, "Alpha", "SALES", day("2020-01-01"), day("2021-01-01"), "Active", None)
+    df = spark.createDataFrame([project, (1, "ALPHA ", *project[2:])], STG_PROJECT)
+    assert rows(silver.clean_projects(df, lookup), "project_id", "project_name") == [(1, "ALPHA")]
