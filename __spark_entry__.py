@@ -397,6 +397,59 @@ def employee_history(spark, sf_dir):
     return _warehouse(spark, sf_dir).employee_history()
 
 
+# -- the same questions with arguments ---------------------------------------------------------
+
+EMPLOYEE, PROJECT = 43, 42
+
+
+@register
+def yoy_of_department(spark, sf_dir):
+    return _warehouse(spark, sf_dir).yoy_performance("EUROPE")
+
+
+@register
+def top_of_department_and_year(spark, sf_dir):
+    return _warehouse(spark, sf_dir).top_employees(year=1995, department="asia", top_n=3)
+
+
+@register
+def list_projects_by_id(spark, sf_dir):
+    return roster.list_projects(_silver(spark, sf_dir), search=str(PROJECT))
+
+
+@register
+def list_projects_of_employee(spark, sf_dir):
+    return roster.list_projects(_silver(spark, sf_dir), employee_id=EMPLOYEE)
+
+
+@register
+def projects_of_employee(spark, sf_dir):
+    return roster.employee_projects(_silver(spark, sf_dir), EMPLOYEE)
+
+
+@register
+def assignments_of_project(spark, sf_dir):
+    return roster.list_assignments(_silver(spark, sf_dir), project_id=PROJECT)
+
+
+@register
+def reviews_of_employee(spark, sf_dir):
+    return roster.list_reviews(_silver(spark, sf_dir), employee_id=EMPLOYEE)
+
+
+@register
+def history_of_employee(spark, sf_dir):
+    return _warehouse(spark, sf_dir).employee_history(EMPLOYEE)
+
+
+@register
+def staged_by_parameter(spark, sf_dir):
+    """A question in SQL with named parameters."""
+    return landing.read(
+        spark, "SELECT * FROM {projects} WHERE budget > :least AND status = :status",
+        {"projects": _silver(spark, sf_dir).projects}, least=1000000, status="Active")
+
+
 # -- W: change requests ------------------------------------------------------------------------
 
 

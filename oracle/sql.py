@@ -1336,3 +1336,27 @@ SELECT * FROM noisy
 UNION ALL
 SELECT noisy.* FROM noisy JOIN copied USING (employee_id)
 """)
+
+
+# -- the same questions with arguments -----------------------------------------------------------
+
+
+def _where(name: str, condition: str, columns: str = "*") -> str:
+    return f"SELECT {columns} FROM ({QUERIES[name]}) WHERE {condition}"
+
+
+QUERIES["yoy_of_department"] = _where("yoy_performance", "lower(department_name) = 'europe'")
+QUERIES["top_of_department_and_year"] = _where(
+    "top_employees",
+    "lower(department_name) = 'asia' AND review_year = 1995 AND department_rank <= 3")
+QUERIES["list_projects_by_id"] = QUERIES["list_projects"].replace(
+    "project_name ILIKE '%Ring%'", "project_id = 42")
+QUERIES["list_projects_of_employee"] = _where(
+    "employee_projects", "employee_id = 43", "* EXCLUDE (employee_id)")
+QUERIES["projects_of_employee"] = QUERIES["list_projects_of_employee"]
+QUERIES["assignments_of_project"] = QUERIES["list_assignments"].replace(
+    "FROM assignments ORDER BY", "FROM assignments WHERE project_id = 42 ORDER BY")
+QUERIES["reviews_of_employee"] = QUERIES["list_reviews"].replace(
+    "FROM reviews ORDER BY", "FROM reviews WHERE employee_id = 43 ORDER BY")
+QUERIES["history_of_employee"] = _where("employee_history", "employee_id = 43")
+QUERIES["staged_by_parameter"] = _where("clean_projects", "budget > 1000000 AND status = 'Active'")
