@@ -402,6 +402,26 @@ def employee_history(spark, sf_dir):
 EMPLOYEE, PROJECT = 43, 42
 
 
+@register
+def gold_rules(spark, sf_dir):
+    return quality.gold_rules(_warehouse(spark, sf_dir).gold)
+
+
+@register
+def project_statuses(spark, sf_dir):
+    return roster.statuses(_silver(spark, sf_dir))
+
+
+@register
+def manual_accounts(spark, sf_dir):
+    """Requests made from the account requests: an odd role for some, no password for others."""
+    requests = testdata.account_requests(spark, sf_dir).select(
+        "seq", F.col("email").alias("username"),
+        F.expr("CASE WHEN seq % 7 = 0 THEN 0 ELSE 12 END").alias("password_length"),
+        F.expr("CASE WHEN seq % 5 = 0 THEN 'Owner' WHEN seq % 2 = 0 THEN 'Admin' ELSE 'Viewer' END").alias("role"))
+    return changes.manual_accounts(requests, testdata.existing_accounts(spark, sf_dir))
+
+
 @register
 def yoy_of_department(spark, sf_dir):
     return _warehouse(spark, sf_dir).yoy_performance("EUROPE")
@@ -447,7 +467,7 @@ def staged_by_parameter(spark, sf_dir):
     """A question in SQL with named parameters."""
     return landing.read(
         spark, "SELECT * FROM {projects} WHERE budget > :least AND status = :status",
-        {"projects": _silver(spark, sf_dir).projects}, least=1000000, status="Active")
+        {"projects": _silver(spark, sf_dir).projects}, least=950000, status="Active")
 
 
 # -- W: change requests ------------------------------------------------------------------------

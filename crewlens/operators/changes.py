@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from crewlens.functions.rules import employee_rules, first_broken, project_rules, review_rules, unless
 from crewlens.functions.text import fill, is_blank, match_key, strip
 from crewlens.model import (
+    ACCOUNT_ROLES,
     ASSIGNMENT_COLUMNS,
     EMPLOYEE_COLUMNS,
     PROJECT_COLUMNS,
@@ -46,6 +47,13 @@ ASSIGN_TWICE = "This employee is already on this project."
 ASSIGNED = "Employee assigned to project."
 DELETED = "Employee deleted."
 EMPLOYEE_MISSING = "Employee not found."
+SYNC_FAILED = "Saved, but the warehouse update failed:"
+HIRE_SYNC_FAILED = "Employee {employee_id} saved, but the warehouse update failed:"
+STATUS_SYNC_FAILED = "Project status updated in Silver, but warehouse sync failed:"
+ACCOUNT_ROLE = "Role must be Admin or Viewer."
+ACCOUNT_NAME = "Username and password are required."
+ACCOUNT_PASSWORD = "Password must be at least 8 characters long."
+LEAST_PASSWORD = 8
 ACCOUNT_REQUIRED = "Work email and password are required."
 ACCOUNT_UNKNOWN = "That work email is not associated with an employee."
 ACCOUNT_DEPARTMENT = "Your department is not eligible for access."
@@ -524,10 +532,18 @@ def account_eligibility(
     users: DataFrame,
     role_by_department: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Which work e-mails may open an account, and with which role."""
+    """Which work e-mails may open an account, and with which role.
+
+    A column `password_length`, if the requests have one, is judged too; passwords are no data.
+    """
+    has_length = "password_length" in requests.columns
+    length = F.col("password_length") if has_length else F.lit(LEAST_PASSWORD)
     mapping = role_by_department or ROLE_BY_DEPARTMENT
     taken = users.select(F.lower(strip(F.col("username"))).alias("username")).distinct()
-    wanted = requests.select("seq", F.lower(strip(F.col("email"))).alias("username"))
+    wanted = requests.select(
+        "seq", F.lower(strip(F.col("email"))).alias("username"),
+        F.coalesce(length, F.lit(0)).alias("_length"),
+    )
     # Looked up once per name: a name that most requests give is joined back as a split key.
     names = _marked(wanted.select("username").distinct(), taken, "username", "_taken").join(
         _departments_by_email(silver).withColumnRenamed("_email", "username"), "username", "left"
@@ -538,7 +554,8 @@ def account_eligibility(
         .withColumn(
             "reason",
             first_broken(
-                (is_blank(F.col("username")), ACCOUNT_REQUIRED),
+                (is_blank(F.col("username")) | (F.col("_length") == 0), ACCOUNT_REQUIRED),
+                (F.col("_length") < LEAST_PASSWORD, ACCOUNT_PASSWORD),
                 (F.col("employee_id").isNull(), ACCOUNT_UNKNOWN),
                 (F.col("role").isNull(), ACCOUNT_DEPARTMENT),
                 (F.col("_taken"), ACCOUNT_TAKEN),
@@ -556,3 +573,27 @@ def account_eligibility(
         F.when(F.col("accepted"), F.col("role")).alias("role"),
         "accepted", "message",
     )
+
+
+def manual_accounts(requests: DataFrame, users: DataFrame) -> DataFrame:
+    """Accounts opened by an administrator: seq, username, password_length, role."""
+    taken = users.select(F.lower(strip(F.col("username"))).alias("_key")).distinct()
+    named = requests.select(
+        "seq", strip(F.col("username")).alias("username"), "password_length", "role",
+        F.lower(strip(F.col("username"))).alias("_key"),
+    )
+    checked = _marked(named, taken, "_key", "_taken").withColumn(
+        "reason",
+        first_broken(
+            (unless(F.col("role").isin(ACCOUNT_ROLES)), ACCOUNT_ROLE),
+            (is_blank(F.col("username")) | (F.coalesce("password_length", F.lit(0)) == 0), ACCOUNT_NAME),
+            (F.col("_taken"), ACCOUNT_TAKEN),
+        ),
+    )
+    first = checked.filter("reason IS NULL").groupBy("_key").agg(F.min("seq").alias("seq"))
+    judged = _marked(checked, first, "seq", "_first").withColumn(
+        "reason", F.coalesce("reason", F.when(~F.col("_first"), ACCOUNT_TAKEN))
+    )
+    return _with_message(judged, F.lit("Account created.")).select(
+        "seq", "username", "role", "accepted", "message"
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.functions.text import is_blank, match_key
-from crewlens.model import ACCOUNT_ROLES, Bronze, Silver
+from crewlens.model import ACCOUNT_ROLES, Bronze, Gold, Silver
 from crewlens.operators.scd2 import valid_history
 
 _REQUIRED = {
@@ -88,6 +88,24 @@ def reference_rules(silver: Silver) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def gold_rules(gold: Gold) -> DataFrame:
+    """Keys and references of the star schema, and department names that two ids share."""
+    fact, versions = gold.fact_performance_reviews, gold.dim_employee
+    return reduce(DataFrame.unionByName, [
+        unique("dim_department.department_id unique", gold.dim_department, F.col("department_id")),
+        unique("dim_department.department_name unique", gold.dim_department, F.lower("department_name")),
+        unique("dim_project.project_id unique", gold.dim_project, F.col("project_id")),
+        unique("dim_date.full_date unique", gold.dim_date, F.col("full_date")),
+        unique("dim_employee.employee_key unique", versions, F.col("employee_key")),
+        unique("fact_performance_reviews.review_id unique", fact, F.col("review_id")),
+        known("fact_performance_reviews.employee_key in dim_employee", fact, "employee_key", versions),
+        known("fact_performance_reviews.project_key in dim_project", fact, "project_key", gold.dim_project),
+        known("fact_performance_reviews.date_key in dim_date", fact, "date_key", gold.dim_date),
+        known("fact_performance_reviews.department_key in dim_department", fact, "department_key",
+              gold.dim_department),
+    ])
+
+
 def history_key_rules(history: DataFrame) -> DataFrame:
     return unique(
         "stg_employee_history.history_id unique", history, F.col("history_id")

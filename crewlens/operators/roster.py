@@ -20,6 +20,11 @@ def departments(silver: Silver) -> DataFrame:
     return silver.departments.select("department_id", "department_name").orderBy("department_name")
 
 
+def statuses(silver: Silver) -> DataFrame:
+    """The project statuses in use, sorted."""
+    return silver.projects.select("status").filter("status IS NOT NULL").distinct().orderBy("status")
+
+
 def employee(silver: Silver, employee_id: int) -> DataFrame:
     """Point lookup: one row, or none."""
     return silver.employees.filter(F.col("employee_id") == employee_id).limit(1)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crewlens.functions.text import fill
 from crewlens.model import STAGING, Bronze, Gold, Silver
 from crewlens.operators import changes, dims, quality, scale
 from crewlens.operators.fact import fact_point_in_time
@@ -198,21 +200,46 @@ def sync_employees(store: LayerStore) -> None:
         _put_versions(load, old, silver, bronze, old.dim_department)
 
 
+def sync_projects(store: LayerStore) -> None:
+    """Bring the project dimension up to date; nothing else depends on a status."""
+    silver, old = stored_silver(store), stored_gold(store)
+    if old is None:
+        load_gold(store, silver, stored_bronze(store))
+        return
+    with store.load(GOLD) as load:
+        load.put(
+            "dim_project",
+            dims.dim_project_upsert(old.dim_project, silver.projects, old.dim_department),
+        )
+
+
+def _synced(
+    store: LayerStore, judged: DataFrame, sync: Callable[[LayerStore], None], failed: str
+) -> DataFrame:
+    """Sync Gold after a stored change. A failure leaves the change as it is: the accepted requests
+    say so, and a later refresh catches up."""
+    try:
+        sync(store)
+    except Exception as error:  # reported to the caller, as the change itself is saved
+        log.exception("sync failed")
+        note = F.concat(fill(failed), F.lit(f" {error}"))
+        return judged.withColumn("message", F.when(F.col("accepted"), note).otherwise(F.col("message")))
+    return judged
+
+
 def change_employees(store: LayerStore, requests: DataFrame, as_of: datetime.date) -> DataFrame:
     """Apply employee changes, then sync Gold. Returns the judged requests."""
     silver = stored_silver(store)
     judged = _apply(
         store, "employee_changes", silver, changes.apply_employee_changes(requests, silver, as_of)
     )
-    sync_employees(store)
-    return judged
+    return _synced(store, judged, sync_employees, changes.SYNC_FAILED)
 
 
 def hire_employees(store: LayerStore, requests: DataFrame, as_of: datetime.date) -> DataFrame:
     silver = stored_silver(store)
     judged = _apply(store, "new_employees", silver, changes.add_employees(requests, silver, as_of))
-    sync_employees(store)
-    return judged
+    return _synced(store, judged, sync_employees, changes.HIRE_SYNC_FAILED)
 
 
 def change_project_status(store: LayerStore, requests: DataFrame) -> DataFrame:
@@ -220,8 +247,7 @@ def change_project_status(store: LayerStore, requests: DataFrame) -> DataFrame:
     judged = _apply(
         store, "project_status", silver, changes.update_project_status(requests, silver)
     )
-    load_gold(store, stored_silver(store), stored_bronze(store))
-    return judged
+    return _synced(store, judged, sync_projects, changes.STATUS_SYNC_FAILED)
 
 
 def open_projects(store: LayerStore, requests: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crewlens.plans.medallion import change_employees
 from crewlens.session import stored
+from crewlens.sources.landing import path_exists
 from crewlens.sources.store import LayerStore
 
 
@@ -21,13 +22,20 @@ def apply_employee_changes_stream(
 ) -> StreamingQuery:
     """Start applying a streaming frame of change requests to the stored warehouse.
 
-    A batch that is replayed after a failure meets its own result: the changes are either unchanged
-    values or already made today, so they are rejected and the tables stay as they are.
+    The day of a batch is written down before it is applied, and its end after. A batch replayed
+    after a failure is judged by the same day, also past midnight, and one that had ended is skipped.
     """
-
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        if not batch.isEmpty():
-            change_employees(store, stored(batch, "requests"), today())
+    spark = requests.sparkSession
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        day, done = (f"{checkpoint.rstrip('/')}/applied/{batch_id}/{x}" for x in ("day", "done"))
+        if path_exists(spark, done) or batch.isEmpty():
+            return
+        if not path_exists(spark, f"{day}/_SUCCESS"):
+            noted = spark.createDataFrame([(today(),)], "day date")
+            noted.write.mode("overwrite").parquet(day)
+        change_employees(store, stored(batch, "requests"), spark.read.parquet(day).first().day)
+        spark.range(1).write.mode("overwrite").parquet(done)
 
     return (
         requests.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).start()

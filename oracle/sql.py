@@ -1338,6 +1338,48 @@ SELECT noisy.* FROM noisy JOIN copied USING (employee_id)
 """)
 
 
+query("project_statuses", "SELECT DISTINCT status FROM projects WHERE status IS NOT NULL")
+query("manual_accounts", """
+SELECT seq, username, role, message IS NULL AS accepted, coalesce(message, 'Account created.') AS message
+FROM (
+    SELECT *, coalesce(reason, CASE
+        WHEN row_number() OVER (PARTITION BY lower(username), reason IS NULL ORDER BY seq) > 1
+            THEN 'That username already exists.' END) AS message
+    FROM (
+        SELECT *, CASE
+            WHEN role = 'Owner' THEN 'Role must be Admin or Viewer.'
+            WHEN username = '' OR seq % 7 = 0 THEN 'Username and password are required.'
+            WHEN lower(username) IN (SELECT lower(trim(username)) FROM users WHERE is_active)
+                THEN 'That username already exists.' END AS reason
+        FROM (
+            SELECT seq, trim(email) AS username, CASE WHEN seq % 5 = 0 THEN 'Owner'
+                WHEN seq % 2 = 0 THEN 'Admin' ELSE 'Viewer' END AS role
+            FROM account_requests
+        )
+    )
+)
+""")
+GOLD_FACT = "fact_performance_reviews"
+DATES = f"({QUERIES['dim_date']})"
+query("gold_rules", "\nUNION ALL\n".join([
+    unique("dim_department.department_id unique", "dim_department", "department_id"),
+    unique("dim_department.department_name unique", "dim_department", "lower(department_name)"),
+    unique("dim_project.project_id unique", "dim_project", "project_id"),
+    unique("dim_date.full_date unique", DATES, "full_date"),
+    unique("dim_employee.employee_key unique", "dim_employee", "employee_key"),
+    unique(f"{GOLD_FACT}.review_id unique", "fact", "review_id"),
+    *[
+        rule(f"{GOLD_FACT}.{key} in {name}", "fact", f"{key} NOT IN (SELECT {key} FROM {parent})")
+        for key, name, parent in (
+            ("employee_key", "dim_employee", "dim_employee"),
+            ("project_key", "dim_project", "dim_project"),
+            ("date_key", "dim_date", DATES),
+            ("department_key", "dim_department", "dim_department"),
+        )
+    ],
+]))
+
+
 # -- the same questions with arguments -----------------------------------------------------------
 
 
@@ -1359,4 +1401,4 @@ QUERIES["assignments_of_project"] = QUERIES["list_assignments"].replace(
 QUERIES["reviews_of_employee"] = QUERIES["list_reviews"].replace(
     "FROM reviews ORDER BY", "FROM reviews WHERE employee_id = 43 ORDER BY")
 QUERIES["history_of_employee"] = _where("employee_history", "employee_id = 43")
-QUERIES["staged_by_parameter"] = _where("clean_projects", "budget > 1000000 AND status = 'Active'")
+QUERIES["staged_by_parameter"] = _where("clean_projects", "budget > 950000 AND status = 'Active'")

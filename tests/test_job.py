@@ -282,3 +282,65 @@ def test_changes_as_a_stream(spark, built, tmp_path):
     query.stop()
     versions = medallion.stored_gold(store).dim_employee.filter("employee_id = 9 AND is_current")
     assert rows(versions, "job_role", "start_date") == [("Head", day("2026-04-01"))]
+
+
+def test_a_failing_sync_keeps_the_change_and_says_so(spark, built, monkeypatch):
+    store, _ = built
+
+    def broken(_):
+        raise RuntimeError("no warehouse")
+
+    monkeypatch.setattr(medallion, "sync_employees", broken)
+    monkeypatch.setattr(medallion, "sync_projects", broken)
+    request = "seq bigint, employee_id bigint, department_id bigint, job_role string, job_level int, " \
+              "monthly_income int, attrition string"
+    wanted = spark.createDataFrame([(1, 11, 1, "Saved", 5, 4321, "No"), (2, -1, 1, "x", 5, 1, "No")], request)
+    judged = {r.seq: r for r in medallion.change_employees(store, wanted, day("2026-05-01")).collect()}
+    assert judged[1].accepted and judged[1].message == "Saved, but the warehouse update failed: no warehouse"
+    assert not judged[2].accepted and judged[2].message == "Employee -1 not found."
+    assert medallion.stored_silver(store).employees.filter("employee_id = 11").first().job_role == "Saved"
+
+    other = medallion.stored_silver(store).projects.filter("status <> 'On Hold'").first().project_id
+    status = spark.createDataFrame([(1, other, "On Hold")], "seq bigint, project_id bigint, status string")
+    assert medallion.change_project_status(store, status).first().message == (
+        "Project status updated in Silver, but warehouse sync failed: no warehouse")
+    monkeypatch.undo()
+    assert medallion.warehouse_refresh(store)[0]
+
+
+def test_a_status_change_rewrites_one_dimension(spark, built):
+    store, _ = built
+    before = store.tables("gold")
+    chosen = medallion.stored_silver(store).projects.filter("status <> 'Planned'").first().project_id
+    status = spark.createDataFrame([(1, chosen, " Planned\t")], "seq bigint, project_id bigint, status string")
+    assert medallion.change_project_status(store, status).first().accepted
+    after = store.tables("gold")
+    assert {t for t in after if after[t] != before.get(t)} == {"dim_project"}
+
+
+def test_a_replayed_batch_changes_nothing_a_day_later(spark, built, tmp_path):
+    store, _ = built
+    schema = (
+        "seq bigint, employee_id bigint, department_id bigint, job_role string, job_level int, "
+        "monthly_income int, attrition string"
+    )
+    folder, check = tmp_path / "in", tmp_path / "check"
+    spark.createDataFrame([(1, 13, 1, "First", 5, 7001, "No"), (2, 13, 1, "Second", 5, 7002, "No")], schema).write.parquet(str(folder))
+    calls = []
+
+    def today():
+        calls.append(1)
+        return datetime.date(2026, 6, len(calls))
+
+    def drain():
+        query = apply_employee_changes_stream(spark.readStream.schema(schema).parquet(str(folder)), store, str(check), today=today)
+        query.processAllAvailable()
+        query.stop()
+        return store.tables("silver")["employees"]
+
+    first = drain()
+    commits = check / "commits"
+    for file in commits.iterdir():
+        file.rename(tmp_path / file.name)  # as if the end of the batch had not been noted by Spark
+    assert drain() == first and len(calls) == 1
+    assert medallion.stored_silver(store).employees.filter("employee_id = 13").first().job_role == "First"
