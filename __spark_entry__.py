@@ -688,7 +688,7 @@ try:
     import corpus_pipeline
     from crewlens.llm import oracle as llm_oracle
     from crewlens.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("corpus_pipeline", "crewlens.llm"):
         raise
     LLM: dict[str, Query] = {}
