@@ -2,7 +2,9 @@
 
 A normalised vector is projected on random Gaussian directions; `WIDTH`-wide quantised values of
 `DRAWS` projections make the key of one of `TABLES` tables. At cosine 0.9 two vectors miss each
-other in all tables with a chance of 2e-3, at 0.92 of 1e-4, at 0.95 of 1e-7. Vectors that share a key are then
+other in all tables with a chance of 2e-3, at 0.92 of 1e-4, at 0.95 of 1e-7. Unrelated ones share a
+key with a chance of 4e-6 a table: for n vectors, `DRAWS` of about ln(n) / 1.2 keep that work in
+proportion, and `TABLES` then grow as the cube root of n for equal recall. Vectors that share a key are then
 compared by their exact cosine in double precision, each pair only in the first table it shares.
 
 1. Equal vectors are one class with a count, known by its smallest id.
