@@ -135,12 +135,15 @@ def test_pages(spark):
            f"<div id='sidebar'><p>{PROSE}</div><div class='comments'><p>{PROSE}</p></div><p>All rights reserved.</p>",
         3: f"{around}<article><header><h1>Title &#38; more</h1></header><aside>{PROSE}</aside><p>{PROSE}<p>Short.<div class='ad'>"
            f"{PROSE}</div><p>{PROSE}\n <a>more</a><section class='comments'><article class='comment'>{PROSE}</article></section></article>",
+        9: f"{around}<main><header><h1>Site name</h1></header><p class='notice'>{PROSE}</p><article class='post'>{article}"
+           f"<span class='share'>Share</span></article></main><aside><article>{PROSE}</article></aside>",
+        10: f"{around}<div role='main'>{article}</div><p>{PROSE}</p>",
         4: None, 5: "", 6: "<p", 7: "<!-- only a comment", 8: around,
     }
     df = spark.createDataFrame([(k, f"u{k}", v, "own") for k, v in pages.items()] + [(None, None, None, None)],
                                "page_id bigint, url string, html string, text string")
     got = {r.page_id: r for r in html_text.extract(df).collect()}
-    for k in (1, 2, 3):
+    for k in (1, 2, 3, 9, 10):
         assert got[k].text == want, k
         assert got[k].n_chars == len(want)
     assert all(got[k].text == "" for k in (4, 5, 6, 7, 8, None))
