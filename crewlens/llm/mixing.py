@@ -34,7 +34,7 @@ BLOCK = 8
 CYCLE = 1000
 TEMPER = 0.75
 #: Documents that are numbered in one task, about.
-TASK_ROWS = 20_000
+TASK_ROWS = 2_000
 
 
 def shares(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
