@@ -6,18 +6,20 @@ every shortest run with `RUN_WORDS` words, the gram of least hash (the last one
 fingerprint. Two texts that share a run of `RUN_WORDS` words or more so share a fingerprint in it:
 the run holds a whole window, and both windows choose the same gram.
 
-1. Fingerprints are joined with the first place of their gram: of the whole corpus if it is the
-   gram's first one in its document, else with the one before it in the document.
-2. Two places make a diagonal of two documents (or one). Along it the match is extended both ways:
-   maximal runs of equal lines.
-3. The later copy of every such run with `RUN_WORDS` words or more is deleted, together with empty
-   lines that follow its lines. Earlier means: smaller id, then smaller hash of the text, then
-   smaller place. Every deleted line has an equal line at an earlier place, so the first copy of
-   a line is never deleted.
-
-Lines travel as hashes and counts; texts are moved once, for the result. Folding a gram to its first
-place comes before the shuffle, and joins on a gram or document are plain equi-joins of stored
-tables, which adaptive execution splits where a gram or document is frequent. Built-in functions only.
+1. Windows are the runs of `RUN_WORDS` words or more that fall short of them without their last
+   line, or without their first one. Every longer run is covered by the windows in it. Windows
+   whose fingerprint stands at one place of the corpus only have no copy and go.
+2. The others are keyed by their fingerprint and the hash of all their lines, and every key is folded
+   to its first place, whatever else its fingerprint meets elsewhere.
+3. Every window that is not the first one of its key is deleted, together with empty lines that
+   follow its lines. Earlier means: smaller id, then smaller hash of the text, then smaller place.
+   Every deleted line has an equal line at an earlier place, so the first copy of a line is never
+   deleted.
+
+Lines travel as hashes and counts; texts are moved once, for the result. There are at most two windows
+a line, and no pairs of places are made. Folding a key to its first place comes before the shuffle,
+and joins on a key or document are plain equi-joins of stored tables, which adaptive execution
+splits where a key or document is frequent. Built-in functions only.
 
 Defined cases: a null text stays null, a text without words as it is; rows with equal id and text
 are one document, and all get its result; a null id comes before all others; an empty table gives an
@@ -63,84 +65,76 @@ def _lines_until(ahead: Column, enough: int) -> Column:
     return F.when(place > 0, place).cast("int")
 
 
-def fingerprints(table: DataFrame) -> DataFrame:
-    """doc_id, th, place (among lines with words, from 0), gram: one row per fingerprint."""
-    rows = table.select("doc_id", "th", F.posexplode(F.arrays_zip("hashes", "words")).alias("place", "x")).select(
-        "doc_id", "th", "place", F.col("x.hashes").alias("h"), F.col("x.words").alias("w"))
+def windows(table: DataFrame) -> DataFrame:
+    """doc_id, th, low (first line among all lines), gram (the fingerprint), spot (hash of its place),
+    ends (key and upto, exclusive, among all lines): one row per line that begins a window."""
+    rows = table.select("doc_id", "th", "n_lines", F.posexplode(F.arrays_zip("hashes", "words", "places")).alias("place", "x")).select(
+        "doc_id", "th", "n_lines", "place", F.col("x.hashes").alias("h"), F.col("x.words").alias("w"), F.col("x.places").alias("at"))
     order = Window.partitionBy("doc_id", "th").orderBy("place")
     # A line with a word adds at least one: so many lines ahead are enough for every run.
     ahead = order.rowsBetween(0, RUN_WORDS - 1)
-    total = rows.select("*", F.sum("w").over(order).alias("total"))
+    total = rows.select("*", F.sum("w").over(order).alias("total"),
+                        F.coalesce(F.lead("at").over(order), F.col("n_lines")).alias("upto"))
     following = total.select(
-        "doc_id", "th", "place", (F.col("total") - F.col("w")).alias("before"),
-        F.collect_list(F.struct("h", "total")).over(ahead).alias("ahead"))
-    counted = following.select("doc_id", "th", "place", F.transform(
+        "doc_id", "th", "place", "at", "w", (F.col("total") - F.col("w")).alias("before"),
+        F.collect_list(F.struct("h", "total", "upto")).over(ahead).alias("ahead"))
+    counted = following.select("doc_id", "th", "place", "at", "w", F.col("ahead.upto").alias("uptos"), F.transform(
         "ahead", lambda x: F.struct(x["h"].alias("h"), (x["total"] - F.col("before")).alias("upto"))).alias("ahead"))
-    grams = counted.select("doc_id", "th", "place", "ahead", _lines_until(F.col("ahead"), GRAM_WORDS).alias("gram_lines"),
+    grams = counted.select("*", _lines_until(F.col("ahead"), GRAM_WORDS).alias("gram_lines"),
                            _lines_until(F.col("ahead"), RUN_WORDS).alias("run_lines"))
-    hashed = grams.select("doc_id", "th", "place", "gram_lines", "run_lines", F.when(
-        F.col("gram_lines").isNotNull(),
-        F.xxhash64(F.transform(F.slice("ahead", 1, F.col("gram_lines")), lambda x: x["h"]))).alias("gram"))
-    windows = hashed.select(
-        "doc_id", "th", "place", "run_lines",
+    hashes = F.col("ahead.h")
+    # Besides the shortest run from the line, those that fall short without it.
+    whole = F.filter(F.sequence("run_lines", F.size("ahead")), lambda n: (n == F.col("run_lines")) | (
+        F.get(F.col("ahead.upto"), n - 1) - F.col("w") < RUN_WORDS))
+    ends = F.transform(whole, lambda n: F.struct(
+        F.xxhash64(F.slice(hashes, F.lit(1), n)).alias("key"), F.get("uptos", n - 1).alias("high")))
+    hashed = grams.select(
+        "doc_id", "th", "place", "at", "gram_lines", "run_lines",
+        F.when(F.col("run_lines").isNotNull(), ends).alias("ends"),
+        F.when(F.col("gram_lines").isNotNull(), F.xxhash64(F.slice(hashes, F.lit(1), F.col("gram_lines")))).alias("gram"))
+    chosen = hashed.select(
+        "doc_id", "th", "place", "at", "run_lines", "ends",
         F.collect_list(F.struct("gram", "place", "gram_lines")).over(ahead).alias("grams"),
     ).filter("run_lines IS NOT NULL")
     inside = F.filter("grams", lambda g: g["gram_lines"] + g["place"] <= F.col("run_lines") + F.col("place"))
-    chosen = F.array_min(F.transform(inside, lambda g: F.struct(g["gram"].alias("gram"), (-g["place"]).alias("back"))))
-    return windows.select("doc_id", "th", chosen.alias("x")).select(
-        "doc_id", "th", (-F.col("x.back")).alias("place"), F.col("x.gram").alias("gram")).distinct()
-
-
-def _diagonals(prints: DataFrame) -> DataFrame:
-    """doc_id, th, and what it is compared with: first_id, first_th, shift (own place minus other)."""
-    before = F.lag("place").over(Window.partitionBy("doc_id", "th", "gram").orderBy("place"))
-    placed = stored(prints.select("*", before.alias("last")), "prints")
-    within = placed.filter("last IS NOT NULL").select(
-        "doc_id", "th", F.col("doc_id").alias("first_id"), F.col("th").alias("first_th"),
-        (F.col("place") - F.col("last")).alias("shift"))
-    heads = placed.filter("last IS NULL").drop("last")
-    first = F.min(F.struct("doc_id", "th", "place")).alias("first")
-    firsts = stored(heads.groupBy("gram").agg(first, F.count("*").alias("n")).filter("n > 1").drop("n"), "firsts")
-    across = heads.join(firsts, "gram").filter(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))))
-    return within.unionAll(across.select(
-        "doc_id", "th", F.col("first.doc_id").alias("first_id"), F.col("first.th").alias("first_th"),
-        (F.col("place") - F.col("first.place")).alias("shift"))).distinct()
+    least = F.array_min(F.transform(inside, lambda g: F.struct(g["gram"].alias("gram"), (-g["place"]).alias("back"))))
+    return chosen.select("doc_id", "th", F.col("at").alias("low"), "ends", least.alias("x")).select(
+        "doc_id", "th", "low", F.col("x.gram").alias("gram"), F.xxhash64("doc_id", "th", "x.back").alias("spot"), "ends")
 
 
 def _same(a: str, b: str, c: str, d: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b)) & (F.col(c) == F.col(d))
 
 
-def deleted_runs(table: DataFrame, prints: DataFrame) -> DataFrame:
-    """doc_id, th, runs: (from, upto) among all lines of the document, upto exclusive."""
-    diagonals = stored(_diagonals(prints), "diagonals")
-    own = table.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "n_lines", "hashes", "words", "places")
-    other = table.select(F.col("doc_id").alias("d0"), F.col("th").alias("t0"), F.col("hashes").alias("first"))
-    joined = diagonals.join(own, _same("doc_id", "d", "th", "t")).drop("d", "t")
-    joined = joined.join(other, _same("first_id", "d0", "first_th", "t0")).drop("d0", "t0")
-    low = F.greatest(F.col("shift"), F.lit(0))
-    high = F.least(F.size("hashes"), F.size("first") + F.col("shift"))  # exclusive
-    aligned = joined.select("*", low.alias("low"), high.alias("high")).filter("low < high")
-    differing = F.filter(F.sequence("low", F.col("high") - 1),
-                         lambda i: F.get("hashes", i) != F.get("first", i - F.col("shift")))
-    breaks = F.concat(F.array(F.col("low") - 1), differing, F.array("high"))
-    edged = aligned.select("doc_id", "th", "n_lines", "words", "places", breaks.alias("b"), F.size(breaks).alias("n"))
-    between = F.zip_with(F.slice("b", 1, F.col("n") - 1), F.slice("b", 2, F.col("n") - 1),
-                         lambda a, b: F.struct((a + 1).alias("low"), b.alias("high")))
-    long = F.filter(between, lambda r: (r["low"] < r["high"]) & (F.aggregate(
-        F.slice("words", r["low"] + 1, F.greatest(r["high"] - r["low"], F.lit(0))), F.lit(0), lambda n, w: n + w) >= RUN_WORDS))
-    runs = edged.select("doc_id", "th", "n_lines", "places", F.explode(long).alias("r"))
-    spans = runs.select("doc_id", "th", F.struct(
-        F.get("places", F.col("r.low")).alias("low"),
-        F.coalesce(F.get("places", F.col("r.high")), F.col("n_lines")).alias("high")).alias("span")).distinct()
-    return spans.groupBy("doc_id", "th").agg(F.collect_list("span").alias("runs"))
+def _copies(found: DataFrame) -> DataFrame:
+    """doc_id, th, low, high: the windows that stand at an earlier place, too."""
+    placed = stored(found, "windows")
+    often = placed.groupBy("gram").agg(F.min("spot").alias("a"), F.max("spot").alias("b")).filter("a <> b").select("gram")
+    keyed = stored(placed.join(often, "gram", "left_semi").select(
+        "doc_id", "th", "low", "gram", F.explode("ends").alias("e")).select(
+        "doc_id", "th", "low", "gram", F.col("e.key").alias("key"), F.col("e.high").alias("high")), "keyed")
+    firsts = stored(keyed.groupBy("gram", "key").agg(
+        F.min(F.struct("doc_id", "th", "low")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "firsts")
+    return keyed.join(firsts, ["gram", "key"]).filter(
+        ~(_same("doc_id", "first.doc_id", "th", "first.th") & (F.col("low") == F.col("first.low")))).select(
+        "doc_id", "th", "low", "high")
+
+
+def deleted_runs(table: DataFrame) -> DataFrame:
+    """doc_id, th, runs: (low, high) among all lines of the document, high exclusive; they don't touch."""
+    order = Window.partitionBy("doc_id", "th").orderBy("low", "high")
+    reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = _copies(windows(table)).select("*", F.coalesce(F.col("low") > reach, F.lit(True)).cast("int").alias("opens"))
+    spans = opened.select("doc_id", "th", "low", "high", F.sum("opens").over(order.rowsBetween(
+        Window.unboundedPreceding, 0)).alias("run")).groupBy("doc_id", "th", "run").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"))
+    return spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
 
 
 def marked(docs: DataFrame) -> DataFrame:
     """The documents with their deleted runs (null if none) in a column `runs` beside `row`."""
     table = stored(line_table(docs), "lines")
-    runs = deleted_runs(table, fingerprints(table)).select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "runs")
+    runs = deleted_runs(table).select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "runs")
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), _text_hash().alias("th"))
     return rows.join(runs, _same("doc_id", "d", "th", "t"), "left").select("row", "runs")
 

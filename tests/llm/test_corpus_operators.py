@@ -151,6 +151,23 @@ def test_repeated_runs_equal_a_plain_version(spark):
     assert cleaned[1].text == rows[0][1]
 
 
+def test_a_run_whose_fingerprints_stand_earlier_in_shorter_context(spark):
+    """Every line is a gram of its own; whichever wins a window, its first place has no more of the run."""
+    x, y, z = lines_of(30, 30, 30, name="x")
+    fillers = lines_of(*[30] * 8, name="f")
+    rows = [(10 * k + n - 100, [line, filler]) for k, line in enumerate((x, y, z)) for n, filler in enumerate(fillers)]
+    rows += [
+        (4, [x, y, z]), (5, [x, y]), (6, [y, z]), (7, [x, "own words", y, z]),
+        (8, [z, x, "between", z, y, "between", z, x]),
+        (9, lines_of(40, 10, 30, name="m")), (10, lines_of(40, 10, 30, name="m") + ["end"]),
+    ]
+    rows = [(i, "\n".join(lines), "s") for i, lines in rows]
+    want = plain.repeated_lines([r[:2] for r in rows])
+    for i, runs in line_dedup.marked(documents(spark, rows)).select("row.doc_id", "runs").collect():
+        assert {k for s in runs or [] for k in range(s.low, s.high)} == want.get(i, set()), i
+    assert want[5] == {0, 1} and want[6] == {0, 1} and want[8] == {6, 7}
+
+
 def test_line_dedup_of_odd_rows(spark):
     docs = documents(spark, odd_rows())
     cleaned = line_dedup.clean(docs)
