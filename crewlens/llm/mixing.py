@@ -6,9 +6,11 @@ floor(j / w) and must get a slot before its deadline ceil((j + 1) / w); of the r
 one with the earliest deadline takes the slot. As the weights add up to one, every deadline is
 met, so after any number of slots each source is within one block of its target.
 
-Weights are rounded to shares of a cycle of slots. The schedule repeats after each cycle, so only one
-cycle is worked out (on the driver, from the list of sources), and a block's slot follows from its
-number: the blocks of all documents are placed by a join with that cycle and never meet in one task.
+Weights are taken exactly, as the decimal number that is given, and releases and deadlines follow from
+them over the whole schedule. It is cut into segments that are scheduled apart, each in a Spark task:
+which blocks come before a cut follows from the weights alone (`begun`), so a segment knows the
+blocks it has to place. The blocks of all documents are placed by a join with the slots and never meet
+in one task.
 
 A source that ends early starts again, as often as its weight asks, until the source that needs
 most slots has ended for the first time: so the mixture has the target weights and every document is
@@ -24,11 +26,17 @@ input's columns are returned as they were.
 from __future__ import annotations
 
 import heapq
-from math import ceil
+from bisect import bisect_left
+from collections.abc import Iterator
+from fractions import Fraction
+from math import ceil, lcm
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from crewlens.llm.tables import python_ready
+from crewlens.session import stored
 
 BLOCK = 8
 CYCLE = 1000
@@ -37,8 +45,22 @@ TEMPER = 0.75
 TASK_ROWS = 2_000
 
 
+#: Rows of the schedule that are handed over at once, and segments of the least length in one task, about.
+BATCH, TASK_SEGMENTS = 10_000, 50
+
+
+def whole_weights(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    if any(not 0 < w < float("inf") for w in weights.values()):
+        raise ValueError("Weights have to be positive.")
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    unit = lcm(*(x.denominator for x in exact.values()))
+    return {s: int(x * unit) for s, x in exact.items()}
+
+
 def shares(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
-    """Whole shares of a cycle, at least one each; the cycle is longer for very many sources."""
+    """Whole shares of a cycle, at least one each; the cycle is longer for very many sources. Only for
+    a short schedule that repeats: `schedule` takes the weights as they are."""
     if any(not w > 0 for w in weights.values()):
         raise ValueError("Weights have to be positive.")
     total, cycle = sum(weights.values()), max(cycle, 10 * len(weights))
@@ -52,20 +74,70 @@ def shares(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
     return found
 
 
+def begun(weights: list[int], upto: int) -> list[int]:
+    """How many blocks of each source come before the slot `upto`, so that all blocks before and after
+    it can meet their releases and deadlines.
+
+    Blocks that are due by then come before it. The slots left go to blocks whose time has begun, by
+    earliest deadline, except where more blocks would come after some release than there are slots
+    up to `upto`. These exceptions are nested sets, so the choice holds as many blocks due by any
+    later slot as any choice that fits can hold, which is enough for the slots after it."""
+    total = sum(weights)
+    counts = [upto * w // total for w in weights]
+    left = upto - sum(counts)
+    if not left:
+        return counts
+    open_ = [(-(-(n + 1) * total // w), s, n * total // w)  # deadline, source, release
+             for s, (n, w) in enumerate(zip(counts, weights, strict=True)) if upto * w % total]
+    releases = sorted({r for _, _, r in open_})
+    # Slots from a release on, less the due blocks that are released from there on; least in each range.
+    due = [0] * (upto - releases[0])  # by the distance of their release
+    for n, w in zip(counts, weights, strict=True):
+        while n and (r := (n - 1) * total // w) > releases[0]:
+            due[upto - r] += 1
+            n -= 1
+    room, taken, k = [upto] * len(releases), 0, len(releases) - 1
+    for back in range(1, len(due)):
+        taken += due[back]
+        while k > 0 and upto - back <= releases[k - 1]:
+            k -= 1
+        if upto - back <= releases[-1]:
+            room[k] = min(room[k], back - taken)
+    for _, s, release in sorted(open_):
+        at = bisect_left(releases, release)
+        if left and min(room[1: at + 1], default=1) > 0:
+            for k in range(1, at + 1):
+                room[k] -= 1
+            counts[s] += 1
+            left -= 1
+    return counts
+
+
+def segment(weights: list[int], start: int, end: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """slot, source, block, release, deadline of the slots of a segment: the earliest deadline first
+    among the released blocks, each not later than the segment's end."""
+    total, done, last = sum(weights), begun(weights, start), begun(weights, end)
+    waiting = [(n * total // w, s) for s, (n, w) in enumerate(zip(done, weights, strict=True)) if n < last[s]]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, int, int, int]] = []  # deadline in the segment, deadline, source, release
+    for slot in range(start, end):
+        while waiting and waiting[0][0] <= slot:
+            release, s = heapq.heappop(waiting)
+            deadline = -(-(done[s] + 1) * total // weights[s])
+            heapq.heappush(ready, (min(deadline, end), deadline, s, release))
+        _, deadline, s, release = heapq.heappop(ready)
+        yield slot, s, done[s], release, deadline
+        done[s] += 1
+        if done[s] < last[s]:
+            heapq.heappush(waiting, (done[s] * total // weights[s], s))
+
+
 def one_cycle(share: dict[str, int]) -> dict[str, list[int]]:
-    """The slots that each source's blocks take, by earliest deadline first among the released."""
-    cycle = sum(share.values())
+    """The slots that each source's blocks take in a schedule as long as the sum of the shares."""
+    names = sorted(share)
     slots: dict[str, list[int]] = {s: [] for s in share}
-    waiting = [(0, s) for s in sorted(share)]  # release of the next block, source
-    ready: list[tuple[int, str]] = []  # deadline, source
-    for slot in range(cycle):
-        while waiting and waiting[0][0] <= slot:
-            _, s = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(len(slots[s]) + 1) * cycle // share[s]), s))
-        _, s = heapq.heappop(ready)
-        slots[s].append(slot)
-        if len(slots[s]) < share[s]:
-            heapq.heappush(waiting, (len(slots[s]) * cycle // share[s], s))
+    for slot, s, *_ in segment([share[s] for s in names], 0, sum(share.values())):
+        slots[names[s]].append(slot)
     return slots
 
 
@@ -73,33 +145,60 @@ def _source(name: str = "source"):
     return F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit(""))
 
 
+def _slots(spark, weights: dict[str, int], blocks: dict[str, int], cycle: int) -> DataFrame:
+    """s, own, epoch, block, slot, release, deadline: the slots until every source has ended once."""
+    names = sorted(weights)
+    given, total = [weights[s] for s in names], sum(weights.values())
+    needed = max(-(-blocks[s] * total // weights[s]) for s in names)
+    # A segment is about as long as the longest time between a release and its deadline, at least.
+    length = min(needed, max(cycle, 10 * len(names), -(-total // min(given))))
+    count = -(-needed // length)
+    sizes = [blocks[s] for s in names]
+
+    def timed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["slot", "s", "block", "release", "deadline"]
+        for frame in frames:
+            rows = []
+            for k in frame["id"]:
+                for row in segment(given, int(k) * length, min(needed, (int(k) + 1) * length)):
+                    rows.append(row)
+                    if len(rows) == BATCH:
+                        yield named(pd.DataFrame(rows, columns=columns))
+                        rows = []
+            if rows:
+                yield named(pd.DataFrame(rows, columns=columns))
+
+    def named(rows: pd.DataFrame) -> pd.DataFrame:
+        size = rows["s"].map(dict(enumerate(sizes)))
+        return rows.assign(own=rows["block"] % size, epoch=rows["block"] // size, s=rows["s"].map(dict(enumerate(names))))[
+            ["s", "own", "epoch", "block", "slot", "release", "deadline"]]
+
+    python_ready(spark)
+    tasks = min(count, max(1, needed // (TASK_SEGMENTS * CYCLE)))
+    made = stored(spark.range(0, count, 1, tasks).mapInPandas(
+        timed, "s string, own bigint, epoch bigint, block bigint, slot bigint, release bigint, deadline bigint"), "slots")
+    first = made.filter("epoch = 0").groupBy("s").agg(F.max("slot").alias("slot"))
+    end = first.agg(F.max("slot")).first()[0]
+    return made.filter(F.col("slot") <= end)
+
+
 def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK,
              cycle: int = CYCLE) -> DataFrame:
     """One row per appearance of a document: row (its columns), epoch (from 0), block (of its source,
-    over all epochs), slot, place (in its block), release and deadline."""
+    over all epochs), slot, place (in its block), release and deadline. `cycle` is the least length of
+    a segment."""
     spark = docs.sparkSession
     sizes = {r["s"]: r["n"] for r in docs.groupBy(_source().alias("s")).agg(F.count("*").alias("n")).collect()}
     if weights is None:
         targets = {s: n**TEMPER for s, n in sizes.items()}
     else:
+        whole_weights(weights)
         given = {"" if s is None else f"={s}": w for s, w in weights.items()}
         targets = {s: given.get(s, min(given.values())) for s in sizes}
-    share = shares(targets, cycle)
-    slots = one_cycle(share)
-    cycle = sum(share.values())
+    if not sizes:  # an empty table has one source without documents
+        sizes = targets = {"": 1}
     blocks = {s: ceil(n / block) for s, n in sizes.items()}
-
-    def slot(s: str, j: int) -> int:
-        return j // share[s] * cycle + slots[s][j % share[s]]
-
-    end = max((slot(s, b - 1) + 1 for s, b in blocks.items()), default=0)
-    # Bounded by the sources and the cycle, whatever the number of documents.
-    per_source = spark.createDataFrame(
-        [(s, blocks[s], share[s]) for s in sizes],
-        T.StructType.fromDDL("s string, n_blocks bigint, share bigint"))
-    per_turn = spark.createDataFrame(
-        [(s, k, at) for s, found in slots.items() for k, at in enumerate(found)],
-        T.StructType.fromDDL("s string, turn bigint, at bigint"))
+    slots = _slots(spark, whole_weights(targets), blocks, cycle)
 
     # Numbers within a source: counts per range of hashes, then the place within the range.
     ranges = max(1, ceil(max(sizes.values(), default=0) / TASK_ROWS))
@@ -111,21 +210,9 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, bl
     offsets = counts.select("s", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     numbered = keyed.withColumn("k", F.row_number().over(
         Window.partitionBy("s", "part").orderBy("h", F.col("row.doc_id"), F.xxhash64("row.text"))) - 1).join(offsets, ["s", "part"])
-    placed = numbered.select("row", "s", (F.col("before") + F.col("k")).alias("number")).join(
-        F.broadcast(per_source), "s").select(
-        "row", "s", "share", "n_blocks", F.floor(F.col("number") / block).alias("own"),
-        (F.col("number") % block).alias("place"))
-    # Epochs that can begin before the end: block own + epoch * n_blocks comes no earlier than its release.
-    most = F.floor((F.lit(end) * F.col("share") / cycle - F.col("own")) / F.col("n_blocks"))
-    turns = placed.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(most, F.lit(0)))).alias("epoch"))
-    turns = turns.withColumn("block", F.col("own") + F.col("epoch") * F.col("n_blocks"))
-    turns = turns.withColumn("turn", F.col("block") % F.col("share"))
-    timed = turns.join(F.broadcast(per_turn), ["s", "turn"]).withColumn(
-        "slot", F.floor(F.col("block") / F.col("share")) * cycle + F.col("at")).filter(F.col("slot") < end)
-    return timed.select(
-        "row", "epoch", "block", "slot", "place",
-        F.floor(F.col("block") * cycle / F.col("share")).alias("release"),
-        F.ceil((F.col("block") + 1) * cycle / F.col("share")).alias("deadline"))
+    placed = numbered.select("row", "s", (F.col("before") + F.col("k")).alias("number")).select(
+        "row", "s", F.floor(F.col("number") / block).alias("own"), (F.col("number") % block).alias("place"))
+    return placed.join(slots, ["s", "own"]).select("row", "epoch", "block", "slot", "place", "release", "deadline")
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:

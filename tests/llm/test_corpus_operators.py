@@ -218,6 +218,36 @@ def test_schedule_keeps_every_source_near_its_target(spark):
     assert all(max(c.values()) - min(c.values()) <= 1 for c in times.values())
 
 
+def test_schedule_keeps_unrounded_targets_over_many_segments(spark):
+    """Targets that are no whole shares of a cycle, one of them far below a share."""
+    rows = [(k, f"t{k}", "abcd"[min(k % 7, 3)] if k > 2 else "tiny") for k in range(9000)]
+    weights = {"a": 1 / 3, "b": 0.2345678, "c": 0.0871, "d": 0.34, "tiny": 0.00037}
+    made = mixing.schedule(documents(spark, rows, False), weights, block=1, cycle=100).select(
+        "row.source", "slot", "release", "deadline", "row.doc_id").collect()
+    assert {r.doc_id for r in made} == {r[0] for r in rows}
+    assert len(made) > 10_000 and sorted(r.slot for r in made) == list(range(len(made)))
+    seen, total = Counter(), sum(weights.values())
+    for r in sorted(made, key=lambda r: r.slot):
+        assert r.release <= r.slot < r.deadline
+        seen[r.source] += 1
+        assert all(abs(seen[s] - w / total * (r.slot + 1)) < 1 for s, w in weights.items())
+
+
+def test_segments_meet_at_any_cut():
+    draws = np.random.default_rng(4)
+    for _ in range(60):
+        weights = [int(w) for w in draws.integers(1, [3, 50, 10_000][int(draws.integers(3))], int(draws.integers(1, 40)))]
+        weights += [w for w in weights if draws.random() < 0.5]
+        total, at, seen = sum(weights), 0, [0] * len(weights)
+        while at < 600:
+            end = at + int(draws.integers(1, 120))
+            for slot, s, block, release, deadline in mixing.segment(weights, at, end):
+                assert block == seen[s] and release <= slot < deadline and slot == sum(seen)
+                assert (release, deadline) == (block * total // weights[s], -(-(block + 1) * total // weights[s]))
+                seen[s] += 1
+            at = end
+
+
 def test_mix_of_odd_rows(spark):
     rows = odd_rows()
     docs = documents(spark, rows)
