@@ -150,6 +150,22 @@ def test_pages(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_links_in_a_marked_part_and_short_stretches_stay():
+    links = "".join(f"<li><a href='/{k}'>Item {k}</a></li>" for k in range(6))
+    items = [f"Item {k}" for k in range(6)]
+    body = f"<h1><a href='/'>Title</a></h1><p>{PROSE}</p><ul>{links}</ul><p>{PROSE}</p><p><a href='/'>Last link</a></p>"
+    want = "\n\n".join(["Title", PROSE, *items, PROSE, "Last link"])
+    aside = "<aside><p>An advert</p><p>of two lines</p><p>or three</p><p>or four</p></aside>"
+    for part in ("<article>{}</article>", "<main>{}</main>", "<div itemprop='articleBody'>{}</div>"):
+        assert html_text.main_text(f"<nav><a href='/'>Home</a></nav>{part.format(body + aside)}<p>Away</p>") == want
+    assert html_text.main_text(f"<article><p><a href='/'>{PROSE}</a></p></article>") == PROSE
+    # Without such a part: what is short stays, on both sides of a notice; a long run of links goes.
+    page = f"<div><h2>A heading</h2>{aside}<p>Short.</p>{aside}<p>{PROSE}</p>{aside}<p>Shorter.</p></div><ul>{links}</ul>"
+    assert html_text.main_text(page) == "\n\n".join(["A heading", "Short.", PROSE, "Shorter."])
+    page = f"<ul>{links}</ul><p>{PROSE}</p><ul><li><a>One</a></li><li><a>Two</a></li><li><a>Three</a></li></ul><p>End.</p>"
+    assert html_text.main_text(page) == "\n\n".join([PROSE, "One", "Two", "Three", "End."])
+
+
 def test_given_articles_are_whole():
     import html
 
