@@ -166,6 +166,16 @@ def test_links_in_a_marked_part_and_short_stretches_stay():
     assert html_text.main_text(page) == "\n\n".join([PROSE, "One", "Two", "Three", "End."])
 
 
+def test_owners_are_named_before_or_after_the_text():
+    items = ["(a) One", "(b) Two", "(c) Three", "Copyright law is old.", "© is a sign.", "All rights reserved is a phrase."]
+    body = "".join(f"<p>{x}</p>" for x in [PROSE, *items, PROSE])
+    want = "\n\n".join([PROSE, *items, PROSE])
+    for mark in ("&copy; us", "(c) 2020 us", "Copyright 2019-2020 by us", "Copyright (c) us", "All rights reserved."):
+        assert html_text.main_text(f"<p>{mark}</p>{body}<p>{mark}</p><p>{mark}</p>") == want, mark
+    assert html_text.main_text(f"<p>{PROSE}</p><p>(a) One</p><p>(b) Two</p><p>(c) Three</p>").endswith("(c) Three")
+    assert html_text.main_text(f"<p>Copyright law is old.</p><p>{PROSE}</p>").startswith("Copyright law")
+
+
 def test_given_articles_are_whole():
     import html
 
