@@ -145,6 +145,15 @@ def _source(name: str = "source"):
     return F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit(""))
 
 
+def _order():
+    return F.xxhash64("doc_id", "text")
+
+
+def _range(ranges: int):
+    """The range a document is numbered in; documents of one id, or of none, are in many."""
+    return F.pmod(F.shiftright(_order(), 20), F.lit(ranges)).cast("int")
+
+
 def _slots(spark, weights: dict[str, int], blocks: dict[str, int], cycle: int) -> DataFrame:
     """s, own, epoch, block, slot, release, deadline: the slots until every source has ended once."""
     names = sorted(weights)
@@ -202,9 +211,8 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, bl
 
     # Numbers within a source: counts per range of hashes, then the place within the range.
     ranges = max(1, ceil(max(sizes.values(), default=0) / TASK_ROWS))
-    order = F.xxhash64("doc_id")
-    part = F.pmod(F.shiftright(order, 20), F.lit(ranges)).cast("int")
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), _source().alias("s"), order.alias("h"), part.alias("part"))
+    part = _range(ranges)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), _source().alias("s"), _order().alias("h"), part.alias("part"))
     counts = docs.groupBy(_source().alias("s"), part.alias("part")).count()
     before = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("s", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))

@@ -248,6 +248,17 @@ def test_segments_meet_at_any_cut():
             at = end
 
 
+def test_documents_of_one_id_are_numbered_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TASK_ROWS", 100)
+    docs = documents(spark, [(None if k % 2 else 7, f"text {k}", "a") for k in range(2000)], False)
+    assert docs.groupBy(mixing._range(20)).count().agg({"count": "max"}).first()[0] < 200
+    made = mixing.schedule(docs).select("row.doc_id", "row.text", "block", "place").collect()
+    assert len({r.text for r in made}) == len(made) == len({(r.block, r.place) for r in made}) == 2000
+    mixed = {r.block for r in made if r.doc_id} & {r.block for r in made if r.doc_id is None}
+    assert len(mixed) > 200  # 1 or none if ids are numbered one after the other
+    assert max(r.block for r in made) == 2000 // mixing.BLOCK - 1
+
+
 def test_mix_of_odd_rows(spark):
     rows = odd_rows()
     docs = documents(spark, rows)
