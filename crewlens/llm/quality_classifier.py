@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.tables import python_ready
+from crewlens.llm.tables import one_text, python_ready
 
 SPACE, WORD, SIGN = 0, 1, 2
 REPEATED = np.uint64(1)
@@ -109,7 +109,8 @@ def fit_features(rows: list[tuple[int, np.ndarray, np.ndarray]], settings: Setti
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
     """docs: doc_id, text; labels: doc_id, label (0 or 1). Texts are learnt in the order of their
-    id's hash. Only the ids picked are broadcast: `Settings.rows` of them."""
+    id's hash. Only the ids picked are broadcast: `Settings.rows` of them, each learnt with one of its
+    texts."""
     settings = settings or Settings()
     python_ready(docs.sparkSession)
     picked = (
@@ -117,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
         .distinct().withColumn("place", F.xxhash64("doc_id"))
         .orderBy("place", "doc_id", "label").limit(settings.rows)
     )
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").drop("doc_id")
+    sample = one_text(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")).drop("doc_id")
 
     def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -33,6 +33,12 @@ def lines(text: Column) -> Column:
     return F.coalesce(F.split(text, "\n"), F.array().cast("array<string>"))
 
 
+def one_text(rows: DataFrame) -> DataFrame:
+    """One row per id (and further columns): of an id's texts the one of least hash."""
+    others = [c for c in rows.columns if c != "text"]
+    return rows.groupBy(*others).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.llm.tables import python_ready
+from crewlens.llm.tables import one_text, python_ready
 
 CHUNK = 1 << 17
 
@@ -119,7 +119,7 @@ def fit_features(rows: list[np.ndarray], labels: np.ndarray, settings: Settings)
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
     """docs: doc_id, text; labels: doc_id, label (0 or 1). Only the ids picked are broadcast:
-    `Settings.toxic_rows` and `Settings.other_rows` of them."""
+    `Settings.toxic_rows` and `Settings.other_rows` of them, each learnt with one of its texts."""
     settings = settings or Settings()
     python_ready(docs.sparkSession)
     known = labels.filter(F.col("doc_id").isNotNull()).select("doc_id", F.col("label").cast("int").alias("label")).distinct()
@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
         known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         for label, rows in ((1, settings.toxic_rows), (0, settings.other_rows))
     ]
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+    sample = one_text(docs.select("doc_id", "text").join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id"))
 
     def ids(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

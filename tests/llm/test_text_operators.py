@@ -235,3 +235,12 @@ def test_a_long_text_is_read_to_its_end():
     assert set(toxicity.feature_ids("xyzzyfrotz", settings)) <= set(toxicity.feature_ids(head + " xyzzyfrotz", settings))
     ids, values = quality_classifier.features(SENTENCE, quality_classifier.Settings())
     assert len(ids) == len(values) and np.isclose(np.sqrt((values**2).sum()), quality_classifier.Settings().length)
+
+
+@pytest.mark.parametrize("operator", [toxicity, quality_classifier])
+def test_a_repeated_id_is_learnt_once(spark, operator, monkeypatch):
+    learnt = []
+    monkeypatch.setattr(operator, "fit_features", lambda rows, *_: learnt.append(len(rows)))
+    docs = documents(spark, [(k % 4 if k < 8 else 0, f"text {k}" if k else None, "s") for k in range(200)])
+    operator.fit(docs, spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id bigint, label int"))
+    assert learnt == [4]
