@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crewlens.llm import chat, embeddings, html_text, line_dedup, minhash, mixing, packing, quality_classifier, quality_rules, toxicity
+from crewlens.llm import (
+    chat, embeddings, html_text, line_dedup, minhash, mixing, negatives, packing, pieces, quality_classifier,
+    quality_rules, toxicity, whitening,
+)
 from crewlens.llm.tables import lines, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Query] = {}
 
@@ -106,3 +110,26 @@ def op10_quality_rules(spark, sf_dir):
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_stop_words", "n_lines", "n_shouted_lines",
         F.array_join("broken_rules", ",").alias("broken_rules"))
+
+
+@register
+def op11_whitening(spark, sf_dir):
+    found = whitening.whitened(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@register
+def op12_hard_negatives(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@register
+def op13_sentencepiece(spark, sf_dir):
+    path = public_tokenizers.path(PIECES)
+    found = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), path), path)
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
