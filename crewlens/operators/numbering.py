@@ -1,8 +1,9 @@
 """Consecutive numbers and predecessor lookups in a global order, without one task seeing all rows.
 
-Both work per bucket, a value that rises with the order. Buckets lie between the values of a sample:
-those whose hash is lowest, so the same rows give the same buckets, whatever the partitioning and
-however the values are spaced. Only one row per bucket, BUCKETS at most, meets in a single window.
+Rows are dealt to ranges of the order, which the engine chooses from a sample of them: their number
+grows with the data, they hold about equal shares however values are spaced, and rows that agree in
+the first column of the order are told apart by the next ones. The dealt rows are stored, as another
+run of the same plan may choose other ranges. Only one row per range meets in a single window.
 """
 
 from __future__ import annotations
@@ -12,28 +13,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEP = 32
-BUCKETS = _STEP * _STEP
+from crewlens.session import stored
 
+_ROW_BITS = 33  # of a monotonically increasing id: the row within its task
 
-def with_bucket(df: DataFrame, column: str) -> DataFrame:
-    """Add `_bucket` of a row by the value of a column: how many sampled values are smaller.
 
-    The sample is the few values of lowest hash, kept per map task (no sort of the whole). Each row
-    looks among every 32nd of them, and then among the 32 after the one found.
-    """
-    values = df.select(F.col(column).alias("v")).filter("v IS NOT NULL")
-    lowest = values.orderBy(F.xxhash64("v"), "v").limit(BUCKETS - 1)
-    sample = lowest.agg(F.array_sort(F.collect_set("v"))).scalar()
-    marks = F.filter("_sample", lambda _, i: i % _STEP == _STEP - 1)
-    coarse = F.size(F.filter(marks, lambda x: x < F.col(column))) * _STEP
-    rest = F.slice("_sample", F.col("_coarse") + 1, F.lit(_STEP))
-    fine = F.size(F.filter(rest, lambda x: x < F.col(column)))
-    return (
-        df.withColumn("_sample", sample)
-        .withColumn("_coarse", coarse)
-        .withColumn("_bucket", F.coalesce(F.col("_coarse") + fine, F.lit(0)))
-        .drop("_sample", "_coarse")
+def in_ranges(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """Store the rows by ranges of the order: `_range` rises with it, `_place` is 1, 2, ... within."""
+    dealt = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    place = F.monotonically_increasing_id()
+    return stored(
+        dealt.select(
+            "*",
+            F.shiftright(place, _ROW_BITS).alias("_range"),
+            (place.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1).alias("_place"),
+        ),
+        "ranges",
     )
 
 
@@ -44,27 +39,26 @@ def number_rows(
     within: Sequence[str] = (),
     start: Column | int = 0,
 ) -> DataFrame:
-    """Add `name` = start + 1, start + 2, ... in `order_by` order (restarting in each `within` group).
-
-    The first of `order_by` is a column name: its values make the buckets.
-    """
-    groups = [*within, "_bucket"]
-    rows = with_bucket(df, order_by[0])
-    before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(
+    """Add `name` = start + 1, start + 2, ... in `order_by` order (restarting in each `within` group)."""
+    rows = in_ranges(df, [*within, *order_by])
+    before = Window.partitionBy(*within).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = (
-        rows.groupBy(*groups)
-        .agg(F.count("*").alias("_rows"))
-        .select(*groups, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    # A range holds one stretch of each group it has rows of.
+    offsets = rows.groupBy(*within, "_range").agg(
+        F.count("*").alias("_rows"), F.min("_place").alias("_first")
+    ).select(
+        *within,
+        "_range",
+        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_offset"),
     )
-    position = F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by))
+    if not within:
+        offsets = F.broadcast(offsets)  # a row per range: spark.sql.shuffle.partitions at most
     base = start if isinstance(start, Column) else F.lit(start)
     return (
-        rows.withColumn("_position", position)
-        .join(offsets, groups)
-        .withColumn(name, (F.col("_offset") + F.col("_position") + base).cast("bigint"))
-        .drop("_bucket", "_position", "_offset")
+        rows.join(offsets, [*within, "_range"])
+        .withColumn(name, (F.col("_offset") + F.col("_place") + base).cast("bigint"))
+        .drop("_range", "_place", "_offset")
     )
 
 
@@ -73,34 +67,34 @@ def previous_value(
 ) -> DataFrame:
     """Add `name` = the last non-NULL `value` among the rows before, in `order_by` order within `key`.
 
-    A key may hold any share of the rows: it is cut into buckets, and each bucket starts from
-    the last value of the buckets before it.
+    A key may hold any share of the rows: it is cut at the ends of ranges, and each part starts from
+    the last value of the parts before it.
     """
-    rows = with_bucket(df, order_by)
+    rows = in_ranges(df, [key, order_by]).drop("_place")
 
     def last_before(column: str, window) -> Column:
         return F.last(column, ignorenulls=True).over(
             window.rowsBetween(Window.unboundedPreceding, -1)
         )
 
-    # Rows without a value have no place in the order, so max_by passes them over; a bucket that
-    # has only such rows still gets its row.
+    # Rows without a value have no place in the order, so max_by passes them over; a part that has
+    # only such rows still gets its row.
     place = F.when(F.col(value).isNotNull(), F.col(order_by))
     carried = (
-        rows.groupBy(key, "_bucket")
+        rows.groupBy(key, "_range")
         .agg(F.max_by(value, place).alias("_last"))
         .select(
             key,
-            "_bucket",
-            last_before("_last", Window.partitionBy(key).orderBy("_bucket")).alias("_carried"),
+            "_range",
+            last_before("_last", Window.partitionBy(key).orderBy("_range")).alias("_carried"),
         )
     )
-    inside = last_before(value, Window.partitionBy(key, "_bucket").orderBy(order_by))
+    inside = last_before(value, Window.partitionBy(key, "_range").orderBy(order_by))
     return (
         rows.withColumn("_inside", inside)
-        .join(carried, [key, "_bucket"], "left")
+        .join(carried, [key, "_range"], "left")
         .withColumn(name, F.coalesce("_inside", "_carried"))
-        .drop("_bucket", "_inside", "_carried")
+        .drop("_range", "_inside", "_carried")
     )
 
 

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import day, rows
@@ -82,7 +83,15 @@ def test_projects_and_assignments_need_known_references(spark):
     assert rows(out, "assignment_id", "role_on_project") == [(1, "Dev")]
 
 
-def test_numbers_run_through_buckets_and_groups(spark):
+@pytest.fixture
+def many_ranges(spark):
+    """Small ranges are otherwise put together at run time."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_numbers_run_through_ranges_and_groups(spark, many_ranges):
     df = spark.range(0, 5_000_000, 500_000).withColumn("g", F.col("id") % 1_000_000)
     out = number_rows(df, "n", ["id"], start=100)
     assert rows(out, "id", "n") == sorted(
@@ -90,21 +99,38 @@ def test_numbers_run_through_buckets_and_groups(spark):
     )
     grouped = number_rows(df, "n", ["id"], within=["g"])
     assert sorted(r.n for r in grouped.collect()) == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+    turned = number_rows(df, "n", [F.col("id").desc()], within=["g"])
+    assert [r.n for r in turned.filter("g = 0").orderBy("id").collect()] == [5, 4, 3, 2, 1]
 
 
-def test_previous_value_crosses_buckets(spark):
+def test_previous_value_crosses_ranges(spark, many_ranges):
     data = [(1, 1, "a"), (1, 5, "b"), (1, 2_000_000, "c"), (1, 9_000_000, "d"), (2, 3, "x")]
     df = spark.createDataFrame(data, "k bigint, seq bigint, v string")
     out = previous_value(df, "p", "k", "seq", "v")
     assert rows(out, "v", "p") == [("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("x", None)]
 
 
-def test_buckets_hold_a_bounded_share_however_ids_are_spaced(spark):
-    for ids in (range(0, 5_000_000_000 * 3000, 5_000_000_000), range(3000), [7, *range(10**15, 10**15 + 2999)]):
+def test_previous_value_of_a_key_in_many_ranges(spark, many_ranges):
+    """Also through ranges that hold no value at all."""
+    data = [(0, s, f"v{s}" if s < 100 or s > 900 else None) for s in range(1000)] + [(k, 1, "y") for k in range(1, 40)]
+    df = spark.createDataFrame(data, "k bigint, seq bigint, v string")
+    found = {r.seq: r.p for r in previous_value(df, "p", "k", "seq", "v").filter("k = 0").collect()}
+    assert found[0] is None and found[50] == "v49" and found[902] == "v901"
+    assert {found[s] for s in range(101, 902)} == {"v99"} and len(found) == 1000
+
+
+def test_ranges_hold_even_shares_however_rows_are_spaced(spark, many_ranges):
+    spaced = (range(0, 5_000_000_000 * 3000, 5_000_000_000), range(3000), [7, *range(10**15, 10**15 + 2999)])
+    for ids in spaced:
         df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-        counts = numbering.with_bucket(df, "id").groupBy("_bucket").count().collect()
-        assert len(counts) <= numbering.BUCKETS and max(r["count"] for r in counts) < 60
+        counts = [r["count"] for r in numbering.in_ranges(df, ["id"]).groupBy("_range").count().collect()]
+        assert len(counts) > 1 and max(counts) < 2 * 3000 / len(counts)
         assert [r.n for r in number_rows(df, "n", ["id"]).orderBy("id").collect()] == list(range(1, 3001))
+    # Rows that agree in the first column are told apart by the next one.
+    tied = spark.range(3000).withColumn("first", F.lit(1))
+    counts = [r["count"] for r in numbering.in_ranges(tied, ["first", "id"]).groupBy("_range").count().collect()]
+    assert len(counts) > 1 and max(counts) < 2 * 3000 / len(counts)
+    assert [r.n for r in number_rows(tied, "n", ["first", "id"]).orderBy("id").collect()] == list(range(1, 3001))
 
 
 def test_vanished_departments_go_and_keep_their_id(spark):
