@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crewlens.model import STAGING, Bronze
+from crewlens.sources import records
 
 # Columns the raw HR file must have, and the constant ones it may drop.
 REQUIRED_COLUMNS = [
@@ -19,19 +20,9 @@ RAW_TEXT_COLUMNS = [
     "attrition", "business_travel", "department", "education_field", "gender", "job_role",
     "marital_status", "over18", "over_time",
 ]
-# Blanks around values are part of the data.
-_CSV = {
-    "header": True,
-    "dateFormat": "yyyy-MM-dd",
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-    # A quote inside a value is doubled, and a value may hold line ends.
-    "quote": '"',
-    "escape": '"',
-    "multiLine": True,
-}
-# A value that does not fit its type, or a file with another header, fails the read.
-_STRICT = {**_CSV, "mode": "FAILFAST", "enforceSchema": False}
+
+# A value may hold line ends.
+_CSV = {**records.CSV, "multiLine": True}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -53,10 +44,6 @@ def _must_exist(spark: SparkSession, path: str) -> str:
     return path
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.options(**_CSV).csv(path).columns
-
-
 def snake_case(name: str) -> str:
     """'MonthlyIncome' -> 'monthly_income': capitals begin words, and words are joined by a line."""
     words = [""]
@@ -74,7 +61,7 @@ def raw_hr_ingest(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) ->
     known text columns are text, all others whole numbers. `keep` names constant columns to retain.
     """
     _must_exist(spark, path)
-    header = _header(spark, path)
+    header = records.header(spark, path)
     names = [snake_case(c) for c in header]
     missing = [c for c in REQUIRED_COLUMNS if c not in names]
     if missing:
@@ -85,7 +72,7 @@ def raw_hr_ingest(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) ->
         )
         for raw, name in zip(header, names)
     ])
-    raw = spark.read.schema(schema).options(**_STRICT).csv(path)
+    raw = records.read_csv(spark, path, schema)
     return raw.toDF(*names).drop(*[c for c in CONSTANT_COLUMNS if c not in keep])
 
 
@@ -110,14 +97,14 @@ def read_staging(spark: SparkSession, folder: str) -> Bronze:
     frames = []
     for name, schema in STAGING.items():
         path = _must_exist(spark, f"{folder}/{name}.csv")
-        header = _header(spark, path)
+        header = records.header(spark, path)
         unknown = set(header) - set(schema.names) - {"_loaded_at"}
         if unknown:
             raise ValueError(f"{name} has unknown columns: {sorted(unknown)}")
         found = T.StructType([
             schema[c] if c in schema.names else T.StructField(c, T.TimestampType()) for c in header
         ])
-        rows = spark.read.schema(found).options(**_STRICT).csv(path)
+        rows = records.read_csv(spark, path, found)
         columns = [
             F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schema
