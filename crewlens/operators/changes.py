@@ -63,14 +63,16 @@ REFRESH_HINT = "Click 'Refresh warehouse' to see it in the dashboards."
 
 @dataclass(frozen=True)
 class Outcome:
-    """Judged requests, and Silver as a function of them: a job stores the requests first."""
+    """Judged requests, and how they change Silver, or those parts of its tables that hold their
+    employees. A job stores the requests first."""
 
     requests: DataFrame
-    after: Callable[[DataFrame], Silver]
+    before: Silver
+    change: Callable[[Silver, DataFrame], Silver]
 
     @property
     def silver(self) -> Silver:
-        return self.after(self.requests)
+        return self.change(self.before, self.requests)
 
     @property
     def accepted(self) -> DataFrame:
@@ -127,14 +129,14 @@ def _with_message(judged: DataFrame, success: Column) -> DataFrame:
     )
 
 
-def _appending(silver: Silver, table: str, columns: list[str]) -> Callable[[DataFrame], Silver]:
+def _appending(table: str, columns: list[str]) -> Callable[[Silver, DataFrame], Silver]:
     """Silver with the accepted requests added to a table."""
 
-    def after(requests: DataFrame) -> Silver:
+    def change(silver: Silver, requests: DataFrame) -> Silver:
         rows = requests.filter("accepted").select(*columns)
         return replace(silver, **{table: getattr(silver, table).select(*columns).unionByName(rows)})
 
-    return after
+    return change
 
 
 def add_employees(requests: DataFrame, silver: Silver, as_of: datetime.date) -> Outcome:
@@ -163,7 +165,7 @@ def add_employees(requests: DataFrame, silver: Silver, as_of: datetime.date) ->
     ).drop("_taken", "_department", "_first")
     success = fill("Employee {employee_id} ({first_name} {last_name}) added.")
     result = _with_message(_numbered(judged, silver.employees, "employee_id"), success)
-    return Outcome(result, _appending(silver, "employees", EMPLOYEE_COLUMNS))
+    return Outcome(result, silver, _appending("employees", EMPLOYEE_COLUMNS))
 
 
 def add_projects(requests: DataFrame, silver: Silver) -> Outcome:
@@ -175,7 +177,7 @@ def add_projects(requests: DataFrame, silver: Silver) -> Outcome:
     ).drop("_department")
     success = fill("Project {project_id} created. " + REFRESH_HINT)
     result = _with_message(_numbered(judged, silver.projects, "project_id"), success)
-    return Outcome(result, _appending(silver, "projects", PROJECT_COLUMNS))
+    return Outcome(result, silver, _appending("projects", PROJECT_COLUMNS))
 
 
 def add_reviews(requests: DataFrame, silver: Silver, as_of: datetime.date) -> Outcome:
@@ -189,7 +191,7 @@ def add_reviews(requests: DataFrame, silver: Silver, as_of: datetime.date) -> Ou
     ).drop("_project", "_employee")
     success = fill("Review {review_id} saved. " + REFRESH_HINT)
     result = _with_message(_numbered(judged, silver.reviews, "review_id"), success)
-    return Outcome(result, _appending(silver, "reviews", REVIEW_COLUMNS))
+    return Outcome(result, silver, _appending("reviews", REVIEW_COLUMNS))
 
 
 _CHANGED = ["department_id", "job_role", "job_level", "monthly_income", "attrition"]
@@ -255,17 +257,17 @@ def apply_employee_changes(requests: DataFrame, silver: Silver, as_of: datetime.
         "seq", "employee_id", *_CHANGED, "accepted", "message"
     )
 
-    def after(judged: DataFrame) -> Silver:
-        change = judged.filter("accepted").select("employee_id", F.struct(*_CHANGED).alias("_new"))
+    def change_rows(silver: Silver, judged: DataFrame) -> Silver:
+        accepted = judged.filter("accepted").select("employee_id", F.struct(*_CHANGED).alias("_new"))
         changed = F.col("_new").isNotNull()
         values = {c: F.col(f"_new.{c}") for c in _CHANGED} | {"effective_from": today}
-        employees = silver.employees.join(change, "employee_id", "left").select(*[
+        employees = silver.employees.join(accepted, "employee_id", "left").select(*[
             F.when(changed, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
             for c in EMPLOYEE_COLUMNS
         ])
         return replace(silver, employees=employees)
 
-    return Outcome(result, after)
+    return Outcome(result, silver, change_rows)
 
 
 def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
@@ -307,7 +309,7 @@ def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
         "seq", "project_id", "status", "accepted", "message"
     )
 
-    def after(judged: DataFrame) -> Silver:
+    def change(silver: Silver, judged: DataFrame) -> Silver:
         last = (
             judged.filter("accepted")
             .groupBy("project_id")
@@ -320,7 +322,7 @@ def update_project_status(requests: DataFrame, silver: Silver) -> Outcome:
         )
         return replace(silver, projects=projects)
 
-    return Outcome(result, after)
+    return Outcome(result, silver, change)
 
 
 # At most 100 assignments of one percent fit one person. So among one person's requests of equal
@@ -455,13 +457,13 @@ def assign_employees(requests: DataFrame, silver: Silver, as_of: datetime.date)
     )
     result = _with_message(judged, F.lit(ASSIGNED))
 
-    def after(requests: DataFrame) -> Silver:
+    def change(silver: Silver, requests: DataFrame) -> Silver:
         rows = requests.withColumn("role_on_project", strip(F.col("role_on_project"))).withColumn(
             "assigned_date", F.lit(as_of)
         )
-        return _appending(silver, "assignments", ASSIGNMENT_COLUMNS)(rows)
+        return _appending("assignments", ASSIGNMENT_COLUMNS)(silver, rows)
 
-    return Outcome(result, after)
+    return Outcome(result, silver, change)
 
 
 def delete_employees(requests: DataFrame, silver: Silver) -> Outcome:
@@ -477,7 +479,7 @@ def delete_employees(requests: DataFrame, silver: Silver) -> Outcome:
         "seq", "employee_id", "accepted", "message"
     )
 
-    def after(judged: DataFrame) -> Silver:
+    def change(silver: Silver, judged: DataFrame) -> Silver:
         gone = judged.filter("accepted").select("employee_id")
 
         def without(table: DataFrame) -> DataFrame:
@@ -490,7 +492,7 @@ def delete_employees(requests: DataFrame, silver: Silver) -> Outcome:
             reviews=without(silver.reviews),
         )
 
-    return Outcome(result, after)
+    return Outcome(result, silver, change)
 
 
 def _role_of(department: Column, role_by_department: dict[str, str]) -> Column:

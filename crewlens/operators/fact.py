@@ -11,9 +11,10 @@ from crewlens.operators.scd2 import scd2_apply
 
 
 def fact_point_in_time(
-    reviews: DataFrame, dim_employee: DataFrame, dim_project: DataFrame
+    reviews: DataFrame, dim_employee: DataFrame, dim_project: DataFrame, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per review; reviews on a day without a version drop out.
+    """One row per review; reviews on a day without a version drop out. `keep` names further
+    columns of reviews to retain.
 
     The as-of join hashes on the employee and compares dates within. Equal intervals of an
     employee are first reduced to the newest-loaded one, so copies of a version never multiply
@@ -53,8 +54,9 @@ def fact_point_in_time(
             "work_life_balance",
             "environment_satisfaction",
             F.lit(1).alias("review_count"),
+            *[c for c in keep if c not in FACT_COLUMNS],
         )
-        .select(*FACT_COLUMNS)
+        .select(*FACT_COLUMNS, *keep)
     )
 
 

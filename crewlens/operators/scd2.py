@@ -142,13 +142,16 @@ def scd2_apply(
     history: DataFrame,
     departments: DataFrame,
     dim_department: DataFrame,
+    whole: DataFrame | None = None,
 ) -> DataFrame:
     """Close, then insert. Applying the same sources again changes nothing.
 
-    `dim_employee` must be stored (a table or checkpoint): it is read more than once.
+    `dim_employee` must be stored (a table or checkpoint): it is read more than once. Employees do
+    not meet, so versions and sources may be those of some employees; `whole` then is the dimension
+    of all, which gives the last load number.
     """
     incoming = scd2_incoming(employees, history, departments, dim_department)
     if dim_employee is None:
         return scd2_insert(None, incoming)
     closed = scd2_close(dim_employee, incoming)
-    return closed.unionByName(scd2_insert(closed, incoming, dim_employee))
+    return closed.unionByName(scd2_insert(closed, incoming, dim_employee if whole is None else whole))

@@ -26,22 +26,26 @@ from crewlens.operators.silver import (
 from crewlens.plans.warehouse import Warehouse
 from crewlens.session import tune
 from crewlens.sources import landing
-from crewlens.sources.store import LayerStore, Load
+from crewlens.sources.store import Commit, LayerStore, Load, bucket_of
 
 log = logging.getLogger("crewlens")
 
 BRONZE, SILVER, GOLD, JUDGED = "bronze", "silver", "gold", "judged"
+# Tables kept in buckets of the employee, in Silver; in Gold, versions and fact are.
+KEY = "employee_id"
+BY_EMPLOYEE = ("employees", "assignments", "reviews")
 
 
-def stored_bronze(store: LayerStore) -> Bronze:
+def stored_bronze(store: LayerStore | Commit) -> Bronze:
     return Bronze(*[store.read(BRONZE, name) for name in STAGING])
 
 
-def stored_silver(store: LayerStore) -> Silver:
-    return Silver(**{name: store.read(SILVER, name) for name in Silver.__dataclass_fields__})
+def stored_silver(store: LayerStore | Commit, buckets: list[int] | None = None) -> Silver:
+    """Silver; of the tables kept in buckets, those named."""
+    return Silver(**{name: store.read(SILVER, name, buckets) for name in Silver.__dataclass_fields__})
 
 
-def stored_gold(store: LayerStore) -> Gold | None:
+def stored_gold(store: LayerStore | Commit) -> Gold | None:
     if not store.exists(GOLD):
         return None
     return Gold(**{name: store.read(GOLD, name) for name in Gold.__dataclass_fields__})
@@ -70,38 +74,76 @@ def load_silver(store: LayerStore, bronze: Bronze) -> Silver:
         ids = departments if existing is None else existing.unionByName(departments).distinct()
         load.put("department_ids", ids)
         lookup = department_lookup(departments)
-        employees = load.put("employees", clean_employees(bronze.employee, lookup))
+        employees = load.put_buckets("employees", clean_employees(bronze.employee, lookup), KEY)
         projects = load.put("projects", clean_projects(bronze.project, lookup))
         silver = Silver(
             departments=departments,
             employees=employees,
             projects=projects,
-            assignments=load.put(
-                "assignments", fk_filtered_assignments(bronze.assignment, employees, projects)
+            assignments=load.put_buckets(
+                "assignments", fk_filtered_assignments(bronze.assignment, employees, projects), KEY
+            ),
+            reviews=load.put_buckets(
+                "reviews", fk_filtered_reviews(bronze.review, employees, projects), KEY
             ),
-            reviews=load.put("reviews", fk_filtered_reviews(bronze.review, employees, projects)),
         )
         # References hold by construction; keys and required values are up to the data.
         quality.enforce(quality.key_rules(silver))
     return silver
 
 
+def _made_from(load: Load, whole: list[tuple[str, str]], by_bucket: list[tuple[str, str]]) -> dict:
+    """The folders that a Gold table is made from: of whole tables, and of those in buckets."""
+    def entry(layer: str, table: str) -> dict:
+        return (load.tables() if layer == GOLD else load.commit.tables(layer)).get(table, {})
+
+    folders = [entry(*table).get("folders") or [] for table in by_bucket]
+    return {"whole": [entry(*table).get("folder") for table in whole], "buckets": [list(f) for f in zip(*folders)]}
+
+
+def _outdated(load: Load, table: str, made_from: dict) -> list[int] | None:
+    """Buckets of a stored Gold table that were made from other folders; None if all must be made."""
+    seen = load.tables().get(table, {}).get("seen")
+    now = made_from["buckets"]
+    if not seen or seen["whole"] != made_from["whole"] or len(seen["buckets"]) != len(now):
+        return None
+    return [k for k, (old, new) in enumerate(zip(seen["buckets"], now)) if old != new]
+
+
 def _put_versions(
     load: Load, old: Gold | None, silver: Silver, bronze: Bronze, dim_department: DataFrame
 ) -> DataFrame:
+    """Versions of the employees in those buckets of Silver that changed since they were made."""
     history = bronze.employee_history
-    # Version keys are made from the history id.
-    quality.enforce(quality.history_key_rules(history))
-    return load.put(
-        "dim_employee",
-        scd2_apply(
+    made_from = _made_from(
+        load, [(BRONZE, "stg_employee_history"), (SILVER, "departments")], [(SILVER, "employees")]
+    )
+    outdated = _outdated(load, "dim_employee", made_from) if old else None
+    if outdated is None:
+        # Version keys are made from the history id.
+        quality.enforce(quality.history_key_rules(history))
+        versions = scd2_apply(
             old and old.dim_employee, silver.employees, history, silver.departments, dim_department
-        ),
+        )
+        return load.put_buckets("dim_employee", versions, KEY, seen=made_from)
+    if not outdated:
+        return old.dim_employee
+    versions = scd2_apply(
+        load.read("dim_employee", outdated),
+        load.commit.read(SILVER, "employees", outdated),
+        history.filter(bucket_of(KEY, len(made_from["buckets"])).isin(outdated)),
+        silver.departments, dim_department, whole=old.dim_employee,
     )
+    return load.put_buckets("dim_employee", versions, KEY, only=outdated, seen=made_from)
 
 
-def load_gold(store: LayerStore, silver: Silver, bronze: Bronze) -> Gold:
-    """Upsert the dimensions, add employee versions, rebuild the fact."""
+def load_gold(store: LayerStore | Commit, silver: Silver, bronze: Bronze) -> Gold:
+    """Upsert the dimensions, add employee versions, link reviews. silver and bronze are the stored
+    ones: versions and facts are made for the buckets of employees that changed since the last load.
+
+    Facts of other buckets stand: they depend on their employees' reviews and versions, and on keys
+    of projects, which stay.
+    """
     old = stored_gold(store)
     with store.load(GOLD) as load:
         departments = load.put(
@@ -112,11 +154,20 @@ def load_gold(store: LayerStore, silver: Silver, bronze: Bronze) -> Gold:
             "dim_project",
             dims.dim_project_upsert(old and old.dim_project, silver.projects, departments),
         )
-        dates = load.put("dim_date", dims.dim_date(silver.reviews, old and old.dim_date))
         employees = _put_versions(load, old, silver, bronze, departments)
-        fact = load.put(
+        made_from = _made_from(load, [], [(SILVER, "reviews"), (GOLD, "dim_employee")])
+        outdated = _outdated(load, "fact_performance_reviews", made_from) if old else None
+        if outdated == []:
+            return Gold(departments, projects, old.dim_date, employees, old.fact_performance_reviews)
+        reviews, versions = silver.reviews, employees
+        if outdated is not None:
+            reviews = load.commit.read(SILVER, "reviews", outdated)
+            versions = load.read("dim_employee", outdated)
+        dates = load.put("dim_date", dims.dim_date(reviews, old and old.dim_date))
+        fact = load.put_buckets(
             "fact_performance_reviews",
-            fact_point_in_time(silver.reviews, employees, projects),
+            fact_point_in_time(reviews, versions, projects, keep=(KEY,)),
+            KEY, only=outdated, seen=made_from, drop_key=True,
         )
     return Gold(departments, projects, dates, employees, fact)
 
@@ -180,17 +231,64 @@ def run(
     return Warehouse(silver, load_gold(store, silver, bronze))
 
 
-def _apply(store: LayerStore, name: str, before: Silver, outcome: changes.Outcome) -> DataFrame:
-    """Store the judged requests, then the Silver tables they change."""
-    with store.load(JUDGED) as judged, store.load(SILVER) as silver:
-        requests = judged.put(name, outcome.requests)
-        for table, df in outcome.after(requests).tables().items():
-            if df is not before.tables()[table]:
-                silver.put(table, df)
-    return requests
-
-
-def sync_employees(store: LayerStore) -> None:
+def _put_changes(load: Load, outcome: changes.Outcome, requests: DataFrame) -> None:
+    """Store the Silver tables that accepted requests change: of those kept by employee, the buckets
+    of the employees that the requests name."""
+    accepted, buckets = requests.filter("accepted"), None
+    kept = load.tables()
+    if KEY in requests.columns:
+        number = bucket_of(KEY, len(kept["employees"]["folders"]))
+        buckets = [r[0] for r in accepted.select(number).distinct().collect()]  # one per bucket
+    if buckets == [] or accepted.isEmpty():
+        return
+    silver = stored_silver(load.commit, buckets)
+    for table, df in outcome.change(silver, requests).tables().items():
+        if df is not silver.tables()[table]:
+            if table in BY_EMPLOYEE:
+                load.put_buckets(table, df, KEY, only=buckets)
+            else:
+                load.put(table, df)
+
+
+def _apply(
+    store: LayerStore,
+    name: str,
+    judge: Callable[[Silver], changes.Outcome],
+    batch: str | None,
+    sync: Callable[[Commit], None] | None = None,
+    failed: str = "",
+) -> DataFrame:
+    """Judge a batch; store the judged requests, the Silver tables they change and the Gold tables
+    that follow in one commit. A batch that was answered before gets that answer.
+
+    Where Gold cannot follow, the change is kept without it: the accepted requests say so, and a
+    later refresh catches up.
+    """
+    answer = store.answer(batch) if batch is not None else None
+    if answer is None:
+        note = None
+        with store.commit(batch) as commit:
+            outcome = judge(stored_silver(commit))
+            with commit.load(JUDGED) as load:
+                requests = load.put(name, outcome.requests)
+            with commit.load(SILVER) as load:
+                _put_changes(load, outcome, requests)
+            if sync is not None:
+                try:
+                    sync(commit)
+                except Exception as error:  # reported to the caller, as the change itself is saved
+                    log.exception("sync failed")
+                    note = {"failed": failed, "error": str(error)}
+            commit.answers(JUDGED, name, note)
+    else:
+        requests, note = store.spark.read.parquet(f"{store.root}/{answer['folder']}"), answer["note"]
+    if note is None:
+        return requests
+    said = F.concat(fill(note["failed"]), F.lit(f" {note['error']}"))
+    return requests.withColumn("message", F.when(F.col("accepted"), said).otherwise(F.col("message")))
+
+
+def sync_employees(store: LayerStore | Commit) -> None:
     """Bring employee versions up to date; projects, dates and fact wait for a refresh."""
     silver, bronze, old = stored_silver(store), stored_bronze(store), stored_gold(store)
     if old is None:
@@ -200,7 +298,7 @@ def sync_employees(store: LayerStore) -> None:
         _put_versions(load, old, silver, bronze, old.dim_department)
 
 
-def sync_projects(store: LayerStore) -> None:
+def sync_projects(store: LayerStore | Commit) -> None:
     """Bring the project dimension up to date; nothing else depends on a status."""
     silver, old = stored_silver(store), stored_gold(store)
     if old is None:
@@ -213,59 +311,55 @@ def sync_projects(store: LayerStore) -> None:
         )
 
 
-def _synced(
-    store: LayerStore, judged: DataFrame, sync: Callable[[LayerStore], None], failed: str
+def change_employees(
+    store: LayerStore, requests: DataFrame, as_of: datetime.date, batch: str | None = None
 ) -> DataFrame:
-    """Sync Gold after a stored change. A failure leaves the change as it is: the accepted requests
-    say so, and a later refresh catches up."""
-    try:
-        sync(store)
-    except Exception as error:  # reported to the caller, as the change itself is saved
-        log.exception("sync failed")
-        note = F.concat(fill(failed), F.lit(f" {error}"))
-        return judged.withColumn("message", F.when(F.col("accepted"), note).otherwise(F.col("message")))
-    return judged
-
-
-def change_employees(store: LayerStore, requests: DataFrame, as_of: datetime.date) -> DataFrame:
-    """Apply employee changes, then sync Gold. Returns the judged requests."""
-    silver = stored_silver(store)
-    judged = _apply(
-        store, "employee_changes", silver, changes.apply_employee_changes(requests, silver, as_of)
+    """Apply employee changes and sync Gold. Returns the judged requests."""
+    return _apply(
+        store, "employee_changes", lambda silver: changes.apply_employee_changes(requests, silver, as_of),
+        batch, sync_employees, changes.SYNC_FAILED,
     )
-    return _synced(store, judged, sync_employees, changes.SYNC_FAILED)
 
 
-def hire_employees(store: LayerStore, requests: DataFrame, as_of: datetime.date) -> DataFrame:
-    silver = stored_silver(store)
-    judged = _apply(store, "new_employees", silver, changes.add_employees(requests, silver, as_of))
-    return _synced(store, judged, sync_employees, changes.HIRE_SYNC_FAILED)
+def hire_employees(
+    store: LayerStore, requests: DataFrame, as_of: datetime.date, batch: str | None = None
+) -> DataFrame:
+    return _apply(
+        store, "new_employees", lambda silver: changes.add_employees(requests, silver, as_of),
+        batch, sync_employees, changes.HIRE_SYNC_FAILED,
+    )
 
 
-def change_project_status(store: LayerStore, requests: DataFrame) -> DataFrame:
-    silver = stored_silver(store)
-    judged = _apply(
-        store, "project_status", silver, changes.update_project_status(requests, silver)
+def change_project_status(
+    store: LayerStore, requests: DataFrame, batch: str | None = None
+) -> DataFrame:
+    return _apply(
+        store, "project_status", lambda silver: changes.update_project_status(requests, silver),
+        batch, sync_projects, changes.STATUS_SYNC_FAILED,
     )
-    return _synced(store, judged, sync_projects, changes.STATUS_SYNC_FAILED)
 
 
-def open_projects(store: LayerStore, requests: DataFrame) -> DataFrame:
-    silver = stored_silver(store)
-    return _apply(store, "new_projects", silver, changes.add_projects(requests, silver))
+def open_projects(store: LayerStore, requests: DataFrame, batch: str | None = None) -> DataFrame:
+    return _apply(store, "new_projects", lambda silver: changes.add_projects(requests, silver), batch)
 
 
-def record_reviews(store: LayerStore, requests: DataFrame, as_of: datetime.date) -> DataFrame:
-    silver = stored_silver(store)
-    return _apply(store, "new_reviews", silver, changes.add_reviews(requests, silver, as_of))
+def record_reviews(
+    store: LayerStore, requests: DataFrame, as_of: datetime.date, batch: str | None = None
+) -> DataFrame:
+    return _apply(
+        store, "new_reviews", lambda silver: changes.add_reviews(requests, silver, as_of), batch
+    )
 
 
-def staff_projects(store: LayerStore, requests: DataFrame, as_of: datetime.date) -> DataFrame:
-    silver = stored_silver(store)
-    outcome = changes.assign_employees(requests, silver, as_of)
-    return _apply(store, "new_assignments", silver, outcome)
+def staff_projects(
+    store: LayerStore, requests: DataFrame, as_of: datetime.date, batch: str | None = None
+) -> DataFrame:
+    return _apply(
+        store, "new_assignments", lambda silver: changes.assign_employees(requests, silver, as_of), batch
+    )
 
 
-def remove_employees(store: LayerStore, requests: DataFrame) -> DataFrame:
-    silver = stored_silver(store)
-    return _apply(store, "departures", silver, changes.delete_employees(requests, silver))
+def remove_employees(store: LayerStore, requests: DataFrame, batch: str | None = None) -> DataFrame:
+    return _apply(
+        store, "departures", lambda silver: changes.delete_employees(requests, silver), batch
+    )

@@ -1,4 +1,4 @@
-"""Employee changes as a stream: each micro-batch is applied like a batch of requests."""
+"""Change requests as a stream: each micro-batch is applied like a batch of requests."""
 
 from __future__ import annotations
 
@@ -10,33 +10,38 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crewlens.plans.medallion import change_employees
 from crewlens.session import stored
-from crewlens.sources.landing import path_exists
 from crewlens.sources.store import LayerStore
 
 
+def apply_stream(
+    requests: DataFrame, checkpoint: str, change: Callable[[DataFrame, str], object]
+) -> StreamingQuery:
+    """Start applying a streaming frame of requests of one kind: change(requests, batch id), one of
+    the jobs of `plans.medallion`.
+
+    A batch is one commit under its id. One that is replayed after a failure was applied whole, and
+    then its stored answer stands, or it left nothing behind and is applied now.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            change(stored(batch, "requests"), f"{checkpoint.rstrip('/')}#{number}")
+
+    return (
+        requests.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).start()
+    )
+
+
 def apply_employee_changes_stream(
     requests: DataFrame,
     store: LayerStore,
     checkpoint: str,
     today: Callable[[], datetime.date] = datetime.date.today,
 ) -> StreamingQuery:
-    """Start applying a streaming frame of change requests to the stored warehouse.
+    """Employee changes, each batch judged by the day it is first applied on."""
 
-    The day of a batch is written down before it is applied, and its end after. A batch replayed
-    after a failure is judged by the same day, also past midnight, and one that had ended is skipped.
-    """
-    spark = requests.sparkSession
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        day, done = (f"{checkpoint.rstrip('/')}/applied/{batch_id}/{x}" for x in ("day", "done"))
-        if path_exists(spark, done) or batch.isEmpty():
-            return
-        if not path_exists(spark, f"{day}/_SUCCESS"):
-            noted = spark.createDataFrame([(today(),)], "day date")
-            noted.write.mode("overwrite").parquet(day)
-        change_employees(store, stored(batch, "requests"), spark.read.parquet(day).first().day)
-        spark.range(1).write.mode("overwrite").parquet(done)
+    def change(batch: DataFrame, name: str) -> None:
+        if store.answer(name) is None:
+            change_employees(store, batch, today(), name)
 
-    return (
-        requests.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).start()
-    )
+    return apply_stream(requests, checkpoint, change)
