@@ -1,24 +1,34 @@
 """HTML extraction by line-block distribution.
 
-Stripping the markup turns a page into lines, one per text block. Lines of menus, headers, footers,
-sidebars, notices, adverts, forms and comments are boilerplate wherever they stand. Where the page
-marks its article or main part, all other lines of that part are its text.
+Stripping the markup turns a page into lines, one per text block. What tags and names say weighs
+lines, and the distribution of the weights decides what is kept:
 
-Elsewhere each line weighs the length of its text that is not in links, or nothing if half of it
-is. Sums of these weights over a sliding window of lines (boilerplate and empty lines are passed over)
-are the distribution: the main text surges where the sum rises above nothing and dives where a
-whole window has fallen to nothing. The text between surge and dive points is kept, however short;
-runs of links outside them are boilerplate.
+* lines of menus, headers, footers, sidebars, notices, adverts, forms and comments weigh nothing;
+* where the page marks its article or main part, the lines in it weigh their whole length, links and
+  all, and the others nothing, unless these hold MARK_WEIGHT times as much text as the marked ones;
+* elsewhere a line weighs the length of its text that is not in links, or nothing if half of it is.
+
+Sums of the weights over a sliding window of lines are the distribution (lines of menus and the like
+are passed over). The main text surges where the sum rises above nothing and dives where a whole
+window has fallen to nothing. The text between surge and dive points is kept, however short.
+
+A class, id or role says nothing about an element that the page's text stands in: where almost all
+of the page is inside one (WRAPS) and little would be left without it (LEFT), it counts as a wrapper.
+So does a form, but not what is called an advert or comments. An article or main part inside a
+wrapper counts by itself.
 
 Defined cases: a null, empty or text-free page gives an empty text; broken or unclosed markup is
-read as far as it goes; repeated rows are repeated; an empty table gives an empty result; a page of
-any length is read whole in one pass; columns besides page_id, url and html are ignored.
+read as far as it goes, attributes as browsers read them (a quote only counts after the sign of
+equality; one without an end is part of a value without quotes); repeated rows are repeated; an empty
+table gives an empty result; a page of any length is read whole in one pass; columns besides page_id,
+url and html are ignored.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,6 +38,8 @@ from pyspark.sql import DataFrame
 from crewlens.llm.tables import python_ready
 
 WINDOW = 4
+MARK_WEIGHT = 4
+WRAPS, LEFT = 0.8, 0.1
 
 # Elements without text of their own, elements around the main text, and elements
 # that begin and end a block.
@@ -40,6 +52,7 @@ BLOCKS = {"address", "article", "blockquote", "body", "center", "dd", "details",
           "pre", "search", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption",
           "optgroup"} | AROUND | SILENT
 EMPTY = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+WRAPPERS = {"form", "fieldset"}
 NO_MAIN, MAIN_PART, ARTICLE = 0, 1, 2
 MAIN = {"article": ARTICLE, "main": MAIN_PART}
 CLOSED_BY_BLOCK = {"p"}
@@ -66,17 +79,18 @@ OWNERS = re.compile(r"©|(?:\(c\)|copyright)(?:\s|©|\(c\)|by\b)*\d{4}\b|copyrig
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog",
          "menu", "menubar", "toolbar"}
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
-                 r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_VALUE = r"\"[^\"]*+\"|'[^']*+'|[^\s>]*+"
+_ATTRIBUTE = rf"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?>{_VALUE}))?+"
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+                 rf"<(/?)([a-zA-Z][^\s/>]*)((?>[\s/]++|{_ATTRIBUTE})*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*)(?:\s*=\s*({_VALUE}))?")
 SPACE = re.compile(r"\s+")
 
 
 @dataclass
 class Element:
     name: str
-    around: bool  # it, or an element around it, is not main text by its kind
-    named: bool  # the same by its class, id or role
+    marks: tuple[int, ...]  # numbers of the elements around it, itself included, that are not main text
     silent: bool
     main: int  # ARTICLE, MAIN or 0: how surely the page calls it main text
     link: bool
@@ -85,8 +99,8 @@ class Element:
 @dataclass
 class Line:
     text: str
-    weight: int
-    around: bool
+    linked: int
+    marks: tuple[int, ...]
     main: int
 
 
@@ -96,28 +110,30 @@ class Lines:
 
     found: list[Line] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
+    beside: list[Line] = field(default_factory=list)
     linked: int = 0
-    around: bool = False
+    marks: tuple[int, ...] = ()
     main: int = 0
 
     def add(self, text: str, element: Element) -> None:
-        around = element.around or element.named
-        if self.parts and around != self.around:
-            if around:  # a mark or link inside a line of main text that is none itself
+        if self.parts and element.marks != self.marks:
+            if len(element.marks) > len(self.marks):  # a mark or link inside a line that is none itself
+                self.beside.append(Line(text, len(text.strip()) if element.link else 0, element.marks, element.main))
                 return
+            self.beside.append(Line("".join(self.parts), self.linked, self.marks, self.main))
             self.parts, self.linked = [], 0
         if not self.parts:
-            self.around, self.main = around, element.main
+            self.marks, self.main = element.marks, element.main
         self.parts.append(text)
         if element.link:
             self.linked += len(text.strip())
 
     def end(self) -> None:
-        text = SPACE.sub(" ", entities.unescape("".join(self.parts))).strip()
-        if text:
-            weight = 0 if self.around or 2 * self.linked >= len(text) else len(text) - self.linked
-            self.found.append(Line(text, weight, self.around, self.main))
-        self.parts, self.linked = [], 0
+        for line in [Line("".join(self.parts), self.linked, self.marks, self.main), *self.beside]:
+            line.text = SPACE.sub(" ", entities.unescape(line.text)).strip()
+            if line.text:
+                self.found.append(line)
+        self.parts, self.beside, self.linked = [], [], 0
 
 
 def _calls_main(name: str, attributes: str) -> int:
@@ -145,11 +161,18 @@ def _named_around(name: str, attributes: str, main: int) -> bool:
     return False
 
 
-def page_lines(page: str) -> list[Line]:
-    """Strip the markup. Elements are closed as browsers do: a block ends an open paragraph, an end
-    tag closes what is still open inside its element."""
-    lines, at = Lines(), 0
-    stack = [Element("", False, False, False, NO_MAIN, False)]
+def _named_beside(attributes: str) -> bool:
+    """Whether its class or id calls an element an advert, comments or the like, which wrap no page."""
+    return any(key.lower() in ("class", "id") and any(ASIDE_NAMES.search(x) for x in value.strip("\"'").lower().split())
+               for key, value in ATTRIBUTE.findall(attributes))
+
+
+def page_lines(page: str) -> tuple[list[Line], set[int]]:
+    """Strip the markup; also the marks that stand for names and forms. Elements are closed as
+    browsers do: a block ends an open paragraph, an end tag closes what is still open inside its
+    element."""
+    lines, at, marks = Lines(), 0, 0
+    stack, soft = [Element("", (), False, NO_MAIN, False)], set()
 
     def close(upto: int) -> None:
         del stack[upto:]
@@ -192,44 +215,76 @@ def page_lines(page: str) -> list[Line]:
         up = stack[-1]
         # The header of an article is part of it; a header of the page is not. An article or main
         # element counts also below an element with a name like "with-sidebar".
-        main = max(up.main, _calls_main(name, tag[3] or ""))
-        around = up.around or name in AROUND and not (name == "header" and up.main == ARTICLE)
-        named = (up.named and main == up.main) or _named_around(name, tag[3] or "", up.main)
-        stack.append(Element(name, around, named, up.silent or name in SILENT, main, up.link or name == "a"))
+        attributes = tag[3] or ""
+        main = max(up.main, _calls_main(name, attributes))
+        own = up.marks if main == up.main else tuple(m for m in up.marks if m not in soft)
+        around = name in AROUND and not (name == "header" and up.main == ARTICLE)
+        if around or _named_around(name, attributes, up.main):
+            marks += 1
+            own = (*own, marks)
+            if name in WRAPPERS or not around and not _named_beside(attributes):
+                soft.add(marks)
+        stack.append(Element(name, own, up.silent or name in SILENT, main, up.link or name == "a"))
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
             at = end.start() if end else len(page)
     lines.end()
-    return lines.found
-
-
-def main_text(page: str | None) -> str:
-    if not page:
-        return ""
-    lines = [x for x in page_lines(page) if not x.around]
-    # The page itself may say where its main text stands.
-    inside = max((x.main for x in lines if x.weight), default=NO_MAIN)
-    if inside:
-        return "\n\n".join(x.text for x in lines if x.main >= inside)
-    owners = [not x.main and bool(OWNERS.match(x.text)) and len(x.text) < 200 for x in lines]
-    own = [i for i, x in enumerate(lines) if x.weight and not owners[i]]
-    lines = [x for i, x in enumerate(lines) if not owners[i] or own and own[0] < i < own[-1]]
-    weights = [x.weight for x in lines]
-    # Sums over windows that end at a line: a stretch surges at the first line of weight after a
-    # window of none, and dives when a whole window holds none again.
-    stretches, start, total = [], None, 0
+    return lines.found, soft
+
+
+def _wrappers(lines: list[Line], soft: set[int]) -> set[int]:
+    """Marks of the elements that almost the whole page stands in."""
+    covered: Counter[int] = Counter()
+    for x in lines:
+        covered.update(dict.fromkeys(soft.intersection(x.marks), len(x.text)))
+    least = WRAPS * sum(len(x.text) for x in lines)
+    wraps = {m for m, chars in covered.items() if chars >= least}
+    kept = sum(len(x.text) for x in lines if not x.marks)
+    freed = [x for x in lines if x.marks and wraps.issuperset(x.marks)]
+    own = sum(len(x.text) for x in freed)
+    return wraps if kept <= LEFT * own and 2 * sum(x.linked for x in freed) < own else set()
+
+
+def _weights(lines: list[Line]) -> tuple[list[int], int]:
+    """Weight of each line, and how surely the page calls its lines of weight main text."""
+    plain = [0 if 2 * x.linked >= len(x.text) else len(x.text) - x.linked for x in lines]
+    level = max((x.main for x in lines), default=NO_MAIN)
+    inside = sum(len(x.text) for x in lines if x.main == level)
+    outside = sum(w for w, x in zip(plain, lines, strict=True) if x.main < level)
+    if level and MARK_WEIGHT * inside >= outside:
+        return [len(x.text) if x.main == level else 0 for x in lines], level
+    return plain, NO_MAIN
+
+
+def _stretches(weights: list[int]) -> list[tuple[int, int]]:
+    """From surge to dive: the first line of weight after a window of none, and the last one before
+    a whole window holds none again. Sums are over windows that end at a line."""
+    found, start, total = [], None, 0
     for i, weight in enumerate(weights):
         total += weight - (weights[i - WINDOW] if i >= WINDOW else 0)
         if start is None and weight:
             start = i
         elif start is not None and total == 0:
-            stretches.append((start, i - WINDOW))
+            found.append((start, i - WINDOW))
             start = None
     if start is not None:
-        stretches.append((start, max(i for i, w in enumerate(weights) if w)))
-    kept = {i for a, b in stretches for i in range(a, b + 1)}
-    # A marked part of links alone has no weight, but is marked.
-    return "\n\n".join(x.text for i, x in enumerate(lines) if i in kept or x.main)
+        found.append((start, max(i for i, w in enumerate(weights) if w)))
+    return found
+
+
+def main_text(page: str | None) -> str:
+    if not page:
+        return ""
+    lines, soft = page_lines(page)
+    wrappers = _wrappers(lines, soft)
+    lines = [x for x in lines if wrappers.issuperset(x.marks)]
+    weights, level = _weights(lines)
+    if not level:
+        owners = [bool(OWNERS.match(x.text)) and len(x.text) < 200 for x in lines]
+        own = [i for i, w in enumerate(weights) if w and not owners[i]]
+        stay = [i for i in range(len(lines)) if not owners[i] or own and own[0] < i < own[-1]]
+        lines, weights = [lines[i] for i in stay], [weights[i] for i in stay]
+    return "\n\n".join(x.text for a, b in _stretches(weights) for x in lines[a:b + 1] if x.main >= level)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -244,3 +244,75 @@ def test_a_repeated_id_is_learnt_once(spark, operator, monkeypatch):
     docs = documents(spark, [(k % 4 if k < 8 else 0, f"text {k}" if k else None, "s") for k in range(200)])
     operator.fit(docs, spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id bigint, label int"))
     assert learnt == [4]
+
+
+# -- pages told apart by their line blocks --------------------------------------------------------
+
+
+def given_pages(spark):
+    return [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+
+
+CHANGED_PAGES = {
+    "a form around the page": lambda p: p.replace("<body>", "<body><form action='/x'>", 1).replace("</body>", "</form></body>"),
+    "a wrapper with a name": lambda p: p.replace("<body>", "<body><div class='modal-overlay page'>", 1).replace("</body>", "</div></body>"),
+    "a quote in a value": lambda p: p.replace("<p>", "<p class=x'>"),
+}
+
+
+@pytest.mark.parametrize("kind", CHANGED_PAGES)
+def test_markup_around_the_main_text_changes_nothing(spark, kind):
+    for page in given_pages(spark):
+        assert html_text.main_text(CHANGED_PAGES[kind](page)) == html_text.main_text(page)
+
+
+def test_line_blocks_find_the_main_text_without_tags_or_names(spark):
+    """No article, main, nav or the like, and no classes: all blocks of the main text are found,
+    but for owner lines at its ends, and little else."""
+    found = missed = extra = 0
+    for page in given_pages(spark):
+        bare = re.sub(r' (class|id|role)="[^"]*"', "", page)
+        bare = re.sub(r"(</?)(article|main|nav|aside|header|footer|form|section)\b", r"\1div", bare)
+        want, got = (html_text.main_text(p).split("\n\n") for p in (page, bare))
+        found += len(want)
+        missed += sum(b not in got for b in want if not html_text.OWNERS.match(b))
+        extra += sum(len(b) for b in got if b not in want) / max(1, sum(map(len, want)))
+    assert missed == 0 and found > 1000
+    assert extra / 250 < 0.3
+
+
+def test_weights_decide_and_not_the_tag(spark):
+    small = "<article><p>Menu of the day</p></article>"
+    rest = f"<h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p><p>Short.</p>"
+    assert html_text.main_text(f"<div>{rest}</div>{small}").startswith("Title")
+    assert html_text.main_text(f"<article><p>{PROSE}</p></article><p>{PROSE}</p>") == PROSE
+    # Links weigh nothing but within a stretch; a menu apart from it is left out.
+    menu = "".join(f"<li><a href='/{k}'>Item {k}</a></li>" for k in range(9))
+    assert html_text.main_text(f"<ul>{menu}</ul>{rest}<ul>{menu}</ul>") == "\n\n".join(["Title", PROSE, PROSE, "Short."])
+
+
+def test_wrappers_and_comments(spark):
+    comments = "<div class='comments'>" + f"<p>{PROSE}</p>" * 30 + "</div>"
+    assert html_text.main_text(f"<p>Short text.</p>{comments}") == "Short text."
+    assert html_text.main_text(comments) == ""
+    assert html_text.main_text(f"<form><div class='modal page'><p>Hello</p>{comments}</div></form>") == "Hello"
+    assert html_text.main_text(f"<div class='cookie-notice'>{PROSE}</div><p>{PROSE} {PROSE}</p>") == f"{PROSE} {PROSE}"
+    assert html_text.main_text("<form><article><p>One</p></article></form>") == "One"
+    assert html_text.main_text("<nav><p>One</p></nav>") == ""
+
+
+def test_attributes_are_read_as_browsers_do():
+    assert html_text.main_text("<p class=x'>Hello</p><p>It's fine</p>") == "Hello\n\nIt's fine"
+    assert html_text.main_text('<p title="no end>Hello</p><p>There</p>') == "Hello\n\nThere"
+    assert html_text.main_text("<p title='a > b' data-x=\"<p>\">Hello</p>") == "Hello"
+    assert html_text.main_text("<p a=b/c d = 'e' =f \"g>Hello</p>") == "Hello"
+    assert html_text.main_text("<p>Hello<p class='") == "Hello"
+
+
+def test_html_query_returns_every_page_in_its_columns(spark):
+    got = queries.QUERIES["op8_html_extraction"](spark, "/root/testdata/sf0.01")
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    rows = got.collect()
+    assert len(rows) == len(pages) and all(r.text == html_text.main_text(pages[r.page_id]) for r in rows)
+    assert all(r.n_chars == len(r.text) for r in rows)
