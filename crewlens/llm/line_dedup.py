@@ -9,21 +9,28 @@ the run holds a whole window, and both windows choose the same gram.
 1. Windows are the runs of `RUN_WORDS` words or more that fall short of them without their last
    line, or without their first one. Every longer run is covered by the windows in it. Windows
    whose fingerprint stands at one place of the corpus only have no copy and go.
-2. The others are keyed by their fingerprint and the hash of all their lines, and every key is folded
-   to its first place, whatever else its fingerprint meets elsewhere.
-3. Every window that is not the first one of its key is deleted, together with empty lines that
-   follow its lines. Earlier means: smaller id, then smaller hash of the text, then smaller place.
-   Every deleted line has an equal line at an earlier place, so the first copy of a line is never
-   deleted.
+2. Every other place of a fingerprint is joined to its first place. The match is extended both ways,
+   line by line, and what comes out with `RUN_WORDS` words or more is a repeated run. Places with the
+   same distance to their first places in one document are extended as one.
+3. A fingerprint may meet a first place with less around it than another place has. Windows that no
+   extended run covers are therefore keyed by their fingerprint and the hash of all their lines,
+   with all windows of that fingerprint, and every key is folded to its first place.
+4. Repeated runs, and windows that are not the first one of their key, are deleted, together with
+   empty lines that follow their lines. Earlier means: smaller id, then smaller hash of the text, then
+   smaller place. Every deleted line has an equal line at an earlier place, so the first copy of a
+   line is never deleted.
 
 Lines travel as hashes and counts; texts are moved once, for the result. There are at most two windows
-a line, and no pairs of places are made. Folding a key to its first place comes before the shuffle,
-and joins on a key or document are plain equi-joins of stored tables, which adaptive execution
-splits where a key or document is frequent. Built-in functions only.
+a line, and places meet their first place only, never each other. Folding a key to its first place
+comes before the shuffle, and joins on a key or document are plain equi-joins with an exchange of
+their own, which adaptive execution splits where a key or document is frequent. Built-in functions
+only.
 
 Defined cases: a null text stays null, a text without words as it is; rows with equal id and text
-are one document, and all get its result; a null id comes before all others; an empty table gives an
-empty result; further columns are kept, `text` and `n_chars` alone are changed.
+are one document, and all get its result; a null id comes before all others, and rows without an id
+are documents of their own: of those with one text, one is the first, and the others lose all their
+lines if they have `RUN_WORDS` words; an empty table gives an empty result; further columns are kept,
+`text` and `n_chars` alone are changed.
 """
 
 from __future__ import annotations
@@ -31,6 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crewlens.llm.components import own_exchange
 from crewlens.llm.tables import NOT_SPACES, SPACES, lines
 from crewlens.session import stored
 
@@ -66,8 +74,9 @@ def _lines_until(ahead: Column, enough: int) -> Column:
 
 
 def windows(table: DataFrame) -> DataFrame:
-    """doc_id, th, low (first line among all lines), gram (the fingerprint), spot (hash of its place),
-    ends (key and upto, exclusive, among all lines): one row per line that begins a window."""
+    """doc_id, th, place (first line among those with words), most (lines of the longest window), low
+    (first line among all lines), gram (the fingerprint), spot (its place), ends (key and upto,
+    exclusive, among all lines): one row per line that begins a window."""
     rows = table.select("doc_id", "th", "n_lines", F.posexplode(F.arrays_zip("hashes", "words", "places")).alias("place", "x")).select(
         "doc_id", "th", "n_lines", "place", F.col("x.hashes").alias("h"), F.col("x.words").alias("w"), F.col("x.places").alias("at"))
     order = Window.partitionBy("doc_id", "th").orderBy("place")
@@ -88,29 +97,66 @@ def windows(table: DataFrame) -> DataFrame:
         F.get(F.col("ahead.upto"), n - 1) - F.col("w") < RUN_WORDS))
     ends = F.transform(whole, lambda n: F.struct(
         F.xxhash64(F.slice(hashes, F.lit(1), n)).alias("key"), F.get("uptos", n - 1).alias("high")))
+    most = F.greatest("run_lines", F.size(F.filter("ahead", lambda x: x["upto"] - F.col("w") < RUN_WORDS)))
     hashed = grams.select(
-        "doc_id", "th", "place", "at", "gram_lines", "run_lines",
+        "doc_id", "th", "place", "at", "gram_lines", "run_lines", most.alias("most"),
         F.when(F.col("run_lines").isNotNull(), ends).alias("ends"),
         F.when(F.col("gram_lines").isNotNull(), F.xxhash64(F.slice(hashes, F.lit(1), F.col("gram_lines")))).alias("gram"))
     chosen = hashed.select(
-        "doc_id", "th", "place", "at", "run_lines", "ends",
+        "doc_id", "th", "place", "at", "run_lines", "most", "ends",
         F.collect_list(F.struct("gram", "place", "gram_lines")).over(ahead).alias("grams"),
     ).filter("run_lines IS NOT NULL")
     inside = F.filter("grams", lambda g: g["gram_lines"] + g["place"] <= F.col("run_lines") + F.col("place"))
     least = F.array_min(F.transform(inside, lambda g: F.struct(g["gram"].alias("gram"), (-g["place"]).alias("back"))))
-    return chosen.select("doc_id", "th", F.col("at").alias("low"), "ends", least.alias("x")).select(
-        "doc_id", "th", "low", F.col("x.gram").alias("gram"), F.xxhash64("doc_id", "th", "x.back").alias("spot"), "ends")
+    return chosen.select("doc_id", "th", "place", "most", F.col("at").alias("low"), "ends", least.alias("x")).select(
+        "doc_id", "th", "place", "most", "low", F.col("x.gram").alias("gram"), (-F.col("x.back")).alias("spot"), "ends")
 
 
 def _same(a: str, b: str, c: str, d: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b)) & (F.col(c) == F.col(d))
 
 
-def _copies(found: DataFrame) -> DataFrame:
-    """doc_id, th, low, high: the windows that stand at an earlier place, too."""
-    placed = stored(found, "windows")
-    often = placed.groupBy("gram").agg(F.min("spot").alias("a"), F.max("spot").alias("b")).filter("a <> b").select("gram")
-    keyed = stored(placed.join(often, "gram", "left_semi").select(
+def _merged(spans: DataFrame) -> DataFrame:
+    """doc_id, th, runs: (low, high) of each document, put together where they overlap or touch."""
+    order = Window.partitionBy("doc_id", "th").orderBy("low", "high")
+    reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = spans.select("*", F.coalesce(F.col("low") > reach, F.lit(True)).cast("int").alias("opens"))
+    joined = opened.select("doc_id", "th", "low", "high", F.sum("opens").over(order.rowsBetween(
+        Window.unboundedPreceding, 0)).alias("run")).groupBy("doc_id", "th", "run").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"))
+    return joined.groupBy("doc_id", "th").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+
+
+def extended(met: DataFrame, table: DataFrame) -> DataFrame:
+    """doc_id, th, low, high (among lines with words): the runs that grow from places of fingerprints
+    and their first places."""
+    pairs = met.select("doc_id", "th", F.col("first.doc_id").alias("fd"), F.col("first.th").alias("ft"),
+                       (F.col("spot") - F.col("first.spot")).alias("shift")).distinct()
+    own = table.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), F.col("hashes").alias("h"), "words")
+    other = table.select(F.col("doc_id").alias("d2"), F.col("th").alias("t2"), F.col("hashes").alias("h2"))
+    facing = pairs.join(own, _same("doc_id", "d", "th", "t")).join(other, _same("fd", "d2", "ft", "t2")).select(
+        "doc_id", "th", "h", "words", "h2", "shift", F.greatest("shift", F.lit(0)).alias("start"),
+        F.least(F.size("h"), F.size("h2") + F.col("shift")).alias("end"))
+    # Lines from start to end stand side by side; runs lie between those that differ.
+    differ = F.filter(F.sequence(F.col("start"), F.col("end") - 1),
+                      lambda k: F.get("h", k) != F.get("h2", k - F.col("shift")))
+    cuts = facing.select("doc_id", "th", "words", F.concat(
+        F.array(F.col("start") - 1), differ, F.array("end")).alias("cuts"))
+    between = F.transform(F.sequence(F.lit(0), F.size("cuts") - 2), lambda i: F.struct(
+        (F.get("cuts", i) + 1).alias("low"), F.get("cuts", i + 1).alias("high")))
+    runs = cuts.select("doc_id", "th", "words", F.explode(F.filter(between, lambda r: r["low"] < r["high"])).alias("r"))
+    words = F.aggregate(F.slice("words", F.col("r.low") + 1, F.col("r.high") - F.col("r.low")), F.lit(0), lambda s, w: s + w)
+    return runs.filter(words >= RUN_WORDS).select("doc_id", "th", "r.low", "r.high")
+
+
+def _windows_left(placed: DataFrame, met: DataFrame, runs: DataFrame) -> DataFrame:
+    """doc_id, th, low, high: windows that no extended run covers, but that stand at an earlier place."""
+    covered = runs.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "runs")
+    inside = F.exists("runs", lambda r: (r["low"] <= F.col("place")) & (F.col("place") + F.col("most") <= r["high"]))
+    left = met.select("doc_id", "th", "gram", "place", "most").join(covered, _same("doc_id", "d", "th", "t"), "left").filter(
+        ~F.coalesce(inside, F.lit(False)))
+    grams = stored(left.select("gram").distinct(), "grams")
+    keyed = stored(placed.join(own_exchange(grams, "gram"), "gram", "left_semi").select(
         "doc_id", "th", "low", "gram", F.explode("ends").alias("e")).select(
         "doc_id", "th", "low", "gram", F.col("e.key").alias("key"), F.col("e.high").alias("high")), "keyed")
     firsts = stored(keyed.groupBy("gram", "key").agg(
@@ -120,23 +166,50 @@ def _copies(found: DataFrame) -> DataFrame:
         "doc_id", "th", "low", "high")
 
 
+def _repeated(table: DataFrame) -> DataFrame:
+    """doc_id, th, low, high (among all lines): the runs that stand at an earlier place, too."""
+    placed = stored(windows(table), "windows")
+    place = F.struct("doc_id", "th", "spot")
+    firsts = placed.groupBy("gram").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter(
+        ~F.col("first").eqNullSafe(F.col("last"))).drop("last")
+    met = stored(placed.drop("ends", "low").join(own_exchange(firsts, "gram"), "gram").filter(
+        ~place.eqNullSafe(F.col("first"))), "met")
+    runs = stored(_merged(extended(met, table)), "runs")
+    left = _windows_left(placed, met, runs)
+    at = table.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "places", "n_lines")
+    grown = runs.join(at, _same("doc_id", "d", "th", "t")).select("doc_id", "th", F.explode("runs").alias("r"), "places", "n_lines")
+    return left.unionByName(grown.select(
+        "doc_id", "th", F.get("places", F.col("r.low")).alias("low"),
+        F.coalesce(F.get("places", F.col("r.high")), F.col("n_lines")).alias("high")))
+
+
 def deleted_runs(table: DataFrame) -> DataFrame:
     """doc_id, th, runs: (low, high) among all lines of the document, high exclusive; they don't touch."""
-    order = Window.partitionBy("doc_id", "th").orderBy("low", "high")
-    reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = _copies(windows(table)).select("*", F.coalesce(F.col("low") > reach, F.lit(True)).cast("int").alias("opens"))
-    spans = opened.select("doc_id", "th", "low", "high", F.sum("opens").over(order.rowsBetween(
-        Window.unboundedPreceding, 0)).alias("run")).groupBy("doc_id", "th", "run").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"))
-    return spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+    return _merged(_repeated(table))
+
+
+def _later_copies(docs: DataFrame) -> DataFrame:
+    """Rows without an id, and whether another one with the same text stands for the document."""
+    uid = F.monotonically_increasing_id()
+    rows = stored(docs.filter("doc_id IS NULL").select(
+        F.struct(*docs.columns).alias("row"), _text_hash().alias("th"), uid.alias("uid")), "without_id")
+    first = rows.groupBy("th").agg(F.min("uid").alias("first"))
+    return rows.join(own_exchange(first, "th"), "th").select(
+        "row", F.col("row.doc_id").alias("doc_id"), "th", (F.col("uid") > F.col("first")).alias("later"))
 
 
 def marked(docs: DataFrame) -> DataFrame:
     """The documents with their deleted runs (null if none) in a column `runs` beside `row`."""
     table = stored(line_table(docs), "lines")
     runs = deleted_runs(table).select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "runs")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), _text_hash().alias("th"))
-    return rows.join(runs, _same("doc_id", "d", "th", "t"), "left").select("row", "runs")
+    rows = docs.filter("doc_id IS NOT NULL").select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id"), _text_hash().alias("th"), F.lit(False).alias("later"))
+    rows = rows.unionByName(_later_copies(docs))
+    text = F.col("row.text")
+    whole = F.array(F.struct(F.lit(0).alias("low"), F.size(lines(text)).alias("high")))
+    repeated = F.col("later") & (F.regexp_count(text, F.lit(NOT_SPACES + "+")) >= RUN_WORDS)
+    return rows.join(runs, _same("doc_id", "d", "th", "t"), "left").select(
+        "row", F.when(repeated, whole).otherwise(F.col("runs")).alias("runs"))
 
 
 def left_over(text: Column, runs: Column) -> Column:
