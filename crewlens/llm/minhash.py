@@ -9,23 +9,29 @@ sets of similarity s miss each other in all tables with a chance of about
 Steps, all of them joins and folds:
 
 1. Equal sets are one class, known by its smallest id. From here on classes stand for documents.
-2. Per table key, the smallest id is the hub; other classes of the key are compared with it. This
+2. Half-keys that one class alone has belong to no shared key. Classes get the keys of their other
+   half-keys only; most get none.
+3. Per table key, the smallest id is the hub; other classes of the key are compared with it. This
    emits one row per class and table, never the pairs of a group.
-3. Pairs whose sizes rule the similarity out, or whose min-hashes agree far too rarely, are left
-   out; the others are confirmed on the full sets of their whole texts.
-4. Confirmed links give components. Keys of the first collection whose classes still lie in several
-   components are looked at once more: there every class is compared with every class of another
-   component, in blocks of `BLOCK` classes, by sizes and min-hashes, and, if one is plausible, by the
-   full sets. Only one link to its local component leaves a block per class, never the pairs. So a
-   link is lost only if no table has it: within a component no link can change the result.
+4. Pairs whose sizes rule the similarity out, or whose min-hashes agree far too rarely, are left
+   out; the others are confirmed on their full sets, which are made once.
+5. Confirmed links give components. Classes of keys that still hold several components are looked at
+   once more, by prefixes: with the shingles of a class in the order of how many of these classes have
+   them, rarest first, two sets of similarity 0.8 share one of the first n - ceil(0.8 n) + 1. Classes
+   of different components that share such a shingle are compared, in blocks of `BLOCK` classes, by
+   sizes and min-hashes, and, if one is plausible, by the full sets. Only one link to its local
+   component leaves a block per class, never the pairs. So a link is lost only if no table has it:
+   within a component no link can change the result. What most texts share, as templates do, stands
+   last in the order and brings no classes together.
 
 Every step that groups folds before it shuffles; a hot key is a skewed plain join at most, and the
-blocks of a key's largest component meet only the classes outside of it.
+blocks of a shingle's largest component meet only the classes outside of it.
 
 Defined cases: a null, empty or wordless text has the empty set and is linked with nothing; rows
 with equal ids are one document that holds all their texts, and each gets its row; a null id is
 returned with its size and a null component, and kept; an empty table gives an empty result;
-columns besides doc_id and text are ignored by `groups` and returned as they were by `keep_one`.
+columns besides doc_id and text are ignored by `groups` and returned as they were by `keep_one`, to
+which rows of different texts are different documents, whatever their ids.
 """
 
 from __future__ import annotations
@@ -35,13 +41,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crewlens.llm.components import components, own_exchange
 from crewlens.llm.grouped import group_numbers, local_components, map_groups, neighbours
 from crewlens.llm.shingles import MinHash, shingle_set
-from crewlens.llm.tables import python_ready
+from crewlens.llm.tables import NOT_SPACES, python_ready
 from crewlens.session import stored
 
 SIDE = 9
@@ -82,11 +88,17 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def table_keys(classes: DataFrame) -> DataFrame:
-    """id, key: one row per class and table."""
-    table = F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))).alias("table")
-    first = F.get("halves", F.floor(F.col("table") / SIDE).cast("int"))
-    second = F.get("halves", (SIDE + F.col("table") % SIDE).cast("int"))
-    return classes.select("id", "halves", table).select("id", F.xxhash64("table", first, second).alias("key"))
+    """id, key: one row per class and table, of half-keys that several classes have."""
+    each = classes.select("id", F.posexplode("halves").alias("place", "half"))
+    rows = stored(each.select("id", "place", "half", F.xxhash64("place", "half").alias("h")), "halves")
+    shared = rows.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("h")
+    own = F.struct("place", "half")
+    both = rows.join(own_exchange(shared, "h"), "h").groupBy("id").agg(  # 2 * SIDE at most
+        F.collect_list(F.when(F.col("place") < SIDE, own)).alias("first"),
+        F.collect_list(F.when(F.col("place") >= SIDE, own)).alias("second"))
+    paired = both.select("id", F.explode("first").alias("f"), "second").select("id", "f", F.explode("second").alias("s"))
+    table = F.col("f.place") * SIDE + F.col("s.place") - SIDE
+    return paired.select("id", F.xxhash64(table, "f.half", "s.half").alias("key"))
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -106,27 +118,22 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return sized.select("a", "b", "sketch_a", "sketch_b").mapInPandas(agreeing, "a bigint, b bigint")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    python_ready(pairs.sparkSession)
-    side = lambda name: texts.toDF(name, f"text_{name}")
+    side = lambda name: sets.select("id", "elements").toDF(name, f"set_{name}")
 
     def similar(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, hub = None, None  # rows of one hub follow each other
         for frame in frames:
             linked = []
-            for a, b in zip(frame["text_a"], frame["text_b"], strict=True):
-                if hub is None or b != last:
-                    last, hub = b, shingle_set(b)
-                own = shingle_set(a)
-                both = np.concatenate([own, hub])
-                both.sort()
+            for a, b in zip(frame["set_a"], frame["set_b"], strict=True):
+                both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
+                both.sort(kind="stable")  # two sorted runs
                 shared = int((both[1:] == both[:-1]).sum())
                 linked.append(OF * shared >= SHARED * (len(both) - shared))
             yield frame.loc[np.array(linked, bool), ["a", "b"]]
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").sortWithinPartitions("b")
-    return joined.select("a", "b", "text_a", "text_b").mapInPandas(similar, "a bigint, b bigint").distinct()
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.select("a", "b", "set_a", "set_b").mapInPandas(similar, "a bigint, b bigint").distinct()
 
 
 def _sizes_fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -184,25 +191,55 @@ def _links_across(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out)
 
 
-def _elements(texts: DataFrame) -> DataFrame:
-    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def element_sets(texts: DataFrame) -> DataFrame:
+    """id, fingerprint, elements: the sets of the rows' texts; an id with several texts has several."""
+    def made(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"id": frame["doc_id"], "elements": [shingle_set(t).tobytes() for t in frame["text"]]})
+            sets = [shingle_set(t).tobytes() for t in frame["text"]]
+            yield pd.DataFrame({"id": frame["doc_id"], "fingerprint": list(map(xxhash.xxh3_128_digest, sets)), "elements": sets})
 
-    return texts.mapInPandas(sets, "id bigint, elements binary")
+    return texts.select("doc_id", "text").mapInPandas(made, "id bigint, fingerprint binary, elements binary")
 
 
-def links_across(members: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _exploded(sets: DataFrame) -> DataFrame:
+    """id, set, component, key: a row per element, as a whole number."""
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sizes = frame["elements"].map(len) // 8
+            keys = np.frombuffer(b"".join(frame["elements"]), np.int64)
+            yield frame.drop(columns="elements").loc[np.repeat(frame.index, sizes)].assign(key=keys)
+
+    schema = "id bigint, set bigint, component bigint, n_shingles bigint, key bigint"
+    return sets.select("id", "set", "component", "n_shingles", "elements").mapInPandas(rows, schema)
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """id, set, key: of each set the elements of its prefix that classes of another component have,
+    too. Elements are ordered by how many of the sets have them, then by value."""
+    elements = stored(_exploded(sets), "elements")
+    seen = stored(elements.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).filter("n > 1").select(
+        "key", "n", (F.col("a") < F.col("b")).alias("across")), "seen")
+    common = elements.join(own_exchange(seen, "key"), "key")
+    of_set, size = Window.partitionBy("id", "set"), F.col("n_shingles")
+    # Elements that no other set has come first in the order and use up places of the prefix.
+    places = size - F.ceil(size * SHARED / OF) + 1 - (size - F.count("*").over(of_set))
+    rank = F.row_number().over(of_set.orderBy("n", "key"))
+    return common.select("id", "set", "key", "across", (places - rank).alias("left")).filter(
+        (F.col("left") >= 0) & F.col("across")).select("id", "set", "key")
+
+
+def links_across(members: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """u, v: links that join components, of classes that share a table key."""
     placed = members.join(found.withColumnRenamed("u", "id"), "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("l"), F.max("component").alias("h")).filter("l < h")
-    # Only classes of such keys, and of these only what the first collection's half-keys bring together.
     open_ids = placed.join(own_exchange(mixed.select("key"), "key"), "key").select("id", "component").distinct()
-    known = open_ids.join(classes.select("id", "n_shingles", "sketch", "halves"), "id")
-    half = F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "half")
-    rows = stored(known.select("id", "component", "n_shingles", "sketch", half).select(
-        "id", "component", "n_shingles", "sketch", F.xxhash64("place", "half").alias("key")), "open")
+    known = open_ids.join(classes.select("id", "fingerprint", "n_shingles", "sketch"), "id")
+    open_sets = stored(known.join(sets, ["id", "fingerprint"]).withColumn("set", F.xxhash64("fingerprint")).dropDuplicates(
+        ["id", "set"]), "open")
+    rows = prefixes(open_sets).join(open_sets.drop("fingerprint", "elements"), ["id", "set"])
+    rows = stored(rows.select("key", "id", "component", "n_shingles", "sketch"), "prefixes")
 
     sizes = rows.groupBy("key", "component").count().groupBy("key").agg(
         F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n"), F.count("*").alias("components"))
@@ -220,8 +257,7 @@ def links_across(members: DataFrame, found: DataFrame, classes: DataFrame, texts
     paired = cut.select("key", "id", "component", "n_shingles", "sketch", own.alias("own"), F.explode(partners).alias("with")).select(
         "key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "id", "component", "n_shingles", "sketch")
     hopeful = stored(map_groups(paired, _has_plausible, "key bigint, i int, j int, own int, id bigint, component bigint"), "hopeful")
-    needed = texts.join(hopeful.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return stored(map_groups(hopeful.join(_elements(needed), "id"), _links_across, "u bigint, v bigint").distinct(), "links")
+    return stored(map_groups(hopeful.join(sets.drop("fingerprint"), "id"), _links_across, "u bigint, v bigint").distinct(), "links")
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -236,14 +272,15 @@ def groups(docs: DataFrame) -> DataFrame:
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").drop("top")
     members = stored(keys.join(own_exchange(hubs, "key"), "key").select("key", "id", "hub"), "members")
     needed = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = stored(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi"), "texts")
+    texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")
+    sets = stored(element_sets(texts), "sets")
 
     tried = members.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    links = stored(confirmed(plausible(tried, classes), texts), "links").toDF("u", "v")
+    links = stored(confirmed(plausible(tried, classes), sets), "links").toDF("u", "v")
     copies = known.join(classes.select("fingerprint", "id"), "fingerprint").filter("doc_id <> id").select(
         F.col("doc_id").alias("u"), F.col("id").alias("v")).distinct()
     found = components(links.unionAll(copies))
-    more = links_across(members, found, classes, texts)
+    more = links_across(members, found, classes, sets)
     if not more.isEmpty():
         found = components(found.toDF("u", "v").unionAll(more))
 
@@ -254,9 +291,31 @@ def groups(docs: DataFrame) -> DataFrame:
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _without_repeats(docs: DataFrame) -> DataFrame:
+    """A column `own` that is the id, or where that is none or stands for several texts a hash of id
+    and text; and of rows that repeat id and text one, the least by a hash of all columns. Rows
+    without id and words all stay, with a null `own`."""
+    th, has_words = F.xxhash64("text"), F.coalesce(F.col("text").rlike(NOT_SPACES), F.lit(False))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), th.alias("th"), has_words.alias("words"))
+    texts = stored(rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")), "texts_of_ids")
+    several = texts.groupBy(F.col("doc_id").alias("d")).agg(F.count("*").alias("n")).filter("d IS NOT NULL AND n > 1").drop("n")
+    own = F.when(F.col("doc_id").isNotNull() & F.col("d").isNull(), F.col("doc_id")).when(
+        F.col("doc_id").isNotNull() | F.col("words"), F.shiftrightunsigned(F.xxhash64("doc_id", "th"), 1))
+    named = rows.join(several, F.col("doc_id") == F.col("d"), "left").select("row", "doc_id", "th", own.alias("own"))
+    often = texts.filter("n > 1").select(F.col("doc_id").alias("d"), F.col("th").alias("t"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
+    once = named.join(often, same, "left_anti").select("row", "own")
+    repeated = named.join(often, same, "left_semi")
+    one = repeated.filter("own IS NOT NULL").groupBy("own").agg(
+        F.min_by("row", F.xxhash64("row")).alias("row")).select("row", "own")
+    return once.unionByName(one).unionByName(repeated.filter("own IS NULL").select("row", "own"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay: of each group the one with the smallest id, and of rows that repeat
-    an id one; rows without an id all stay."""
-    dropped = groups(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    stay = docs.filter("doc_id IS NOT NULL").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return stay.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    an id and text one. An id with several texts is as many documents, each known by a hash; so are
+    documents without an id."""
+    rows = stored(_without_repeats(docs), "documents")
+    dropped = groups(rows.select(F.col("own").alias("doc_id"), "row.text")).filter(~F.col("kept")).select(
+        F.col("doc_id").alias("own"))
+    return rows.join(dropped, "own", "left_anti").select("row.*")
