@@ -41,12 +41,10 @@ from crewlens.session import stored
 BLOCK = 8
 CYCLE = 1000
 TEMPER = 0.75
-#: Documents that are numbered in one task, about.
-TASK_ROWS = 2_000
-
-
+#: Documents that are numbered in one task, about, and appearances of one document that one task gets.
+TASK_ROWS, CHUNK = 2_000, 1_000
 #: Rows of the schedule that are handed over at once, and segments of the least length in one task, about.
-BATCH, TASK_SEGMENTS = 10_000, 50
+BATCH, TASK_SEGMENTS = 10_000, 4
 
 
 def whole_weights(weights: dict[str, float]) -> dict[str, int]:
@@ -58,22 +56,6 @@ def whole_weights(weights: dict[str, float]) -> dict[str, int]:
     return {s: int(x * unit) for s, x in exact.items()}
 
 
-def shares(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
-    """Whole shares of a cycle, at least one each; the cycle is longer for very many sources. Only for
-    a short schedule that repeats: `schedule` takes the weights as they are."""
-    if any(not w > 0 for w in weights.values()):
-        raise ValueError("Weights have to be positive.")
-    total, cycle = sum(weights.values()), max(cycle, 10 * len(weights))
-    exact = {s: w / total * cycle for s, w in weights.items()}
-    found = {s: max(1, int(x)) for s, x in exact.items()}
-    # The largest remainders get what is missing; what is too much is taken from the largest shares.
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[: max(0, cycle - sum(found.values()))]:
-        found[s] += 1
-    while sum(found.values()) > cycle:
-        found[max(found, key=lambda s: (found[s], s))] -= 1
-    return found
-
-
 def begun(weights: list[int], upto: int) -> list[int]:
     """How many blocks of each source come before the slot `upto`, so that all blocks before and after
     it can meet their releases and deadlines.
@@ -132,15 +114,6 @@ def segment(weights: list[int], start: int, end: int) -> Iterator[tuple[int, int
             heapq.heappush(waiting, (done[s] * total // weights[s], s))
 
 
-def one_cycle(share: dict[str, int]) -> dict[str, list[int]]:
-    """The slots that each source's blocks take in a schedule as long as the sum of the shares."""
-    names = sorted(share)
-    slots: dict[str, list[int]] = {s: [] for s in share}
-    for slot, s, *_ in segment([share[s] for s in names], 0, sum(share.values())):
-        slots[names[s]].append(slot)
-    return slots
-
-
 def _source(name: str = "source"):
     return F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit(""))
 
@@ -149,9 +122,13 @@ def _order():
     return F.xxhash64("doc_id", "text")
 
 
+def _part(order, ranges: int):
+    return F.pmod(F.shiftright(order, 20), F.lit(ranges)).cast("int")
+
+
 def _range(ranges: int):
     """The range a document is numbered in; documents of one id, or of none, are in many."""
-    return F.pmod(F.shiftright(_order(), 20), F.lit(ranges)).cast("int")
+    return _part(_order(), ranges)
 
 
 def _slots(spark, weights: dict[str, int], blocks: dict[str, int], cycle: int) -> DataFrame:
@@ -191,13 +168,28 @@ def _slots(spark, weights: dict[str, int], blocks: dict[str, int], cycle: int) -
     return made.filter(F.col("slot") <= end)
 
 
+def _numbered(classes: DataFrame, ranges: int) -> DataFrame:
+    """classes: s, h, h2, n. Adds start: how many documents of the source come before."""
+    parted = classes.withColumn("part", _part(F.col("h"), ranges))
+    before = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parted.groupBy("s", "part").agg(F.sum("n").alias("n")).select(
+        "s", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("s", "part").orderBy("h", "h2").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.sum("n").over(inside)
+    return parted.withColumn("start", upto - F.col("n")).join(offsets, ["s", "part"]).select(
+        "s", "h", "h2", "n", (F.col("before") + F.col("start")).alias("start"))
+
+
 def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK,
              cycle: int = CYCLE) -> DataFrame:
     """One row per appearance of a document: row (its columns), epoch (from 0), block (of its source,
     over all epochs), slot, place (in its block), release and deadline. `cycle` is the least length of
     a segment."""
     spark = docs.sparkSession
-    sizes = {r["s"]: r["n"] for r in docs.groupBy(_source().alias("s")).agg(F.count("*").alias("n")).collect()}
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), _source().alias("s"), _order().alias("h"),
+                        F.xxhash64(F.lit("row"), *docs.columns).alias("h2"))
+    classes = stored(keyed.groupBy("s", "h", "h2").agg(F.count("*").alias("n")), "classes")
+    sizes = {r["s"]: r["n"] for r in classes.groupBy("s").agg(F.sum("n").alias("n")).collect()}
     if weights is None:
         targets = {s: n**TEMPER for s, n in sizes.items()}
     else:
@@ -209,18 +201,19 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, bl
     blocks = {s: ceil(n / block) for s, n in sizes.items()}
     slots = _slots(spark, whole_weights(targets), blocks, cycle)
 
-    # Numbers within a source: counts per range of hashes, then the place within the range.
-    ranges = max(1, ceil(max(sizes.values(), default=0) / TASK_ROWS))
-    part = _range(ranges)
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), _source().alias("s"), _order().alias("h"), part.alias("part"))
-    counts = docs.groupBy(_source().alias("s"), part.alias("part")).count()
-    before = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("s", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    numbered = keyed.withColumn("k", F.row_number().over(
-        Window.partitionBy("s", "part").orderBy("h", F.col("row.doc_id"), F.xxhash64("row.text"))) - 1).join(offsets, ["s", "part"])
-    placed = numbered.select("row", "s", (F.col("before") + F.col("k")).alias("number")).select(
-        "row", "s", F.floor(F.col("number") / block).alias("own"), (F.col("number") % block).alias("place"))
-    return placed.join(slots, ["s", "own"]).select("row", "epoch", "block", "slot", "place", "release", "deadline")
+    numbered = _numbered(classes, max(1, ceil(max(sizes.values()) / TASK_ROWS)))
+    last = F.col("start") + F.col("n") - 1
+    own = F.sequence(F.floor(F.col("start") / block), F.floor(last / block))
+    timed = numbered.withColumn("own", F.explode(own)).join(slots, ["s", "own"])
+    first = F.col("own") * block
+    places = F.sequence(F.greatest(F.col("start") - first, F.lit(0)), F.least(last - first, F.lit(block - 1)))
+    placed = timed.withColumn("place", F.explode(places)).withColumn(
+        "chunk", F.floor((F.col("own") * block + F.col("place") - F.col("start")) / CHUNK))
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / CHUNK))
+    texts = keyed.groupBy("s", "h", "h2").agg(F.first("row").alias("row"), F.count("*").alias("n")).withColumn(
+        "chunk", F.explode(chunks))
+    return placed.drop("n").join(texts, ["s", "h", "h2", "chunk"]).select(
+        "row", "epoch", "block", "slot", "place", "release", "deadline")
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:
