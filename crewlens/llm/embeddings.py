@@ -1,11 +1,14 @@
 """Embedding near-dedup by Euclidean p-stable hashing.
 
 A normalised vector is projected on random Gaussian directions; `WIDTH`-wide quantised values of
-`DRAWS` projections make the key of one of `TABLES` tables. At cosine 0.9 two vectors miss each
-other in all tables with a chance of 2e-3, at 0.92 of 1e-4, at 0.95 of 1e-7. Unrelated ones share a
-key with a chance of 4e-6 a table: for n vectors, `DRAWS` of about ln(n) / 1.2 keep that work in
-proportion, and `TABLES` then grow as the cube root of n for equal recall. Vectors that share a key are then
-compared by their exact cosine in double precision, each pair only in the first table it shares.
+several projections, the draws, make the key of one of several tables. The number of different vectors
+gives both (`settings`): more draws keep unrelated vectors apart, and more tables make up for the
+links that these tear. The tables are as many as it takes to miss two vectors at cosine 0.9 with a
+chance of `MISS` (at 0.95 it is far below 1e-6); of the numbers of draws the one with the least work
+per vector is taken, a row per table and a comparison per unrelated vector of equal key. Draws grow
+with the logarithm of the number of vectors, and the work per vector as a power of it of 0.3. Vectors
+that share a key are then compared by their exact cosine in double precision, each pair only in the
+first table it shares.
 
 1. Equal vectors are one class with a count, known by its smallest id.
 2. Keys of several classes are counted first. A key with more than `BLOCK` classes is salted into
@@ -26,6 +29,7 @@ an empty table gives an empty result; columns besides vec_id and embedding are i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,26 +42,46 @@ from crewlens.llm.grouped import group_numbers, local_components, map_groups, ne
 from crewlens.llm.tables import python_ready
 from crewlens.session import stored
 
-TABLES, DRAWS, WIDTH, SEED = 96, 10, 1.5, 11
+WIDTH, SEED, MISS, MOST_DRAWS = 1.5, 11, 0.002, 40
+#: Comparisons of sketches that cost as much as a row of a table.
+ROW_COST = 100
 SKETCH_BITS, FAR_BITS = 128, 42
 BLOCK = 512
 LEAST_COSINE = 0.9
 
 
+def _same_cell(cosine: float) -> float:
+    """Chance that one projection puts two vectors in one cell."""
+    r = WIDTH / math.sqrt(2 - 2 * cosine)
+    return math.erf(r / math.sqrt(2)) - 2 / (math.sqrt(2 * math.pi) * r) * (1 - math.exp(-r * r / 2))
+
+
+def settings(vectors: int) -> tuple[int, int]:
+    """Tables and draws for so many different vectors."""
+    near, far = _same_cell(LEAST_COSINE), _same_cell(0)
+
+    def tables(draws: int) -> int:
+        return math.ceil(math.log(MISS) / math.log1p(-(near**draws)))
+
+    draws = min(range(1, MOST_DRAWS + 1), key=lambda d: tables(d) * (ROW_COST + vectors * far**d))
+    return tables(draws), draws
+
+
 class Hashes:
     """The random directions for vectors of one length."""
 
-    def __init__(self, length: int):
-        draws = np.random.Generator(np.random.PCG64([SEED, length]))
-        self.directions = draws.normal(size=(length, TABLES * DRAWS))
-        self.offsets = draws.uniform(0, WIDTH, TABLES * DRAWS)
-        self.planes = draws.normal(size=(length, SKETCH_BITS))
-        self.factors = draws.integers(0, 1 << 63, (TABLES, DRAWS), np.uint64) * np.uint64(2) + np.uint64(1)
-        self.tables = draws.integers(0, 1 << 63, TABLES, np.uint64)
+    def __init__(self, length: int, tables: int, draws: int):
+        drawn = np.random.Generator(np.random.PCG64([SEED, length]))
+        self.shape = (tables, draws)
+        self.directions = drawn.normal(size=(length, tables * draws))
+        self.offsets = drawn.uniform(0, WIDTH, tables * draws)
+        self.planes = drawn.normal(size=(length, SKETCH_BITS))
+        self.factors = drawn.integers(0, 1 << 63, self.shape, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.tables = drawn.integers(0, 1 << 63, tables, np.uint64)
 
     def keys(self, units: np.ndarray) -> np.ndarray:
         cells = np.floor((units @ self.directions + self.offsets) / WIDTH).astype(np.int64).astype(np.uint64)
-        mixed = (cells.reshape(-1, TABLES, DRAWS) * self.factors).sum(axis=2, dtype=np.uint64) + self.tables
+        mixed = (cells.reshape(-1, *self.shape) * self.factors).sum(axis=2, dtype=np.uint64) + self.tables
         mixed ^= mixed >> np.uint64(32)
         return (mixed * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
 
@@ -72,7 +96,7 @@ def _usable(vector) -> np.ndarray | None:
     return values if len(values) and np.isfinite(values).all() and values.any() else None
 
 
-def hashed(embeddings: DataFrame) -> DataFrame:
+def hashed(embeddings: DataFrame, tables: int, draws: int) -> DataFrame:
     """vec_id, vector (null if it links with nothing), keys, sketch."""
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,7 +109,7 @@ def hashed(embeddings: DataFrame) -> DataFrame:
                 own = np.stack([vectors[k] for k in at])
                 scaled = own / np.abs(own).max(axis=1, keepdims=True)  # no overflow or underflow of squares
                 units = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
-                made = known.setdefault(length, Hashes(length))
+                made = known.get(length) or known.setdefault(length, Hashes(length, tables, draws))
                 for k, unit, keys, sketch in zip(at, units, made.keys(units), made.sketches(units), strict=True):
                     found[k] = (unit.astype("<f8").tobytes(), keys, sketch.tobytes())
             columns = list(zip(*found, strict=True)) if found else [[], [], []]
@@ -145,7 +169,8 @@ def _linked(frame: pd.DataFrame) -> pd.DataFrame:
 def groups(embeddings: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per input row."""
     python_ready(embeddings.sparkSession)
-    all_rows = stored(hashed(embeddings), "hashed")
+    count = embeddings.agg(F.approx_count_distinct("embedding")).first()[0]
+    all_rows = stored(hashed(embeddings, *settings(count)), "hashed")
     usable = all_rows.filter("vec_id IS NOT NULL AND vector IS NOT NULL")
     vectors = usable.groupBy("vec_id").agg(F.min(F.struct("vector", "keys", "sketch")).alias("x")).select("vec_id", "x.*")
     vectors = stored(vectors, "vectors")

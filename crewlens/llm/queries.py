@@ -13,6 +13,7 @@ from crewlens.llm import (
     quality_rules, toxicity, whitening,
 )
 from crewlens.llm.tables import lines, read
+from crewlens.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +24,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Adaptive execution splits skewed joins of the queries only under the session's settings."""
+    QUERIES[function.__name__] = lambda spark, sf_dir: function(tune(spark), sf_dir)
     return function
 
 

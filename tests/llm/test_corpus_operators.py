@@ -135,15 +135,39 @@ def test_vectors_equal_a_plain_version(spark):
     assert embeddings.groups(df.limit(0)).count() == 0
 
 
-def test_recall_at_the_threshold():
-    draws, hashes = np.random.default_rng(1), embeddings.Hashes(64)
+@pytest.mark.parametrize("count", [10, 10_000, 50_000, 10_000_000])
+def test_recall_at_the_threshold(count):
+    """At the settings for so many vectors, and few unrelated ones of equal key."""
+    tables, number = embeddings.settings(count)
+    draws, hashes = np.random.default_rng(1), embeddings.Hashes(64, tables, number)
     one, other = draws.normal(size=(2, 4000, 64))
     one /= np.linalg.norm(one, axis=1, keepdims=True)
+    apart = other / np.linalg.norm(other, axis=1, keepdims=True)
     other -= (other * one).sum(axis=1, keepdims=True) * one
     other = 0.9 * one + np.sqrt(0.19) * other / np.linalg.norm(other, axis=1, keepdims=True)
-    found = (hashes.keys(one) == hashes.keys(other)).any(axis=1)
+    keys = hashes.keys(one)
+    found = (keys == hashes.keys(other)).any(axis=1)
     near = np.bitwise_count(hashes.sketches(one) ^ hashes.sketches(other)).sum(axis=1) <= embeddings.FAR_BITS
     assert (found & near).mean() > 0.995
+    met = (keys == hashes.keys(apart)).sum() / len(one)
+    assert met < 5 * tables * embeddings._same_cell(0) ** number + 0.01
+
+
+def test_settings_grow_slowly():
+    work = []
+    for count in (10**3, 10**4, 10**5, 10**6, 10**8, 10**10):
+        tables, draws = embeddings.settings(count)
+        work.append(tables * (embeddings.ROW_COST + count * embeddings._same_cell(0) ** draws))
+    for (n, a), (m, b) in zip(zip((3, 4, 5, 6, 8), work), zip((4, 5, 6, 8, 10), work[1:]), strict=True):
+        assert b / a < 10 ** (0.4 * (m - n))
+
+
+def test_embedding_query_on_given_vectors_equals_a_plain_version(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got = queries.QUERIES["op4_embedding_dedup"](spark, "/root/testdata/sf0.01")
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    want = plain.close_vectors(rows)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == want
 
 
 def test_a_group_larger_than_a_block(spark, monkeypatch):
@@ -289,6 +313,20 @@ def test_segments_meet_at_any_cut():
             at = end
 
 
+def test_copies_of_one_document_are_one_row_while_numbered(spark, monkeypatch):
+    """A third of all rows are copies; each appears, in chunks."""
+    monkeypatch.setattr(mixing, "TASK_ROWS", 50)
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    rows = [(1, "copied", "a")] * 300 + [(k, f"text {k}", "ab"[k % 2]) for k in range(2, 600)]
+    docs = documents(spark, rows, False)
+    made = mixing.schedule(docs, block=4).select("row.*", "epoch", "slot", "place", "block").collect()
+    first = [r for r in made if r.epoch == 0]
+    assert Counter((r.doc_id, r.text, r.source) for r in first) == Counter(rows)
+    assert len({(r.slot, r.place) for r in made}) == len(made)
+    blocks = Counter(r.block for r in first if r.source == "a")
+    assert set(blocks.values()) <= {4, sum(blocks.values()) % 4}
+
+
 def test_documents_of_one_id_are_numbered_in_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(mixing, "TASK_ROWS", 100)
     docs = documents(spark, [(None if k % 2 else 7, f"text {k}", "a") for k in range(2000)], False)
@@ -312,14 +350,6 @@ def test_mix_of_odd_rows(spark):
         mixing.schedule(docs, {"a": 0.0})
 
 
-def test_shares_fill_a_cycle():
-    assert sum(mixing.shares({str(k): 1.0 + k for k in range(7)}).values()) == mixing.CYCLE
-    many = mixing.shares({str(k): 1.0 if k else 1e9 for k in range(500)})
-    assert min(many.values()) == 1 and sum(many.values()) == 5000
-    for slots in mixing.one_cycle(many).values():
-        assert slots == sorted(slots)
-
-
 # -- packing ------------------------------------------------------------------------------------
 
 
