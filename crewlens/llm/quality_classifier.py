@@ -7,8 +7,9 @@ model is trained by FTRL-proximal updates, one labelled text after the other, wh
 the weights sparse. A score is a sparse dot product through a sigmoid.
 
 Fitting takes a bounded sample: at most `Settings.rows` labelled rows, those with the smallest hash
-of their id. Executors turn them into feature ids, so the driver holds at most rows * 2**bits ids.
-Scoring reads every whole text.
+of their id. Executors turn them into feature ids, which are stored; the driver, which updates the
+model by one text after the other, holds the rows of one sorted part at a time. Scoring reads every
+whole text.
 
 Defined cases: a null or empty text has no feature and gets the score of the intercept; repeated
 rows get equal scores; without labelled rows of both classes every score is 0.5; an empty table
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.tables import one_text, python_ready
+from crewlens.session import stored
 
 SPACE, WORD, SIGN = 0, 1, 2
 REPEATED = np.uint64(1)
@@ -82,12 +84,16 @@ def features(text: str | None, settings: Settings) -> tuple[np.ndarray, np.ndarr
     return ids[first], (values * settings.length / np.sqrt((values**2).sum())).astype(np.float32)
 
 
-def fit_features(rows: list[tuple[int, np.ndarray, np.ndarray]], settings: Settings) -> Model:
-    """rows: label, feature ids, values, in training order. The last slot is the intercept."""
+def _in_order(rows: DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for r in rows.orderBy("place", "label", "ids").toLocalIterator():
+        yield r["label"], np.frombuffer(r["ids"], np.uint32), np.frombuffer(r["values"], np.float32)
+
+
+def fit_features(rows: DataFrame, settings: Settings) -> Model:
+    """rows: place (in training order), label, ids, values, stored. The last slot is the intercept."""
     size = (1 << settings.bits) + 1
     z, n = np.zeros(size), np.zeros(size)
-    labels = [label for label, _, _ in rows]
-    if not 0 < sum(labels) < len(labels):
+    if rows.select("label").distinct().count() < 2:
         return Model(np.zeros(size - 1, np.float32), 0.0)
 
     def weights(z: np.ndarray, n: np.ndarray, l1: np.ndarray) -> np.ndarray:
@@ -97,7 +103,7 @@ def fit_features(rows: list[tuple[int, np.ndarray, np.ndarray]], settings: Setti
     penalty = np.full(size, settings.l1)
     penalty[-1] = 0
     for _ in range(settings.passes):
-        for label, ids, values in rows:
+        for label, ids, values in _in_order(rows):
             at, x = np.append(ids, size - 1), np.append(values, 1.0)
             w = weights(z[at], n[at], penalty[at])
             slope = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
@@ -128,10 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
                 "ids": [i.tobytes() for i, _ in made], "values": [v.tobytes() for _, v in made],
             })
 
-    rows = sample.mapInPandas(found, "place bigint, label int, ids binary, values binary").collect()
-    rows = sorted((r["place"], r["label"], bytes(r["ids"]), bytes(r["values"])) for r in rows)
-    return fit_features([(label, np.frombuffer(i, np.uint32), np.frombuffer(v, np.float32))
-                         for _, label, i, v in rows], settings)
+    rows = sample.mapInPandas(found, "place bigint, label int, ids binary, values binary")
+    return fit_features(stored(rows, "features"), settings)
 
 
 def score(docs: DataFrame, model: Model, settings: Settings | None = None) -> DataFrame:

@@ -6,8 +6,9 @@ logistic regression is fitted to features scaled by these ratios. A score is the
 table entry per distinct n-gram.
 
 Fitting takes a bounded sample: at most `Settings.toxic_rows` and `Settings.other_rows` labelled
-rows, those with the smallest hash of their id. Executors turn them into feature ids, so the driver
-holds at most (toxic_rows + other_rows) * 2**bits ids. Scoring reads every whole text, in chunks.
+rows, those with the smallest hash of their id. Their feature ids are stored in `Settings.parts` parts.
+Tasks count them and sum the gradients of a round over their parts; the driver gets one table of
+2**bits sums per part, however long the texts are. Scoring reads every whole text, in chunks.
 
 Defined cases: a null or empty text has no n-gram and gets the score of the intercept; repeated
 rows get equal scores; rows without any label are scored like others; without labelled rows of both
@@ -17,7 +18,7 @@ input are used, whatever else it holds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crewlens.llm.tables import one_text, python_ready
+from crewlens.session import stored
 
 CHUNK = 1 << 17
 
@@ -40,6 +42,7 @@ class Settings:
     penalty: float = 1.0
     rounds: int = 60
     step: float = 0.1
+    parts: int = 6
 
 
 @dataclass(frozen=True)
@@ -81,40 +84,63 @@ def feature_ids(text: str | None, settings: Settings) -> np.ndarray:
     return parts[0] if len(parts) == 1 else _distinct(parts)
 
 
-def fit_features(rows: list[np.ndarray], labels: np.ndarray, settings: Settings) -> Model:
-    """Ratios from document counts, then logistic regression by Adam over all rows at once."""
+def _summed(features: DataFrame, sums: Callable[[np.ndarray, list[np.ndarray]], np.ndarray]) -> np.ndarray:
+    """sums(labels, feature ids) of some rows, added up over all: in tasks, and over the parts here."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, total = None, None
+        for frame in frames:
+            if len(frame):
+                found = sums(frame["label"].to_numpy(float), [np.frombuffer(b, np.uint32) for b in frame["ids"]])
+                part, total = int(frame["part"].iloc[0]), found if total is None else total + found
+        if total is not None:
+            yield pd.DataFrame({"part": [part], "sums": [total.tobytes()]})
+
+    rows = features.mapInPandas(run, "part int, sums binary").collect()
+    # In the order of the parts, so that sums do not depend on which task ends first.
+    return sum(np.frombuffer(r["sums"]) for r in sorted(rows, key=lambda r: (r["part"], bytes(r["sums"]))))
+
+
+def fit_features(features: DataFrame, settings: Settings) -> Model:
+    """features: part, label, ids, stored. Ratios from document counts, then logistic regression by
+    Adam over all rows at once."""
     size = 1 << settings.bits
-    if not 0 < labels.sum() < len(labels):
+
+    def counted(labels: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
+        toxic, other = ([i for i, x in zip(ids, labels, strict=True) if (x == 1) == kind] for kind in (True, False))
+        return np.concatenate([*(np.bincount(np.concatenate(some or [np.empty(0, np.uint32)]), minlength=size)
+                                 for some in (toxic, other)), [len(toxic), len(other)]]).astype(float)
+
+    counts = _summed(features, counted)
+    if isinstance(counts, int) or not counts[-2:].all():
         return Model(np.zeros(size, np.float32), 0.0)
-    lengths = np.array([len(r) for r in rows])
-    ids = np.concatenate(rows).astype(np.int64)
-    toxic = np.repeat(labels == 1, lengths)
-    own = np.bincount(ids[toxic], minlength=size) + settings.smoothing
-    other = np.bincount(ids[~toxic], minlength=size) + settings.smoothing
+    own, other, rows = counts[:size] + settings.smoothing, counts[size: 2 * size] + settings.smoothing, counts[-2:]
     ratio = np.log(own / own.sum()) - np.log(other / other.sum())
     ratio[(own + other) <= 2 * settings.smoothing + 2] = 0  # seen at most twice: no evidence
-    used, ids = np.unique(ids, return_inverse=True)
-    ratio = ratio[used].astype(np.float32)
-    values = ratio[ids]
-    scale = 1 / np.sqrt(np.maximum(1.0, np.bincount(np.repeat(np.arange(len(rows)), lengths), values**2, len(rows)).mean()))
-    values *= np.float32(scale)
-    row = np.repeat(np.arange(len(rows)), lengths)
-    # Both classes weigh alike, however rare toxic rows are.
-    share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (len(labels) - labels.sum()))
-    weights, intercept = np.zeros(len(used), np.float32), 0.0
-    first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    seen = own + other - 2 * settings.smoothing
+    scale = 1 / np.sqrt(max(1.0, float((seen * ratio**2).sum() / rows.sum())))
+    values, used = ratio * scale, int((seen > 0).sum())
+
+    def errors(table: np.ndarray, intercept: float) -> Callable:
+        def summed(labels: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
+            margin = np.array([table[i].sum(dtype=float) for i in ids]) + intercept
+            # Both classes weigh alike, however rare toxic rows are.
+            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) * np.where(labels == 1, 0.5 / rows[0], 0.5 / rows[1])
+            found = np.bincount(np.concatenate(ids), np.repeat(error, [len(i) for i in ids]), size)
+            return np.append(found, error.sum())
+        return summed
+
+    weights, intercept = np.zeros(size), 0.0
+    first, second = np.zeros(size + 1), np.zeros(size + 1)
     for turn in range(1, settings.rounds + 1):
-        margin = np.bincount(row, values * weights[ids], len(rows)) + intercept
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) * share
-        slope = np.append(np.bincount(ids, values * error[row], len(used)) + settings.penalty * weights / len(used), error.sum())
+        found = _summed(features, errors((weights * values).astype(np.float32), intercept))
+        slope = np.append(found[:-1] * values + settings.penalty * weights / used, found[-1])
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         move = settings.step * first / (1 - 0.9**turn) / (np.sqrt(second / (1 - 0.999**turn)) + 1e-8)
         weights -= move[:-1]
         intercept -= move[-1]
-    table = np.zeros(size, np.float32)
-    table[used] = weights * ratio * scale
-    return Model(table, float(intercept))
+    return Model((weights * values).astype(np.float32), float(intercept))
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
@@ -136,10 +162,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) ->
                 "ids": [feature_ids(t, settings).tobytes() for t in frame["text"]],
             })
 
-    found = sample.select("text", "label").mapInPandas(ids, "label int, ids binary").collect()
-    rows = sorted((r["label"], bytes(r["ids"])) for r in found)
-    return fit_features([np.frombuffer(b, np.uint32) for _, b in rows],
-                        np.array([label for label, _ in rows], np.float64), settings)
+    made = sample.select("text", "label").mapInPandas(ids, "label int, ids binary")
+    part = F.pmod(F.xxhash64("ids", "label"), F.lit(settings.parts)).cast("int")
+    dealt = made.withColumn("part", part).repartition(settings.parts, "part").sortWithinPartitions("part", "label", "ids")
+    features = stored(dealt, "features")
+    return fit_features(features, settings)
 
 
 def score(docs: DataFrame, model: Model, settings: Settings | None = None) -> DataFrame:

@@ -233,6 +233,8 @@ def test_a_long_text_is_read_to_its_end():
     settings = toxicity.Settings()
     head = "ab " * 100_000
     assert set(toxicity.feature_ids("xyzzyfrotz", settings)) <= set(toxicity.feature_ids(head + " xyzzyfrotz", settings))
+    settings = quality_classifier.Settings()
+    assert set(quality_classifier.features("xyzzyfrotz", settings)[0]) <= set(quality_classifier.features(head + " xyzzyfrotz", settings)[0])
     ids, values = quality_classifier.features(SENTENCE, quality_classifier.Settings())
     assert len(ids) == len(values) and np.isclose(np.sqrt((values**2).sum()), quality_classifier.Settings().length)
 
@@ -240,12 +242,101 @@ def test_a_long_text_is_read_to_its_end():
 @pytest.mark.parametrize("operator", [toxicity, quality_classifier])
 def test_a_repeated_id_is_learnt_once(spark, operator, monkeypatch):
     learnt = []
-    monkeypatch.setattr(operator, "fit_features", lambda rows, *_: learnt.append(len(rows)))
+    monkeypatch.setattr(operator, "fit_features", lambda rows, *_: learnt.append(rows.count()))
     docs = documents(spark, [(k % 4 if k < 8 else 0, f"text {k}" if k else None, "s") for k in range(200)])
     operator.fit(docs, spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id bigint, label int"))
     assert learnt == [4]
 
 
+def plain_toxicity(rows, settings):
+    """rows: (label, text). Naive Bayes ratios and logistic regression over a dictionary of n-grams, as
+    the operator's over hashes, for texts whose n-grams fall on ids of their own."""
+    def grams(text):
+        padded = " " + text.lower() + " "
+        return sorted({padded[k:k + n] for n in settings.sizes for k in range(len(padded) - n + 1)})
+
+    sets = [grams(t) for _, t in rows]
+    names = sorted(set().union(*sets))
+    x = np.array([[g in set(s) for g in names] for s in sets], float)
+    y = np.array([label for label, _ in rows], float)
+    size = 1 << settings.bits
+    own, other = (x[y == k].sum(axis=0) + settings.smoothing for k in (1, 0))
+    rest = (size - len(names)) * settings.smoothing  # ids that no n-gram has
+    ratio = np.log(own / (own.sum() + rest)) - np.log(other / (other.sum() + rest))
+    ratio[own + other <= 2 * settings.smoothing + 2] = 0
+    x = x * ratio / np.sqrt(max(1.0, ((x * ratio) ** 2).sum() / len(x)))
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    w, b, m, v = np.zeros(len(names)), 0.0, 0, 0
+    for turn in range(1, settings.rounds + 1):
+        error = (1 / (1 + np.exp(-(x @ w + b))) - y) * share
+        slope = np.append(x.T @ error + settings.penalty * w / len(names), error.sum())
+        m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
+        move = settings.step * m / (1 - 0.9**turn) / (np.sqrt(v / (1 - 0.999**turn)) + 1e-8)
+        w, b = w - move[:-1], b - move[-1]
+    return 1 / (1 + np.exp(-(x @ w + b)))
+
+
+def test_toxicity_equals_a_plain_version(spark):
+    draws = np.random.default_rng(8)
+    rows = [(k, " ".join(draws.choice(["foul", "vile", "kind", "good", "calm", "nice"], 6, p=p)), "s")
+            for k, p in ((k, [0.3, 0.2, 0.2, 0.1, 0.1, 0.1] if k % 3 == 0 else [0.05, 0.05, 0.3, 0.3, 0.2, 0.1]) for k in range(60))]
+    settings = toxicity.Settings(rounds=25)
+    grams = {t[k:k + n] for _, x, _ in rows for t in [f" {x} "] for n in settings.sizes for k in range(len(t) - n + 1)}
+    assert len(set().union(*(toxicity.feature_ids(x, settings).tolist() for _, x, _ in rows))) == len(grams)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k, _, _ in rows], "doc_id bigint, label int")
+    docs = documents(spark, rows)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.fit(docs, labels, settings)).collect()}
+    want = plain_toxicity([(int(k % 3 == 0), t) for k, t, _ in rows], settings)
+    assert max(abs(got[k] - w) for (k, _, _), w in zip(rows, want, strict=True)) < 1e-4
+
+
+def plain_ftrl(rows, settings):
+    """rows: (label, {feature: value}) in order. Weights by FTRL-proximal updates, one number at a time."""
+    z, n = Counter(), Counter()
+
+    def weight(f):
+        l1 = 0 if f == "intercept" else settings.l1
+        if abs(z[f]) <= l1:
+            return 0.0
+        return -(z[f] - np.sign(z[f]) * l1) / ((settings.beta + np.sqrt(n[f])) / settings.alpha + settings.l2)
+
+    for _ in range(settings.passes):
+        for label, x in rows:
+            x = {**x, "intercept": 1.0}
+            w = {f: weight(f) for f in x}
+            p = 1 / (1 + np.exp(-sum(w[f] * v for f, v in x.items())))
+            for f, v in x.items():
+                g = (p - label) * v
+                z[f] += g - (np.sqrt(n[f] + g * g) - np.sqrt(n[f])) / settings.alpha * w[f]
+                n[f] += g * g
+    return {f: weight(f) for f in z}
+
+
+def test_quality_model_equals_a_plain_version(spark):
+    rows, labels = labelled(spark)
+    rows, settings = rows[:80], quality_classifier.Settings(passes=2)
+    docs = documents(spark, rows)
+    known = labels.filter("doc_id < 80").select("doc_id", F.col("quality").alias("label"))
+    model = quality_classifier.fit(docs, known, settings)
+    texts = {i: t for i, t, _ in rows}
+    order = [(r.label, quality_classifier.features(texts[r.doc_id], settings)) for r in known.orderBy(F.xxhash64("doc_id")).collect()]
+    want = plain_ftrl([(y, dict(zip(i.tolist(), v.tolist()))) for y, (i, v) in order], settings)
+    assert abs(model.intercept - want.pop("intercept")) < 1e-9
+    assert {int(k) for k in np.flatnonzero(model.weights)} == {f for f, w in want.items() if np.float32(w)}
+    assert all(abs(model.weights[f] - w) < 1e-6 for f, w in want.items())
+
+
+@pytest.mark.parametrize("name, folds, held, threshold", [("op1_toxicity", 5, 0, 0.5), ("op3_quality_classifier", 4, 2, 0.7)])
+def test_classifier_queries_hold_out_by_the_id(spark, name, folds, held, threshold):
+    got = queries.QUERIES[name](spark, FOLDER)
+    assert got.dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
+    rows = got.collect()
+    assert len(rows) == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == held)
+        assert r.predicted == int(r.score >= threshold) and 0 <= r.score <= 1
+
+
 # -- pages told apart by their line blocks --------------------------------------------------------
 
 
