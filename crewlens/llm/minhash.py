@@ -16,16 +16,17 @@ Steps, all of them joins and folds:
 4. Pairs whose sizes rule the similarity out, or whose min-hashes agree far too rarely, are left
    out; the others are confirmed on their full sets, which are made once.
 5. Confirmed links give components. Classes of keys that still hold several components are looked at
-   once more, by prefixes: with the shingles of a class in the order of how many of these classes have
-   them, rarest first, two sets of similarity 0.8 share one of the first n - ceil(0.8 n) + 1. Classes
-   of different components that share such a shingle are compared, in blocks of `BLOCK` classes, by
-   sizes and min-hashes, and, if one is plausible, by the full sets. Only one link to its local
-   component leaves a block per class, never the pairs. So a link is lost only if no table has it:
-   within a component no link can change the result. What most texts share, as templates do, stands
-   last in the order and brings no classes together.
+   once more. First by prefixes: with the shingles of a class in the order of how many of these classes
+   have them, rarest first, two sets of similarity 0.8 share one of the first n - ceil(0.8 n) + 1.
+   Only classes that share such a shingle with another component go on; what most texts share, as
+   templates do, stands last in the order and brings none together. Then, by the half-keys of the first
+   collection, every class is compared with every class of another component, in blocks of `BLOCK`
+   classes, by sizes and min-hashes, and, if one is plausible, by the full sets. Only one link to its
+   local component leaves a block per class, never the pairs. So a link is lost only if no table has
+   it: within a component no link can change the result.
 
 Every step that groups folds before it shuffles; a hot key is a skewed plain join at most, and the
-blocks of a shingle's largest component meet only the classes outside of it.
+blocks of a key's largest component meet only the classes outside of it.
 
 Defined cases: a null, empty or wordless text has the empty set and is linked with nothing; rows
 with equal ids are one document that holds all their texts, and each gets its row; a null id is
@@ -235,11 +236,13 @@ def links_across(members: DataFrame, found: DataFrame, classes: DataFrame, sets:
         "key", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("l"), F.max("component").alias("h")).filter("l < h")
     open_ids = placed.join(own_exchange(mixed.select("key"), "key"), "key").select("id", "component").distinct()
-    known = open_ids.join(classes.select("id", "fingerprint", "n_shingles", "sketch"), "id")
+    known = open_ids.join(classes.select("id", "fingerprint", "n_shingles", "sketch", "halves"), "id")
     open_sets = stored(known.join(sets, ["id", "fingerprint"]).withColumn("set", F.xxhash64("fingerprint")).dropDuplicates(
         ["id", "set"]), "open")
-    rows = prefixes(open_sets).join(open_sets.drop("fingerprint", "elements"), ["id", "set"])
-    rows = stored(rows.select("key", "id", "component", "n_shingles", "sketch"), "prefixes")
+    hopes = prefixes(open_sets).select("id", "set").distinct()
+    half = F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "half")
+    met = open_sets.join(hopes, ["id", "set"], "left_semi").select("id", "component", "n_shingles", "sketch", half)
+    rows = stored(met.select("id", "component", "n_shingles", "sketch", F.xxhash64("place", "half").alias("key")), "met")
 
     sizes = rows.groupBy("key", "component").count().groupBy("key").agg(
         F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n"), F.count("*").alias("components"))
