@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from crewlens.llm import line_dedup, minhash, mixing, packing, quality_rules
 from crewlens.llm.queries import TOKENIZER
 from crewlens.llm.tables import read
-from crewlens.session import stored
+from crewlens.session import stored, tune
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,14 +29,17 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)  # its joins are split where a key is frequent
     return line_dedup.clean(docs)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)  # its joins are split where a key is frequent
     return minhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)  # its joins are split where a key is frequent
     return mixing.mix(docs)
 
 
