@@ -207,13 +207,19 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, bl
     timed = numbered.withColumn("own", F.explode(own)).join(slots, ["s", "own"])
     first = F.col("own") * block
     places = F.sequence(F.greatest(F.col("start") - first, F.lit(0)), F.least(last - first, F.lit(block - 1)))
-    placed = timed.withColumn("place", F.explode(places)).withColumn(
-        "chunk", F.floor((F.col("own") * block + F.col("place") - F.col("start")) / CHUNK))
-    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / CHUNK))
-    texts = keyed.groupBy("s", "h", "h2").agg(F.first("row").alias("row"), F.count("*").alias("n")).withColumn(
-        "chunk", F.explode(chunks))
-    return placed.drop("n").join(texts, ["s", "h", "h2", "chunk"]).select(
-        "row", "epoch", "block", "slot", "place", "release", "deadline")
+    placed = stored(timed.withColumn("place", F.explode(places)).withColumn(
+        "chunk", F.floor((F.col("own") * block + F.col("place") - F.col("start")) / CHUNK)).drop("n", "start", "own"), "placed")
+    # One text per class meets its first chunk of places as the fold left it. Classes with more, which
+    # are few, get a row per further chunk.
+    one = keyed.groupBy("s", "h", "h2").agg(F.first("row").alias("row"))
+    found = placed.filter("chunk = 0").drop("chunk").join(one, ["s", "h", "h2"])
+    large = stored(classes.filter(F.col("n") > CHUNK), "large")
+    if not large.isEmpty():
+        of_large = keyed.join(large.drop("n"), ["s", "h", "h2"], "left_semi").groupBy("s", "h", "h2").agg(F.first("row").alias("row"))
+        chunks = F.sequence(F.lit(1).cast("bigint"), F.floor((F.col("n") - 1) / CHUNK))
+        texts = of_large.join(large, ["s", "h", "h2"]).withColumn("chunk", F.explode(chunks)).drop("n")
+        found = found.unionByName(placed.filter("chunk > 0").join(texts, ["s", "h", "h2", "chunk"]).drop("chunk"))
+    return found.select("row", "epoch", "block", "slot", "place", "release", "deadline")
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:

@@ -41,9 +41,10 @@ def test_near_copies_equal_a_plain_version(spark):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
-def test_query_on_given_documents_equals_a_plain_version(spark):
-    rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
-    got = queries.QUERIES["op5_minhash_dedup"](spark, FOLDER).collect()
+@pytest.mark.parametrize("folder", [FOLDER, "/root/testdata/sf0.01"])
+def test_query_on_given_documents_equals_a_plain_version(spark, folder):
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    got = queries.QUERIES["op5_minhash_dedup"](spark, folder).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain.near_copies(rows)
 
 
