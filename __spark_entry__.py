@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from crewlens.operators.fact import fact_point_in_time as link_reviews
 from crewlens.plans import medallion
 from crewlens.plans.warehouse import Warehouse
 from crewlens.session import scratch_path, tune
-from crewlens.sources import landing, testdata
+from crewlens.sources import landing, records, testdata
 from crewlens.sources.store import LayerStore
 from oracle.sql import QUERIES as ORACLE
 
@@ -89,6 +91,21 @@ class Layers:
     def warehouse(self) -> Warehouse:
         return Warehouse(self.silver, self.gold)
 
+    @cached_property
+    def changed(self) -> LayerStore:
+        """A branch on which batches of changes, reviews and departures were applied, and Gold was
+        refreshed where they touched it."""
+        assert self.gold  # loaded before the branch starts
+        branch, (spark, sf_dir) = self.store.branch("changed"), (self.spark, self.sf_dir)
+        requests = testdata.employee_changes(spark, sf_dir)
+        medallion.change_employees(branch, requests, testdata.AS_OF, "changes")
+        medallion.record_reviews(branch, testdata.new_reviews(self.bronze.review), testdata.AS_OF, "reviews")
+        medallion.remove_employees(branch, testdata.departures(spark, sf_dir), "departures")
+        done, message = medallion.warehouse_refresh(branch)
+        if not done:
+            raise RuntimeError(message)
+        return branch
+
     def scaled(self, name: str, df: Callable[[], DataFrame]) -> DataFrame:
         """A step of the scale-up that later steps go on from, stored like the job stores it."""
         if name not in self.store.tables("scaled"):
@@ -132,6 +149,30 @@ def warehouse_refresh(spark, sf_dir):
     return kpi.refresh_summary(build_gold(_silver(spark, sf_dir), _bronze(spark, sf_dir)))
 
 
+@register
+def csv_round_trip(spark, sf_dir):
+    """Texts with quotes and line ends inside, written as CSV and read back in blocks."""
+    path = scratch_path(spark, "texts") + ".csv"
+    texts = testdata.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    texts.write.options(**records.CSV).csv(path)
+    back = records.read_csv(spark, path, texts.schema)
+    return back.select("doc_id", "source", F.md5(F.col("text").cast("binary")).alias("text_md5"),
+                       F.length("text").alias("n_chars"))
+
+
+@register
+def load_times(spark, sf_dir):
+    """Staged rows without a load time, and whether there are several load times, per table."""
+    folder = scratch_path(spark, "staging")
+    landing.write_staging(_bronze(spark, sf_dir).tables(), folder)
+    tables = landing.read_staging(spark, folder).tables()
+    moment = F.col("_loaded_at")
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count_if(moment.isNull()).alias("without"), (F.count_distinct(moment) > 1).alias("several")).select(
+            F.lit(name).alias("table_name"), "without", "several")
+        for name, df in tables.items()])
+
+
 # -- B: cleaning -------------------------------------------------------------------------------
 
 
@@ -288,7 +329,8 @@ def dept_roles(spark, sf_dir):
 
 @register
 def yoy_performance(spark, sf_dir):
-    """From the raw tables to the answer in one plan, nothing stored between."""
+    """From the raw tables to the answer; of what lies between, only department names and numbered
+    rows are stored."""
     return Warehouse.derive(testdata.bronze(spark, sf_dir)).yoy_performance()
 
 
@@ -364,6 +406,41 @@ def dim_project_upsert(spark, sf_dir):
     )
 
 
+@register
+def dim_date_upsert(spark, sf_dir):
+    """Known: the days of the reviews rated 1; a second load brings all the others."""
+    reviews = _silver(spark, sf_dir).reviews
+    known = dims.dim_date(reviews.filter("performance_rating = 1"))
+    return dims.dim_date(reviews.filter("performance_rating > 1"), known)
+
+
+@register
+def silver_reload(spark, sf_dir):
+    """Departments after a second full load: they keep their ids."""
+    layers = Layers.of(spark, sf_dir)
+    assert layers.silver
+    branch = layers.store.branch(f"reload-{uuid.uuid4().hex}")
+    return medallion.load_silver(branch, layers.bronze).departments
+
+
+@register
+def refreshed_versions(spark, sf_dir):
+    """Employee versions after a batch of changes and one of departures, made bucket by bucket."""
+    return medallion.stored_gold(Layers.of(spark, sf_dir).changed).dim_employee
+
+
+@register
+def refreshed_fact(spark, sf_dir):
+    """Facts after batches of changes, reviews and departures, linked anew where these touched them."""
+    return medallion.stored_gold(Layers.of(spark, sf_dir).changed).fact_performance_reviews
+
+
+@register
+def yoy_refreshed(spark, sf_dir):
+    """Year over year after the refresh, from sums of which only touched buckets were made again."""
+    return medallion.yoy_performance(Layers.of(spark, sf_dir).changed)
+
+
 # -- G: lists ----------------------------------------------------------------------------------
 
 
@@ -402,6 +479,13 @@ def employee_history(spark, sf_dir):
 EMPLOYEE, PROJECT = 43, 42
 
 
+@register
+def employee_by_id(spark, sf_dir):
+    """One person, read from one bucket of the stored table."""
+    assert _silver(spark, sf_dir)
+    return medallion.find_employee(Layers.of(spark, sf_dir).store, EMPLOYEE)
+
+
 @register
 def gold_rules(spark, sf_dir):
     return quality.gold_rules(_warehouse(spark, sf_dir).gold)
@@ -575,7 +659,7 @@ def account_eligibility(spark, sf_dir):
 def data_quality(spark, sf_dir):
     w = _warehouse(spark, sf_dir)
     return quality.data_quality(
-        _bronze(spark, sf_dir), w.silver, w.gold.dim_employee, testdata.users(spark, sf_dir)
+        _bronze(spark, sf_dir), w.silver, w.gold.dim_employee, testdata.users(spark, sf_dir), w.gold
     )
 
 
@@ -690,7 +774,9 @@ try:
     from crewlens.llm import queries as llm_queries
 except ImportError as missing:
     if missing.name not in ("corpus_pipeline", "crewlens.llm"):
-        raise
+        if not isinstance(missing, ModuleNotFoundError):
+            raise
+        warnings.warn(f"Without the corpus queries: {missing}", stacklevel=1)
     LLM: dict[str, Query] = {}
     LLM_ORACLE: dict[str, str] = {}
 else:

@@ -50,6 +50,40 @@ def yoy_performance(
     ).orderBy("department_name", "review_year")
 
 
+_SUMS = ["review_count", "score_sum", "score_count", "rating_sum", "rating_count"]
+
+
+def review_sums(fact: DataFrame, *keys: str) -> DataFrame:
+    """Counts and sums per department and year (and further keys), which can be added up."""
+    return fact.groupBy(*keys, review_year(), "department_key").agg(
+        F.count("review_id").alias("review_count"),
+        F.sum(F.col("review_score").cast("decimal(28,2)")).alias("score_sum"),
+        F.count("review_score").alias("score_count"),
+        F.sum(F.col("performance_rating").cast("bigint")).alias("rating_sum"),
+        F.count("performance_rating").alias("rating_count"),
+    )
+
+
+def yoy_of_sums(sums: DataFrame, dim_department: DataFrame) -> DataFrame:
+    """`yoy_performance` from stored sums of parts of the fact."""
+    def mean(name: str) -> Column:
+        count = F.col(f"{name}_count").cast("decimal(19,0)")
+        return F.when(count > 0, F.col(f"{name}_sum").cast("decimal(28,2)") / count)
+
+    whole = sums.groupBy("review_year", "department_key").agg(*(F.sum(c).alias(c) for c in _SUMS))
+    yearly = whole.select(
+        "review_year", "department_key", "review_count",
+        mean("score").cast("decimal(9,6)").alias("_score"), mean("rating").cast("decimal(14,4)").alias("_rating"),
+    )
+    prior = F.lag("_score").over(Window.partitionBy("department_key").orderBy("review_year"))
+    return _named(yearly, dim_department).select(
+        "review_year", "department_name", "review_count",
+        F.round("_score", 2).alias("average_review_score"),
+        F.round("_rating", 2).alias("average_performance_rating"),
+        F.round(F.col("_score") - prior, 2).alias("score_change_from_prior_year"),
+    ).orderBy("department_name", "review_year")
+
+
 def yoy_overall(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy(review_year())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from crewlens.functions.text import is_blank, match_key
 from crewlens.model import ACCOUNT_ROLES, Bronze, Gold, Silver
 from crewlens.operators.scd2 import valid_history
+from crewlens.session import stored
 
 _REQUIRED = {
     "departments": ["department_id", "department_name"],
@@ -50,10 +51,6 @@ def _broken(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return df.agg(rows.alias("_rows")).select(F.inline("_rows"))
 
 
-def required(table: str, df: DataFrame) -> DataFrame:
-    return _broken(df, {f"{table}.{c} not null": F.col(c).isNull() for c in _REQUIRED[table]})
-
-
 def unique(rule: str, df: DataFrame, key: Column) -> DataFrame:
     """Surplus rows: those beyond the first of each key."""
     sizes = df.select(key.alias("_key")).filter("_key IS NOT NULL").groupBy("_key").count()
@@ -61,49 +58,82 @@ def unique(rule: str, df: DataFrame, key: Column) -> DataFrame:
     return surplus.select(F.lit(rule).alias("rule"), "violations")
 
 
-def known(rule: str, df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
-    return _counted(df.select(column).join(parent.select(column), column, "left_anti"), rule)
+def _tags(df: DataFrame, nulls: dict[str, str], keys: dict[str, Column],
+          references: dict[str, tuple[str, str]]) -> DataFrame:
+    """kind, rule, parent, key: what each row has to say to the rules of its table."""
+    def tag(kind: str, rule: str, parent: str | None, key: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(rule).alias("rule"),
+                        F.lit(parent).cast("string").alias("parent"), key.cast("string").alias("key"))
+
+    tags = [F.when(F.col(c).isNull(), tag("null", rule, None, F.lit(None))) for rule, c in nulls.items()]
+    tags += [F.when(key.isNotNull(), tag("key", rule, None, key)) for rule, key in keys.items()]
+    tags += [tag("reference", rule, parent, F.col(c)) for rule, (c, parent) in references.items()]
+    return df.select(F.explode(F.array_compact(F.array(*tags))).alias("tag")).select("tag.*")
+
+
+def _report(tables: dict[str, DataFrame], nulls: dict[str, dict[str, str]], keys: dict[str, dict[str, Column]],
+            references: dict[str, dict[str, tuple[str, str]]], rules: list[str]) -> DataFrame:
+    """NOT NULL, UNIQUE and reference rules of several tables: one scan of each, and one grouped pass
+    over their tagged keys. A reference names the rule of the key that it refers to."""
+    tags = [_tags(df, nulls.get(name, {}), keys.get(name, {}), references.get(name, {})) for name, df in tables.items()]
+    grouped = stored(reduce(DataFrame.unionByName, tags).groupBy("kind", "rule", "parent", "key").agg(
+        F.count("*").alias("n")), "tags")
+    known = grouped.filter("kind = 'key'").select(F.col("rule").alias("parent"), "key")
+    lost = grouped.filter("kind = 'reference'").join(known, ["parent", "key"], "left_anti")
+    counts = [
+        grouped.filter("kind = 'null'").select("rule", "n"),
+        grouped.filter("kind = 'key'").select("rule", (F.col("n") - 1).alias("n")),  # beyond the first
+        lost.select("rule", "n"),
+        grouped.sparkSession.createDataFrame([(rule, 0) for rule in rules], "rule string, n bigint"),
+    ]
+    asked = F.col("rule").isin(rules)
+    return reduce(DataFrame.unionByName, counts).filter(asked).groupBy("rule").agg(F.sum("n").alias("violations"))
 
 
-def key_rules(silver: Silver) -> DataFrame:
-    """NOT NULL and UNIQUE (case aside for text) rules of the conformed layer."""
+def _key(df: DataFrame, column: str) -> Column:
+    """Text is compared case aside."""
+    return F.lower(column) if dict(df.dtypes)[column] == "string" else F.col(column)
+
+
+def _silver_report(silver: Silver, of_keys: bool, of_references: bool) -> DataFrame:
     tables = silver.tables()
-    reports = [required(name, df) for name, df in tables.items()]
-    for name, columns in _UNIQUE.items():
-        for column in columns:
-            is_text = dict(tables[name].dtypes)[column] == "string"
-            key = F.lower(column) if is_text else F.col(column)
-            reports.append(unique(f"{name}.{column} unique", tables[name], key))
-    return reduce(DataFrame.unionByName, reports)
+    nulls = {t: {f"{t}.{c} not null": c for c in _REQUIRED[t]} for t in tables} if of_keys else {}
+    keys = {t: {f"{t}.{c} unique": _key(tables[t], c) for c in _UNIQUE[t]} for t in tables}
+    references = {
+        t: {f"{t}.{c} in {parent}": (c, f"{parent}.{c} unique") for c, parent in _REFERENCES.get(t, [])} for t in tables
+    } if of_references else {}
+    parts = [*([nulls, keys] if of_keys else []), *([references] if of_references else [])]
+    rules = [rule for part in parts for of_table in part.values() for rule in of_table]
+    return _report(tables, nulls, keys, references, rules)
+
+
+def key_rules(silver: Silver) -> DataFrame:
+    """NOT NULL and UNIQUE rules of the conformed layer."""
+    return _silver_report(silver, True, False)
 
 
 def reference_rules(silver: Silver) -> DataFrame:
-    tables = silver.tables()
-    reports = []
-    for name, references in _REFERENCES.items():
-        for column, parent in references:
-            reports.append(
-                known(f"{name}.{column} in {parent}", tables[name], column, tables[parent])
-            )
-    return reduce(DataFrame.unionByName, reports)
+    return _silver_report(silver, False, True)
+
+
+_GOLD_UNIQUE = {
+    "dim_department": ["department_id", "department_name"], "dim_project": ["project_id"], "dim_date": ["full_date"],
+    "dim_employee": ["employee_key"], "fact_performance_reviews": ["review_id"],
+}
+_FACT_REFERENCES = [("employee_key", "dim_employee"), ("project_key", "dim_project"), ("date_key", "dim_date"),
+                    ("department_key", "dim_department")]
 
 
 def gold_rules(gold: Gold) -> DataFrame:
     """Keys and references of the star schema, and department names that two ids share."""
-    fact, versions = gold.fact_performance_reviews, gold.dim_employee
-    return reduce(DataFrame.unionByName, [
-        unique("dim_department.department_id unique", gold.dim_department, F.col("department_id")),
-        unique("dim_department.department_name unique", gold.dim_department, F.lower("department_name")),
-        unique("dim_project.project_id unique", gold.dim_project, F.col("project_id")),
-        unique("dim_date.full_date unique", gold.dim_date, F.col("full_date")),
-        unique("dim_employee.employee_key unique", versions, F.col("employee_key")),
-        unique("fact_performance_reviews.review_id unique", fact, F.col("review_id")),
-        known("fact_performance_reviews.employee_key in dim_employee", fact, "employee_key", versions),
-        known("fact_performance_reviews.project_key in dim_project", fact, "project_key", gold.dim_project),
-        known("fact_performance_reviews.date_key in dim_date", fact, "date_key", gold.dim_date),
-        known("fact_performance_reviews.department_key in dim_department", fact, "department_key",
-              gold.dim_department),
-    ])
+    tables, fact = gold.tables(), "fact_performance_reviews"
+    keys = {t: {f"{t}.{c} unique": _key(tables[t], c) for c in columns} for t, columns in _GOLD_UNIQUE.items()}
+    references = {fact: {f"{fact}.{c} in {parent}": (c, f"{parent}.{c} unique") for c, parent in _FACT_REFERENCES}}
+    rules = [rule for of_table in (*keys.values(), *references.values()) for rule in of_table]
+    # Keys that the fact refers to, and that no rule of their own asks about.
+    for column, parent in _FACT_REFERENCES:
+        keys[parent].setdefault(f"{parent}.{column} unique", F.col(column))
+    return _report(tables, {}, keys, references, rules)
 
 
 def history_key_rules(history: DataFrame) -> DataFrame:
@@ -167,14 +197,16 @@ def dropped_rows(bronze: Bronze, silver: Silver, dim_employee: DataFrame) -> Dat
 
 
 def data_quality(
-    bronze: Bronze, silver: Silver, dim_employee: DataFrame, users: DataFrame | None = None
+    bronze: Bronze, silver: Silver, dim_employee: DataFrame, users: DataFrame | None = None,
+    gold: Gold | None = None,
 ) -> DataFrame:
-    report = (
-        key_rules(silver)
-        .unionByName(reference_rules(silver))
-        .unionByName(dropped_rows(bronze, silver, dim_employee))
-    )
-    return report if users is None else report.unionByName(account_rules(users))
+    """The rules of Silver, rows that staging loses, and those of accounts and Gold if given."""
+    reports = [_silver_report(silver, True, True), dropped_rows(bronze, silver, dim_employee)]
+    if users is not None:
+        reports.append(account_rules(users))
+    if gold is not None:
+        reports.append(gold_rules(gold))
+    return reduce(DataFrame.unionByName, reports)
 
 
 def enforce(report: DataFrame) -> None:

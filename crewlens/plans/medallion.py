@@ -13,7 +13,7 @@ from crewlens.functions.text import fill
 from crewlens.model import STAGING, Bronze, Gold, Silver
 from crewlens.operators import changes, dims, quality, scale
 from crewlens.operators.fact import fact_point_in_time
-from crewlens.operators.kpi import refresh_summary
+from crewlens.operators.kpi import refresh_summary, review_sums, yoy_of_sums
 from crewlens.operators.scd2 import scd2_apply
 from crewlens.operators.silver import (
     clean_departments,
@@ -26,7 +26,7 @@ from crewlens.operators.silver import (
 from crewlens.plans.warehouse import Warehouse
 from crewlens.session import tune
 from crewlens.sources import landing
-from crewlens.sources.store import Commit, LayerStore, Load, bucket_of
+from crewlens.sources.store import Commit, LayerStore, Load, bucket_of, stored_bucket
 
 log = logging.getLogger("crewlens")
 
@@ -34,6 +34,7 @@ BRONZE, SILVER, GOLD, JUDGED = "bronze", "silver", "gold", "judged"
 # Tables kept in buckets of the employee, in Silver; in Gold, versions and fact are.
 KEY = "employee_id"
 BY_EMPLOYEE = ("employees", "assignments", "reviews")
+SUMS = "review_sums"
 
 
 def stored_bronze(store: LayerStore | Commit) -> Bronze:
@@ -51,6 +52,14 @@ def stored_gold(store: LayerStore | Commit) -> Gold | None:
     return Gold(**{name: store.read(GOLD, name) for name in Gold.__dataclass_fields__})
 
 
+def find_employee(store: LayerStore | Commit, employee_id: int) -> DataFrame:
+    """One person, or none, read from the one bucket that can hold them."""
+    buckets = len(store.tables(SILVER)["employees"]["folders"])
+    asked = store.spark.range(1).select(F.lit(employee_id).cast("bigint").alias(KEY))
+    own = asked.select(bucket_of(KEY, buckets)).first()[0]
+    return store.read(SILVER, "employees", [own]).filter(F.col(KEY) == employee_id).limit(1)
+
+
 def store_bronze(store: LayerStore, bronze: Bronze) -> None:
     """Full refresh: all five staging tables become visible together."""
     with store.load(BRONZE) as load:
@@ -169,9 +178,17 @@ def load_gold(store: LayerStore | Commit, silver: Silver, bronze: Bronze) -> Gol
             fact_point_in_time(reviews, versions, projects, keep=(KEY,)),
             KEY, only=outdated, seen=made_from, drop_key=True,
         )
+        # Sums of each bucket, made with it: yearly answers add them up and read no fact.
+        made = load.read("fact_performance_reviews", outdated).withColumn("_bucket", stored_bucket())
+        load.put_buckets(SUMS, review_sums(made, "_bucket"), "_bucket", only=outdated, drop_key=True, numbered=True)
     return Gold(departments, projects, dates, employees, fact)
 
 
+def yoy_performance(store: LayerStore | Commit) -> DataFrame:
+    """Year-over-year scores from the stored sums."""
+    return yoy_of_sums(store.read(GOLD, SUMS), store.read(GOLD, "dim_department"))
+
+
 def warehouse_refresh(store: LayerStore) -> tuple[bool, str]:
     """Rebuild Gold from the stored Silver; reports instead of raising."""
     try:

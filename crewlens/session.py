@@ -44,7 +44,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame that is read more than once to the shared folder, and go on from the files."""
-    path = scratch_path(df.sparkSession, label)
+    """Write a frame that is read more than once to the shared folder, and go on from the files. They
+    go when the application ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.parquet(path)

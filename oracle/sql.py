@@ -1402,3 +1402,55 @@ QUERIES["reviews_of_employee"] = QUERIES["list_reviews"].replace(
     "FROM reviews ORDER BY", "FROM reviews WHERE employee_id = 43 ORDER BY")
 QUERIES["history_of_employee"] = _where("employee_history", "employee_id = 43")
 QUERIES["staged_by_parameter"] = _where("clean_projects", "budget > 950000 AND status = 'Active'")
+
+# The report holds the rules of Gold, too.
+QUERIES["data_quality"] = f"SELECT * FROM ({QUERIES['data_quality']}) UNION ALL SELECT * FROM ({QUERIES['gold_rules']})"
+QUERIES["employee_by_id"] = _where("clean_employees", "employee_id = 43")
+QUERIES["csv_round_trip"] = """
+SELECT doc_id, nullif(source, '') AS source, md5(nullif(text, '')) AS text_md5, length(nullif(text, '')) AS n_chars
+FROM documents
+"""
+QUERIES["load_times"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, CAST(0 AS BIGINT) AS without, FALSE AS several"
+    for name in ("stg_employee", "stg_employee_history", "stg_project", "stg_assignment", "stg_review"))
+QUERIES["dim_date_upsert"] = QUERIES["dim_date"]
+QUERIES["silver_reload"] = QUERIES["clean_departments"]
+
+# -- Gold after batches of changes, reviews and departures ---------------------------------------
+
+CTES["snapshot3"] = f"""
+SELECT e.* REPLACE (
+    coalesce(d.department_id, e.department_id) AS department_id,
+    coalesce(d.job_role, e.job_role) AS job_role, coalesce(d.job_level, e.job_level) AS job_level,
+    coalesce(d.monthly_income, e.monthly_income) AS monthly_income,
+    coalesce(d.attrition, e.attrition) AS attrition,
+    CASE WHEN d.seq IS NULL THEN e.effective_from ELSE {TODAY} END AS effective_from)
+FROM employees e LEFT JOIN day_change d ON d.employee_id = e.employee_id
+"""
+CTES["past_versions3"] = CTES["past_versions"].replace("JOIN employees e", "JOIN snapshot3 e")
+CTES["incoming3"] = incoming("snapshot3", "past_versions3")
+CTES["closed3"] = CTES["closed"].replace("incoming2", "incoming3")
+CTES["inserted3"] = CTES["inserted"].replace("incoming2", "incoming3").replace("closed c", "closed3 c")
+CTES["versions3"] = "SELECT * FROM closed3 UNION ALL BY NAME SELECT * FROM inserted3"
+CTES["reviews3"] = """
+SELECT review_id, employee_id, project_id, review_date, performance_rating, score_cents,
+       job_satisfaction, work_life_balance, environment_satisfaction FROM reviews
+UNION ALL
+SELECT (SELECT max(review_id) FROM reviews) + row_number() OVER (ORDER BY seq), employee_id, project_id,
+       review_date, performance_rating, score_cents, job_satisfaction, work_life_balance,
+       environment_satisfaction
+FROM judged_reviews
+WHERE reason IS NULL AND employee_id IN (SELECT employee_id FROM employees)
+  AND project_id IN (SELECT project_id FROM projects)
+"""
+CTES["fact3"] = CTES["fact"].replace("JOIN dim_employee e", "JOIN versions3 e").replace(
+    "FROM reviews r", f"FROM (SELECT * FROM reviews3 {STAYING}) r")
+query("refreshed_versions", f"SELECT employee_key, {VERSION} FROM versions3")
+query("refreshed_fact", """
+SELECT performance_review_key, review_id, employee_key, project_key, date_key, department_key,
+       performance_rating, CAST(score_cents AS DOUBLE) / 100 AS review_score, job_satisfaction,
+       work_life_balance, environment_satisfaction, review_count
+FROM fact3
+""")
+CTES["yoy3"] = CTES["yoy"].replace("FROM fact JOIN", "FROM fact3 JOIN")
+query("yoy_refreshed", YOY.replace("FROM yoy", "FROM yoy3"))
