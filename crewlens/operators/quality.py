@@ -6,11 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crewlens.functions.text import is_blank, match_key
 from crewlens.model import ACCOUNT_ROLES, Bronze, Gold, Silver
 from crewlens.operators.scd2 import valid_history
-from crewlens.session import stored
 
 _REQUIRED = {
     "departments": ["department_id", "department_name"],
@@ -58,36 +58,60 @@ def unique(rule: str, df: DataFrame, key: Column) -> DataFrame:
     return surplus.select(F.lit(rule).alias("rule"), "violations")
 
 
-def _tags(df: DataFrame, nulls: dict[str, str], keys: dict[str, Column],
-          references: dict[str, tuple[str, str]]) -> DataFrame:
-    """kind, rule, parent, key: what each row has to say to the rules of its table."""
-    def tag(kind: str, rule: str, parent: str | None, key: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), F.lit(rule).alias("rule"),
-                        F.lit(parent).cast("string").alias("parent"), key.cast("string").alias("key"))
+def _domains(keys: dict[str, dict[str, Column]], references: dict[str, dict[str, tuple[str, str]]]) -> dict[str, list[str]]:
+    """The rule of each key, with the rules of the references to it, in the order of their places."""
+    domains = {rule: [rule] for of_table in keys.values() for rule in of_table}
+    for of_table in references.values():
+        for rule, (_, parent) in of_table.items():
+            domains[parent].append(rule)
+    return domains
 
-    tags = [F.when(F.col(c).isNull(), tag("null", rule, None, F.lit(None))) for rule, c in nulls.items()]
-    tags += [F.when(key.isNotNull(), tag("key", rule, None, key)) for rule, key in keys.items()]
-    tags += [tag("reference", rule, parent, F.col(c)) for rule, (c, parent) in references.items()]
+
+def _tags(df: DataFrame, keys: dict[str, Column], references: dict[str, tuple[str, str]],
+          domains: dict[str, list[str]]) -> DataFrame:
+    """domain, place, number, text: the keys of each row and those it refers to. Whole numbers stay such."""
+    number = list(domains)
+
+    def tag(parent: str, rule: str, key: Column) -> Column:
+        whole = isinstance(df.select(key).schema[0].dataType, T.IntegralType)
+        return F.struct(F.lit(number.index(parent)).alias("domain"), F.lit(domains[parent].index(rule)).alias("place"),
+                        (key if whole else F.lit(None)).cast("bigint").alias("number"),
+                        (F.lit(None) if whole else key).cast("string").alias("text"))
+
+    tags = [F.when(key.isNotNull(), tag(rule, rule, key)) for rule, key in keys.items()]
+    tags += [tag(parent, rule, F.col(c)) for rule, (c, parent) in references.items()]
     return df.select(F.explode(F.array_compact(F.array(*tags))).alias("tag")).select("tag.*")
 
 
 def _report(tables: dict[str, DataFrame], nulls: dict[str, dict[str, str]], keys: dict[str, dict[str, Column]],
             references: dict[str, dict[str, tuple[str, str]]], rules: list[str]) -> DataFrame:
-    """NOT NULL, UNIQUE and reference rules of several tables: one scan of each, and one grouped pass
-    over their tagged keys. A reference names the rule of the key that it refers to."""
-    tags = [_tags(df, nulls.get(name, {}), keys.get(name, {}), references.get(name, {})) for name, df in tables.items()]
-    grouped = stored(reduce(DataFrame.unionByName, tags).groupBy("kind", "rule", "parent", "key").agg(
-        F.count("*").alias("n")), "tags")
-    known = grouped.filter("kind = 'key'").select(F.col("rule").alias("parent"), "key")
-    lost = grouped.filter("kind = 'reference'").join(known, ["parent", "key"], "left_anti")
+    """NOT NULL, UNIQUE and reference rules of several tables: one pass over their keys, in which a key
+    meets the references to it, and one scan for nulls. A reference names the rule of the key that it refers to.
+
+    Rows of one value are counted by place: the key itself first, then each reference to it.
+    """
+    domains = _domains(keys, references)
+    tags = reduce(DataFrame.unionByName, [
+        _tags(tables[name], keys.get(name, {}), references.get(name, {}), domains)
+        for name in tables if keys.get(name) or references.get(name)])
+    places = range(max(map(len, domains.values())))
+    counted = tags.groupBy("domain", "number", "text").agg(
+        *[F.count_if(F.col("place") == p).alias(f"_{p}") for p in places])
+    # Surplus rows are those beyond the first of a key; lost are references to a value that no key has.
+    violations = [F.greatest(F.col("_0") - 1, F.lit(0)), *[F.when(F.col("_0") == 0, F.col(f"_{p}")) for p in places[1:]]]
+    sums = counted.groupBy("domain").agg(*[F.sum(v).alias(f"_{p}") for p, v in zip(places, violations)])
+    names = F.array(*[F.array(*[F.lit(rule) for rule in of_domain]) for of_domain in domains.values()])
+    found = sums.select(F.explode(F.arrays_zip(
+        F.get(names, F.col("domain")).alias("rule"), F.array(*[f"_{p}" for p in places]).alias("n"))).alias("r"))
     counts = [
-        grouped.filter("kind = 'null'").select("rule", "n"),
-        grouped.filter("kind = 'key'").select("rule", (F.col("n") - 1).alias("n")),  # beyond the first
-        lost.select("rule", "n"),
-        grouped.sparkSession.createDataFrame([(rule, 0) for rule in rules], "rule string, n bigint"),
+        found.select("r.rule", "r.n"),
+        *[_broken(tables[name], {rule: F.col(c).isNull() for rule, c in of_table.items()}).toDF("rule", "n")
+          for name, of_table in nulls.items()],
+        tags.sparkSession.createDataFrame([(rule, 0) for rule in rules], "rule string, n bigint"),
     ]
     asked = F.col("rule").isin(rules)
-    return reduce(DataFrame.unionByName, counts).filter(asked).groupBy("rule").agg(F.sum("n").alias("violations"))
+    return reduce(DataFrame.unionByName, counts).filter(asked).groupBy("rule").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
 
 
 def _key(df: DataFrame, column: str) -> Column:
