@@ -29,7 +29,7 @@ from crewlens.model import (
 )
 from crewlens.operators.lookups import own_exchange
 from crewlens.operators.numbering import max_key, number_rows, previous_value
-from crewlens.session import stored
+from crewlens.session import CODEC, stored
 
 # Messages shown to users.
 EMPLOYEE_CONFLICT = "Could not save: that email already exists or the department is invalid."
@@ -110,7 +110,7 @@ def _first_per(df: DataFrame, key: str, name: str) -> DataFrame:
 
 def _numbered(judged: DataFrame, table: DataFrame, id_column: str) -> DataFrame:
     """Give accepted requests the next ids in queue order; `reason` stays for the others."""
-    decided = stored(judged, "judged")
+    decided = stored(judged, "judged", CODEC)
     accepted = number_rows(
         decided.filter(F.col("reason").isNull()),
         id_column, ["seq"], start=max_key(table, id_column),
@@ -343,8 +343,15 @@ def _accepted_assignments(possible: DataFrame, used: DataFrame) -> DataFrame:
     cut to those requests that could be accepted at all (see above): its length has a fixed bound,
     whatever number of requests one employee receives, and nothing that matters is left out.
     """
-    firsts = possible.groupBy("employee_id", "project_id", "allocation_pct").agg(
-        F.min("seq").alias("seq")
+    # Sorted, not hashed: a task that holds millions of distinct triples needs no table of them.
+    earliest = F.row_number().over(
+        Window.partitionBy("employee_id", "project_id", "allocation_pct").orderBy(F.col("seq").asc_nulls_last())
+    )
+    firsts = (
+        possible.select("employee_id", "project_id", "allocation_pct", "seq")
+        .withColumn("_earliest", earliest)
+        .filter("_earliest = 1")
+        .drop("_earliest")
     )
     nth = F.row_number().over(
         Window.partitionBy("employee_id", "allocation_pct").orderBy("seq")
