@@ -14,7 +14,8 @@ What the library does one merge at a time comes out the same:
   as a merge further away cannot reach it. So rounds do not grow with the length of a word.
 
 Characters that are no piece become the pieces of their bytes. Decoding turns '▁' into spaces, drops
-the one that stands before the text, and bytes that are no UTF-8 become U+FFFD each.
+the one that stands before the text, and bytes that are no UTF-8 become U+FFFD each; bytes on both
+sides of a control piece are not put together.
 
 Defined cases: a null or empty text has no ids, and no ids are the empty text; rows are independent,
 so repeated rows, null ids and ties need no rule; an empty table gives an empty result; columns
@@ -294,19 +295,23 @@ class Pieces:
             self._tables = np.frombuffer(b"".join(self.written), np.uint8), np.cumsum(sizes) - sizes, sizes
         return self._tables
 
-    def decode(self, lists: list[np.ndarray | None]) -> list[str]:
+    def _written(self, ids: np.ndarray) -> str:
         flat, heads, sizes = self.tables
+        parts = []
+        for at in range(0, len(ids), BLOCK_CHARS):
+            some = ids[at: at + BLOCK_CHARS]
+            parts.append(flat[_runs(heads[some], sizes[some])].tobytes())
+        return b"".join(parts).decode("utf-8", "each_byte")
+
+    def decode(self, lists: list[np.ndarray | None]) -> list[str]:
         texts = []
         for ids in lists:
             if ids is None or not len(ids):
                 texts.append("")
                 continue
-            parts = []
-            for at in range(0, len(ids), BLOCK_CHARS):
-                some = ids[at: at + BLOCK_CHARS]
-                parts.append(flat[_runs(heads[some], sizes[some])].tobytes())
-            opening = ids[int(np.argmin(self.silent[ids]))]  # the first that is no control piece
-            text = b"".join(parts).decode("utf-8", "each_byte")
+            silent = self.silent[ids]
+            opening = ids[int(np.argmin(silent))]  # the first that is no control piece
+            text = "".join(map(self._written, np.split(ids, np.flatnonzero(silent))))
             texts.append(text[1:] if self.spaced[opening] else text)
         return texts
 

@@ -254,6 +254,11 @@ def test_any_ids_are_decoded_as_by_the_library(library, own, ids):
     assert own.decode([np.array(ids, np.int64)])[0] == library.decode(ids)
 
 
+def test_bytes_are_not_put_together_across_a_control_piece(library, own):
+    for ids in ([197, 1, 131], [197, 131], [1, 197, 131], [197, 131, 2], [197, 1, 2, 131, 1], [28705, 197, 1, 131, 300]):
+        assert own.decode([np.array(ids, np.int64)])[0] == library.decode(ids)
+
+
 def test_long_words_and_pieces_strung_together(library, own):
     draws = np.random.default_rng(2)
     names = [library.id_to_piece(i) for i in range(259, 32_000)]
