@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from crewlens.llm import line_dedup, minhash, mixing, packing, quality_rules
 from crewlens.llm.queries import TOKENIZER
 from crewlens.llm.tables import read
-from crewlens.session import CODEC, stored, tune
+from crewlens.session import CODEC, passing, stored, tune
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +60,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name, CODEC)
+    with passing(spark) as keep:
+        for name, stage in STAGES[:-1]:
+            with passing(spark) as keep_stage:
+                docs = keep_stage(stored(stage(spark, docs, sf_dir), name, CODEC))
+        keep(docs)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crewlens.session import stored
+from crewlens.session import passing, stored
 
 
 def own_exchange(folded: DataFrame, key: str) -> DataFrame:
@@ -50,9 +50,11 @@ def _is_done(edges: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """edges: u, v, any order, without nulls. Returns u, component: the smallest node each node
     reaches, for every node but those smallest ones themselves."""
-    now = stored(
-        edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
-        "edges")
-    while not _is_done(now):
-        now = stored(_small_star(_large_star(now)), "edges")
+    with passing(edges.sparkSession) as keep:
+        now = stored(
+            edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
+            "edges")
+        while not _is_done(now):
+            now = stored(_small_star(_large_star(now)), "edges")
+        keep(now)
     return now.select("u", F.col("v").alias("component"))

@@ -49,7 +49,7 @@ from crewlens.llm.components import components, own_exchange
 from crewlens.llm.grouped import group_numbers, local_components, map_groups, neighbours
 from crewlens.llm.shingles import MinHash, shingle_set
 from crewlens.llm.tables import NOT_SPACES, python_ready
-from crewlens.session import stored
+from crewlens.session import CODEC, passing, stored
 
 SIDE = 9
 HALF = 2
@@ -239,10 +239,11 @@ def links_across(members: DataFrame, found: DataFrame, classes: DataFrame, sets:
     known = open_ids.join(classes.select("id", "fingerprint", "n_shingles", "sketch", "halves"), "id")
     open_sets = stored(known.join(sets, ["id", "fingerprint"]).withColumn("set", F.xxhash64("fingerprint")).dropDuplicates(
         ["id", "set"]), "open")
-    hopes = prefixes(open_sets).select("id", "set").distinct()
     half = F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "half")
-    met = open_sets.join(hopes, ["id", "set"], "left_semi").select("id", "component", "n_shingles", "sketch", half)
-    rows = stored(met.select("id", "component", "n_shingles", "sketch", F.xxhash64("place", "half").alias("key")), "met")
+    with passing(members.sparkSession) as keep:
+        hopes = prefixes(open_sets).select("id", "set").distinct()
+        met = open_sets.join(hopes, ["id", "set"], "left_semi").select("id", "component", "n_shingles", "sketch", half)
+        rows = keep(stored(met.select("id", "component", "n_shingles", "sketch", F.xxhash64("place", "half").alias("key")), "met"))
 
     sizes = rows.groupBy("key", "component").count().groupBy("key").agg(
         F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("n"), F.count("*").alias("components"))
@@ -263,17 +264,16 @@ def links_across(members: DataFrame, found: DataFrame, classes: DataFrame, sets:
     return stored(map_groups(hopeful.join(sets.drop("fingerprint"), "id"), _links_across, "u bigint, v bigint").distinct(), "links")
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per input row."""
-    python_ready(docs.sparkSession)
-    signed = stored(sign(docs), "signed")
+def _components(docs: DataFrame, signed: DataFrame) -> DataFrame:
+    """u, component: the smallest id that each document reaches, for all but those smallest ones."""
     known = signed.filter("doc_id IS NOT NULL AND fingerprint IS NOT NULL")
     least = F.min(F.struct(F.col("doc_id").alias("id"), "n_shingles", "sketch", "halves")).alias("least")
     classes = stored(known.groupBy("fingerprint").agg(least).select("fingerprint", "least.*"), "classes")
 
-    keys = table_keys(classes)
-    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").drop("top")
-    members = stored(keys.join(own_exchange(hubs, "key"), "key").select("key", "id", "hub"), "members")
+    with passing(docs.sparkSession) as keep:
+        keys = table_keys(classes)
+        hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").drop("top")
+        members = keep(stored(keys.join(own_exchange(hubs, "key"), "key").select("key", "id", "hub"), "members"))
     needed = members.select(F.col("id").alias("doc_id")).distinct()
     texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")
     sets = stored(element_sets(texts), "sets")
@@ -286,6 +286,15 @@ def groups(docs: DataFrame) -> DataFrame:
     more = links_across(members, found, classes, sets)
     if not more.isEmpty():
         found = components(found.toDF("u", "v").unionAll(more))
+    return found
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per input row."""
+    python_ready(docs.sparkSession)
+    with passing(docs.sparkSession) as keep:
+        signed = keep(stored(sign(docs), "signed"))
+        found = keep(_components(docs, signed))
 
     placed = signed.join(found.withColumnRenamed("u", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
@@ -318,7 +327,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay: of each group the one with the smallest id, and of rows that repeat
     an id and text one. An id with several texts is as many documents, each known by a hash; so are
     documents without an id."""
-    rows = stored(_without_repeats(docs), "documents")
-    dropped = groups(rows.select(F.col("own").alias("doc_id"), "row.text")).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("own"))
+    with passing(docs.sparkSession) as keep:
+        rows = keep(stored(_without_repeats(docs), "documents", CODEC))
+        dropped = groups(rows.select(F.col("own").alias("doc_id"), "row.text")).filter(~F.col("kept")).select(
+            F.col("doc_id").alias("own"))
+        dropped = keep(stored(dropped, "dropped"))
     return rows.join(dropped, "own", "left_anti").select("row.*")

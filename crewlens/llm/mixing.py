@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crewlens.llm.tables import python_ready
-from crewlens.session import stored
+from crewlens.session import passing, stored
 
 BLOCK = 8
 CYCLE = 1000
@@ -180,15 +180,8 @@ def _numbered(classes: DataFrame, ranges: int) -> DataFrame:
         "s", "h", "h2", "n", (F.col("before") + F.col("start")).alias("start"))
 
 
-def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK,
-             cycle: int = CYCLE) -> DataFrame:
-    """One row per appearance of a document: row (its columns), epoch (from 0), block (of its source,
-    over all epochs), slot, place (in its block), release and deadline. `cycle` is the least length of
-    a segment."""
-    spark = docs.sparkSession
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), _source().alias("s"), _order().alias("h"),
-                        F.xxhash64(F.lit("row"), *docs.columns).alias("h2"))
-    classes = stored(keyed.groupBy("s", "h", "h2").agg(F.count("*").alias("n")), "classes")
+def _placed(classes: DataFrame, weights: dict[str | None, float] | None, block: int, cycle: int) -> DataFrame:
+    """classes: s, h, h2, n. One row per appearance: the class, its slot, place and chunk of appearances."""
     sizes = {r["s"]: r["n"] for r in classes.groupBy("s").agg(F.sum("n").alias("n")).collect()}
     if weights is None:
         targets = {s: n**TEMPER for s, n in sizes.items()}
@@ -199,7 +192,7 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, bl
     if not sizes:  # an empty table has one source without documents
         sizes = targets = {"": 1}
     blocks = {s: ceil(n / block) for s, n in sizes.items()}
-    slots = _slots(spark, whole_weights(targets), blocks, cycle)
+    slots = _slots(classes.sparkSession, whole_weights(targets), blocks, cycle)
 
     numbered = _numbered(classes, max(1, ceil(max(sizes.values()) / TASK_ROWS)))
     last = F.col("start") + F.col("n") - 1
@@ -207,13 +200,26 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, bl
     timed = numbered.withColumn("own", F.explode(own)).join(slots, ["s", "own"])
     first = F.col("own") * block
     places = F.sequence(F.greatest(F.col("start") - first, F.lit(0)), F.least(last - first, F.lit(block - 1)))
-    placed = stored(timed.withColumn("place", F.explode(places)).withColumn(
-        "chunk", F.floor((F.col("own") * block + F.col("place") - F.col("start")) / CHUNK)).drop("n", "start", "own"), "placed")
+    return timed.withColumn("place", F.explode(places)).withColumn(
+        "chunk", F.floor((F.col("own") * block + F.col("place") - F.col("start")) / CHUNK)).drop("n", "start", "own")
+
+
+def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK,
+             cycle: int = CYCLE) -> DataFrame:
+    """One row per appearance of a document: row (its columns), epoch (from 0), block (of its source,
+    over all epochs), slot, place (in its block), release and deadline. `cycle` is the least length of
+    a segment."""
+    spark = docs.sparkSession
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), _source().alias("s"), _order().alias("h"),
+                        F.xxhash64(F.lit("row"), *docs.columns).alias("h2"))
+    with passing(spark) as keep:
+        classes = stored(keyed.groupBy("s", "h", "h2").agg(F.count("*").alias("n")), "classes")
+        placed = keep(stored(_placed(classes, weights, block, cycle), "placed"))
+        large = keep(stored(classes.filter(F.col("n") > CHUNK), "large"))
     # One text per class meets its first chunk of places as the fold left it. Classes with more, which
     # are few, get a row per further chunk.
     one = keyed.groupBy("s", "h", "h2").agg(F.first("row").alias("row"))
     found = placed.filter("chunk = 0").drop("chunk").join(one, ["s", "h", "h2"])
-    large = stored(classes.filter(F.col("n") > CHUNK), "large")
     if not large.isEmpty():
         of_large = keyed.join(large.drop("n"), ["s", "h", "h2"], "left_semi").groupBy("s", "h", "h2").agg(F.first("row").alias("row"))
         chunks = F.sequence(F.lit(1).cast("bigint"), F.floor((F.col("n") - 1) / CHUNK))

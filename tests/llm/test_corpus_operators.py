@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from crewlens.llm import components, embeddings, line_dedup, minhash, mixing, packing, queries, quality_rules
 from crewlens.llm.tokens import Tokens
+from crewlens.session import passing, shared_folder, stored
 from tests.llm import plain
 from tests.llm.odd import documents, odd_rows
 
@@ -445,6 +447,42 @@ def test_every_stage_equals_a_plain_version(spark):
         before = after
 
 
+def test_stages_leave_only_what_their_results_read(spark):
+    """Tables that a stage made on its way take no disk beside the next stages."""
+    folder = Path(shared_folder(spark)) / "crewlens"
+    there = lambda: {p.name for p in folder.iterdir()}
+    docs, left, before = spark.read.parquet(f"{FOLDER}/documents.parquet"), {}, there()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, FOLDER)
+        left[name] = sorted(n.rsplit("-", 1)[0] for n in there() - before if not n.startswith("code"))
+        docs, before = stored(made, name), there()
+    assert left == {"quality_rules": [], "line_dedup": ["deleted", "without_id"], "minhash_dedup": ["documents", "dropped"],
+                    "mixing": ["large", "placed"]}
+    before = there()
+    pieces = corpus_pipeline.run(spark, FOLDER)
+    assert [n.rsplit("-", 1)[0] for n in there() - before if not n.startswith("code")] == ["mixing"]
+    assert pieces.count() == packing.pack(docs, PATH).count()
+
+
+def test_passing_keeps_what_a_frame_reads(spark):
+    ids = lambda n: spark.range(n).toDF("id")
+    with passing(spark) as keep:
+        gone, empty = stored(ids(3), "gone"), keep(stored(ids(0), "empty"))
+        with passing(spark) as keep_inner:
+            inner = stored(ids(4), "inner")
+            outer = keep_inner(stored(ids(5), "outer"))
+            read = keep_inner(inner.filter("id > 1").join(stored(ids(3), "joined"), "id"))
+        assert [r.id for r in read.collect()] == [2] and outer.count() == 5
+        keep(read)
+    assert read.count() == 1 and empty.count() == 0
+    for frame in (gone, outer):
+        assert not Path(frame.inputFiles()[0].removeprefix("file:")).exists()
+    with pytest.raises(ZeroDivisionError), passing(spark):
+        failed = stored(ids(2), "failed")
+        1 / 0
+    assert not Path(failed.inputFiles()[0].removeprefix("file:")).exists() and stored(ids(2), "after").count() == 2
+
+
 def test_odd_rows_pass_every_stage(spark):
     docs = documents(spark, odd_rows())
     for _, stage in corpus_pipeline.STAGES[:-1]:
