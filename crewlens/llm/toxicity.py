@@ -8,7 +8,8 @@ table entry per distinct n-gram.
 Fitting takes a bounded sample: at most `Settings.toxic_rows` and `Settings.other_rows` labelled
 rows, those with the smallest hash of their id. Their feature ids are stored in `Settings.parts` parts.
 Tasks count them and sum the gradients of a round over their parts; the driver gets one table of
-2**bits sums per part, however long the texts are. Scoring reads every whole text, in chunks.
+at most 2**bits sums per part, however long the texts are: of a round, those of features that have a
+ratio, and what a round sends out goes when it ends. Scoring reads every whole text, in chunks.
 
 Defined cases: a null or empty text has no n-gram and gets the score of the intercept; repeated
 rows get equal scores; rows without any label are scored like others; without labelled rows of both
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,8 +86,8 @@ def feature_ids(text: str | None, settings: Settings) -> np.ndarray:
     return parts[0] if len(parts) == 1 else _distinct(parts)
 
 
-def _summed(features: DataFrame, sums: Callable[[np.ndarray, list[np.ndarray]], np.ndarray]) -> np.ndarray:
-    """sums(labels, feature ids) of some rows, added up over all: in tasks, and over the parts here."""
+def _summed(features: DataFrame, sums: Callable[[np.ndarray, list[np.ndarray]], np.ndarray], kind: str = "float64") -> np.ndarray:
+    """sums(labels, feature ids) of some rows, of this kind, added up over all: in tasks, and over the parts here."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, total = None, None
@@ -98,7 +100,7 @@ def _summed(features: DataFrame, sums: Callable[[np.ndarray, list[np.ndarray]],
 
     rows = features.mapInPandas(run, "part int, sums binary").collect()
     # In the order of the parts, so that sums do not depend on which task ends first.
-    return sum(np.frombuffer(r["sums"]) for r in sorted(rows, key=lambda r: (r["part"], bytes(r["sums"]))))
+    return sum(np.frombuffer(r["sums"], kind) for r in sorted(rows, key=lambda r: (r["part"], bytes(r["sums"]))))
 
 
 def fit_features(features: DataFrame, settings: Settings) -> Model:
@@ -109,38 +111,49 @@ def fit_features(features: DataFrame, settings: Settings) -> Model:
     def counted(labels: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
         toxic, other = ([i for i, x in zip(ids, labels, strict=True) if (x == 1) == kind] for kind in (True, False))
         return np.concatenate([*(np.bincount(np.concatenate(some or [np.empty(0, np.uint32)]), minlength=size)
-                                 for some in (toxic, other)), [len(toxic), len(other)]]).astype(float)
+                                 for some in (toxic, other)), [len(toxic), len(other)]]).astype(np.int32)
 
-    counts = _summed(features, counted)
+    counts = _summed(features, counted, "int32")
     if isinstance(counts, int) or not counts[-2:].all():
         return Model(np.zeros(size, np.float32), 0.0)
+    counts = counts.astype(float)
     own, other, rows = counts[:size] + settings.smoothing, counts[size: 2 * size] + settings.smoothing, counts[-2:]
     ratio = np.log(own / own.sum()) - np.log(other / other.sum())
     ratio[(own + other) <= 2 * settings.smoothing + 2] = 0  # seen at most twice: no evidence
     seen = own + other - 2 * settings.smoothing
     scale = 1 / np.sqrt(max(1.0, float((seen * ratio**2).sum() / rows.sum())))
-    values, used = ratio * scale, int((seen > 0).sum())
+    # Only features with a ratio have a weight; no others travel.
+    live, used = np.flatnonzero(ratio).astype(np.uint32), int((seen > 0).sum())
+    values, sc = (ratio * scale)[live], features.sparkSession.sparkContext
+    places = sc.broadcast(live)
 
-    def errors(table: np.ndarray, intercept: float) -> Callable:
+    def errors(told: Broadcast) -> Callable:
         def summed(labels: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
+            table, (weights, intercept) = np.zeros(size, np.float32), told.value
+            table[places.value] = weights
             margin = np.array([table[i].sum(dtype=float) for i in ids]) + intercept
             # Both classes weigh alike, however rare toxic rows are.
             error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) * np.where(labels == 1, 0.5 / rows[0], 0.5 / rows[1])
             found = np.bincount(np.concatenate(ids), np.repeat(error, [len(i) for i in ids]), size)
-            return np.append(found, error.sum())
+            return np.append(found[places.value], error.sum())
         return summed
 
-    weights, intercept = np.zeros(size), 0.0
-    first, second = np.zeros(size + 1), np.zeros(size + 1)
+    weights, intercept = np.zeros(len(live)), 0.0
+    first, second = np.zeros(len(live) + 1), np.zeros(len(live) + 1)
     for turn in range(1, settings.rounds + 1):
-        found = _summed(features, errors((weights * values).astype(np.float32), intercept))
+        told = sc.broadcast(((weights * values).astype(np.float32), intercept))
+        found = _summed(features, errors(told))
+        told.destroy()
         slope = np.append(found[:-1] * values + settings.penalty * weights / used, found[-1])
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         move = settings.step * first / (1 - 0.9**turn) / (np.sqrt(second / (1 - 0.999**turn)) + 1e-8)
         weights -= move[:-1]
         intercept -= move[-1]
-    return Model((weights * values).astype(np.float32), float(intercept))
+    places.destroy()
+    table = np.zeros(size, np.float32)
+    table[live] = weights * values
+    return Model(table, float(intercept))
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:

@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 from crewlens.llm import chat, html_text, oracle, quality_classifier, quality_rules, queries, toxicity
@@ -290,6 +291,22 @@ def test_toxicity_equals_a_plain_version(spark):
     assert max(abs(got[k] - w) for (k, _, _), w in zip(rows, want, strict=True)) < 1e-4
 
 
+def test_rounds_move_only_features_with_a_ratio_and_leave_nothing(spark, monkeypatch):
+    moved, sent, gone, own = [], [], [], toxicity._summed
+    monkeypatch.setattr(toxicity, "_summed", lambda *a: moved.append(own(*a)) or moved[-1])
+    make, destroy = type(spark.sparkContext).broadcast, Broadcast.destroy
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, value: sent.append(make(sc, value)) or sent[-1])
+    monkeypatch.setattr(Broadcast, "destroy", lambda b, *a: gone.append(b) or destroy(b, *a))
+    rows = [(k, "foul words" if k % 3 == 0 else "kind words here", "s") for k in range(30)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k, _, _ in rows], "doc_id bigint, label int")
+    settings = toxicity.Settings(rounds=3)
+    model = toxicity.fit(documents(spark, rows), labels, settings)
+    live = np.flatnonzero(model.weights)
+    assert 0 < len(live) < 100 and len(moved) == 4
+    assert all(len(live) < len(sums) < 100 for sums in moved[1:])
+    assert len(sent) >= settings.rounds and {id(b) for b in sent} == {id(b) for b in gone}
+
+
 def plain_ftrl(rows, settings):
     """rows: (label, {feature: value}) in order. Weights by FTRL-proximal updates, one number at a time."""
     z, n = Counter(), Counter()
