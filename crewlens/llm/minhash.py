@@ -310,11 +310,13 @@ def _without_repeats(docs: DataFrame) -> DataFrame:
     th, has_words = F.xxhash64("text"), F.coalesce(F.col("text").rlike(NOT_SPACES), F.lit(False))
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), th.alias("th"), has_words.alias("words"))
     texts = stored(rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")), "texts_of_ids")
-    several = texts.groupBy(F.col("doc_id").alias("d")).agg(F.count("*").alias("n")).filter("d IS NOT NULL AND n > 1").drop("n")
+    # Stored, as only then their size is known before whole rows are shuffled to them.
+    several = stored(texts.groupBy(F.col("doc_id").alias("d")).agg(F.count("*").alias("n")).filter(
+        "d IS NOT NULL AND n > 1").select("d"), "ids_of_texts")
     own = F.when(F.col("doc_id").isNotNull() & F.col("d").isNull(), F.col("doc_id")).when(
         F.col("doc_id").isNotNull() | F.col("words"), F.shiftrightunsigned(F.xxhash64("doc_id", "th"), 1))
     named = rows.join(several, F.col("doc_id") == F.col("d"), "left").select("row", "doc_id", "th", own.alias("own"))
-    often = texts.filter("n > 1").select(F.col("doc_id").alias("d"), F.col("th").alias("t"))
+    often = stored(texts.filter("n > 1").select(F.col("doc_id").alias("d"), F.col("th").alias("t")), "often")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
     once = named.join(often, same, "left_anti").select("row", "own")
     repeated = named.join(often, same, "left_semi")

@@ -60,6 +60,22 @@ def test_one_of_each_group_stays(spark):
     assert minhash.keep_one(docs.limit(0)).count() == 0
 
 
+def test_whole_rows_meet_only_the_ids_that_repeat(spark):
+    rows = [(k, f"text {k}", "s") for k in range(20_000)] + [(7, "text 7", "s"), (8, "another", "s")]
+    docs = stored(documents(spark, rows), "docs")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        found = minhash._without_repeats(docs)
+        joins = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x]
+        assert len(joins) == 6 and not any("SortMergeJoin" in x for x in joins)
+        got = found.select("row.doc_id", "row.text", "own").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert Counter((r.doc_id, r.text) for r in got) == Counter({(i, t) for i, t, _ in rows})
+    assert {r.doc_id for r in got if r.own != r.doc_id} == {8}
+
+
 def test_texts_stay_whatever_their_ids(spark):
     """One id for several texts, and no id: every text stays once, however the rows are dealt."""
     one, two, three = (" ".join(f"{n}{k}" for k in range(20)) for n in "abc")
